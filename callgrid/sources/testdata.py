@@ -142,3 +142,69 @@ def lineitem_to_legs(spark: SparkSession, sf_dir: str,
     legs = legs.join(F.broadcast(dim), "queue_id").withColumn(
         "source_file", F.concat(F.lit("lineitem_"), F.col("queue_id"), F.lit(".csv")))
     return legs.select(*RAW_LEG_COLUMNS)
+
+
+# --- events as nested API records (JSON Lines) -----------------------------------------
+
+def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT_QUEUES) -> DataFrame:
+    """One JSON record per event: ``(rec_no, value)`` with the shapes the API path must handle.
+
+    ``to.user`` is text in some records and an object in others (T6); some records carry
+    the queue only in a free-text ``queue_label`` (J-2) or not at all (unmapped); start
+    times are naive wall-clock or UTC with ``Z`` (T7); durations are numbers, numeric
+    text or ``53ms``; unanswered errors may still carry a duration (T5).
+    """
+    e = events_base(events)
+    k, uid, et, v = F.col("k"), F.col("user_id"), F.col("event_type"), F.col("v")
+    slot = k % 12
+    qid = _queue_of(k, uid, queues)
+    names = F.create_map(*[x for q in queues for x in (F.lit(q.queue_id), F.lit(q.name))])
+    agent = (F.when(slot == 0, F.lit(None).cast("string"))
+             .when(slot == 1, F.lit("IVR System"))
+             .when(slot == 2, F.lit(" null "))
+             .when((qid == queues[3].queue_id) & (slot != 3), F.lit("Agent 7"))
+             .otherwise(F.concat(F.lit("Agent "), slot.cast("string"))))
+    local = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    start = F.when(F.col("event_id") % 2 == 0, local).otherwise(F.concat(local, F.lit("Z")))
+    number = (F.when(uid % 13 == 0, F.lit("Restricted"))
+              .when(uid % 13 == 1, F.lit(None).cast("string"))
+              .when(uid % 13 == 2, F.concat(F.lit("sip:+1613555"), F.lpad(uid.cast("string"), 4, "0"),
+                                            F.lit("@pbx.example.net;user=phone")))
+              .otherwise(F.concat(F.lit("+1 (613) 555-"), F.lpad(uid.cast("string"), 4, "0"))))
+    frm = F.to_json(F.struct(
+        F.concat(F.lit("c"), (uid * 1000 + F.dayofyear("ts")).cast("string")).alias("call_id"),
+        number.alias("number"), F.concat(F.lit("Caller "), uid.cast("string")).alias("name")))
+    to_call = F.when(k % 10 != 0, F.concat(F.date_format("ts", "yyyyMMddHHmmss"), F.lit("-"),
+                                          F.col("event_id").cast("string")))
+    to_str = F.to_json(F.struct(to_call.alias("call_id"), agent.alias("user")))
+    to_obj = F.to_json(F.struct(to_call.alias("call_id"), F.when(agent.isNotNull(), F.struct(
+        agent.alias("name"), (slot + 100).cast("string").alias("extension"))).alias("user")))
+    to = F.when(k % 3 == 0, to_str).otherwise(to_obj)
+    duration = (F.when(k == 5, F.to_json(F.struct(F.lit("53ms").alias("d"))))
+                .when(et.isin("error", "signup"),
+                      F.to_json(F.struct(F.when(k % 5 == 1, F.lit(12)).otherwise(F.lit(0)).alias("d"))))
+                .when(k % 9 == 0, F.to_json(F.struct(v.cast("string").alias("d"))))
+                .otherwise(F.to_json(F.struct(v.alias("d")))))
+    rest = F.to_json(F.struct(
+        start.alias("start_time"),
+        F.when(et.isin("view", "click"), start).alias("answer_time"),
+        F.concat(F.lit("00:"), F.lpad((k % 60).cast("string"), 2, "0")).alias("queue_time"),
+        F.when(k % 4 == 0, k % 60).otherwise(F.lit(0)).alias("hold_time"),
+        F.when(et == "error", F.lit("No Answer")).when(et == "signup", F.lit("Abandoned"))
+         .when(et == "view", F.lit("Orig: Bye")).when(et == "click", F.lit("Term: Bye")).alias("release_reason"),
+        F.when(k % 7 != 0, F.struct(qid.alias("id"))).alias("call_queue"),
+        F.when((k % 7 == 0) & (k % 14 != 0), F.try_element_at(names, qid))
+         .when(k % 14 == 0, F.lit("Main Line")).alias("queue_label"),
+    ))
+    # splice: {"from":…,"to":…,"duration":…, <rest without its braces>}
+    body = F.concat(F.lit('{"from":'), frm, F.lit(',"to":'), to, F.lit(',"duration":'),
+                    F.regexp_extract(duration, r'^\{"d":(.*)\}$', 1), F.lit(","),
+                    F.expr("substring(_rest, 2)"))
+    return e.withColumn("_rest", rest).select(F.col("event_id").alias("rec_no"), body.alias("value"))
+
+
+def api_records_from_tables(spark: SparkSession, sf_dir: str,
+                            queues: tuple[Queue, ...] = DEFAULT_QUEUES) -> DataFrame:
+    """Landed-record stand-in: ``(rec_no, rec VARIANT)`` parsed from the JSON text (S-3)."""
+    recs = events_to_api_records(read_events(spark, sf_dir), queues)
+    return recs.select("rec_no", F.parse_json("value").alias("rec"))
