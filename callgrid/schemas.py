@@ -35,10 +35,16 @@ QUEUE_DIM_SCHEMA = StructType([
 ])
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def queue_dim(spark: SparkSession, queues: tuple[Queue, ...] = DEFAULT_QUEUES) -> DataFrame:
-    """S-7: the queue dimension; tiny and bounded by configuration, so always broadcast-safe."""
-    rows = [(q.queue_id, q.name, q.language, q.role, i) for i, q in enumerate(queues)]
-    return spark.createDataFrame(rows, QUEUE_DIM_SCHEMA)
+    """S-7: the queue dimension as a JVM-side local relation (no Python scan); it is
+    bounded by configuration, so it is always broadcast-safe."""
+    rows = ", ".join(f"({_sql_text(q.queue_id)}, {_sql_text(q.name)}, {_sql_text(q.language)}, "
+                     f"{_sql_text(q.role)}, {i})" for i, q in enumerate(queues))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(queue_id, queue_name, language, role, queue_pos)")
 
 
 def queue_ids(queues: tuple[Queue, ...] = DEFAULT_QUEUES) -> list[str]:

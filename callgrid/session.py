@@ -69,3 +69,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster can run at once.
+
+    Small inputs stored as one row group (e.g. one parquet file) would otherwise keep all
+    per-row work in a single task. Large inputs already split into many partitions are
+    returned untouched, so this never adds a shuffle at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

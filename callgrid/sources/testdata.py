@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callgrid.schemas import DEFAULT_QUEUES, RAW_LEG_COLUMNS, Queue, queue_dim
-from callgrid.session import table_path
+from callgrid.session import spread, table_path
 
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
@@ -21,7 +21,7 @@ def _mmss(total: Column) -> Column:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, "events")).select(*EVENT_COLUMNS)
+    return spread(spark.read.parquet(table_path(sf_dir, "events")).select(*EVENT_COLUMNS))
 
 
 def events_base(events: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ def lineitem_to_legs(spark: SparkSession, sf_dir: str,
     ``leg_no`` is the full ordering list as a struct, so keep-last is deterministic even
     though ``(l_orderkey, l_linenumber)`` is not unique.
     """
-    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
+    li = spread(spark.read.parquet(table_path(sf_dir, "lineitem")))
     qid = F.element_at(F.array(*[F.lit(q.queue_id) for q in queues]),
                        (F.col("l_suppkey") % len(queues) + 1).cast("int"))
     secs = (F.col("l_quantity") * 7).cast("bigint")
