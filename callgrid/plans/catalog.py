@@ -35,7 +35,7 @@ def register(name: str, sql: str | None = None, *, dates: tuple[str, ...] = ()):
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql if not dates else (
-                "SELECT * REPLACE (" + ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates)
+                "SELECT * REPLACE (" + ", ".join(f"strftime(\"{c}\", '%Y-%m-%d') AS \"{c}\"" for c in dates)
                 + f") FROM ({sql}) AS q")
         return fn
     return deco

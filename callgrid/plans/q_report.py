@@ -1 +1,202 @@
-"""Query family (filled in below)."""
+"""Query family: report-level views and exports.
+
+A-19, A-22, F-21…F-25, SNK-2, SNK-3, SNK-9, U-3.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from callgrid import oracle as O
+from callgrid.operators import anomaly as N
+from callgrid.operators import cross as X
+from callgrid.operators import cube as C
+from callgrid.operators import queue_metrics as M
+from callgrid.operators import report as R
+from callgrid.operators import validate as V
+from callgrid.plans import context as ctx
+from callgrid.plans.catalog import register
+from callgrid.plans.q_core import FUNNEL_SQL, HEADLINE_SQL
+from callgrid.plans.q_rules import (CALLER_RULE_SQL, HOURLY_RULE_SQL, RULE_INPUTS, SINGLE_SQL, SYSTEM_SQL)
+from callgrid.session import table_path
+
+PERIOD_LABEL = "January 2024"
+ANOMALIES_CTE = ",\nanomalies AS (" + "\nUNION ALL\n".join([SYSTEM_SQL, SINGLE_SQL, HOURLY_RULE_SQL, CALLER_RULE_SQL]) + ")"
+GAPS_CTE = """,
+gaps AS (SELECT queue_id FROM {dim} WHERE queue_id NOT IN (SELECT DISTINCT queue_id FROM legs))""".format(dim=O.DIM)
+
+
+def _parts(spark, sf_dir):
+    cur = ctx.curated(spark, sf_dir)
+    cube = C.calls_cube(cur)
+    dim = ctx.dim(spark)
+    head = C.headline(cube, dim)
+    funnel = X.language_funnel(cube, dim)
+    hourly = C.hourly_volume(cube, with_avg=False)
+    anomalies = N.all_anomalies(M.agent_leaderboard(cur), hourly, X.consolidated_callers(cur, ctx.QUEUE_IDS))
+    gaps = V.source_gaps(ctx.legs(spark, sf_dir), dim, "events")
+    return cur, cube, dim, head, funnel, anomalies, gaps
+
+
+SUMMARY_SQL = O.with_curated(HEADLINE_SQL + FUNNEL_SQL + RULE_INPUTS + ANOMALIES_CTE + GAPS_CTE + f""",
+summary AS (
+  SELECT '{PERIOD_LABEL}' AS period_label, (SELECT CAST(sum(total_calls) AS BIGINT) FROM headline) AS total_calls,
+    (SELECT {O.ratio('sum(primary_answered + overflow_answered)', 'sum(primary_calls)')} FROM funnel) AS reached_rate,
+    (SELECT count(*) FROM anomalies) AS anomaly_count, (SELECT count(*) FROM gaps) AS source_gap_count)""")
+
+
+@register("period_summary", SUMMARY_SQL + "\nSELECT * FROM summary")
+def period_summary(spark, sf_dir):
+    """A-19: total calls, reach rate over primary calls, anomaly and gap counts."""
+    cur, cube, dim, head, funnel, anomalies, gaps = _parts(spark, sf_dir)
+    return R.period_summary(head, funnel, anomalies, gaps, ctx.PERIOD_START)
+
+
+def _status_sql(metric: str, value: str) -> str:
+    parts = []
+    for mid, (direction, good, watch) in R.THRESHOLDS.items():
+        op = ">=" if direction == "higher-is-better" else "<="
+        parts.append(f"WHEN {metric} = '{mid}' THEN (CASE WHEN {value} {op} {good} THEN 'good' "
+                     f"WHEN {value} {op} {watch} THEN 'watch' ELSE 'at-risk' END)")
+    return "CASE " + " ".join(parts) + " END"
+
+
+@register("threshold_status", SUMMARY_SQL + f""",
+t AS (
+  SELECT 'language' AS scope, language AS entity, 'reached_an_agent' AS metric_id, effective_answer_rate AS value FROM funnel
+  UNION ALL SELECT 'language', language, 'right_language_routing', routing_match FROM funnel
+  UNION ALL SELECT 'queue', queue_id, 'missed_call_rate', no_agent_rate FROM headline
+  UNION ALL SELECT 'period', period_label, 'reached_an_agent', reached_rate FROM summary)
+SELECT *, {_status_sql('metric_id', 'value')} AS status FROM t""")
+def threshold_status(spark, sf_dir):
+    """F-23: good / watch / at-risk where the report shows a status."""
+    cur, cube, dim, head, funnel, anomalies, gaps = _parts(spark, sf_dir)
+    summary = R.period_summary(head, funnel, anomalies, gaps, ctx.PERIOD_START)
+    return R.threshold_rows(funnel, head, summary)
+
+
+DOW_AVG_CTE = f""",
+dv AS (SELECT queue_id, dow, count(*) AS calls FROM curated GROUP BY 1, 2),
+occ AS (SELECT strftime(d, '%A') AS dow, count(*) AS occurrences
+        FROM (SELECT unnest(generate_series(DATE '{O.PERIOD_START}', DATE '{O.PERIOD_END}', INTERVAL 1 DAY)) AS d)
+        GROUP BY 1),
+dow_avg AS (SELECT dv.queue_id, dv.dow, dv.calls, coalesce(occ.occurrences, 0) AS occurrences,
+       CASE WHEN occ.occurrences > 0 THEN CAST(dv.calls AS DOUBLE) / occ.occurrences END AS avg_calls_per_occurrence
+     FROM dv LEFT JOIN occ USING (dow))"""
+
+
+@register("dow_average", O.with_curated(DOW_AVG_CTE + "\nSELECT * FROM dow_avg"))
+def dow_average(spark, sf_dir):
+    """F-24: weekday calls and average per occurrence of that weekday in the period."""
+    return R.dow_average(C.dow_volume(ctx.cube(spark, sf_dir)), spark, ctx.PERIOD_START, ctx.PERIOD_END)
+
+
+@register("hour_labels", O.with_curated(f"""
+, h AS (SELECT queue_id, hour, avg(CASE WHEN is_handled THEN agent_sec END) AS avg_agent_sec FROM curated GROUP BY 1, 2),
+r AS (SELECT *, CAST(round(avg_agent_sec) AS BIGINT) AS tot FROM h)
+SELECT queue_id, hour, lpad(CAST(hour AS VARCHAR), 2, '0') || ':00' AS hour_label,
+  coalesce(CASE WHEN tot // 60 <= 0 THEN CAST(tot % 60 AS VARCHAR) || 's'
+    ELSE CAST(tot // 60 AS VARCHAR) || 'm ' || lpad(CAST(tot % 60 AS VARCHAR), 2, '0') || 's' END, 'n/a') AS duration_label
+FROM r"""))
+def hour_labels(spark, sf_dir):
+    """F-25: hour and duration labels of the hourly table."""
+    h = C.hourly_volume(ctx.cube(spark, sf_dir))
+    return h.select("queue_id", "hour", R.hour_label(F.col("hour")).alias("hour_label"),
+                    R.duration_label(F.col("avg_agent_sec")).alias("duration_label"))
+
+
+@register("caller_labels", O.with_curated("""
+, cc AS (SELECT caller_number_norm, count(*) AS calls FROM curated
+         WHERE NOT starts_with(caller_number_norm, '__restricted__:') GROUP BY 1),
+d AS (SELECT *, regexp_replace(caller_number_norm, '[^0-9]', '', 'g') AS dg FROM cc),
+t AS (SELECT *, CASE WHEN length(dg) = 11 AND starts_with(dg, '1') THEN substr(dg, 2, 10)
+                     WHEN length(dg) = 10 THEN dg END AS ten FROM d)
+SELECT caller_number_norm, calls, CASE WHEN ten IS NOT NULL THEN '+1 (' || substr(ten, 1, 3) || ') ' ||
+  substr(ten, 4, 3) || '-' || substr(ten, 7, 4) ELSE caller_number_norm END AS phone_label FROM t"""))
+def caller_labels(spark, sf_dir):
+    """F-25: phone labels of every non-restricted caller."""
+    cc = M.caller_counts(ctx.curated(spark, sf_dir)).groupBy("caller_number_norm").agg(F.sum("calls").alias("calls"))
+    return cc.select("caller_number_norm", "calls", R.phone_label(F.col("caller_number_norm")).alias("phone_label"))
+
+
+@register("anomaly_labels", O.with_curated(RULE_INPUTS + ANOMALIES_CTE + """
+SELECT kind, count(*) AS anomalies,
+  CASE kind WHEN 'volume_spike' THEN 'Volume spike' ELSE
+    array_to_string(list_transform(string_split(kind, '_'), lambda w: upper(w[1]) || lower(w[2:])), ' ') END AS kind_label
+FROM anomalies GROUP BY kind"""))
+def anomaly_labels(spark, sf_dir):
+    """F-25: display label per anomaly kind."""
+    cur, cube, dim, head, funnel, anomalies, gaps = _parts(spark, sf_dir)
+    return anomalies.groupBy("kind").agg(F.count(F.lit(1)).alias("anomalies")).withColumn(
+        "kind_label", R.anomaly_kind_label(F.col("kind")))
+
+
+@register("comparative_series", O.with_curated(f"""
+SELECT 'same_hour_no_answer' AS series_name, queue_id, CAST(hour AS VARCHAR) AS bucket, count(call_id) AS calls,
+  count(*) FILTER (WHERE NOT is_handled) AS no_answer_count,
+  {O.ratio('count(*) FILTER (WHERE NOT is_handled)', 'count(call_id)')} AS no_answer_rate
+FROM curated GROUP BY queue_id, hour
+UNION ALL
+SELECT 'same_day_volume', queue_id, strftime(date, '%Y-%m-%d'), count(*), NULL, NULL FROM curated GROUP BY queue_id, date"""
+    .replace("count(*) FILTER (WHERE NOT is_handled) AS no_answer_count",
+             "CAST(count(*) FILTER (WHERE NOT is_handled) AS DOUBLE) AS no_answer_count")))
+def comparative_series(spark, sf_dir):
+    """SNK-9: same-hour and same-day series stacked with a text bucket (the sparse no-answer
+    count is returned as double so missing values compare the same on both engines)."""
+    cube = ctx.cube(spark, sf_dir)
+    out = R.comparative_series(C.hourly_volume(cube, with_avg=False), C.daily_volume(cube))
+    return out.withColumn("no_answer_count", F.col("no_answer_count").cast("double"))
+
+
+@register("period_resolver", """
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS run_date FROM orders),
+p AS (SELECT run_date, CAST(date_trunc('month', run_date - INTERVAL 1 MONTH) AS DATE) AS s FROM d)
+SELECT run_date, s AS start, last_day(s) AS "end", strftime(s, '%B %Y') AS label, strftime(s, '%Y-%m') AS key
+FROM p""", dates=("run_date", "start", "end"))
+def period_resolver(spark, sf_dir):
+    """F-21 / F-22: for every order date as a run date, the previous calendar month and its label/key."""
+    d = spark.read.parquet(table_path(sf_dir, "orders")).select(F.to_date("o_orderdate").alias("run_date")).distinct()
+    start, end = R.previous_month(F.col("run_date"))
+    return d.select("run_date", start.alias("start"), end.alias("end"), R.month_label(start).alias("label"),
+                    R.period_key(start).alias("key"))
+
+
+MANIFEST_SQL = """WITH months AS (
+  SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS s, 'api' AS source FROM orders
+  UNION SELECT DISTINCT CAST(date_trunc('month', ts) AS DATE), 'api' FROM events),
+fresh AS (SELECT DISTINCT CAST(date_trunc('month', ts) AS DATE) AS s, 'csv' AS source FROM events),
+e AS (
+  SELECT strftime(s, '%Y-%m') AS key, strftime(s, '%B %Y') AS label, strftime(s, '%Y-%m-%d') AS start,
+    strftime(last_day(s), '%Y-%m-%d') AS "end",
+    'month_' || strftime(s, '%Y-%m-%d') || '_' || strftime(last_day(s), '%Y-%m-%d') || '/metrics.json' AS path,
+    source, 'success' AS validation_status FROM months),
+n AS (
+  SELECT strftime(s, '%Y-%m') AS key, strftime(s, '%B %Y') AS label, strftime(s, '%Y-%m-%d') AS start,
+    strftime(last_day(s), '%Y-%m-%d') AS "end",
+    'month_' || strftime(s, '%Y-%m-%d') || '_' || strftime(last_day(s), '%Y-%m-%d') || '/metrics.json' AS path,
+    source, 'success' AS validation_status FROM fresh),
+m AS (SELECT * FROM e WHERE key NOT IN (SELECT key FROM n) UNION ALL SELECT * FROM n)
+SELECT *, CAST(row_number() OVER (ORDER BY start DESC, key ASC) AS INTEGER) AS rank FROM m"""
+
+
+@register("manifest_upsert", MANIFEST_SQL)
+def manifest_upsert(spark, sf_dir):
+    """SNK-3: existing month entries (every month of orders and events) upserted with the events
+    month from a new run; newest first."""
+    orders = spark.read.parquet(table_path(sf_dir, "orders")).select(F.col("o_orderdate").alias("ts"))
+    events = spark.read.parquet(table_path(sf_dir, "events")).select("ts")
+    month = lambda df: df.select(F.to_date(F.date_trunc("month", "ts")).alias("s")).distinct()
+    ok = F.lit("success")
+    existing = month(orders.unionByName(events)).select(
+        R.manifest_entry(F.col("s"), F.last_day("s"), F.lit("api"), ok).alias("e")).select("e.*")
+    new = month(events).select(R.manifest_entry(F.col("s"), F.last_day("s"), F.lit("csv"), ok).alias("e")).select("e.*")
+    return R.manifest_upsert(existing, new)
+
+
+@register("report_document")
+def report_document(spark, sf_dir):
+    """SNK-2: one JSON document per queue (sorted keys, nulls kept, non-finite nulled)."""
+    cur = ctx.curated(spark, sf_dir)
+    cube = C.calls_cube(cur)
+    return R.queue_documents(C.headline(cube, ctx.dim(spark)), C.daily_volume(cube), C.hourly_volume(cube),
+                             M.agent_leaderboard(cur), M.top_callers(cur))
