@@ -200,3 +200,60 @@ def report_document(spark, sf_dir):
     cube = C.calls_cube(cur)
     return R.queue_documents(C.headline(cube, ctx.dim(spark)), C.daily_volume(cube), C.hourly_volume(cube),
                              M.agent_leaderboard(cur), M.top_callers(cur))
+
+
+@register("manifest_scan", MANIFEST_SQL.replace(
+    "SELECT *, CAST(row_number() OVER (ORDER BY start DESC, key ASC) AS INTEGER) AS rank FROM m",
+    "SELECT key, label, start, \"end\", '/data/reports/' || path AS path, source, "
+    "CAST(row_number() OVER (ORDER BY start DESC, key ASC) AS INTEGER) AS rank FROM m"))
+def manifest_scan(spark, sf_dir):
+    """S-9: the upserted manifest written as one document and read back (bounded: one entry per month)."""
+    from callgrid.sources.documents import scan_manifest
+    m = manifest_upsert(spark, sf_dir).drop("rank")
+    doc = m.agg(F.to_json(F.struct(F.collect_list(F.struct(*m.columns)).alias("reports"))).alias("value"))
+    return scan_manifest(doc, "/data/reports")
+
+
+@register("report_contract")
+def report_contract(spark, sf_dir):
+    """S-8: shape violations of the per-queue report documents (empty when all are valid)."""
+    from callgrid.sources.documents import shape_violations
+    return shape_violations(report_document(spark, sf_dir))
+
+
+@register("long_export")
+def long_export(spark, sf_dir):
+    """U-3: the long-format export (one row per section, entity and metric)."""
+    from callgrid.operators.cross import consolidated_agents
+    cur, cube, dim, head, funnel, anomalies, gaps = _parts(spark, sf_dir)
+    ids = ctx.QUEUE_IDS
+    lb = M.agent_leaderboard(cur)
+    agents = consolidated_agents(cur, ids)
+    callers = X.consolidated_callers(cur, ids)
+    busiest = C.busiest_quietest_day(cube).withColumnsRenamed(
+        {"busiest_calls": "busiest_day_calls", "quietest_calls": "quietest_day_calls"})
+    tables = {
+        "headline": head, "busiest": busiest, "daily": C.daily_volume(cube), "weekly": C.weekly_volume(cube),
+        "hourly": C.hourly_volume(cube), "dow_avg": R.dow_average(C.dow_volume(cube), spark, ctx.PERIOD_START,
+                                                                   ctx.PERIOD_END),
+        "reasons": M.release_reasons(cur), "leaderboard": lb, "top_callers": M.top_callers(cur),
+        "funnel": funnel, "agents": agents, "agents_long": R.pivot_to_long(agents, "agent_name", ids),
+        "callers": callers, "callers_long": R.pivot_to_long(callers, "caller_number_norm", ids),
+        "same_hour": C.hourly_volume(cube, with_avg=False), "same_day": C.daily_volume(cube),
+        "anomalies": anomalies, "gaps": gaps,
+    }
+    return R.long_export(tables, dim, "month", ctx.PERIOD_START, ctx.PERIOD_END)
+
+
+@register("period_replace_roundtrip")
+def period_replace_roundtrip(spark, sf_dir):
+    """SNK-5…SNK-7: curated calls and headline written as a new version under the shared
+    checkpoint folder, published, and read back through the latest published run."""
+    from callgrid.session import ensure_checkpoint_dir
+    from callgrid.sinks.store import PeriodStore, new_run_id
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/callgrid-store/{new_run_id()}"
+    store = PeriodStore(spark, root)
+    cur = ctx.curated(spark, sf_dir)
+    store.replace({"curated_calls": cur}, ctx.PERIOD_START, ctx.PERIOD_END, "csv")
+    return store.read("curated_calls").groupBy("period_start", "queue_id").agg(
+        F.count(F.lit(1)).alias("calls"), F.count_if(F.col("handled_flag") == "Handled").alias("handled"))
