@@ -43,4 +43,4 @@ def register(name: str, sql: str | None = None, *, dates: tuple[str, ...] = ()):
 
 def load_all() -> None:
     # import for side effects: each module registers its family
-    from callgrid.plans import q_core, q_queue, q_cross, q_rules, q_api, q_report, q_scale, q_ext  # noqa: F401
+    from callgrid.plans import q_core, q_queue, q_cross, q_rules, q_api, q_report, q_scale, q_ext, q_sheet  # noqa: F401
