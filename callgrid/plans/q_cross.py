@@ -130,3 +130,20 @@ FROM curated GROUP BY queue_id, date"""), dates=("date",))
 def daily_no_answer(spark, sf_dir):
     """X-2: daily no-answer next to daily volume."""
     return C.daily_volume(ctx.cube(spark, sf_dir), with_no_answer=True)
+
+
+@register("global_top", O.with_curated(f""", a AS ({AGENTS_SQL}), c AS ({CALLERS_SQL}),
+ta AS (SELECT 'agent' AS kind, agent_name AS name, total_calls FROM a ORDER BY total_calls DESC, agent_name LIMIT 1),
+tc AS (SELECT 'caller' AS kind, caller_number_norm AS name, total_calls FROM c
+       ORDER BY total_calls DESC, caller_number_norm LIMIT 1)
+SELECT * FROM ta UNION ALL SELECT * FROM tc"""))
+def global_top(spark, sf_dir):
+    """O-4: the single busiest agent and caller across queues (total desc, name asc)."""
+    from callgrid.operators.ordering import count_then_name, top_k
+    cur = ctx.curated(spark, sf_dir)
+    a = top_k(X.consolidated_agents(cur, IDS), count_then_name("total_calls", "agent_name"), 1)
+    c = top_k(X.consolidated_callers(cur, IDS), count_then_name("total_calls", "caller_number_norm"), 1)
+    from pyspark.sql import functions as F
+    return (a.select(F.lit("agent").alias("kind"), F.col("agent_name").alias("name"), "total_calls")
+            .unionByName(c.select(F.lit("caller").alias("kind"), F.col("caller_number_norm").alias("name"),
+                                  "total_calls")))

@@ -27,3 +27,17 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     (df.select(*columns).write.mode("overwrite")
      .option("header", True).option("quote", '"').option("escape", '"')
      .option("emptyValue", "").option("nullValue", "").csv(path))
+
+
+def write_inventory_document(inventory: DataFrame, path: str, period_start: str, period_end: str,
+                             validation_status: str = "success") -> None:
+    """SNK-10: the field inventory as one JSON document (sorted paths, count, validation).
+
+    The inventory holds distinct field paths, bounded by the record schema, so gathering
+    it into one document is safe.
+    """
+    doc = inventory.agg(F.sort_array(F.collect_set("path")).alias("fields")).select(
+        F.to_json(F.struct(F.lit(period_start).alias("period_start"), F.lit(period_end).alias("period_end"),
+                           F.size("fields").alias("field_count"), F.col("fields"),
+                           F.lit(validation_status).alias("validation_status"))).alias("value"))
+    doc.coalesce(1).write.mode("overwrite").text(path)

@@ -100,3 +100,27 @@ def test_csv_export_quoting(spark):
     text = "".join(open(f).read() for f in sorted(glob.glob(os.path.join(d, "out", "*.csv"))))
     assert '"a,b","say ""hi""",,3' in text and "x,y,z,0.25" in text
     assert export_file_name("2024-01-01", "2024-01-31") == "queue-analytics-2024-01-01_2024-01-31.csv"
+
+
+def test_run_csv_period_publishes_all_tables(spark):
+    from callgrid.plans.run import run_csv_period
+    root = _tmp()
+    legs = legs_from_tables(spark, SF)
+    res = run_csv_period(spark, legs, "2024-01-01", "2024-01-31", store_root=root)
+    store = PeriodStore(spark, root)
+    n = E.queries()["curated_calls"](spark, SF).count()
+    assert store.read("curated_calls").count() == n
+    assert store.read("queue_hourly_metrics").agg(F.sum("calls")).first()[0] == n
+    assert store.read("anomalies").count() == E.queries()["anomalies_all"](spark, SF).count()
+    assert res.tables["run_validation"].first().answered_plus_no_agent_reconciles
+
+
+def test_run_api_period(spark):
+    from callgrid.plans.run import run_api_period
+    from callgrid.sources.testdata import api_records_from_tables
+    root = _tmp()
+    recs = api_records_from_tables(spark, SF)
+    stats = stats_document_from_legs(legs_from_tables(spark, SF))
+    res = run_api_period(spark, recs, stats, "2024-01-01", "2024-01-31", store_root=root)
+    assert PeriodStore(spark, root).read("curated_calls").count() == E.queries()["api_curated"](spark, SF).count()
+    assert res.tables["api_stats_funnel"].count() == 2
