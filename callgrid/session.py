@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
+    # keep CPU-heavy stages of small local inputs spread over the cores (cluster sessions keep their own)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
 

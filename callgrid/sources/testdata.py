@@ -44,53 +44,48 @@ def _queue_of(k: Column, user_id: Column, queues: tuple[Queue, ...]) -> Column:
 
 def events_to_legs(events: DataFrame, spark: SparkSession,
                    queues: tuple[Queue, ...] = DEFAULT_QUEUES) -> DataFrame:
-    """Raw CSV-style call legs (all text) with lineage columns and a file-order ordinal ``leg_no``."""
-    e = events_base(events)
-    k, uid, et, v = F.col("k"), F.col("user_id"), F.col("event_type"), F.col("v")
-    agent_slot = k % 12
-    overflow_fr = queues[3].queue_id
-    legs = e.select(
-        F.col("event_id").alias("leg_no"),
-        _queue_of(k, uid, queues).alias("queue_id"),
-        F.concat(F.lit("c"), (uid * 1000 + F.dayofyear("ts")).cast("string")).alias("orig_call_id"),
-        F.date_format("ts", "MM/dd/yyyy h:mm a").alias("call_time"),
-        F.when(uid % 13 != 1, F.concat(F.lit("Caller "), uid.cast("string"))).alias("caller_name"),
-        F.when(uid % 13 == 0, F.lit("Restricted"))
-         .when(uid % 13 == 1, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("+1 (613) 555-"), F.lpad(uid.cast("string"), 4, "0"))).alias("caller_number"),
-        F.lit("6135550100").alias("dnis"),
-        F.when(agent_slot != 0, (agent_slot + 100).cast("string")).alias("agent_extension"),
-        F.when(agent_slot == 4, F.lit("613-555-0199")).alias("agent_phone"),
-        F.concat(F.lit("00:"), F.lpad((k % 60).cast("string"), 2, "0")).alias("time_in_queue"),
-        F.when(k == 5, F.lit("53ms"))
-         .when(et.isin("error", "signup"), F.lit("00:00"))
-         .otherwise(_mmss(v)).alias("agent_time"),
-        F.when(k % 4 == 0, F.concat(F.lit("00:"), F.lpad((k % 60).cast("string"), 2, "0")))
-         .otherwise(F.lit("00:00")).alias("hold_time"),
-        k.alias("_k"), agent_slot.alias("_slot"),
-        F.when(et == "error", F.lit("No Answer"))
-         .when(et == "signup", F.lit(" Abandoned "))
-         .when(et == "view", F.lit("Orig: Bye"))
-         .when(et == "click", F.lit("Term: Bye"))
-         .otherwise(F.when(k % 2 == 1, F.lit(""))).alias("queue_release_reason"),
-        F.when(et == "error", F.lit("No Answer"))
-         .when(et == "signup", F.lit("Abandoned"))
-         .when(et == "view", F.lit("Term: Bye"))
-         .when(et == "click", F.lit("Orig: Bye"))
-         .otherwise(F.when(k % 3 == 0, F.lit(" null ")).otherwise(F.lit("Term: 503"))).alias("agent_release_reason"),
+    """Raw CSV-style call legs (all text) with lineage columns and a file-order ordinal ``leg_no``.
+
+    The adapter knows the event timestamp, so it also carries ``_call_dt``, the call time
+    exactly as parsing ``call_time`` would give it (minute precision); the curation reuses
+    it instead of parsing the text again. Built as SQL expressions (one plan node).
+    """
+    by = {(q.language, q.role): q.queue_id for q in queues}
+    qid = (f"CASE WHEN k < 70 THEN (CASE WHEN user_id % 2 = 0 THEN '{by[('English', 'primary')]}' "
+           f"ELSE '{by[('French', 'primary')]}' END) ELSE (CASE WHEN user_id % 2 = 0 "
+           f"THEN '{by[('English', 'overflow')]}' ELSE '{by[('French', 'overflow')]}' END) END")
+    legs = events_base(events).selectExpr(
+        "event_id AS leg_no", f"{qid} AS queue_id", "k", "k % 12 AS slot",
+        "concat('c', CAST(user_id * 1000 + dayofyear(ts) AS STRING)) AS orig_call_id",
+        "date_format(ts, 'MM/dd/yyyy h:mm a') AS call_time",
+        "CAST(date_trunc('MINUTE', ts) AS TIMESTAMP_NTZ) AS _call_dt",
+        "CASE WHEN user_id % 13 <> 1 THEN concat('Caller ', CAST(user_id AS STRING)) END AS caller_name",
+        "CASE WHEN user_id % 13 = 0 THEN 'Restricted' WHEN user_id % 13 = 1 THEN CAST(NULL AS STRING) "
+        "ELSE concat('+1 (613) 555-', lpad(CAST(user_id AS STRING), 4, '0')) END AS caller_number",
+        "'6135550100' AS dnis",
+        "CASE WHEN k % 12 <> 0 THEN CAST(k % 12 + 100 AS STRING) END AS agent_extension",
+        "CASE WHEN k % 12 = 4 THEN '613-555-0199' END AS agent_phone",
+        "concat('00:', lpad(CAST(k % 60 AS STRING), 2, '0')) AS time_in_queue",
+        "CASE WHEN k = 5 THEN '53ms' WHEN event_type IN ('error', 'signup') THEN '00:00' "
+        "ELSE concat(lpad(CAST(v DIV 60 AS STRING), 2, '0'), ':', lpad(CAST(v % 60 AS STRING), 2, '0')) END "
+        "AS agent_time",
+        "CASE WHEN k % 4 = 0 THEN concat('00:', lpad(CAST(k % 60 AS STRING), 2, '0')) ELSE '00:00' END AS hold_time",
+        "CASE WHEN event_type = 'error' THEN 'No Answer' WHEN event_type = 'signup' THEN ' Abandoned ' "
+        "WHEN event_type = 'view' THEN 'Orig: Bye' WHEN event_type = 'click' THEN 'Term: Bye' "
+        "ELSE (CASE WHEN k % 2 = 1 THEN '' END) END AS queue_release_reason",
+        "CASE WHEN event_type = 'error' THEN 'No Answer' WHEN event_type = 'signup' THEN 'Abandoned' "
+        "WHEN event_type = 'view' THEN 'Term: Bye' WHEN event_type = 'click' THEN 'Orig: Bye' "
+        "ELSE (CASE WHEN k % 3 = 0 THEN ' null ' ELSE 'Term: 503' END) END AS agent_release_reason",
     )
-    legs = legs.withColumn(
-        "agent_name",
-        F.when(F.col("_slot") == 0, F.lit(None).cast("string"))
-         .when(F.col("_slot") == 1, F.lit("IVR System"))
-         .when(F.col("_slot") == 2, F.lit(" null "))
-         .when((F.col("queue_id") == overflow_fr) & (F.col("_slot") != 3), F.lit("Agent 7"))
-         .otherwise(F.concat(F.lit("Agent "), F.col("_slot").cast("string"))),
-    ).drop("_k", "_slot")
+    legs = legs.selectExpr(
+        "*", "CASE WHEN slot = 0 THEN CAST(NULL AS STRING) WHEN slot = 1 THEN 'IVR System' "
+        "WHEN slot = 2 THEN ' null ' "
+        f"WHEN queue_id = '{queues[3].queue_id}' AND slot <> 3 THEN 'Agent 7' "
+        "ELSE concat('Agent ', CAST(slot AS STRING)) END AS agent_name",
+        "concat('calls_', queue_id, '_2024-01.csv') AS source_file").drop("k", "slot")
     dim = queue_dim(spark, queues).drop("queue_pos")
-    legs = legs.join(F.broadcast(dim), "queue_id", "inner").withColumn(
-        "source_file", F.concat(F.lit("calls_"), F.col("queue_id"), F.lit("_2024-01.csv")))
-    return legs.select(*RAW_LEG_COLUMNS)
+    legs = legs.join(F.broadcast(dim), "queue_id", "inner")
+    return legs.select(*RAW_LEG_COLUMNS, "_call_dt")
 
 
 def legs_from_tables(spark: SparkSession, sf_dir: str,
@@ -137,11 +132,12 @@ def lineitem_to_legs(spark: SparkSession, sf_dir: str,
         "l_orderkey",
     )
     # file-order stand-in: the full ordering list as one comparable struct (no duplicate full rows)
-    legs = legs.withColumn("leg_no", F.struct(*[F.col(c) for c in LINEITEM_ORDER]))
+    legs = legs.withColumn("leg_no", F.struct(*[F.col(c) for c in LINEITEM_ORDER])).withColumn(
+        "_call_dt", F.date_trunc("MINUTE", "l_shipdate").cast("timestamp_ntz"))
     dim = queue_dim(spark, queues).drop("queue_pos")
     legs = legs.join(F.broadcast(dim), "queue_id").withColumn(
         "source_file", F.concat(F.lit("lineitem_"), F.col("queue_id"), F.lit(".csv")))
-    return legs.select(*RAW_LEG_COLUMNS)
+    return legs.select(*RAW_LEG_COLUMNS, "_call_dt")
 
 
 # --- events as nested API records (JSON Lines) -----------------------------------------
