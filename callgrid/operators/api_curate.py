@@ -102,9 +102,20 @@ class FieldPresence:
 
 
 def field_presence(records: DataFrame, rec: str = "rec") -> FieldPresence:
-    """P-11 gate (one driver-side aggregate): which key fields exist in any record."""
-    row = records.agg(*[F.max(sub(rec, p).isNotNull()).alias(a) for p, a in
-                        ((CALL_ID_FIELD, "c"), (START_TIME_FIELD, "s"), (SORT_FIELD, "o"))]).first()
+    """P-11 gate: which key fields exist in any record.
+
+    The usual answer (all three exist) is found by the first matching record, so the
+    first probe stops early (``limit(1)``); only when no record has all three does one
+    aggregate pass compute each flag.
+    """
+    paths = (CALL_ID_FIELD, START_TIME_FIELD, SORT_FIELD)
+    every = None
+    for p in paths:
+        c = sub(rec, p).isNotNull()
+        every = c if every is None else (every & c)
+    if records.filter(every).limit(1).count() > 0:
+        return FieldPresence(True, True, True)
+    row = records.agg(*[F.max(sub(rec, p).isNotNull()).alias(a) for p, a in zip(paths, ("c", "s", "o"))]).first()
     return FieldPresence(bool(row["c"]), bool(row["s"]), bool(row["o"]))
 
 

@@ -69,20 +69,19 @@ def release_reasons(curated: DataFrame) -> DataFrame:
 def agent_leaderboard(curated: DataFrame) -> DataFrame:
     """A-9 + W-3: handled calls with a valid agent name per (queue, agent).
 
-    ``pct_of_answered`` divides by the sum of leaderboard calls of the queue (T11); the
-    per-queue totals are an aggregate joined back (one row per queue), not an unbounded
-    window over the queue's agents.
+    ``pct_of_answered`` divides by the sum of leaderboard calls of the queue (T11). Both the
+    share and the rank are windows over the *aggregated* agent rows of a queue (bounded by
+    the agent roster) and share one exchange; a separate totals aggregate joined back
+    would make Spark scan and deduplicate the calls a second time.
     """
     c = with_handled(curated)
     lb = (c.filter(F.col("is_handled") & valid_agent_name("agent_name"))
           .groupBy("queue_id", "agent_name")
           .agg(F.count("call_id").alias("calls"), F.avg("agent_sec").alias("avg_sec"),
                F.median("agent_sec").alias("median_sec"), F.sum("agent_sec").alias("total_sec")))
-    totals = lb.groupBy("queue_id").agg(F.sum("calls").alias("_queue_calls"))
-    w = Window.partitionBy("queue_id").orderBy(F.desc("calls"), F.asc("agent_name"))
-    return (lb.join(totals, "queue_id")
-            .withColumn("pct_of_answered", F.col("calls") / F.col("_queue_calls"))
-            .drop("_queue_calls")
+    by_q = Window.partitionBy("queue_id")
+    w = by_q.orderBy(F.desc("calls"), F.asc("agent_name"))
+    return (lb.withColumn("pct_of_answered", F.col("calls") / F.sum("calls").over(by_q))
             .withColumn("rank", F.row_number().over(w)))
 
 

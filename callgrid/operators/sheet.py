@@ -147,8 +147,7 @@ def sheet_leaderboard(curated: DataFrame) -> DataFrame:
     lb = h.groupBy("queue_id", "agent_name").agg(
         F.count(F.lit(1)).alias("calls"), F.avg("agent_sec").alias("avg_sec"),
         F.median("agent_sec").alias("median_sec"), F.sum("agent_sec").alias("total_sec"))
-    tot = lb.groupBy("queue_id").agg(F.sum("calls").alias("_t"))
-    return lb.join(tot, "queue_id").withColumn("pct_of_answered", F.col("calls") / F.col("_t")).drop("_t")
+    return lb.withColumn("pct_of_answered", F.col("calls") / F.sum("calls").over(Window.partitionBy("queue_id")))
 
 
 def supplied_override(computed: DataFrame, supplied: DataFrame | None, keys: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ derives call legs from them, so its work grows with the tables.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from callgrid.operators.cube import calls_cube
@@ -37,3 +38,18 @@ def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim(spark: SparkSession) -> DataFrame:
     return queue_dim(spark, DEFAULT_QUEUES)
+
+
+def curated_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated calls persisted for queries that derive several tables from them.
+
+    Without it every branch would rebuild (and re-shuffle) the calls: column pruning gives
+    each branch a different subtree, so Spark cannot reuse the dedup exchange. A lost
+    executor's blocks are recomputed from lineage.
+    """
+    return curated(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def cube_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The additive cube of the shared curated calls, persisted (queues x days x 24 rows at most)."""
+    return calls_cube(curated_shared(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)

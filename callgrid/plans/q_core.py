@@ -236,5 +236,5 @@ def flagship_from(cube, dim):
 
 @register("flagship", FLAGSHIP_SQL)
 def flagship(spark, sf_dir):
-    cube = ctx.cube(spark, sf_dir)
+    cube = ctx.cube_shared(spark, sf_dir)
     return flagship_from(cube, ctx.dim(spark))

@@ -140,7 +140,7 @@ SELECT * FROM ta UNION ALL SELECT * FROM tc"""))
 def global_top(spark, sf_dir):
     """O-4: the single busiest agent and caller across queues (total desc, name asc)."""
     from callgrid.operators.ordering import count_then_name, top_k
-    cur = ctx.curated(spark, sf_dir)
+    cur = ctx.curated_shared(spark, sf_dir)
     a = top_k(X.consolidated_agents(cur, IDS), count_then_name("total_calls", "agent_name"), 1)
     c = top_k(X.consolidated_callers(cur, IDS), count_then_name("total_calls", "caller_number_norm"), 1)
     from pyspark.sql import functions as F

@@ -102,8 +102,8 @@ LEFT JOIN (SELECT * FROM leaderboard WHERE rank = 1) a USING (queue_id)
 LEFT JOIN (SELECT * FROM topc WHERE rank = 1) c USING (queue_id)"""))
 def queue_summary(spark, sf_dir):
     """A-20 / W-5: the queue card."""
-    cur = ctx.curated(spark, sf_dir)
-    cube = C.calls_cube(cur)
+    cur = ctx.curated_shared(spark, sf_dir)
+    cube = ctx.cube_shared(spark, sf_dir)
     return M.queue_summary(C.headline(cube, ctx.dim(spark)), C.hourly_volume(cube, with_avg=False),
                            M.agent_leaderboard(cur), M.top_callers(cur, 1))
 

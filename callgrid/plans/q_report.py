@@ -27,14 +27,14 @@ gaps AS (SELECT queue_id FROM {dim} WHERE queue_id NOT IN (SELECT DISTINCT queue
 
 
 def _parts(spark, sf_dir):
-    cur = ctx.curated(spark, sf_dir)
-    cube = C.calls_cube(cur)
+    cur = ctx.curated_shared(spark, sf_dir)
+    cube = ctx.cube_shared(spark, sf_dir)
     dim = ctx.dim(spark)
     head = C.headline(cube, dim)
     funnel = X.language_funnel(cube, dim)
     hourly = C.hourly_volume(cube, with_avg=False)
     anomalies = N.all_anomalies(M.agent_leaderboard(cur), hourly, X.consolidated_callers(cur, ctx.QUEUE_IDS))
-    gaps = V.source_gaps(ctx.legs(spark, sf_dir), dim, "events")
+    gaps = V.source_gaps(ctx.legs(spark, sf_dir).select("queue_id"), dim, "events")
     return cur, cube, dim, head, funnel, anomalies, gaps
 
 
@@ -196,8 +196,8 @@ def manifest_upsert(spark, sf_dir):
 @register("report_document")
 def report_document(spark, sf_dir):
     """SNK-2: one JSON document per queue (sorted keys, nulls kept, non-finite nulled)."""
-    cur = ctx.curated(spark, sf_dir)
-    cube = C.calls_cube(cur)
+    cur = ctx.curated_shared(spark, sf_dir)
+    cube = ctx.cube_shared(spark, sf_dir)
     return R.queue_documents(C.headline(cube, ctx.dim(spark)), C.daily_volume(cube), C.hourly_volume(cube),
                              M.agent_leaderboard(cur), M.top_callers(cur))
 

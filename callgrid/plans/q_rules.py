@@ -54,8 +54,8 @@ FROM callers WHERE caller_number_norm IS NOT NULL AND caller_number_norm <> '' A
 
 
 def _inputs(spark, sf_dir):
-    cur = ctx.curated(spark, sf_dir)
-    return (M.agent_leaderboard(cur), C.hourly_volume(C.calls_cube(cur), with_avg=False),
+    cur = ctx.curated_shared(spark, sf_dir)
+    return (M.agent_leaderboard(cur), C.hourly_volume(ctx.cube_shared(spark, sf_dir), with_avg=False),
             consolidated_callers(cur, ctx.QUEUE_IDS))
 
 
