@@ -40,27 +40,35 @@ def is_number(rec: str | Column, path: str) -> Column:
                       | t.startswith("DECIMAL"), F.lit(False))
 
 
+def leaves(rec: str | Column, max_depth: int = 5) -> Column:
+    """F-12 as a row-local expression: ``array<struct<path, value>>`` of every leaf.
+
+    Each level replaces object entries by their children (``transform`` + ``flatten``);
+    arrays and nulls are leaves, empty objects vanish. No shuffle, no join: the work stays
+    with the record. A record still nested at the bound fails the job.
+    """
+    r = F.col(rec) if isinstance(rec, str) else rec
+
+    def entries(v: Column, prefix: Column | None) -> Column:
+        m = F.map_entries(F.try_variant_get(v, "$", OBJECT_MAP))
+        return F.transform(m, lambda e: F.struct(
+            (e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])).alias("path"),
+            e["value"].alias("value")))
+
+    arr = F.coalesce(entries(r, None), F.array().cast("array<struct<path:string,value:variant>>"))
+    for _ in range(max_depth - 1):
+        arr = F.flatten(F.transform(arr, lambda x: F.when(is_object(x["value"]), entries(x["value"], x["path"]))
+                                    .otherwise(F.array(x))))
+    deep = F.exists(arr, lambda x: is_object(x["value"]))
+    return F.when(deep, F.raise_error(F.lit(f"record nesting deeper than {max_depth} levels"))).otherwise(arr)
+
+
 def flatten_paths(df: DataFrame, id_cols: Sequence[str], rec: str = "rec", max_depth: int = 5) -> DataFrame:
     """F-12: one row per leaf ``(ids…, path, value)``; ``value`` stays VARIANT.
 
     VARIANT keeps object keys sorted, so "record order" of fields is path order.
     """
-    ids = list(id_cols)
-    cur = df.select(*ids, F.explode(F.try_variant_get(F.col(rec), "$", OBJECT_MAP)).alias("path", "value"))
-    for _ in range(max_depth - 1):
-        # objects are replaced by their children, leaves pass through (explode_outer of null),
-        # empty objects vanish (they have no leaf)
-        m = F.when(is_object(F.col("value")), F.try_variant_get(F.col("value"), "$", OBJECT_MAP))
-        cur = (cur.withColumn("_m", m)
-               .filter(F.coalesce(F.size("_m"), F.lit(-1)) != 0)
-               .select(*ids, "path", "value", F.explode_outer("_m").alias("_k", "_v")))
-        leaf = F.col("_k").isNull()
-        cur = cur.select(*ids,
-                         F.when(leaf, F.col("path")).otherwise(F.concat("path", F.lit("."), "_k")).alias("path"),
-                         F.when(leaf, F.col("value")).otherwise(F.col("_v")).alias("value"))
-    left = is_object(F.col("value"))
-    return cur.withColumn("path", F.when(left, F.raise_error(
-        F.lit(f"record nesting deeper than {max_depth} levels"))).otherwise(F.col("path")))
+    return df.select(*id_cols, F.inline(leaves(rec, max_depth)))
 
 
 def leaf_text(value: str | Column = "value") -> Column:

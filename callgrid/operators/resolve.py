@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callgrid.functions.exprs import clean_text, ws_trim
-from callgrid.operators.flatten import flatten_paths, leaf_text, scalar_text
+from callgrid.operators.flatten import leaves, scalar_text
 from callgrid.schemas import Queue
 
 # Candidate paths that may carry the queue, in priority order.
@@ -64,22 +64,26 @@ def with_exact_queue(records: DataFrame, queues: tuple[Queue, ...], rec: str = "
     return staged.withColumn(out, F.coalesce(*[match_exact(F.col(n), queues) for n in names])).drop(*names)
 
 
+def fallback_expr(rec: str | Column, queues: tuple[Queue, ...]) -> Column:
+    """J-2 as a row-local expression: the first field (path order) whose path contains
+    "queue" and whose value names a tracked queue."""
+    cand = F.filter(F.transform(leaves(rec), lambda x: F.struct(
+        x["path"].alias("path"), match_loose(clean_text(F.try_variant_get(x["value"], "$", "string")), queues)
+        .alias("qid"))), lambda c: F.lower(c["path"]).contains("queue") & c["qid"].isNotNull())
+    return F.array_min(cand)["qid"]
+
+
 def resolve_fallback(unresolved: DataFrame, queues: tuple[Queue, ...], id_col: str = "rec_no",
                      rec: str = "rec") -> DataFrame:
-    """J-2: ``(id, queue_id)`` for records resolved through any field whose path contains
-    "queue"; the first such field in path order wins."""
-    leaves = flatten_paths(unresolved.select(id_col, rec), [id_col], rec)
-    cand = (leaves.filter(F.lower("path").contains("queue"))
-            .select(id_col, "path", match_loose(clean_text(leaf_text("value")), queues).alias("qid"))
-            .filter(F.col("qid").isNotNull()))
-    return cand.groupBy(id_col).agg(F.min_by("qid", F.col("path")).alias("fallback_queue_id"))
+    """J-2: ``(id, fallback_queue_id)`` for the records it resolves."""
+    return (unresolved.select(id_col, fallback_expr(rec, queues).alias("fallback_queue_id"))
+            .filter(F.col("fallback_queue_id").isNotNull()))
 
 
 def resolve_queues(records: DataFrame, queues: tuple[Queue, ...], id_col: str = "rec_no",
                    rec: str = "rec") -> DataFrame:
-    """J-1 then J-2; adds ``queue_id`` (null when nothing matched)."""
+    """J-1 then J-2 (only for rows J-1 left open); adds ``queue_id`` (null when nothing
+    matched). Both steps are expressions over the record: no shuffle, no join."""
     r = with_exact_queue(records, queues, rec)
-    fb = resolve_fallback(r.filter(F.col("_q1").isNull()), queues, id_col, rec)
-    return (r.join(fb, id_col, "left")
-            .withColumn("queue_id", F.coalesce("_q1", "fallback_queue_id"))
-            .drop("_q1", "fallback_queue_id"))
+    return (r.withColumn("queue_id", F.coalesce(F.col("_q1"), F.when(F.col("_q1").isNull(), fallback_expr(rec, queues))))
+            .drop("_q1"))
