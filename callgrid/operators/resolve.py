@@ -66,11 +66,20 @@ def with_exact_queue(records: DataFrame, queues: tuple[Queue, ...], rec: str = "
 
 def fallback_expr(rec: str | Column, queues: tuple[Queue, ...]) -> Column:
     """J-2 as a row-local expression: the first field (path order) whose path contains
-    "queue" and whose value names a tracked queue."""
-    cand = F.filter(F.transform(leaves(rec), lambda x: F.struct(
-        x["path"].alias("path"), match_loose(clean_text(F.try_variant_get(x["value"], "$", "string")), queues)
-        .alias("qid"))), lambda c: F.lower(c["path"]).contains("queue") & c["qid"].isNotNull())
-    return F.array_min(cand)["qid"]
+    "queue" and whose value names a tracked queue.
+
+    Each leaf's text is extracted once, non-queue paths are dropped before any matching.
+    """
+    texts = F.filter(F.transform(leaves(rec), lambda x: F.struct(
+        x["path"].alias("path"), F.try_variant_get(x["value"], "$", "string").alias("t"))),
+        lambda c: F.lower(c["path"]).contains("queue"))
+    trimmed = F.transform(texts, lambda c: F.struct(c["path"].alias("path"), ws_trim(c["t"]).alias("t")))
+    cleaned = F.transform(trimmed, lambda c: F.struct(c["path"].alias("path"), F.when(
+        (c["t"] != "") & (F.lower(c["t"]) != "null"), c["t"]).alias("t")))
+    matched = F.filter(F.transform(cleaned, lambda c: F.struct(c["path"].alias("path"),
+                                                               match_loose(c["t"], queues).alias("qid"))),
+                       lambda c: c["qid"].isNotNull())
+    return F.array_min(matched)["qid"]
 
 
 def resolve_fallback(unresolved: DataFrame, queues: tuple[Queue, ...], id_col: str = "rec_no",
