@@ -170,14 +170,16 @@ def comparative_series(same_hour: DataFrame, same_day: DataFrame) -> DataFrame:
 
 # --- long-format export (U-3) -----------------------------------------------------------
 
-def _long(df: DataFrame, section: str, entity_type: str, metrics: Sequence[str], *, queue: str | None = "queue_id",
+def _long(df: DataFrame, section: str, entity_type: str | Column, metrics: Sequence[str], *,
+          queue: str | None = "queue_id",
           entity: Column | None = None, date: Column | None = None, hour: Column | None = None,
           dow: Column | None = None, details: Column | None = None, text_metrics: Sequence[str] = ()) -> DataFrame:
     """Unpivot ``metrics`` of one grain into export rows (numbers in value_num, text in value_text)."""
     e = F.lit("")
     base = df.select(
         (F.col(queue) if queue else F.lit(None).cast("string")).alias("queue_id"),
-        F.lit(section).alias("section"), F.lit(entity_type).alias("entity_type"),
+        F.lit(section).alias("section"),
+        (F.lit(entity_type) if isinstance(entity_type, str) else entity_type).alias("entity_type"),
         (entity if entity is not None else e).alias("entity"),
         (date if date is not None else e).alias("date"),
         (hour if hour is not None else e).alias("hour"),
@@ -239,9 +241,9 @@ def long_export(tables: dict[str, DataFrame], dim: DataFrame, period: str, start
         _long(t["same_hour"], "crossqueue_same_hour_no_answer", "hour", ["calls", "no_answer_count", "no_answer_rate"],
               entity=hl, hour=F.col("hour").cast("string")),
         _long(t["same_day"], "crossqueue_same_day_volume", "date", ["calls"], entity=d, date=d),
-        _long(t["anomalies"].withColumn("severity_text", F.col("severity")), "anomalies", "anomaly", ["severity_text"],
-              entity=F.col("target_json"), details=F.col("description"), text_metrics=("severity_text",))
-        .withColumn("entity_type", F.lit("anomaly")),
+        _long(t["anomalies"].withColumn("severity_text", F.col("severity")), "anomalies", F.col("kind"),
+              ["severity_text"], entity=F.col("target_json"), details=F.col("description"),
+              text_metrics=("severity_text",)),
         _long(t["gaps"].withColumn("message_text", F.col("message")), "source_gaps", "source_gap", ["message_text"],
               text_metrics=("message_text",)),
     ]

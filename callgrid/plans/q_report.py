@@ -221,7 +221,96 @@ def report_contract(spark, sf_dir):
     return shape_violations(report_document(spark, sf_dir))
 
 
-@register("long_export")
+def _long_sql() -> str:
+    from callgrid.plans.q_cross import AGENTS_SQL, CALLERS_SQL
+    from callgrid.plans.q_queue import TOP_CALLERS_CTE
+    from callgrid.plans.q_core import HOURLY_SQL
+    ids = ctx.QUEUE_IDS
+    e = "''"
+
+    def row(section, etype, metric, num="NULL", text="NULL", queue="queue_id", entity=e, date=e, hour=e, dow=e,
+            details=e, src="x"):
+        return (f"SELECT {queue} AS qid, '{section}' AS section, {etype} AS entity_type, {entity} AS entity, "
+                f"{date} AS date, {hour} AS hour, {dow} AS dow, '{metric}' AS metric, "
+                f"CAST({num} AS DOUBLE) AS value_num, CAST({text} AS VARCHAR) AS value_text, {details} AS details "
+                f"FROM {src}")
+
+    d = "strftime(date, '%Y-%m-%d')"
+    hl = "lpad(CAST(hour AS VARCHAR), 2, '0') || ':00'"
+    parts = []
+    for m in ("total_calls", "handled_calls", "answer_rate", "no_agent_calls", "no_agent_rate", "days_with_calls",
+              "avg_calls_per_active_day"):
+        parts.append(row("queue_summary", "'queue'", m, num=m, src="headline"))
+    parts.append(row("queue_summary", "'queue'", "busiest_day_calls", num="busiest_calls",
+                     date="strftime(busiest_date, '%Y-%m-%d')", src="bq"))
+    parts.append(row("queue_summary", "'queue'", "quietest_day_calls", num="quietest_calls",
+                     date="strftime(quietest_date, '%Y-%m-%d')", src="bq"))
+    parts.append(row("queue_daily_volume", "'date'", "calls", num="calls", entity=d, date=d, src="daily"))
+    parts.append(row("queue_weekly_volume", "'week'", "calls", num="calls",
+                     entity="strftime(week_start, '%Y-%m-%d') || ' to ' || strftime(week_end, '%Y-%m-%d')",
+                     src="weekly"))
+    for m in ("calls", "no_answer_count", "no_answer_rate", "avg_agent_sec"):
+        parts.append(row("queue_hourly_volume", "'hour'", m, num=m, entity=hl, hour="CAST(hour AS VARCHAR)",
+                         src="hourly_q"))
+    for m in ("calls", "avg_calls_per_occurrence"):
+        parts.append(row("queue_dow_volume", "'day_of_week'", m, num=m, entity="dow", dow="dow", src="dow_avg"))
+    parts.append(row("queue_release_reasons", "'queue_reason'", "calls", num="calls", entity="reason",
+                     src="(SELECT * FROM reasons WHERE reason_type = 'queue')"))
+    parts.append(row("agent_release_reasons", "'agent_reason'", "calls", num="calls", entity="reason",
+                     src="(SELECT * FROM reasons WHERE reason_type = 'agent')"))
+    for m in ("calls", "avg_sec", "median_sec", "total_sec", "pct_of_answered"):
+        parts.append(row("queue_agent_leaderboard", "'agent'", m, num=m, entity="agent_name", src="leaderboard"))
+    parts.append(row("queue_top_callers", "'caller'", "calls", num="calls", entity="caller_number_norm", src="topc"))
+    for m in ("primary_calls", "primary_answered", "primary_failed", "primary_no_agent_calls", "primary_no_agent_rate",
+              "overflow_received", "routing_match", "overflow_answered", "overflow_failed", "lost", "lost_rate",
+              "effective_answer_rate", "unaccounted", "final_dropped_calls"):
+        parts.append(row("crossqueue_funnel", "'language'", m, num=m, queue="NULL", entity="language", src="funnel"))
+    for m in ("final_dropped_available", "drop_definition"):
+        parts.append(row("crossqueue_funnel", "'language'", m, text=m, queue="NULL", entity="language", src="funnel"))
+    parts.append(row("crossqueue_agents", "'agent'", "total_calls", num="total_calls", queue="NULL",
+                     entity="agent_name", src="agents"))
+    parts.append(row("crossqueue_agents", "'agent'", "queue_calls", num="queue_calls", queue="q",
+                     entity="agent_name", src="agents_long"))
+    parts.append(row("crossqueue_callers", "'caller'", "total_calls", num="total_calls", queue="NULL",
+                     entity="caller_number_norm", src="callers"))
+    parts.append(row("crossqueue_callers", "'caller'", "queue_calls", num="queue_calls", queue="q",
+                     entity="caller_number_norm", src="callers_long"))
+    for m in ("calls", "no_answer_count", "no_answer_rate"):
+        parts.append(row("crossqueue_same_hour_no_answer", "'hour'", m, num=m, entity=hl,
+                         hour="CAST(hour AS VARCHAR)", src="hourly"))
+    parts.append(row("crossqueue_same_day_volume", "'date'", "calls", num="calls", entity=d, date=d, src="daily"))
+    parts.append(row("anomalies", "kind", "severity", text="severity", entity="target_json", details="description",
+                     src="anomalies"))
+    parts.append(row("source_gaps", "'source_gap'", "message", text="'No CSV found for queue ' || queue_id || ' in events'",
+                     src="gaps"))
+    unpivot = lambda src, key: " UNION ALL ".join(
+        f"SELECT {key}, '{q}' AS q, \"{q}\" AS queue_calls FROM {src}" for q in ids)
+    ctes = (HEADLINE_SQL + FUNNEL_SQL + RULE_INPUTS + ANOMALIES_CTE + GAPS_CTE + DOW_AVG_CTE + TOP_CALLERS_CTE + f""",
+bq AS (SELECT queue_id, arg_max(date, calls * 100000 - (date - DATE '1970-01-01')) AS busiest_date, max(calls) AS busiest_calls,
+  arg_min(date, calls * 100000 + (date - DATE '1970-01-01')) AS quietest_date, min(calls) AS quietest_calls
+  FROM (SELECT queue_id, date, count(*) AS calls FROM curated GROUP BY 1, 2) GROUP BY queue_id),
+daily AS (SELECT queue_id, date, count(*) AS calls FROM curated GROUP BY 1, 2),
+weekly AS (SELECT queue_id, CAST(date_trunc('week', date) AS DATE) AS week_start,
+  CAST(date_trunc('week', date) AS DATE) + 6 AS week_end, count(*) AS calls FROM curated GROUP BY 1, 2),
+hourly_q AS ({HOURLY_SQL}),
+reasons AS (
+  SELECT queue_id, reason_type, {O.trim_ws('raw')} AS reason, count(*) AS calls
+  FROM (SELECT queue_id, 'queue' AS reason_type, queue_release_reason AS raw FROM curated
+        UNION ALL SELECT queue_id, 'agent', agent_release_reason FROM curated)
+  WHERE raw IS NOT NULL AND {O.trim_ws('raw')} <> '' AND lower({O.trim_ws('raw')}) <> 'null' GROUP BY 1, 2, 3),
+agents AS ({AGENTS_SQL}),
+agents_long AS ({unpivot('agents', 'agent_name')}),
+callers_long AS ({unpivot('callers', 'caller_number_norm')}),
+rows AS ({' UNION ALL '.join(parts)})""")
+    return O.with_curated(ctes + f"""
+SELECT 'month' AS period, '{O.PERIOD_START}' AS date_start, '{O.PERIOD_END}' AS date_end, r.section,
+  coalesce(r.qid, '') AS queue_id, coalesce(d.queue_name, '') AS queue_name, coalesce(d.language, '') AS language,
+  coalesce(d.role, '') AS role, r.entity_type, coalesce(r.entity, '') AS entity, r.date, r.hour, r.dow, r.metric,
+  r.value_num, r.value_text, r.details
+FROM rows r LEFT JOIN {O.DIM} d ON d.queue_id = r.qid""")
+
+
+@register("long_export", _long_sql())
 def long_export(spark, sf_dir):
     """U-3: the long-format export (one row per section, entity and metric)."""
     from callgrid.operators.cross import consolidated_agents
