@@ -56,7 +56,24 @@ def period_presets(spark, sf_dir):
     return d.select("run_date", F.inline(presets))
 
 
-@register("field_drift")
+def _drift_sql() -> str:
+    half = ctx.HALF_END
+    conds = [("from.call_id", "true"), ("from.name", "true"), ("from.number", "user_id % 13 <> 1"),
+             ("to.call_id", "k % 10 <> 0"), ("to.user", "k % 3 = 0 AND k % 12 <> 0"),
+             ("to.user.name", "k % 3 <> 0 AND k % 12 <> 0"), ("to.user.extension", "k % 3 <> 0 AND k % 12 <> 0"),
+             ("duration", "true"), ("start_time", "true"), ("queue_time", "true"), ("hold_time", "true"),
+             ("answer_time", "event_type IN ('view', 'click')"), ("release_reason", "event_type <> 'purchase'"),
+             ("call_queue.id", "k % 7 <> 0"), ("queue_label", "k % 7 = 0")]
+    body = " UNION ".join(
+        f"SELECT '{p}' AS path, CAST(ts AS DATE) <= DATE '{half}' AS first FROM ev WHERE {c}" for p, c in conds)
+    return f"""WITH {O.LEGS.split('legs0 AS')[0].rstrip().rstrip(',')},
+p AS ({body}),
+f AS (SELECT DISTINCT path FROM p WHERE first), s AS (SELECT DISTINCT path FROM p WHERE NOT first)
+SELECT path, 'first_half' AS only_in FROM f WHERE path NOT IN (SELECT path FROM s)
+UNION ALL SELECT path, 'second_half' FROM s WHERE path NOT IN (SELECT path FROM f)"""
+
+
+@register("field_drift", _drift_sql())
 def field_drift(spark, sf_dir):
     """X-3: paths present in one half of the period's records but not the other (both ways)."""
     recs = api_records_from_tables(spark, sf_dir)
@@ -67,7 +84,17 @@ def field_drift(spark, sf_dir):
             .unionByName(second.exceptAll(first).withColumn("only_in", F.lit("second_half"))))
 
 
-@register("hybrid_curated")
+def _hybrid_sql() -> str:
+    from callgrid.plans.q_api import API_CURATED_CTES
+    head = API_CURATED_CTES.index("api0 AS (")
+    api_part = API_CURATED_CTES[head:].replace("deduped", "api_deduped").replace("in_period", "api_in_period")
+    return O.curated_ctes() + ",\n" + api_part + """,
+merged AS (SELECT queue_id, call_id, 1 AS prio FROM api_curated UNION ALL SELECT queue_id, call_id, 2 FROM curated),
+pick AS (SELECT queue_id, call_id, min(prio) AS prio FROM merged GROUP BY 1, 2)
+SELECT queue_id, CASE WHEN prio = 1 THEN 'api' ELSE 'csv' END AS source, count(*) AS calls FROM pick GROUP BY 1, 2"""
+
+
+@register("hybrid_curated", _hybrid_sql())
 def hybrid_curated(spark, sf_dir):
     """X-4: CSV and API curated calls together, one row per (queue, call id); the API row wins."""
     csv = ctx.curated(spark, sf_dir).withColumn("_prio", F.lit(2))

@@ -334,7 +334,9 @@ def long_export(spark, sf_dir):
     return R.long_export(tables, dim, "month", ctx.PERIOD_START, ctx.PERIOD_END)
 
 
-@register("period_replace_roundtrip")
+@register("period_replace_roundtrip", O.with_curated("""
+SELECT '2024-01-01' AS period_start, queue_id, count(*) AS calls,
+  count(*) FILTER (WHERE handled_flag = 'Handled') AS handled FROM curated GROUP BY queue_id"""))
 def period_replace_roundtrip(spark, sf_dir):
     """SNK-5…SNK-7: curated calls and headline written as a new version under the shared
     checkpoint folder, published, and read back through the latest published run."""

@@ -148,7 +148,21 @@ def sheet_consolidated_agents(spark, sf_dir):
     return S.consolidated_from_leaderboards(S.sheet_leaderboard(sheet_calls(spark, sf_dir)), ctx.QUEUE_IDS)
 
 
-@register("supplied_summary_override")
+@register("supplied_summary_override", SHEET_CTE + """
+, lb AS (
+  SELECT queue_id, agent_name, count(call_id) AS calls, avg(agent_sec) AS avg_sec,
+    quantile_cont(agent_sec, 0.5) AS median_sec, sum(agent_sec) AS total_sec
+  FROM curated WHERE is_handled AND coalesce(""" + O.has_value('agent_name') + """, false)
+  GROUP BY queue_id, agent_name),
+supplied AS (SELECT *, CAST(calls AS DOUBLE) / sum(calls) OVER (PARTITION BY queue_id) AS pct_of_answered,
+  'supplied' AS source FROM lb WHERE queue_id IN ('8020', '8021')),
+slb AS (SELECT queue_id, agent_name, count(*) AS calls, avg(agent_sec) AS avg_sec,
+    quantile_cont(agent_sec, 0.5) AS median_sec, sum(agent_sec) AS total_sec
+  FROM sheet WHERE is_handled AND agent_name IS NOT NULL GROUP BY 1, 2),
+computed AS (SELECT *, CAST(calls AS DOUBLE) / sum(calls) OVER (PARTITION BY queue_id) AS pct_of_answered,
+  'computed' AS source FROM slb)
+SELECT * FROM computed WHERE queue_id NOT IN (SELECT DISTINCT queue_id FROM supplied)
+UNION ALL SELECT * FROM supplied""")
 def supplied_summary_override(spark, sf_dir):
     """A-26: a supplied leaderboard (here: the CSV-path leaderboard of the primary queues)
     replaces the computed sheet leaderboard for the queues it covers."""
