@@ -70,14 +70,23 @@ def ws_trim(col: str | Column) -> Column:
     return F.regexp_replace(col.cast("string"), _WS_EDGES, "")
 
 
+def _has_value_sql(x: str) -> str:
+    t = _ws_sql(x)
+    return f"({x} IS NOT NULL AND {t} <> '' AND lower({t}) <> 'null')"
+
+
 def has_value(col: str | Column) -> Column:
     """F-7: not null, not blank, not the text "null" (case-insensitive)."""
+    if isinstance(col, str):
+        return F.expr(_has_value_sql(_q(col)))
     t = ws_trim(col)
     return _c(col).isNotNull() & (t != F.lit("")) & (F.lower(t) != F.lit("null"))
 
 
 def clean_text(col: str | Column) -> Column:
     """F-8: trimmed text, or null when it carries no value."""
+    if isinstance(col, str):
+        return F.expr(f"CASE WHEN {_has_value_sql(_q(col))} THEN {_ws_sql(_q(col))} END")
     return F.when(has_value(col), ws_trim(col))
 
 
@@ -176,6 +185,11 @@ def restricted_sentinel(row_key: str | Column) -> Column:
 
 def normalize_caller(col: str | Column, row_key: str | Column) -> Column:
     """F-3: digits only; null / blank / "restricted" / digit-free -> sentinel."""
+    if isinstance(col, str) and isinstance(row_key, str):
+        x, t = _q(col), _ws_sql(_q(col))
+        digits = f"regexp_replace({t}, '(?U)\\\\D+', '')"
+        return F.expr(f"CASE WHEN {x} IS NULL OR {t} = '' OR lower({t}) = 'restricted' OR {digits} = '' "
+                      f"THEN concat('{RESTRICTED_PREFIX}', CAST({_q(row_key)} AS STRING)) ELSE {digits} END")
     t = ws_trim(col)
     digits = F.regexp_replace(t, r"(?U)\D+", "")
     missing = _c(col).isNull() | (t == "") | (F.lower(t) == "restricted") | (digits == "")
