@@ -222,7 +222,7 @@ def report_contract(spark, sf_dir):
 
 
 def _long_sql() -> str:
-    from callgrid.plans.q_cross import AGENTS_SQL, CALLERS_SQL
+    from callgrid.plans.q_cross import AGENTS_SQL
     from callgrid.plans.q_queue import TOP_CALLERS_CTE
     from callgrid.plans.q_core import HOURLY_SQL
     ids = ctx.QUEUE_IDS

@@ -5,7 +5,6 @@ N-1…N-5, A-14, A-17, J-5, J-7, S-5, A-23, A-24, J-4.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from callgrid import oracle as O
 from callgrid.operators import anomaly as N
