@@ -247,6 +247,44 @@ def long_export(tables: dict[str, DataFrame], dim: DataFrame, period: str, start
         _long(t["gaps"].withColumn("message_text", F.col("message")), "source_gaps", "source_gap", ["message_text"],
               text_metrics=("message_text",)),
     ]
+    if "qv" in t:  # CSV runs: cleaning counts in the queue summary and the validation block
+        qv = t["qv"].withColumn("reconciled_text", F.col("answered_no_agent_reconciled").cast("string"))
+        parts.append(_long(qv, "queue_summary", "queue", ["raw_rows", "cleaned_calls", "duplicate_rows_removed"]))
+        parts.append(_long(qv.withColumn("answered_no_agent_reconciled", F.col("reconciled_text")), "queue_summary",
+                           "queue", ["answered_no_agent_reconciled", "dedupe_key", "calculation_source"],
+                           text_metrics=("answered_no_agent_reconciled", "dedupe_key", "calculation_source")))
+        parts.append(_long(qv, "report_validation", "queue_validation",
+                           ["raw_rows", "cleaned_calls", "duplicate_rows_removed", "answered_calls", "no_agent_calls",
+                            "answered_plus_no_agent"]))
+        parts.append(_long(qv.withColumn("answered_no_agent_reconciled", F.col("reconciled_text")),
+                           "report_validation", "queue_validation",
+                           ["answered_no_agent_reconciled", "dedupe_key", "calculation_source"],
+                           text_metrics=("answered_no_agent_reconciled", "dedupe_key", "calculation_source")))
+    if "rv" in t:
+        rv = t["rv"].withColumns({
+            "answered_plus_no_agent_reconciles": F.col("answered_plus_no_agent_reconciles").cast("string"),
+            "queues_included": F.to_json(F.split("queues_included", ","))})
+        parts.append(_long(rv, "report_validation", "validation",
+                           ["raw_row_count", "cleaned_row_count", "duplicate_rows_removed", "answered_count",
+                            "no_agent_count", "answered_plus_no_agent"], queue=None))
+        texts = ["status", "answered_plus_no_agent_reconciles", "date_range_used", "timezone_used", "queues_included",
+                 "dedupe_key_used", "calculation_source_used"]
+        parts.append(_long(rv, "report_validation", "validation", texts, queue=None, text_metrics=tuple(texts)))
+    if "stats_diagnostics" in t:  # API runs: source statistics next to the cleaned metrics
+        sd = t["stats_diagnostics"]
+        parts.append(_long(sd, "api_queue_stats_diagnostic", "queue",
+                           ["calls_offered", "calls_forwarded", "abandoned_calls", "calls_handled", "call_volume",
+                            "derived_no_agent_calls", "derived_handled_calls"]))
+        parts.append(_long(sd, "api_queue_stats_diagnostic", "queue", ["note"], text_metrics=("note",)))
+    if "stats_funnel" in t:
+        sf = t["stats_funnel"].withColumn("final_dropped_available", F.col("final_dropped_available").cast("string"))
+        parts.append(_long(sf, "api_stats_funnel_diagnostic", "language",
+                           ["primary_calls", "primary_answered", "primary_failed", "primary_no_agent_calls",
+                            "primary_no_agent_rate", "overflow_received", "routing_match", "overflow_answered",
+                            "overflow_failed", "lost", "lost_rate", "effective_answer_rate", "unaccounted",
+                            "final_dropped_calls", "final_dropped_available", "drop_definition"],
+                           queue=None, entity=F.col("language"),
+                           text_metrics=("final_dropped_available", "drop_definition")))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)

@@ -14,6 +14,7 @@ from callgrid.operators import cube as C
 from callgrid.operators import queue_metrics as M
 from callgrid.operators import report as R
 from callgrid.operators import validate as V
+from callgrid.operators.curate import filter_period_csv
 from callgrid.plans import context as ctx
 from callgrid.plans.catalog import register
 from callgrid.plans.q_core import FUNNEL_SQL, HEADLINE_SQL
@@ -222,6 +223,18 @@ def report_contract(spark, sf_dir):
 
 
 def _long_sql() -> str:
+    from callgrid.plans.q_rules import QV_SQL
+    qv_part = QV_SQL[len(O.curated_ctes()):].rstrip()
+    rv_select = f"""SELECT 'success' AS status, CAST(sum(raw_rows) AS BIGINT) AS raw_row_count,
+  CAST(sum(cleaned_calls) AS BIGINT) AS cleaned_row_count,
+  CAST(sum(raw_rows) - sum(cleaned_calls) AS BIGINT) AS duplicate_rows_removed,
+  CAST(sum(answered_calls) AS BIGINT) AS answered_count, CAST(sum(no_agent_calls) AS BIGINT) AS no_agent_count,
+  CAST(sum(answered_calls) + sum(no_agent_calls) AS BIGINT) AS answered_plus_no_agent,
+  sum(answered_calls) + sum(no_agent_calls) = sum(cleaned_calls) AS answered_plus_no_agent_reconciles,
+  '{O.PERIOD_START} 00:00:00 through {O.PERIOD_END} 23:59:59' AS date_range_used,
+  'America/Toronto' AS timezone_used, string_agg(queue_id, ',' ORDER BY queue_id) AS queues_included,
+  'Orig CallID; keep last row after date filtering' AS dedupe_key_used,
+  'csv_cleaned_queue_level_calls' AS calculation_source_used FROM qv"""
     from callgrid.plans.q_cross import AGENTS_SQL
     from callgrid.plans.q_queue import TOP_CALLERS_CTE
     from callgrid.plans.q_core import HOURLY_SQL
@@ -281,6 +294,24 @@ def _long_sql() -> str:
     parts.append(row("crossqueue_same_day_volume", "'date'", "calls", num="calls", entity=d, date=d, src="daily"))
     parts.append(row("anomalies", "kind", "severity", text="severity", entity="target_json", details="description",
                      src="anomalies"))
+    for m in ("raw_rows", "cleaned_calls", "duplicate_rows_removed"):
+        parts.append(row("queue_summary", "'queue'", m, num=m, src="qv"))
+    for m, txt in (("answered_no_agent_reconciled", "CAST(answered_no_agent_reconciled AS VARCHAR)"),
+                   ("dedupe_key", "dedupe_key"), ("calculation_source", "calculation_source")):
+        parts.append(row("queue_summary", "'queue'", m, text=txt, src="qv"))
+        parts.append(row("report_validation", "'queue_validation'", m, text=txt, src="qv"))
+    for m in ("raw_rows", "cleaned_calls", "duplicate_rows_removed", "answered_calls", "no_agent_calls",
+              "answered_plus_no_agent"):
+        parts.append(row("report_validation", "'queue_validation'", m, num=m, src="qv"))
+    for m in ("raw_row_count", "cleaned_row_count", "duplicate_rows_removed", "answered_count", "no_agent_count",
+              "answered_plus_no_agent"):
+        parts.append(row("report_validation", "'validation'", m, num=m, queue="NULL", src="rv"))
+    for m, txt in (("status", "status"),
+                   ("answered_plus_no_agent_reconciles", "CAST(answered_plus_no_agent_reconciles AS VARCHAR)"),
+                   ("date_range_used", "date_range_used"), ("timezone_used", "timezone_used"),
+                   ("queues_included", "CAST(to_json(string_split(queues_included, ',')) AS VARCHAR)"),
+                   ("dedupe_key_used", "dedupe_key_used"), ("calculation_source_used", "calculation_source_used")):
+        parts.append(row("report_validation", "'validation'", m, text=txt, queue="NULL", src="rv"))
     parts.append(row("source_gaps", "'source_gap'", "message", text="'No CSV found for queue ' || queue_id || ' in events'",
                      src="gaps"))
     unpivot = lambda src, key: " UNION ALL ".join(
@@ -298,7 +329,8 @@ reasons AS (
   FROM (SELECT queue_id, 'queue' AS reason_type, queue_release_reason AS raw FROM curated
         UNION ALL SELECT queue_id, 'agent', agent_release_reason FROM curated)
   WHERE raw IS NOT NULL AND {O.trim_ws('raw')} <> '' AND lower({O.trim_ws('raw')}) <> 'null' GROUP BY 1, 2, 3),
-agents AS ({AGENTS_SQL}),
+agents AS ({AGENTS_SQL}){qv_part},
+rv AS ({rv_select}),
 agents_long AS ({unpivot('agents', 'agent_name')}),
 callers_long AS ({unpivot('callers', 'caller_number_norm')}),
 rows AS ({' UNION ALL '.join(parts)})""")
@@ -331,6 +363,9 @@ def long_export(spark, sf_dir):
         "same_hour": C.hourly_volume(cube, with_avg=False), "same_day": C.daily_volume(cube),
         "anomalies": anomalies, "gaps": gaps,
     }
+    filtered = filter_period_csv(ctx.legs(spark, sf_dir), ctx.PERIOD_START, ctx.PERIOD_END)
+    tables["qv"] = V.queue_validation(filtered, cur, dim)
+    tables["rv"] = V.run_validation(tables["qv"], ctx.PERIOD_START, ctx.PERIOD_END, "America/Toronto")
     return R.long_export(tables, dim, "month", ctx.PERIOD_START, ctx.PERIOD_END)
 
 
