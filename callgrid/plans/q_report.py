@@ -342,13 +342,11 @@ SELECT 'month' AS period, '{O.PERIOD_START}' AS date_start, '{O.PERIOD_END}' AS
 FROM rows r LEFT JOIN {O.DIM} d ON d.queue_id = r.qid""")
 
 
-@register("long_export", _long_sql())
-def long_export(spark, sf_dir):
-    """U-3: the long-format export (one row per section, entity and metric)."""
+def long_export_tables(spark, sf_dir):
+    """The metric tables of the long export of one CSV period run."""
     from callgrid.operators.cross import consolidated_agents
     cur, cube, dim, head, funnel, anomalies, gaps = _parts(spark, sf_dir)
     ids = ctx.QUEUE_IDS
-    lb = M.agent_leaderboard(cur)
     agents = consolidated_agents(cur, ids)
     callers = X.consolidated_callers(cur, ids)
     busiest = C.busiest_quietest_day(cube).withColumnsRenamed(
@@ -357,7 +355,7 @@ def long_export(spark, sf_dir):
         "headline": head, "busiest": busiest, "daily": C.daily_volume(cube), "weekly": C.weekly_volume(cube),
         "hourly": C.hourly_volume(cube), "dow_avg": R.dow_average(C.dow_volume(cube), spark, ctx.PERIOD_START,
                                                                    ctx.PERIOD_END),
-        "reasons": M.release_reasons(cur), "leaderboard": lb, "top_callers": M.top_callers(cur),
+        "reasons": M.release_reasons(cur), "leaderboard": M.agent_leaderboard(cur), "top_callers": M.top_callers(cur),
         "funnel": funnel, "agents": agents, "agents_long": R.pivot_to_long(agents, "agent_name", ids),
         "callers": callers, "callers_long": R.pivot_to_long(callers, "caller_number_norm", ids),
         "same_hour": C.hourly_volume(cube, with_avg=False), "same_day": C.daily_volume(cube),
@@ -366,6 +364,13 @@ def long_export(spark, sf_dir):
     filtered = filter_period_csv(ctx.legs(spark, sf_dir), ctx.PERIOD_START, ctx.PERIOD_END)
     tables["qv"] = V.queue_validation(filtered, cur, dim)
     tables["rv"] = V.run_validation(tables["qv"], ctx.PERIOD_START, ctx.PERIOD_END, "America/Toronto")
+    return tables, dim
+
+
+@register("long_export", _long_sql())
+def long_export(spark, sf_dir):
+    """U-3: the long-format export (one row per section, entity and metric)."""
+    tables, dim = long_export_tables(spark, sf_dir)
     return R.long_export(tables, dim, "month", ctx.PERIOD_START, ctx.PERIOD_END)
 
 

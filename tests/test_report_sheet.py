@@ -95,3 +95,22 @@ def test_supplied_override(spark):
     supplied = spark.createDataFrame([("8020", "Z", 9)], "queue_id string, agent_name string, calls long")
     got = sorted(tuple(r) for r in S.supplied_override(computed, supplied, ["queue_id", "agent_name"]).collect())
     assert got == [("8020", "Z", 9), ("8021", "B", 2)]
+
+
+def test_long_export_sections(spark):
+    from callgrid.operators.stats import parse_stats, stats_diagnostics, stats_funnel
+    from callgrid.plans.q_report import long_export_tables
+    tables, dim = long_export_tables(spark, "/root/testdata/sf0.001")
+    doc = spark.createDataFrame([('{"8020": {"calls_offered": 767, "calls_forwarded": 157, "abandoned_calls": 14}}',)],
+                                "value string")
+    stats = parse_stats(doc)
+    tables["stats_diagnostics"] = stats_diagnostics(stats, dim)
+    tables["stats_funnel"] = stats_funnel(stats, dim)
+    out = R.long_export(tables, dim, "month", "2024-01-01", "2024-01-31")
+    sections = {r.section for r in out.select("section").distinct().collect()}
+    assert {"queue_summary", "report_validation", "queue_hourly_volume", "crossqueue_funnel", "anomalies",
+            "api_queue_stats_diagnostic", "api_stats_funnel_diagnostic"} <= sections
+    derived = out.filter("metric = 'derived_no_agent_calls' AND queue_id = '8020'").first()
+    assert derived.value_num == 171.0
+    rec = out.filter("section = 'report_validation' AND metric = 'answered_plus_no_agent_reconciles'").first()
+    assert rec.value_text == "true" and rec.queue_id == ""
