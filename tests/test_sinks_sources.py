@@ -124,3 +124,17 @@ def test_run_api_period(spark):
     res = run_api_period(spark, recs, stats, "2024-01-01", "2024-01-31", store_root=root)
     assert PeriodStore(spark, root).read("curated_calls").count() == E.queries()["api_curated"](spark, SF).count()
     assert res.tables["api_stats_funnel"].count() == 2
+
+
+def test_empty_store_and_inventory_document(spark):
+    from callgrid.sinks.export import write_inventory_document
+    from callgrid.operators.flatten import field_inventory
+    from callgrid.sources.testdata import api_records_from_tables
+    store = PeriodStore(spark, _tmp())
+    assert store.read("curated_calls").count() == 0
+    d = _tmp()
+    inv = field_inventory(api_records_from_tables(spark, SF))
+    write_inventory_document(inv, os.path.join(d, "inv"), "2024-01-01", "2024-01-31")
+    doc = spark.read.json(os.path.join(d, "inv")).first()
+    assert doc.field_count == len(doc.fields) == inv.count()
+    assert list(doc.fields) == sorted(doc.fields) and doc.validation_status == "success"
