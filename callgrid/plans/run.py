@@ -117,3 +117,21 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
         run_id = PeriodStore(spark, store_root).replace(tables, start, end, "api", status, validation)
     tables["api_counts"] = counts
     return PeriodResult(run_id, tables, [])
+
+
+def run_api_from_extract(spark: SparkSession, landing_root: str, start: str, end: str,
+                         fetch_records: "callable | None" = None, mode: str = "auto",
+                         store_root: str | None = None, queues: tuple[Queue, ...] = DEFAULT_QUEUES,
+                         timezone: str = DEFAULT_TIMEZONE, period: str = "month") -> PeriodResult:
+    """S-6 + SNK-1 + S-3: reuse a complete landed snapshot of the period, or land a new one
+    from ``fetch_records()`` -> ``(records_json, stats_doc)``, then run the API period."""
+    from callgrid.sinks.landing import choose_extract, land_extract, snapshot_path
+    from callgrid.sources.api_records import read_records, read_stats_document
+    if choose_extract(spark, landing_root, start, end, mode) == "land":
+        if fetch_records is None:
+            raise ValueError("no complete extract for the period and nothing to land it from")
+        recs, stats = fetch_records()
+        land_extract(recs, stats, landing_root, period, start, end)
+    path = snapshot_path(landing_root, start, end)
+    return run_api_period(spark, read_records(spark, f"{path}/records"), read_stats_document(spark, f"{path}/stats"),
+                          start, end, store_root, queues, timezone)

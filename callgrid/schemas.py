@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType,
+from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType,
                                StringType, StructField, StructType, TimestampNTZType)
 
 
@@ -153,4 +153,3 @@ TABLE_SCHEMAS: dict[str, StructType] = {
     "anomalies": StructType(PERIOD + _s("severity", "kind", "queue_id", "description", "target_json")),
 }
 
-BOOL = BooleanType()

@@ -138,3 +138,19 @@ def test_empty_store_and_inventory_document(spark):
     doc = spark.read.json(os.path.join(d, "inv")).first()
     assert doc.field_count == len(doc.fields) == inv.count()
     assert list(doc.fields) == sorted(doc.fields) and doc.validation_status == "success"
+
+
+def test_run_api_from_extract_reuses_snapshot(spark):
+    from callgrid.plans.run import run_api_from_extract
+    land, store = _tmp(), _tmp()
+    calls = []
+
+    def fetch():
+        calls.append(1)
+        return (events_to_api_records(read_events(spark, SF)).orderBy("rec_no"),
+                stats_document_from_legs(legs_from_tables(spark, SF)))
+
+    first = run_api_from_extract(spark, land, "2024-01-01", "2024-01-31", fetch, store_root=store)
+    second = run_api_from_extract(spark, land, "2024-01-01", "2024-01-31", fetch, store_root=store)
+    assert len(calls) == 1  # the second run reused the complete snapshot
+    assert first.tables["curated_calls"].count() == second.tables["curated_calls"].count() > 0
