@@ -4,6 +4,10 @@ Every column is read as text (no inference, T1); pandas' missing-value tokens be
 null; the blank-header junk columns are dropped (P-4, T21); the queue comes from the
 file name pattern ``*_<queue id>_*.csv`` and the dimension; ``leg_no`` is the file-order
 ordinal (file name, split offset, row position) used by keep-last.
+
+Files are read splittable by default, so one large export is scanned by many tasks.
+``multiline=True`` is needed only when quoted fields contain line breaks; it makes each
+file a single split, so it is opt-in.
 """
 
 from __future__ import annotations
@@ -15,8 +19,8 @@ from callgrid.functions.exprs import na_to_null
 from callgrid.schemas import CSV_HEADER_TO_COLUMN, DEFAULT_QUEUES, RAW_LEG_COLUMNS, Queue
 
 
-def _reader(spark: SparkSession, queue_id: str):
-    return (spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
+def _reader(spark: SparkSession, queue_id: str, multiline: bool = False):
+    return (spark.read.option("header", True).option("inferSchema", False).option("multiLine", multiline)
             .option("pathGlobFilter", f"*_{queue_id}_*.csv"))
 
 
@@ -34,9 +38,10 @@ def find_queue_csv(spark: SparkSession, csv_dir: str, queue_id: str) -> str | No
     return files[0]
 
 
-def load_queue_csv(spark: SparkSession, path: str, queue: Queue) -> DataFrame:
+def load_queue_csv(spark: SparkSession, path: str, queue: Queue, multiline: bool = False) -> DataFrame:
     """S-2: one queue file -> raw legs with lineage columns."""
-    df = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).csv(path)
+    df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", multiline)
+          .option("quote", '"').option("escape", '"').csv(path))
     df = df.drop(*[c for c in df.columns if c.startswith("_c")])
     cols = []
     for header, name in CSV_HEADER_TO_COLUMN.items():
@@ -51,8 +56,8 @@ def load_queue_csv(spark: SparkSession, path: str, queue: Queue) -> DataFrame:
     return out.select(*RAW_LEG_COLUMNS)
 
 
-def load_csv_legs(spark: SparkSession, csv_dir: str, queues: tuple[Queue, ...] = DEFAULT_QUEUES
-                  ) -> tuple[DataFrame | None, list[dict]]:
+def load_csv_legs(spark: SparkSession, csv_dir: str, queues: tuple[Queue, ...] = DEFAULT_QUEUES,
+                  multiline: bool = False) -> tuple[DataFrame | None, list[dict]]:
     """All queues (U-1) plus the gap rows of queues without a file (J-7)."""
     frames, gaps = [], []
     for q in queues:
@@ -61,7 +66,7 @@ def load_csv_legs(spark: SparkSession, csv_dir: str, queues: tuple[Queue, ...] =
             gaps.append({"queue_id": q.queue_id, "reason": "missing_csv",
                          "message": f"No CSV found for queue {q.queue_id} in {csv_dir}"})
             continue
-        frames.append(load_queue_csv(spark, path, q))
+        frames.append(load_queue_csv(spark, path, q, multiline))
     if not frames:
         return None, gaps
     out = frames[0]
