@@ -106,6 +106,40 @@ class PeriodStore:
         return data.join(F.broadcast(latest), ["period_start", "period_end", "version"]).drop("version")
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def retire_versions(store: "PeriodStore", table: str) -> list[str]:
+    """Delete every version directory of ``table`` except the latest published one per period
+    (metadata-only file-system calls on the driver; nothing is read). Call after publishing:
+    the visible version is never touched, so readers never see a gap."""
+    latest = {(r.period_start, r.period_end): r.run_id for r in store.latest_runs().collect()}
+    fs, root = _fs(store.spark, f"{store.root}/{table}")
+    removed: list[str] = []
+    if not fs.exists(root):
+        return removed
+    for ps in fs.listStatus(root):
+        if not ps.isDirectory() or not ps.getPath().getName().startswith("period_start="):
+            continue
+        start = ps.getPath().getName().split("=", 1)[1]
+        for pe in fs.listStatus(ps.getPath()):
+            if not pe.getPath().getName().startswith("period_end="):
+                continue
+            end = pe.getPath().getName().split("=", 1)[1]
+            keep = latest.get((start, end))
+            if keep is None:
+                continue  # never published: may be a run in progress
+            for v in fs.listStatus(pe.getPath()):
+                name = v.getPath().getName()
+                if name.startswith("version=") and name.split("=", 1)[1] != keep:
+                    fs.delete(v.getPath(), True)
+                    removed.append(v.getPath().toString())
+    return removed
+
+
 def raw_legs_table(legs: DataFrame, source_mode: str) -> DataFrame:
     """SNK-5: raw legs kept as canonical JSON (keys sorted, nulls kept)."""
     cols = sorted(c for c in legs.columns)

@@ -154,3 +154,16 @@ def test_run_api_from_extract_reuses_snapshot(spark):
     second = run_api_from_extract(spark, land, "2024-01-01", "2024-01-31", fetch, store_root=store)
     assert len(calls) == 1  # the second run reused the complete snapshot
     assert first.tables["curated_calls"].count() == second.tables["curated_calls"].count() > 0
+
+
+def test_retire_old_versions(spark):
+    from callgrid.sinks.store import retire_versions
+    store = PeriodStore(spark, _tmp())
+    cur = E.queries()["curated_calls"](spark, SF).withColumn("date", F.to_date("date"))
+    n = cur.count()
+    store.replace({"curated_calls": cur}, "2024-01-01", "2024-01-31", "csv")
+    store.replace({"curated_calls": cur}, "2024-01-01", "2024-01-31", "csv")
+    removed = retire_versions(store, "curated_calls")
+    assert len(removed) == 1
+    assert store.read("curated_calls").count() == n
+    assert retire_versions(store, "curated_calls") == []
