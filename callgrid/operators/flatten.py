@@ -27,14 +27,29 @@ def is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
+def _ref(rec: str, path: str) -> tuple[str, str]:
+    if not all(ch.isalnum() or ch in "._" for ch in path):
+        raise ValueError(f"unsupported path {path!r}")
+    return "`" + rec.replace("`", "``") + "`", "$." + path
+
+
 def scalar_text(rec: str | Column, path: str) -> Column:
     """Text of a scalar at ``path``; null when absent, JSON null, or an object (T6)."""
+    if isinstance(rec, str):  # one SQL expression: far fewer plan-building calls
+        r, p = _ref(rec, path)
+        return F.expr(f"CASE WHEN try_variant_get({r}, '{p}', 'struct<>') IS NULL "
+                      f"THEN try_variant_get({r}, '{p}', 'string') END")
     v = sub(rec, path)
     return F.when(~is_object(v), F.try_variant_get(v, "$", "string"))
 
 
 def is_number(rec: str | Column, path: str) -> Column:
     """True when the value at ``path`` is a JSON number (booleans and text are not)."""
+    if isinstance(rec, str):
+        r, p = _ref(rec, path)
+        t = f"schema_of_variant(try_variant_get({r}, '{p}', 'variant'))"
+        return F.expr(f"coalesce({t} IN ('BIGINT', 'DOUBLE', 'FLOAT', 'INT', 'SMALLINT', 'TINYINT') "
+                      f"OR startswith({t}, 'DECIMAL'), false)")
     t = F.schema_of_variant(sub(rec, path))
     return F.coalesce(t.isin("BIGINT", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
                       | t.startswith("DECIMAL"), F.lit(False))

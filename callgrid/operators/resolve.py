@@ -32,10 +32,10 @@ def _name_map(queues: tuple[Queue, ...]) -> Column:
     return F.create_map(*[x for q in queues for x in (F.lit(q.name.lower()), F.lit(q.queue_id))])
 
 
-def match_exact(text: Column, queues: tuple[Queue, ...]) -> Column:
+def match_exact(text: Column, queues: tuple[Queue, ...], maps: tuple[Column, Column] | None = None) -> Column:
     """A tracked id, or a queue name compared case-insensitively."""
-    return F.coalesce(F.try_element_at(_id_map(queues), text),
-                      F.try_element_at(_name_map(queues), F.lower(text)))
+    ids, names = maps or (_id_map(queues), _name_map(queues))
+    return F.coalesce(F.try_element_at(ids, text), F.try_element_at(names, F.lower(text)))
 
 
 def match_loose(text: Column, queues: tuple[Queue, ...]) -> Column:
@@ -61,7 +61,8 @@ def with_exact_queue(records: DataFrame, queues: tuple[Queue, ...], rec: str = "
     names = [f"_c{i}" for i in range(len(QUEUE_FIELD_CANDIDATES))]
     staged = records.select("*", *[ws_trim(scalar_text(rec, p)).alias(n)
                                    for n, p in zip(names, QUEUE_FIELD_CANDIDATES)])
-    return staged.withColumn(out, F.coalesce(*[match_exact(F.col(n), queues) for n in names])).drop(*names)
+    maps = (_id_map(queues), _name_map(queues))  # built once, reused for every candidate
+    return staged.withColumn(out, F.coalesce(*[match_exact(F.col(n), queues, maps) for n in names])).drop(*names)
 
 
 def fallback_expr(rec: str | Column, queues: tuple[Queue, ...]) -> Column:
