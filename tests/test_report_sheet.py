@@ -114,3 +114,24 @@ def test_long_export_sections(spark):
     assert derived.value_num == 171.0
     rec = out.filter("section = 'report_validation' AND metric = 'answered_plus_no_agent_reconciles'").first()
     assert rec.value_text == "true" and rec.queue_id == ""
+
+
+def test_report_documents(spark):
+    import json
+
+    import __spark_entry__ as E
+    d = "/root/testdata/sf0.001"
+    docs = {r.queue_id: r.document for r in E.queries()["report_document"](spark, d).collect()}
+    head = {r.queue_id: r for r in E.queries()["headline"](spark, d).collect()}
+    assert set(docs) == set(head)
+    for qid, text in docs.items():
+        doc = json.loads(text)
+        assert list(doc) == sorted(doc)  # keys sorted
+        assert doc["total_calls"] == head[qid].total_calls and doc["queue_id"] == qid
+        assert sum(p["calls"] for p in doc["daily_volume"]) == head[qid].total_calls
+        assert [p["hour"] for p in doc["hourly_volume"]] == sorted(p["hour"] for p in doc["hourly_volume"])
+        assert all(list(p) == sorted(p) for p in doc["agent_leaderboard"])
+        assert "avg_agent_sec" in doc["hourly_volume"][0]  # nulls are kept, not dropped
+        assert len(doc["top_callers"]) <= 10
+    violations = E.queries()["report_contract"](spark, d).count()
+    assert violations == 0
