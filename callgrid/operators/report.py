@@ -194,7 +194,8 @@ def _long(df: DataFrame, section: str, entity_type: str | Column, metrics: Seque
                        stacked.alias("metric", "value_num", "value_text"))
 
 
-def long_export(tables: dict[str, DataFrame], dim: DataFrame, period: str, start: str, end: str) -> DataFrame:
+def long_export(tables: dict[str, DataFrame], dim: DataFrame, period: str, start: str, end: str,
+                generated_at: str | None = None) -> DataFrame:
     """U-3: one row per (section, entity, metric) over the report's tables.
 
     ``tables`` holds headline, busiest, daily, weekly, hourly, dow_avg, reasons, leaderboard,
@@ -247,6 +248,10 @@ def long_export(tables: dict[str, DataFrame], dim: DataFrame, period: str, start
         _long(t["gaps"].withColumn("message_text", F.col("message")), "source_gaps", "source_gap", ["message_text"],
               text_metrics=("message_text",)),
     ]
+    if generated_at is not None:  # report_metadata: when the run produced the report
+        meta = t["headline"].sparkSession.range(1).select(F.lit(None).cast("string").alias("queue_id"),
+                                                           F.lit(generated_at).alias("generated_at"))
+        parts.append(_long(meta, "report_metadata", "report", ["generated_at"], text_metrics=("generated_at",)))
     if "qv" in t:  # CSV runs: cleaning counts in the queue summary and the validation block
         qv = t["qv"].withColumn("reconciled_text", F.col("answered_no_agent_reconciled").cast("string"))
         parts.append(_long(qv, "queue_summary", "queue", ["raw_rows", "cleaned_calls", "duplicate_rows_removed"]))

@@ -106,8 +106,10 @@ def test_long_export_sections(spark):
     stats = parse_stats(doc)
     tables["stats_diagnostics"] = stats_diagnostics(stats, dim)
     tables["stats_funnel"] = stats_funnel(stats, dim)
-    out = R.long_export(tables, dim, "month", "2024-01-01", "2024-01-31")
+    out = R.long_export(tables, dim, "month", "2024-01-01", "2024-01-31", generated_at="2024-02-01T09:00:00Z")
     sections = {r.section for r in out.select("section").distinct().collect()}
+    meta = out.filter("section = 'report_metadata'").first()
+    assert (meta.metric, meta.value_text, meta.queue_id) == ("generated_at", "2024-02-01T09:00:00Z", "")
     assert {"queue_summary", "report_validation", "queue_hourly_volume", "crossqueue_funnel", "anomalies",
             "api_queue_stats_diagnostic", "api_stats_funnel_diagnostic"} <= sections
     derived = out.filter("metric = 'derived_no_agent_calls' AND queue_id = '8020'").first()
