@@ -137,3 +137,15 @@ def test_report_documents(spark):
         assert len(doc["top_callers"]) <= 10
     violations = E.queries()["report_contract"](spark, d).count()
     assert violations == 0
+
+
+def test_ordering_helpers(spark):
+    from callgrid.operators.ordering import count_then_name, sort_table, top_k, top_k_per_group
+    df = spark.createDataFrame([("q", "b", 3), ("q", "a", 3), ("q", "é", 1), ("r", "Z", 5), ("q", "E", 1)],
+                               "g string, name string, calls long")
+    assert [r.name for r in top_k(df, count_then_name("calls", "name"), 3).collect()] == ["Z", "a", "b"]
+    per = top_k_per_group(df, ["g"], count_then_name("calls", "name"), 2).filter("g = 'q'").orderBy("rank").collect()
+    assert [r.name for r in per] == ["a", "b"]
+    loc = df.filter("calls = 1").orderBy(*count_then_name("calls", "name", locale=True)).collect()
+    assert [r.name for r in loc] == ["E", "é"]
+    assert [r.calls for r in sort_table(df, "calls", descending=True).collect()][0] == 5
