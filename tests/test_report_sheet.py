@@ -149,3 +149,22 @@ def test_ordering_helpers(spark):
     loc = df.filter("calls = 1").orderBy(*count_then_name("calls", "name", locale=True)).collect()
     assert [r.name for r in loc] == ["E", "é"]
     assert [r.calls for r in sort_table(df, "calls", descending=True).collect()][0] == 5
+
+
+def test_percent_run_row_and_single_queue_sheet(spark):
+    from callgrid.schemas import DEFAULT_QUEUES, queue_dim
+    df = spark.createDataFrame([(0.1234,), (None,), (12.5,)], "r double")
+    assert [r[0] for r in df.select(R.percent_label(F.col("r"))).collect()] == ["12.3%", "0.0%", "1,250.0%"]
+    row = R.run_row("2024-01-01", "2024-01-31", "csv", F.lit("success"), F.lit("{}"), spark).first()
+    assert (str(row.period_start), row.source_mode, row.status) == ("2024-01-01", "csv", "success")
+    lines = spark.createDataFrame([
+        ("s", 0, ["Call Time", "Caller Number", "Orig CallID", "Agent Time Seconds", "Agent Time"]),
+        ("s", 1, ["2026-04-01 08:00:00", "Restricted", "a", "42", "00:10"]),
+        ("s", 2, ["2026-04-01 09:00", None, "b", None, "01:05"]),
+    ], "sheet string, line_no int, cells array<string>")
+    recs = S.detect_header(lines, [("Call Time", "Caller Number", "Orig CallID")])
+    rows = {r.call_id: r for r in S.sheet_curated(recs, queue_dim(spark), DEFAULT_QUEUES[2]).collect()}
+    assert rows["a"].queue_id == "8030" and rows["a"].language == "English" and rows["a"].role == "overflow"
+    assert (rows["a"].agent_sec, rows["b"].agent_sec) == (42.0, 65.0)  # seconds column first, else clock text
+    assert (rows["a"].caller_number_norm, rows["b"].caller_number_norm) == ("Restricted", "Unknown")
+    assert rows["b"].hour == 9
