@@ -69,3 +69,17 @@ def test_flatten_and_inventory(spark):
     assert paths == ["a.b", "a.c", "n", "to.user", "to.user.name"]
     leaves = flatten_paths(recs, ["rec_no"]).filter("path = 'a.c'").select(F.to_json("value")).first()[0]
     assert leaves == "[1,2]"
+
+
+def test_seconds_coercion_from_variant(spark):
+    recs = _records(spark, [
+        {"from": {"call_id": "n1"}, "call_queue": {"id": "8020"}, "start_time": "2026-04-01T08:00:00", "duration": -5},
+        {"from": {"call_id": "n2"}, "call_queue": {"id": "8020"}, "start_time": "2026-04-01T08:00:00", "duration": True},
+        {"from": {"call_id": "n3"}, "call_queue": {"id": "8020"}, "start_time": "2026-04-01T08:00:00", "duration": "12.5"},
+        {"from": {"call_id": "n4"}, "call_queue": {"id": "8020"}, "start_time": "2026-04-01T08:00:00",
+         "talk_time": "1:02:03", "duration": 7},
+        {"from": {"call_id": "n5"}, "call_queue": {"id": "8020"}, "start_time": "2026-04-01T08:00:00", "duration": "-5"},
+    ])
+    curated, _, _ = A.api_pipeline(recs)
+    got = {r.call_id: r.agent_sec for r in curated.collect()}
+    assert got == {"n1": -5.0, "n2": None, "n3": 12.5, "n4": 3723.0, "n5": None}
