@@ -97,9 +97,19 @@ def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, s
 
 def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame | None, start: str, end: str,
                    store_root: str | None = None, queues: tuple[Queue, ...] = DEFAULT_QUEUES,
-                   timezone: str = DEFAULT_TIMEZONE) -> PeriodResult:
-    """API entry point: keep-last per call -> period filter -> resolve queues -> curate -> metrics -> store."""
+                   timezone: str = DEFAULT_TIMEZONE, inventory_root: str | None = None) -> PeriodResult:
+    """API entry point: keep-last per call -> period filter -> resolve queues -> curate -> metrics -> store.
+
+    With ``inventory_root`` the field inventory (F-13) is also written as a dated and a
+    latest document (SNK-10).
+    """
     curated, unmapped, deduped = api_pipeline(records, queues, timezone, start, end)
+    if inventory_root:
+        from callgrid.operators.flatten import field_inventory
+        from callgrid.sinks.export import write_inventory_document
+        inventory = field_inventory(records)
+        for name in (f"field_inventory_{start}_{end}", "field_inventory_latest"):
+            write_inventory_document(inventory, f"{inventory_root.rstrip('/')}/{name}", start, end)
     curated = cut_lineage(curated)
     dim = queue_dim(spark, queues)
     no_gaps = dim.filter(F.lit(False)).select("queue_id", F.lit("").alias("reason"), F.lit("").alias("message"))

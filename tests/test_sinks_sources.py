@@ -121,9 +121,13 @@ def test_run_api_period(spark):
     root = _tmp()
     recs = api_records_from_tables(spark, SF)
     stats = stats_document_from_legs(legs_from_tables(spark, SF))
-    res = run_api_period(spark, recs, stats, "2024-01-01", "2024-01-31", store_root=root)
+    inv = _tmp()
+    res = run_api_period(spark, recs, stats, "2024-01-01", "2024-01-31", store_root=root, inventory_root=inv)
     assert PeriodStore(spark, root).read("curated_calls").count() == E.queries()["api_curated"](spark, SF).count()
     assert res.tables["api_stats_funnel"].count() == 2
+    dated = spark.read.json(os.path.join(inv, "field_inventory_2024-01-01_2024-01-31")).first()
+    latest = spark.read.json(os.path.join(inv, "field_inventory_latest")).first()
+    assert dated.field_count == latest.field_count == 15
 
 
 def test_empty_store_and_inventory_document(spark):
