@@ -39,6 +39,8 @@ AGENT_RELEASE_REASON_FIELD_CANDIDATES = ("agent_release_reason", "release_reason
 API_SOURCE_FILE = "api_records"
 MISSING_API_FIELDS = "missing_api_fields"
 UNMAPPED_QUEUE = "unmapped_queue"
+MISSING_FIELDS_MESSAGE = "Missing required API fields: {fields}"
+UNMAPPED_MESSAGE = "{n} API CDR rows could not be mapped to tracked queue IDs."
 DEFAULT_TIMEZONE = "America/Toronto"
 
 _OFFSET = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
@@ -180,7 +182,7 @@ def api_pipeline(records: DataFrame, queues: tuple[Queue, ...] = DEFAULT_QUEUES,
     """
     presence = presence or field_presence(records, rec)
     if presence.missing:
-        raise ValueError(f"Missing required API fields: {', '.join(presence.missing)}")
+        raise ValueError(MISSING_FIELDS_MESSAGE.format(fields=", ".join(presence.missing)))
     deduped = dedup_api(keyed_records(records, presence, rec), key="call_key", sort_key="sort_key", ordinal="rec_no")
     curated, unmapped = curate_api(deduped, queues, tz, start, end, rec)
     return curated, unmapped, deduped

@@ -103,7 +103,13 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
     With ``inventory_root`` the field inventory (F-13) is also written as a dated and a
     latest document (SNK-10).
     """
-    curated, unmapped, deduped = api_pipeline(records, queues, timezone, start, end)
+    from callgrid.operators.api_curate import (MISSING_API_FIELDS, MISSING_FIELDS_MESSAGE, UNMAPPED_MESSAGE,
+                                               UNMAPPED_QUEUE, field_presence)
+    presence = field_presence(records)
+    if presence.missing:  # P-11: a required field absent from every record is a source gap
+        return PeriodResult(None, {}, [{"queue_id": "all", "reason": MISSING_API_FIELDS,
+                                        "message": MISSING_FIELDS_MESSAGE.format(fields=", ".join(presence.missing))}])
+    curated, unmapped, deduped = api_pipeline(records, queues, timezone, start, end, presence)
     if inventory_root:
         from callgrid.operators.flatten import field_inventory
         from callgrid.sinks.export import write_inventory_document
@@ -126,7 +132,12 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
         status = counts.select("status").first()[0]
         run_id = PeriodStore(spark, store_root).replace(tables, start, end, "api", status, validation)
     tables["api_counts"] = counts
-    return PeriodResult(run_id, tables, [])
+    c = counts.first()
+    gaps = []
+    if c["status"] == "source_gap":  # P-18: rows were ignored and nothing could be curated
+        gaps.append({"queue_id": "all", "reason": UNMAPPED_QUEUE,
+                     "message": UNMAPPED_MESSAGE.format(n=c["ignored_unmapped_queue_rows"])})
+    return PeriodResult(run_id, tables, gaps)
 
 
 def run_api_from_extract(spark: SparkSession, landing_root: str, start: str, end: str,

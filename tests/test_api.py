@@ -83,3 +83,15 @@ def test_seconds_coercion_from_variant(spark):
     curated, _, _ = A.api_pipeline(recs)
     got = {r.call_id: r.agent_sec for r in curated.collect()}
     assert got == {"n1": -5.0, "n2": None, "n3": 12.5, "n4": 3723.0, "n5": None}
+
+
+def test_api_run_source_gaps(spark):
+    from callgrid.plans.run import run_api_period
+    missing = run_api_period(spark, _records(spark, [{"from": {"number": "1"}, "start_time": "2026-04-01T08:00:00"}]),
+                             None, "2026-04-01", "2026-04-30")
+    assert missing.gaps[0]["reason"] == "missing_api_fields" and "from.call_id" in missing.gaps[0]["message"]
+    unmapped = run_api_period(spark, _records(spark, [
+        {"from": {"call_id": "u1"}, "queue_label": "Main Line", "start_time": "2026-04-01T08:00:00"}]),
+        None, "2026-04-01", "2026-04-30")
+    assert unmapped.gaps == [{"queue_id": "all", "reason": "unmapped_queue",
+                              "message": "1 API CDR rows could not be mapped to tracked queue IDs."}]
