@@ -171,3 +171,17 @@ def test_retire_old_versions(spark):
     assert len(removed) == 1
     assert store.read("curated_calls").count() == n
     assert retire_versions(store, "curated_calls") == []
+
+
+def test_csv_multiline_opt_in(spark):
+    from callgrid.schemas import DEFAULT_QUEUES
+    from callgrid.sources.csv_legs import load_queue_csv
+    d = _tmp()
+    path = os.path.join(d, "x_8020_y.csv")
+    with open(path, "w") as fh:
+        fh.write('Call Time,Orig CallID,Agent Name,Queue Release Reason\n'
+                 '04/01/2026 8:33 am,a,"Agent\nA",NA\n04/01/2026 9:00 am,b,B,Orig: Bye\n')
+    rows = load_queue_csv(spark, path, DEFAULT_QUEUES[0], multiline=True).orderBy("orig_call_id").collect()
+    assert [r.orig_call_id for r in rows] == ["a", "b"]
+    assert rows[0].agent_name == "Agent\nA" and rows[0].queue_release_reason is None  # NA token -> null
+    assert rows[0].leg_no < rows[1].leg_no and rows[1].queue_id == "8020"
