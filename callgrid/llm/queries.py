@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callgrid.llm import quality
+from callgrid.llm import bpe, mixing, quality
 from callgrid.llm.common import table
 
 QUERIES: dict = {}
@@ -20,3 +21,18 @@ def _query(fn):
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.allot(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_mixing"] = mixing.ORACLE
+
+
+@_query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids and of the decoded text of every document."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
