@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +18,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE = r"[\x20\x09-\x0D]+"
 
 
+_PACKAGE = Path(__file__).resolve().parents[1]
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Hand this package to the session's Python workers, once a session, in case they cannot import it already."""
+    context = spark.sparkContext
+    if getattr(context, "_callgrid_shipped", False):
+        return
+    out = Path(tempfile.mkdtemp(prefix="callgrid-code-")) / "callgrid.zip"  # on the driver; Spark brings it to the executors
+    with zipfile.ZipFile(out, "w") as z:
+        for f in sorted(_PACKAGE.rglob("*.py")):
+            z.write(f, f.relative_to(_PACKAGE.parent))
+    context.addPyFile(str(out))
+    context._callgrid_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

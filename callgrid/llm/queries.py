@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callgrid.llm import bpe, mixing, quality
+from callgrid.llm import bpe, mixing, neardup, quality
 from callgrid.llm.common import table
 
 QUERIES: dict = {}
@@ -36,3 +36,9 @@ ORACLE["op1_mixing"] = mixing.ORACLE
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the decoded text of every document."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return neardup.classes(table(spark, sf_dir, "documents"))
