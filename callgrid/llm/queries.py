@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callgrid.llm import bpe, mixing, neardup, quality, suffix
+from callgrid.llm import bpe, mixing, neardup, quality, spotsigs, suffix
 from callgrid.llm.common import table
 
 QUERIES: dict = {}
@@ -65,3 +65,33 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGIN
        CAST(coalesce(k, 0) AS INT) AS n_spans, coalesce(spans, '') AS spans
 FROM d LEFT JOIN t ON d.doc_id = t.doc_id
 """
+
+
+@_query
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness."""
+    return spotsigs.compare_edits(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_spotsigs"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next FROM d),
+e AS (SELECT doc_id, length(text) AS n, text, next,
+             left(text, length(text) - length(text) // 2) || left(next, length(text) // 2) AS edited FROM n),
+x AS (SELECT doc_id, 0 AS k, text AS t FROM e UNION ALL SELECT doc_id, 1, edited FROM e UNION ALL SELECT doc_id, 2, next FROM e),
+w AS (SELECT doc_id, k, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+') AS w FROM x),
+a AS (SELECT doc_id, k, w, list_filter([CASE WHEN list_contains(c, w[i]) THEN
+        array_to_string(list_prepend(w[i], list_filter(w[i + 1 : i + {spotsigs.REACH}], lambda y: NOT list_contains(c, y))[1 : {spotsigs.CHAIN}]), ' ') END
+        FOR i IN range(1, len(w) + 1)], lambda s: s IS NOT NULL AND contains(s, ' ')) AS s
+      FROM w, (SELECT {spotsigs.COMMON} AS c)),
+s AS (SELECT doc_id, k, list_sort(list_distinct(list_transform(
+        CASE WHEN len(s) > 0 THEN s WHEN len(w) > 0 THEN ['all ' || array_to_string(w, ' ')] ELSE [] END,
+        lambda y: left(md5(y), {spotsigs.DIGITS})))) AS s FROM a),
+p AS (SELECT e.doc_id, e.n, e.edited, s0.s AS s0, s1.s AS s1, s2.s AS s2 FROM e JOIN s s0 ON s0.doc_id = e.doc_id AND s0.k = 0
+      JOIN s s1 ON s1.doc_id = e.doc_id AND s1.k = 1 JOIN s s2 ON s2.doc_id = e.doc_id AND s2.k = 2)
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, array_to_string(s0, '') AS fingerprint,
+       array_to_string(s1, '') AS edited_fingerprint,
+       CASE WHEN len(s0) = 0 AND len(s1) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(s0, s1))::DOUBLE / (len(s0) + len(s1) - len(list_intersect(s0, s1))) END AS near_edited,
+       CASE WHEN len(s0) = 0 AND len(s2) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(s0, s2))::DOUBLE / (len(s0) + len(s2) - len(list_intersect(s0, s2))) END AS near_next
+FROM p
+"""
