@@ -63,20 +63,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
-    """64-bit hashes of a text's words (runs of non-white space), of all bytes at once."""
+#: The six white-space bytes that part words.
+WHITE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+
+
+def word_hashes(text: str | None, lower: bool = True, parting: np.ndarray = WHITE, prefix: int = 0) -> np.ndarray:
+    """64-bit hashes of a text's words, of all bytes at once.
+
+    ``parting`` marks the bytes that part words; with ``prefix``, only the first so many
+    code points of each word count.
+    """
     raw = (text or "").encode("utf-8")
     b = np.frombuffer(raw.lower() if lower else raw, np.uint8)
-    blank = (b == 32) | ((b >= 9) & (b <= 13))
+    blank = parting[b]
     first = np.flatnonzero(~blank & np.r_[True, blank[:-1]]) if len(b) else np.empty(0, np.int64)
     if not len(first):
         return np.empty(0, _U)
     start = np.zeros(len(b), np.int64)
     start[first] = first
-    offset = np.arange(len(b)) - np.maximum.accumulate(start)
+    start = np.maximum.accumulate(start)
+    offset = np.arange(len(b)) - start
     powers = np.cumprod(np.full(int(offset.max()) + 1, _STEP))
     value = _BYTES[b] * powers[offset]
     value[blank] = 0
+    if prefix:
+        points = np.cumsum((b & 0xC0) != 0x80)
+        value[points - points[start] >= prefix] = 0
     return _mixed(np.add.reduceat(value, first))
 
 

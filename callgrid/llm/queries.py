@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callgrid.llm import bpe, mixing, neardup, quality, spotsigs, suffix
+from callgrid.llm import bpe, mixing, neardup, quality, spotsigs, suffix, toxicity
 from callgrid.llm.common import table
 
 QUERIES: dict = {}
@@ -95,3 +95,9 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, ar
        CASE WHEN len(s0) = 0 AND len(s2) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(s0, s2))::DOUBLE / (len(s0) + len(s2) - len(list_intersect(s0, s2))) END AS near_next
 FROM p
 """
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
