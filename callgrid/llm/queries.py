@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callgrid.llm import bpe, mixing, neardup, quality, spotsigs, suffix, toxicity
+from callgrid.llm import bpe, htmltext, mixing, neardup, quality, spotsigs, suffix, toxicity
 from callgrid.llm.common import table
 
 QUERIES: dict = {}
@@ -101,3 +101,9 @@ FROM p
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
