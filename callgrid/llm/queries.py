@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callgrid.llm import bpe, htmltext, mixing, neardup, quality, spotsigs, suffix, toxicity
+from callgrid.llm import bpe, htmltext, mixing, neardup, quality, spotsigs, suffix, toxicity, warc
 from callgrid.llm.common import table
 
 QUERIES: dict = {}
@@ -107,3 +107,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives that it was written to."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op5_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
