@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callgrid.llm import bpe, htmltext, mixing, neardup, quality, spotsigs, suffix, toxicity, warc
+from callgrid.llm import bpe, htmltext, mixing, neardup, quality, spotsigs, suffix, tokencount, toxicity, warc
 from callgrid.llm.common import table
 
 QUERIES: dict = {}
@@ -123,3 +123,9 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f
 """
+
+
+@_query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted between the separators of flat token files."""
+    return tokencount.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
