@@ -24,17 +24,16 @@ def _d(value: DateLike):
 
 
 def with_call_datetime(legs: DataFrame, source: str = "call_time") -> DataFrame:
-    """F-2 applied once: ``_call_dt`` (TIMESTAMP_NTZ)."""
+    """F-2 applied once: ``_call_dt`` (TIMESTAMP_NTZ), which the steps of the pipeline hand on to each other."""
     if "_call_dt" in legs.columns:
         return legs
     return legs.withColumn("_call_dt", X.parse_call_time(source))
 
 
 def filter_period_csv(legs: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
-    """P-1: local call date within [start, end]; a missing time is dropped, bad text fails the run."""
-    legs = with_call_datetime(legs)
-    d = F.to_date("_call_dt")
-    return legs.filter(d.between(_d(start), _d(end)))
+    """P-1: local call date within [start, end], open-ended where a bound is missing; a missing time is
+    dropped, bad text fails the run."""
+    return filter_period(with_call_datetime(legs), start, end, ts="_call_dt").filter(F.col("_call_dt").isNotNull())
 
 
 def filter_period(df: DataFrame, start: DateLike = None, end: DateLike = None,

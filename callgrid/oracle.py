@@ -63,13 +63,13 @@ legs0 AS (
     strftime(ts, '%m/%d/%Y %-I:%M %p') AS call_time,
     CASE WHEN user_id % 13 <> 1 THEN 'Caller ' || CAST(user_id AS VARCHAR) END AS caller_name,
     CASE WHEN user_id % 13 = 0 THEN 'Restricted' WHEN user_id % 13 = 1 THEN NULL
-         ELSE '+1 (613) 555-' || lpad(CAST(user_id AS VARCHAR), 4, '0') END AS caller_number,
+         ELSE '+1 (613) 555-' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(4, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') END AS caller_number,
     '6135550100' AS dnis,
     CASE WHEN k % 12 <> 0 THEN CAST(k % 12 + 100 AS VARCHAR) END AS agent_extension,
     CASE WHEN k % 12 = 4 THEN '613-555-0199' END AS agent_phone,
     '00:' || lpad(CAST(k % 60 AS VARCHAR), 2, '0') AS time_in_queue,
     CASE WHEN k = 5 THEN '53ms' WHEN event_type IN ('error', 'signup') THEN '00:00'
-         ELSE lpad(CAST(v // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(v % 60 AS VARCHAR), 2, '0') END AS agent_time,
+         ELSE lpad(CAST(v // 60 AS VARCHAR), CAST(greatest(2, length(CAST(v // 60 AS VARCHAR))) AS INTEGER), '0') || ':' || lpad(CAST(v % 60 AS VARCHAR), 2, '0') END AS agent_time,
     CASE WHEN k % 4 = 0 THEN '00:' || lpad(CAST(k % 60 AS VARCHAR), 2, '0') ELSE '00:00' END AS hold_time,
     k % 12 AS slot,
     CASE WHEN event_type = 'error' THEN 'No Answer' WHEN event_type = 'signup' THEN ' Abandoned '

@@ -32,8 +32,8 @@ api0 AS (
     CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts)
          ELSE timezone('{TZ}', timezone('UTC', date_trunc('second', ts))) END AS call_datetime,
     CASE WHEN user_id % 13 = 0 THEN 'Restricted' WHEN user_id % 13 = 1 THEN NULL
-         WHEN user_id % 13 = 2 THEN 'sip:+1613555' || lpad(CAST(user_id AS VARCHAR), 4, '0') || '@pbx.example.net;user=phone'
-         ELSE '+1 (613) 555-' || lpad(CAST(user_id AS VARCHAR), 4, '0') END AS from_number,
+         WHEN user_id % 13 = 2 THEN 'sip:+1613555' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(4, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') || '@pbx.example.net;user=phone'
+         ELSE '+1 (613) 555-' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(4, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') END AS from_number,
     CASE WHEN k = 5 THEN NULL WHEN event_type IN ('error', 'signup') THEN (CASE WHEN k % 5 = 1 THEN 12.0 ELSE 0.0 END)
          ELSE CAST(v AS DOUBLE) END AS agent_sec,
     CASE WHEN event_type = 'error' THEN 'No Answer' WHEN event_type = 'signup' THEN 'Abandoned'

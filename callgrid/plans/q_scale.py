@@ -15,8 +15,6 @@ from callgrid.plans import context as ctx
 from callgrid.plans.catalog import register
 from callgrid.sources.testdata import lineitem_to_legs
 
-LI_START, LI_END = "1992-01-01", "1998-12-31"
-
 LI_CURATED = f"""WITH li AS (
   SELECT *, CASE l_suppkey % 4 WHEN 0 THEN '8020' WHEN 1 THEN '8021' WHEN 2 THEN '8030' ELSE '8031' END AS queue_id
   FROM lineitem),
@@ -24,7 +22,7 @@ legs AS (
   SELECT li.*, 'o' || CAST(l_orderkey AS VARCHAR) AS orig_call_id,
     strftime(l_shipdate, '%m/%d/%Y %-I:%M %p') AS call_time,
     CASE WHEN l_partkey % 17 = 0 THEN 'Restricted'
-         ELSE '+1 (416) 55' || lpad(CAST(l_partkey % 100000 AS VARCHAR), 5, '0') END AS caller_number,
+         ELSE '+1 (416) 55' || lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(5, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0') END AS caller_number,
     CASE WHEN l_returnflag = 'R' THEN '00:00'
          ELSE lpad(CAST(CAST(l_quantity * 7 AS BIGINT) // 60 AS VARCHAR), 2, '0') || ':' ||
               lpad(CAST(CAST(l_quantity * 7 AS BIGINT) % 60 AS VARCHAR), 2, '0') END AS agent_time,
@@ -32,11 +30,8 @@ legs AS (
     CASE WHEN l_discount > 0.05 THEN '00:30' ELSE '00:00' END AS hold_time,
     CASE WHEN l_returnflag = 'R' THEN NULL ELSE 'Agent ' || CAST(l_suppkey % 40 AS VARCHAR) END AS agent_name
   FROM li),
-filtered AS (
-  SELECT * FROM legs
-  WHERE CAST(strptime(call_time, '%m/%d/%Y %I:%M %p') AS DATE) BETWEEN DATE '{LI_START}' AND DATE '{LI_END}'),
 deduped AS (
-  SELECT * FROM filtered QUALIFY row_number() OVER (PARTITION BY queue_id, orig_call_id
+  SELECT * FROM legs QUALIFY row_number() OVER (PARTITION BY queue_id, orig_call_id
     ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_shipdate DESC, l_quantity DESC,
              l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1),
 curated AS (
@@ -50,7 +45,7 @@ curated AS (
 
 
 def _curated(spark, sf_dir):
-    return csv_pipeline(lineitem_to_legs(spark, sf_dir), LI_START, LI_END)
+    return csv_pipeline(lineitem_to_legs(spark, sf_dir), None, None)  # the whole table: no period bounds
 
 
 @register("lineitem_headline", LI_CURATED + f""",

@@ -49,14 +49,17 @@ def get_session(master: str | None = None, app_name: str = "callgrid",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (a local test run) a scratch
-    folder is created and registered.
+    Read from the session; only when it is unset and the master is local (tests) a scratch
+    folder is created and registered. On a cluster an unset folder is an error: executors
+    would each write to a disk of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="callgrid-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -72,17 +75,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster can run at once.
-
-    Small inputs stored as one row group (e.g. one parquet file) would otherwise keep all
-    per-row work in a single task. Large inputs already split into many partitions are
-    returned untouched, so this never adds a shuffle at scale.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. remote clients): leave as is
-        return df
-    return df.repartition(target) if parts < target else df

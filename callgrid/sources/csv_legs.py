@@ -5,9 +5,8 @@ null; the blank-header junk columns are dropped (P-4, T21); the queue comes from
 file name pattern ``*_<queue id>_*.csv`` and the dimension; ``leg_no`` is the file-order
 ordinal (file name, split offset, row position) used by keep-last.
 
-Files are read splittable by default, so one large export is scanned by many tasks.
-``multiline=True`` is needed only when quoted fields contain line breaks; it makes each
-file a single split, so it is opt-in.
+Quoted fields may hold line breaks, as the exports allow; a file is then one split. Where
+it is known that no field holds one, ``multiline=False`` scans a large export by many tasks.
 """
 
 from __future__ import annotations
@@ -19,17 +18,15 @@ from callgrid.functions.exprs import na_to_null
 from callgrid.schemas import CSV_HEADER_TO_COLUMN, DEFAULT_QUEUES, RAW_LEG_COLUMNS, Queue
 
 
-def _reader(spark: SparkSession, queue_id: str, multiline: bool = False):
-    return (spark.read.option("header", True).option("inferSchema", False).option("multiLine", multiline)
-            .option("pathGlobFilter", f"*_{queue_id}_*.csv"))
-
-
 def find_queue_csv(spark: SparkSession, csv_dir: str, queue_id: str) -> str | None:
-    """S-1: the one file of a queue; None when missing, error when ambiguous (listing only)."""
-    try:
-        files = sorted(_reader(spark, queue_id).csv(csv_dir).inputFiles())
-    except Exception:  # noqa: BLE001 - an empty match raises while inferring the header
-        return None
+    """S-1: the one file of a queue; None when the folder or a match is missing, error when ambiguous.
+
+    A listing only. Storage and permission errors are raised, not taken for a missing file.
+    """
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(csv_dir, f"*_{queue_id}_*.csv")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted(s.getPath().toString() for s in (fs.globStatus(pattern) or []) if s.isFile())
     if not files:
         return None
     if len(files) > 1:
@@ -38,7 +35,7 @@ def find_queue_csv(spark: SparkSession, csv_dir: str, queue_id: str) -> str | No
     return files[0]
 
 
-def load_queue_csv(spark: SparkSession, path: str, queue: Queue, multiline: bool = False) -> DataFrame:
+def load_queue_csv(spark: SparkSession, path: str, queue: Queue, multiline: bool = True) -> DataFrame:
     """S-2: one queue file -> raw legs with lineage columns."""
     df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", multiline)
           .option("quote", '"').option("escape", '"').csv(path))
@@ -57,7 +54,7 @@ def load_queue_csv(spark: SparkSession, path: str, queue: Queue, multiline: bool
 
 
 def load_csv_legs(spark: SparkSession, csv_dir: str, queues: tuple[Queue, ...] = DEFAULT_QUEUES,
-                  multiline: bool = False) -> tuple[DataFrame | None, list[dict]]:
+                  multiline: bool = True) -> tuple[DataFrame | None, list[dict]]:
     """All queues (U-1) plus the gap rows of queues without a file (J-7)."""
     frames, gaps = [], []
     for q in queues:

@@ -10,18 +10,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callgrid.schemas import DEFAULT_QUEUES, RAW_LEG_COLUMNS, Queue, queue_dim
-from callgrid.session import spread, table_path
+from callgrid.session import table_path
 
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
+def _padded(number: Column, width: int) -> Column:
+    """Decimal text with leading zeros up to ``width``; longer numbers keep all digits."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def _mmss(total: Column) -> Column:
-    return F.concat(F.lpad((total / 60).cast("bigint").cast("string"), 2, "0"), F.lit(":"),
-                    F.lpad((total % 60).cast("string"), 2, "0"))
+    return F.concat(_padded((total / 60).cast("bigint"), 2), F.lit(":"), _padded(total % 60, 2))
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(table_path(sf_dir, "events")).select(*EVENT_COLUMNS))
+    return spark.read.parquet(table_path(sf_dir, "events")).select(*EVENT_COLUMNS)
 
 
 def events_base(events: DataFrame) -> DataFrame:
@@ -46,9 +51,7 @@ def events_to_legs(events: DataFrame, spark: SparkSession,
                    queues: tuple[Queue, ...] = DEFAULT_QUEUES) -> DataFrame:
     """Raw CSV-style call legs (all text) with lineage columns and a file-order ordinal ``leg_no``.
 
-    The adapter knows the event timestamp, so it also carries ``_call_dt``, the call time
-    exactly as parsing ``call_time`` would give it (minute precision); the curation reuses
-    it instead of parsing the text again. Built as SQL expressions (one plan node).
+    Built as SQL expressions (one plan node).
     """
     by = {(q.language, q.role): q.queue_id for q in queues}
     qid = (f"CASE WHEN k < 70 THEN (CASE WHEN user_id % 2 = 0 THEN '{by[('English', 'primary')]}' "
@@ -58,16 +61,17 @@ def events_to_legs(events: DataFrame, spark: SparkSession,
         "event_id AS leg_no", f"{qid} AS queue_id", "k", "k % 12 AS slot",
         "concat('c', CAST(user_id * 1000 + dayofyear(ts) AS STRING)) AS orig_call_id",
         "date_format(ts, 'MM/dd/yyyy h:mm a') AS call_time",
-        "CAST(date_trunc('MINUTE', ts) AS TIMESTAMP_NTZ) AS _call_dt",
         "CASE WHEN user_id % 13 <> 1 THEN concat('Caller ', CAST(user_id AS STRING)) END AS caller_name",
         "CASE WHEN user_id % 13 = 0 THEN 'Restricted' WHEN user_id % 13 = 1 THEN CAST(NULL AS STRING) "
-        "ELSE concat('+1 (613) 555-', lpad(CAST(user_id AS STRING), 4, '0')) END AS caller_number",
+        "ELSE concat('+1 (613) 555-', lpad(CAST(user_id AS STRING), greatest(4, length(CAST(user_id AS STRING))), '0')) "
+        "END AS caller_number",
         "'6135550100' AS dnis",
         "CASE WHEN k % 12 <> 0 THEN CAST(k % 12 + 100 AS STRING) END AS agent_extension",
         "CASE WHEN k % 12 = 4 THEN '613-555-0199' END AS agent_phone",
         "concat('00:', lpad(CAST(k % 60 AS STRING), 2, '0')) AS time_in_queue",
         "CASE WHEN k = 5 THEN '53ms' WHEN event_type IN ('error', 'signup') THEN '00:00' "
-        "ELSE concat(lpad(CAST(v DIV 60 AS STRING), 2, '0'), ':', lpad(CAST(v % 60 AS STRING), 2, '0')) END "
+        "ELSE concat(lpad(CAST(v DIV 60 AS STRING), greatest(2, length(CAST(v DIV 60 AS STRING))), '0'), ':', "
+        "lpad(CAST(v % 60 AS STRING), 2, '0')) END "
         "AS agent_time",
         "CASE WHEN k % 4 = 0 THEN concat('00:', lpad(CAST(k % 60 AS STRING), 2, '0')) ELSE '00:00' END AS hold_time",
         "CASE WHEN event_type = 'error' THEN 'No Answer' WHEN event_type = 'signup' THEN ' Abandoned ' "
@@ -85,7 +89,7 @@ def events_to_legs(events: DataFrame, spark: SparkSession,
         "concat('calls_', queue_id, '_2024-01.csv') AS source_file").drop("k", "slot")
     dim = queue_dim(spark, queues).drop("queue_pos")
     legs = legs.join(F.broadcast(dim), "queue_id", "inner")
-    return legs.select(*RAW_LEG_COLUMNS, "_call_dt")
+    return legs.select(*RAW_LEG_COLUMNS)
 
 
 def legs_from_tables(spark: SparkSession, sf_dir: str,
@@ -106,7 +110,7 @@ def lineitem_to_legs(spark: SparkSession, sf_dir: str,
     ``leg_no`` is the full ordering list as a struct, so keep-last is deterministic even
     though ``(l_orderkey, l_linenumber)`` is not unique.
     """
-    li = spread(spark.read.parquet(table_path(sf_dir, "lineitem")))
+    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
     qid = F.element_at(F.array(*[F.lit(q.queue_id) for q in queues]),
                        (F.col("l_suppkey") % len(queues) + 1).cast("int"))
     secs = (F.col("l_quantity") * 7).cast("bigint")
@@ -116,7 +120,7 @@ def lineitem_to_legs(spark: SparkSession, sf_dir: str,
         F.date_format("l_shipdate", "MM/dd/yyyy h:mm a").alias("call_time"),
         F.lit(None).cast("string").alias("caller_name"),
         F.when(F.col("l_partkey") % 17 == 0, F.lit("Restricted"))
-         .otherwise(F.concat(F.lit("+1 (416) 55"), F.lpad((F.col("l_partkey") % 100000).cast("string"), 5, "0")))
+         .otherwise(F.concat(F.lit("+1 (416) 55"), _padded(F.col("l_partkey"), 5)))
          .alias("caller_number"),
         F.lit(None).cast("string").alias("dnis"),
         F.lit(None).cast("string").alias("agent_extension"),
@@ -132,12 +136,11 @@ def lineitem_to_legs(spark: SparkSession, sf_dir: str,
         "l_orderkey",
     )
     # file-order stand-in: the full ordering list as one comparable struct (no duplicate full rows)
-    legs = legs.withColumn("leg_no", F.struct(*[F.col(c) for c in LINEITEM_ORDER])).withColumn(
-        "_call_dt", F.date_trunc("MINUTE", "l_shipdate").cast("timestamp_ntz"))
+    legs = legs.withColumn("leg_no", F.struct(*[F.col(c) for c in LINEITEM_ORDER]))
     dim = queue_dim(spark, queues).drop("queue_pos")
     legs = legs.join(F.broadcast(dim), "queue_id").withColumn(
         "source_file", F.concat(F.lit("lineitem_"), F.col("queue_id"), F.lit(".csv")))
-    return legs.select(*RAW_LEG_COLUMNS, "_call_dt")
+    return legs.select(*RAW_LEG_COLUMNS)
 
 
 # --- events as nested API records (JSON Lines) -----------------------------------------
@@ -164,9 +167,9 @@ def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT
     start = F.when(F.col("event_id") % 2 == 0, local).otherwise(F.concat(local, F.lit("Z")))
     number = (F.when(uid % 13 == 0, F.lit("Restricted"))
               .when(uid % 13 == 1, F.lit(None).cast("string"))
-              .when(uid % 13 == 2, F.concat(F.lit("sip:+1613555"), F.lpad(uid.cast("string"), 4, "0"),
+              .when(uid % 13 == 2, F.concat(F.lit("sip:+1613555"), _padded(uid, 4),
                                             F.lit("@pbx.example.net;user=phone")))
-              .otherwise(F.concat(F.lit("+1 (613) 555-"), F.lpad(uid.cast("string"), 4, "0"))))
+              .otherwise(F.concat(F.lit("+1 (613) 555-"), _padded(uid, 4))))
     frm = F.to_json(F.struct(
         F.concat(F.lit("c"), (uid * 1000 + F.dayofyear("ts")).cast("string")).alias("call_id"),
         number.alias("number"), F.concat(F.lit("Caller "), uid.cast("string")).alias("name")))

@@ -41,11 +41,3 @@ def test_api_keep_last_null_sort_key_wins(spark):
     got = {r.call_key: r.rec_no for r in dedup_api(recs).collect()}
     assert got == {"c1": 3, "c2": 4, "c3": 7}
 
-
-def test_spread_only_touches_small_inputs(spark):
-    from callgrid.session import spread
-    target = spark.sparkContext.defaultParallelism
-    big = spark.range(0, 1000, 1, numPartitions=target * 2)
-    assert spread(big) is big  # already split: no extra shuffle
-    small = spark.range(0, 1000, 1, numPartitions=1)
-    assert spread(small).rdd.getNumPartitions() == target
