@@ -3,15 +3,15 @@
 card (A-20, W-5) and the daily sparkline (W-6).
 
 Scale notes: every aggregate is partial+final (map-side combined), so a queue with a
-third of all calls is pre-aggregated before the shuffle. Exact percentiles keep a
-value -> count map per group; durations are integral seconds, so the map stays small.
+third of all calls is pre-aggregated before the shuffle. Exact percentiles come from
+counts per distinct value and running sums over them, never from a group's raw values.
 Windows only run on aggregated rows, and top-k windows (``row_number() <= k``) get a
 partial ``WindowGroupLimit`` before their exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callgrid.functions.exprs import is_restricted, valid_agent_name, ws_trim
@@ -21,6 +21,36 @@ MEASURES = ("queue_sec", "agent_sec", "hold_sec")
 DIST_STATS = ("count", "mean", "std", "min", "p25", "median", "p75", "max")
 
 
+def value_statistics(df: DataFrame, keys: list[str], value: str, quantiles: tuple[float, ...]) -> DataFrame:
+    """Count, mean, sample std, min, max, sum and exact interpolated quantiles of ``value`` by ``keys``.
+
+    Values are first counted per (keys, value), which combines in every map task; running
+    counts over the sorted distinct values then give the quantiles. No group holds its raw
+    values in memory, and a group that has most rows is spread until only its distinct
+    values are left.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*keys)
+    scan = counted.withColumns({
+        "_upto": F.sum("_n").over(whole.orderBy(value)), "_all": F.sum("_n").over(whole),
+        "_mean": F.sum(F.col(value) * F.col("_n")).over(whole) / F.sum("_n").over(whole)})
+
+    def at(place) -> Column:  # the value at a 0-based place of the sorted rows
+        return F.min(F.when(F.col("_upto") > place, F.col(value)))
+
+    def quantile(p: float) -> Column:
+        place = F.lit(p) * (F.col("_all") - 1)
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        return low + (high - low) * F.max(place - F.floor(place))
+
+    square = F.sum(F.col("_n") * (F.col(value) - F.col("_mean")) * (F.col(value) - F.col("_mean")))
+    return scan.groupBy(*keys).agg(
+        F.sum("_n").alias("count"), F.max("_mean").alias("mean"),
+        F.when(F.sum("_n") > 1, F.sqrt(square / F.greatest(F.sum("_n") - 1, F.lit(1)))).alias("std"),
+        F.min(value).alias("min"), F.max(value).alias("max"), F.sum(F.col(value) * F.col("_n")).alias("sum"),
+        F.array(*[quantile(p) for p in quantiles]).alias("quantiles"))
+
+
 def duration_distribution(curated: DataFrame, dim: DataFrame) -> DataFrame:
     """A-7: count, mean, sample std, min, p25, median, p75, max for three populations.
 
@@ -38,16 +68,9 @@ def duration_distribution(curated: DataFrame, dim: DataFrame) -> DataFrame:
                 F.lit("hold_sec"), F.when(F.coalesce("hold_sec", F.lit(0.0)) > 0, F.col("hold_sec")),
                 ).alias("measure", "value"),
     ).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    stats = long.groupBy("queue_id", "measure").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.percentile("value", [0.25, 0.5, 0.75]).alias("_q"),
-        F.max("value").alias("max"),
-    ).select("queue_id", "measure", "count", "mean",
-             F.when(F.col("count") > 1, F.col("std")).alias("std"), "min",
-             F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("p75"), "max")
+    stats = value_statistics(long, ["queue_id", "measure"], "value", (0.25, 0.5, 0.75)).select(
+        "queue_id", "measure", "count", "mean", "std", "min",
+        F.col("quantiles")[0].alias("p25"), F.col("quantiles")[1].alias("median"), F.col("quantiles")[2].alias("p75"), "max")
     grid = dim.select("queue_id", F.explode(F.array(*[F.lit(m) for m in MEASURES])).alias("measure"))
     return (grid.join(stats, ["queue_id", "measure"], "left")
             .withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint")))
@@ -75,10 +98,10 @@ def agent_leaderboard(curated: DataFrame) -> DataFrame:
     would make Spark scan and deduplicate the calls a second time.
     """
     c = with_handled(curated)
-    lb = (c.filter(F.col("is_handled") & valid_agent_name("agent_name"))
-          .groupBy("queue_id", "agent_name")
-          .agg(F.count("call_id").alias("calls"), F.avg("agent_sec").alias("avg_sec"),
-               F.median("agent_sec").alias("median_sec"), F.sum("agent_sec").alias("total_sec")))
+    answered = c.filter(F.col("is_handled") & valid_agent_name("agent_name"))
+    lb = value_statistics(answered, ["queue_id", "agent_name"], "agent_sec", (0.5,)).select(
+        "queue_id", "agent_name", F.col("count").alias("calls"), F.col("mean").alias("avg_sec"),
+        F.col("quantiles")[0].alias("median_sec"), F.col("sum").alias("total_sec"))
     by_q = Window.partitionBy("queue_id")
     w = by_q.orderBy(F.desc("calls"), F.asc("agent_name"))
     return (lb.withColumn("pct_of_answered", F.col("calls") / F.sum("calls").over(by_q))
