@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from callgrid.functions import exprs as X
 from callgrid.operators.curate import filter_period
 from callgrid.operators.dedup import dedup_api
-from callgrid.operators.flatten import is_number, scalar_text, sub
+from callgrid.operators.flatten import depth_expr, is_number, object_depth, scalar_text, sub
 from callgrid.operators.resolve import resolve_queues
 from callgrid.schemas import CURATED_COLUMNS, DEFAULT_QUEUES, Queue, queue_dim
 
@@ -43,7 +43,8 @@ MISSING_FIELDS_MESSAGE = "Missing required API fields: {fields}"
 UNMAPPED_MESSAGE = "{n} API CDR rows could not be mapped to tracked queue IDs."
 DEFAULT_TIMEZONE = "America/Toronto"
 
-_OFFSET = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+# an offset stands behind a time of day; the end of a bare date is none
+_TIME_OFFSET = r"([T ][0-9]{2}:[0-9]{2}[0-9:.,]*)\s*(Z|[+-][0-9]{2}(?::?[0-9]{2})?)$"
 
 
 def first_present_text(rec: str, paths: tuple[str, ...]) -> Column:
@@ -86,9 +87,11 @@ def api_wall_clock(text: str | Column, tz: str = DEFAULT_TIMEZONE) -> Column:
     ``tz`` wall-clock. The offset is detected first because parsing would drop it.
     """
     t = F.col(text) if isinstance(text, str) else text
-    off = F.regexp_extract(t, _OFFSET, 1)
-    src = F.when(off == "", F.lit(tz)).when(off == "Z", F.lit("UTC")).otherwise(off)
-    naive = F.to_timestamp_ntz(F.regexp_replace(F.regexp_replace(t, _OFFSET, ""), " ", "T"))
+    off = F.regexp_extract(t, _TIME_OFFSET, 2)
+    minutes = F.when(F.length(off) > 3, F.right(off, F.lit(2))).otherwise(F.lit("00"))
+    src = F.when(off == "", F.lit(tz)).when(off == "Z", F.lit("UTC")).otherwise(
+        F.concat(F.left(off, F.lit(3)), F.lit(":"), minutes))
+    naive = F.to_timestamp_ntz(F.regexp_replace(F.regexp_replace(t, _TIME_OFFSET, "$1"), " ", "T"))
     return F.convert_timezone(src, F.lit(tz), naive)
 
 
@@ -97,6 +100,7 @@ class FieldPresence:
     call_id: bool
     start_time: bool
     sort_field: bool
+    depth: int  # levels of nested objects in the records
 
     @property
     def missing(self) -> list[str]:
@@ -104,10 +108,11 @@ class FieldPresence:
 
 
 def field_presence(records: DataFrame, rec: str = "rec") -> FieldPresence:
-    """P-11 gate (one driver-side aggregate): which key fields exist in any record."""
+    """P-11 gate (one driver-side aggregate): which key fields exist in any record, and how deep records nest."""
     row = records.agg(*[F.max(sub(rec, p).isNotNull()).alias(a) for p, a in
-                        ((CALL_ID_FIELD, "c"), (START_TIME_FIELD, "s"), (SORT_FIELD, "o"))]).first()
-    return FieldPresence(bool(row["c"]), bool(row["s"]), bool(row["o"]))
+                        ((CALL_ID_FIELD, "c"), (START_TIME_FIELD, "s"), (SORT_FIELD, "o"))],
+                      F.max(depth_expr(rec)).alias("depth")).first()
+    return FieldPresence(bool(row["c"]), bool(row["s"]), bool(row["o"]), max(1, row["depth"] or 1))
 
 
 def keyed_records(records: DataFrame, presence: FieldPresence, rec: str = "rec") -> DataFrame:
@@ -120,13 +125,14 @@ def keyed_records(records: DataFrame, presence: FieldPresence, rec: str = "rec")
 
 
 def curate_api(deduped: DataFrame, queues: tuple[Queue, ...] = DEFAULT_QUEUES, tz: str = DEFAULT_TIMEZONE,
-               start: str | None = None, end: str | None = None, rec: str = "rec") -> tuple[DataFrame, DataFrame]:
+               start: str | None = None, end: str | None = None, rec: str = "rec",
+               depth: int | None = None) -> tuple[DataFrame, DataFrame]:
     """P-2 -> J-1/J-2 -> P-13. Returns ``(curated, unmapped)``; ``unmapped`` are the
     in-period records no queue matched (counted by P-18, not curated)."""
     start_text = scalar_text(rec, START_TIME_FIELD)
     dated = deduped.withColumn("call_datetime", api_wall_clock(start_text, tz))
     dated = filter_period(dated, start, end, ts="call_datetime")
-    resolved = resolve_queues(dated, queues, "rec_no", rec)
+    resolved = resolve_queues(dated, queues, depth or object_depth(deduped, rec), rec)
     unmapped = resolved.filter(F.col("queue_id").isNull())
     mapped = resolved.filter(F.col("queue_id").isNotNull())
     dim = queue_dim(mapped.sparkSession, queues).drop("queue_pos")
@@ -184,7 +190,7 @@ def api_pipeline(records: DataFrame, queues: tuple[Queue, ...] = DEFAULT_QUEUES,
     if presence.missing:
         raise ValueError(MISSING_FIELDS_MESSAGE.format(fields=", ".join(presence.missing)))
     deduped = dedup_api(keyed_records(records, presence, rec), key="call_key", sort_key="sort_key", ordinal="rec_no")
-    curated, unmapped = curate_api(deduped, queues, tz, start, end, rec)
+    curated, unmapped = curate_api(deduped, queues, tz, start, end, rec, presence.depth)
     return curated, unmapped, deduped
 
 

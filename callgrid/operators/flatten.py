@@ -1,10 +1,10 @@
 """Nested records as VARIANT: path access (F-6, T6), flattening to dotted paths (F-12)
 and the field inventory (F-13, U-2).
 
-Flattening is a depth-bounded chain of explodes: at every level an object row is
-replaced by its children and a leaf row passes through unchanged, so there is one
-generator per level and no re-scan of the input. Arrays and nulls are leaves, as in
-the source's own flattening. Anything still an object at the bound fails the job.
+Flattening is a chain of row-local expressions, one a level: an object entry is replaced
+by its children and a leaf passes through unchanged. Arrays and nulls are leaves, as in
+the source's own flattening. The number of levels is that of the data: one aggregate
+over all records gives it, so records of any depth are flattened.
 """
 
 from __future__ import annotations
@@ -55,12 +55,30 @@ def is_number(rec: str | Column, path: str) -> Column:
                       | t.startswith("DECIMAL"), F.lit(False))
 
 
-def leaves(rec: str | Column, max_depth: int = 5) -> Column:
+def depth_expr(rec: str | Column = "rec") -> Column:
+    """Levels of braces in a record's JSON text, strings left out: no fewer than its levels of objects."""
+    bare = F.regexp_replace(F.to_json(rec), r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    braces = F.split(F.regexp_replace(bare, "[^{}]", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(a: Column, c: Column) -> Column:
+        now = a["now"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+
+    return F.aggregate(braces, start, step, lambda a: a["most"])
+
+
+def object_depth(df: DataFrame, rec: str = "rec") -> int:
+    """Levels of nested objects in the deepest record (1: flat); one aggregate over all records."""
+    return max(1, df.agg(F.max(depth_expr(rec))).first()[0] or 1)
+
+
+def leaves(rec: str | Column, depth: int) -> Column:
     """F-12 as a row-local expression: ``array<struct<path, value>>`` of every leaf.
 
     Each level replaces object entries by their children (``transform`` + ``flatten``);
     arrays and nulls are leaves, empty objects vanish. No shuffle, no join: the work stays
-    with the record. A record still nested at the bound fails the job.
+    with the record. ``depth`` comes from :func:`object_depth`; a deeper record fails the job.
     """
     r = F.col(rec) if isinstance(rec, str) else rec
 
@@ -71,19 +89,19 @@ def leaves(rec: str | Column, max_depth: int = 5) -> Column:
             e["value"].alias("value")))
 
     arr = F.coalesce(entries(r, None), F.array().cast("array<struct<path:string,value:variant>>"))
-    for _ in range(max_depth - 1):
+    for _ in range(depth - 1):
         arr = F.flatten(F.transform(arr, lambda x: F.when(is_object(x["value"]), entries(x["value"], x["path"]))
                                     .otherwise(F.array(x))))
     deep = F.exists(arr, lambda x: is_object(x["value"]))
-    return F.when(deep, F.raise_error(F.lit(f"record nesting deeper than {max_depth} levels"))).otherwise(arr)
+    return F.when(deep, F.raise_error(F.lit(f"record nesting deeper than {depth} levels"))).otherwise(arr)
 
 
-def flatten_paths(df: DataFrame, id_cols: Sequence[str], rec: str = "rec", max_depth: int = 5) -> DataFrame:
+def flatten_paths(df: DataFrame, id_cols: Sequence[str], rec: str = "rec") -> DataFrame:
     """F-12: one row per leaf ``(ids…, path, value)``; ``value`` stays VARIANT.
 
     VARIANT keeps object keys sorted, so "record order" of fields is path order.
     """
-    return df.select(*id_cols, F.inline(leaves(rec, max_depth)))
+    return df.select(*id_cols, F.inline(leaves(rec, object_depth(df, rec))))
 
 
 def leaf_text(value: str | Column = "value") -> Column:
@@ -91,7 +109,7 @@ def leaf_text(value: str | Column = "value") -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
-def field_inventory(df: DataFrame, rec: str = "rec", max_depth: int = 5) -> DataFrame:
+def field_inventory(df: DataFrame, rec: str = "rec") -> DataFrame:
     """F-13: sorted distinct flattened paths over all records."""
-    leaves = flatten_paths(df.select(F.monotonically_increasing_id().alias("_r"), rec), ["_r"], rec, max_depth)
+    leaves = flatten_paths(df.select(F.monotonically_increasing_id().alias("_r"), rec), ["_r"], rec)
     return leaves.select("path").distinct()

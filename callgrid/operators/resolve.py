@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callgrid.functions.exprs import clean_text, ws_trim
-from callgrid.operators.flatten import leaves, scalar_text
+from callgrid.operators.flatten import leaves, object_depth, scalar_text
 from callgrid.schemas import Queue
 
 # Candidate paths that may carry the queue, in priority order.
@@ -65,13 +65,13 @@ def with_exact_queue(records: DataFrame, queues: tuple[Queue, ...], rec: str = "
     return staged.withColumn(out, F.coalesce(*[match_exact(F.col(n), queues, maps) for n in names])).drop(*names)
 
 
-def fallback_expr(rec: str | Column, queues: tuple[Queue, ...]) -> Column:
+def fallback_expr(rec: str | Column, queues: tuple[Queue, ...], depth: int) -> Column:
     """J-2 as a row-local expression: the first field (path order) whose path contains
     "queue" and whose value names a tracked queue.
 
     Each leaf's text is extracted once, non-queue paths are dropped before any matching.
     """
-    texts = F.filter(F.transform(leaves(rec), lambda x: F.struct(
+    texts = F.filter(F.transform(leaves(rec, depth), lambda x: F.struct(
         x["path"].alias("path"), F.try_variant_get(x["value"], "$", "string").alias("t"))),
         lambda c: F.lower(c["path"]).contains("queue"))
     trimmed = F.transform(texts, lambda c: F.struct(c["path"].alias("path"), ws_trim(c["t"]).alias("t")))
@@ -86,14 +86,13 @@ def fallback_expr(rec: str | Column, queues: tuple[Queue, ...]) -> Column:
 def resolve_fallback(unresolved: DataFrame, queues: tuple[Queue, ...], id_col: str = "rec_no",
                      rec: str = "rec") -> DataFrame:
     """J-2: ``(id, fallback_queue_id)`` for the records it resolves."""
-    return (unresolved.select(id_col, fallback_expr(rec, queues).alias("fallback_queue_id"))
+    return (unresolved.select(id_col, fallback_expr(rec, queues, object_depth(unresolved, rec)).alias("fallback_queue_id"))
             .filter(F.col("fallback_queue_id").isNotNull()))
 
 
-def resolve_queues(records: DataFrame, queues: tuple[Queue, ...], id_col: str = "rec_no",
-                   rec: str = "rec") -> DataFrame:
+def resolve_queues(records: DataFrame, queues: tuple[Queue, ...], depth: int, rec: str = "rec") -> DataFrame:
     """J-1 then J-2 (only for rows J-1 left open); adds ``queue_id`` (null when nothing
-    matched). Both steps are expressions over the record: no shuffle, no join."""
+    matched). ``depth`` is the records' object depth. Both steps are expressions over the record: no shuffle, no join."""
     r = with_exact_queue(records, queues, rec)
-    return (r.withColumn("queue_id", F.coalesce(F.col("_q1"), F.when(F.col("_q1").isNull(), fallback_expr(rec, queues))))
+    return (r.withColumn("queue_id", F.coalesce(F.col("_q1"), F.when(F.col("_q1").isNull(), fallback_expr(rec, queues, depth))))
             .drop("_q1"))

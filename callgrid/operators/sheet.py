@@ -64,7 +64,7 @@ def detect_header(lines: DataFrame, required_groups: Sequence[Sequence[str]], sh
     """Rows after each sheet's header line as ``(sheet, line_no, record map<header, value>)``.
 
     Duplicate headers get ``_1``, ``_2`` …; null headers are dropped; all-null rows are
-    skipped. One header per sheet, so the header table is bounded by the number of sheets.
+    skipped. A sheet without a header row fails the job. There is one header row per sheet.
     """
     has_group = None
     for group in required_groups:
@@ -84,7 +84,9 @@ def detect_header(lines: DataFrame, required_groups: Sequence[Sequence[str]], sh
         .when(F.col("k") == 0, F.col("name")).otherwise(F.concat("name", F.lit("_"), F.col("k").cast("string"))))
     names = pos.groupBy(sheet).agg(F.sort_array(F.collect_list(F.struct("i", "uname"))).alias("_n"))
     hdr = hdr.join(names, sheet).select(sheet, "h_line", F.transform("_n", lambda x: x["uname"]).alias("headers"))
-    body = lines.join(F.broadcast(hdr), sheet).filter(F.col(line_no) > F.col("h_line"))
+    missing = F.raise_error(F.concat(F.lit("no header row in sheet "), F.col(sheet))).cast("boolean")
+    body = lines.join(hdr, sheet, "left").filter(F.when(F.col("h_line").isNull(), missing)
+                                                 .otherwise(F.col(line_no) > F.col("h_line")))
     body = body.filter(F.exists(F.col(cells), lambda x: x.isNotNull()))
     pairs = F.filter(F.arrays_zip(F.col("headers").alias("k"), F.col(cells).alias("v")), lambda e: e["k"].isNotNull())
     return body.select(sheet, line_no, F.map_from_entries(

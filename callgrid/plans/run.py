@@ -9,6 +9,7 @@ lost mid-run then recompute from the checkpoint rather than from raw files.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from callgrid.operators.curate import curate_csv, filter_period_csv
 from callgrid.operators.dedup import dedup_csv
 from callgrid.schemas import DEFAULT_QUEUES, Queue, queue_dim, queue_ids
 from callgrid.session import cut_lineage
-from callgrid.sinks.store import PeriodStore, raw_legs_table
+from callgrid.sinks.store import PeriodStore, canonical_json, raw_legs_table
 
 
 @dataclass
@@ -36,8 +37,8 @@ class PeriodResult:
     gaps: list[dict]
 
 
-def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue, ...], start: str, end: str,
-                  gaps: DataFrame, caller_threshold: int = N.CALLER_THRESHOLD) -> dict[str, DataFrame]:
+def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue, ...],
+                  caller_threshold: int = N.CALLER_THRESHOLD) -> dict[str, DataFrame]:
     """Every stored metric table of a period from its curated calls (SNK-8/SNK-9 layout)."""
     dim = queue_dim(spark, queues)
     ids = queue_ids(queues)
@@ -49,21 +50,22 @@ def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue,
     callers = X.consolidated_callers(curated, ids)
     agents = X.consolidated_agents(curated, ids)
     funnel = X.language_funnel(cube, dim)
+    top = M.top_callers(curated)
     anomalies = N.all_anomalies(lb, hourly, callers, caller_threshold)
     return {
         "queue_dim": dim.drop("queue_pos"),
-        "queue_period_metrics": R.queue_documents(head, daily, hourly, lb, M.top_callers(curated))
+        "queue_period_metrics": R.queue_documents(head, daily, hourly, lb, top)
         .withColumnRenamed("document", "metrics_json"),
         "queue_daily_metrics": daily,
         "queue_hourly_metrics": hourly,
         "queue_dow_metrics": C.dow_volume(cube),
         "agent_queue_metrics": lb,
-        "caller_queue_metrics": M.top_callers(curated),
+        "caller_queue_metrics": top,
         "release_reason_metrics": M.release_reasons(curated),
-        "funnel_language_metrics": funnel.select("language", F.to_json(F.struct(*[c for c in funnel.columns
-                                                                                 if c != "language"]))
-                                                 .alias("funnel_json")),
-        "crossqueue_agent_metrics": R.pivot_to_long(agents, "agent_name", ids).withColumnRenamed("queue_calls", "calls"),
+        "funnel_language_metrics": funnel.select("language", canonical_json(
+            *[c for c in funnel.columns if c != "language"]).alias("funnel_json")),
+        "crossqueue_agent_metrics": R.pivot_to_long(agents, "agent_name", ids).withColumnRenamed("queue_calls", "calls")
+        .filter(F.col("calls") > 0),
         "crossqueue_caller_metrics": R.pivot_to_long(callers, "caller_number_norm", ids)
         .withColumnRenamed("queue_calls", "calls").filter(F.col("calls") > 0),
         "comparative_series": R.comparative_series(C.hourly_volume(cube, with_avg=False), daily),
@@ -71,18 +73,25 @@ def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue,
     }
 
 
+def _gap_result(spark: SparkSession, gaps: list[dict], start: str, end: str, mode: str,
+                store_root: str | None, tables: dict[str, DataFrame] | None = None) -> PeriodResult:
+    """Write the gap report; what was published for the period before stays visible."""
+    if store_root:
+        PeriodStore(spark, store_root).report_gaps(gaps, start, end, mode)
+    return PeriodResult(None, tables or {}, gaps)
+
+
 def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, store_root: str | None = None,
                    queues: tuple[Queue, ...] = DEFAULT_QUEUES, timezone: str = DEFAULT_TIMEZONE,
                    gaps: list[dict] | None = None) -> PeriodResult:
     """CSV entry point: period filter -> keep-last per (queue, call) -> curate -> metrics -> store."""
     gaps = gaps or []
-    if gaps:  # J-7: any missing queue stops the run (the gap report is the result)
-        return PeriodResult(None, {}, gaps)
+    if gaps:  # J-7: any missing queue stops the run; the gap report is the result
+        return _gap_result(spark, gaps, start, end, "csv", store_root)
     filtered = filter_period_csv(legs, start, end)
     curated = cut_lineage(curate_csv(dedup_csv(filtered)))
     dim = queue_dim(spark, queues)
-    gap_df = V.source_gaps(legs, dim, "csv")
-    tables = metric_tables(spark, curated, queues, start, end, gap_df)
+    tables = metric_tables(spark, curated, queues)
     qv = V.queue_validation(filtered, curated, dim)
     rv = V.run_validation(qv, start, end, timezone)
     tables["curated_calls"] = curated
@@ -107,8 +116,9 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
                                                UNMAPPED_QUEUE, field_presence)
     presence = field_presence(records)
     if presence.missing:  # P-11: a required field absent from every record is a source gap
-        return PeriodResult(None, {}, [{"queue_id": "all", "reason": MISSING_API_FIELDS,
-                                        "message": MISSING_FIELDS_MESSAGE.format(fields=", ".join(presence.missing))}])
+        gap = {"queue_id": "all", "reason": MISSING_API_FIELDS,
+               "message": MISSING_FIELDS_MESSAGE.format(fields=", ".join(presence.missing))}
+        return _gap_result(spark, [gap], start, end, "api", store_root)
     curated, unmapped, deduped = api_pipeline(records, queues, timezone, start, end, presence)
     if inventory_root:
         from callgrid.operators.flatten import field_inventory
@@ -118,32 +128,33 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
             write_inventory_document(inventory, f"{inventory_root.rstrip('/')}/{name}", start, end)
     curated = cut_lineage(curated)
     dim = queue_dim(spark, queues)
-    no_gaps = dim.filter(F.lit(False)).select("queue_id", F.lit("").alias("reason"), F.lit("").alias("message"))
-    tables = metric_tables(spark, curated, queues, start, end, no_gaps)
+    tables = metric_tables(spark, curated, queues)
     tables["curated_calls"] = curated
-    counts = curation_counts(records, deduped, curated, unmapped)
+    # the status is settled before anything is published: one action, its row kept for all uses below
+    counted = curation_counts(records, deduped, curated, unmapped).first()
+    counts = spark.createDataFrame([counted])
+    tables["api_counts"] = counts
     if stats_doc is not None:
         stats = S.parse_stats(stats_doc)
         tables["api_stats_diagnostics"] = S.stats_diagnostics(stats, dim)
         tables["api_stats_funnel"] = S.stats_funnel(stats, dim)
+    if counted["status"] == "source_gap":  # P-18: rows were ignored and nothing could be curated
+        gap = {"queue_id": "all", "reason": UNMAPPED_QUEUE,
+               "message": UNMAPPED_MESSAGE.format(n=counted["ignored_unmapped_queue_rows"])}
+        return _gap_result(spark, [gap], start, end, "api", store_root, tables)
     run_id = None
     if store_root:
-        validation = counts.select(F.to_json(F.struct("*"))).first()[0]
-        status = counts.select("status").first()[0]
-        run_id = PeriodStore(spark, store_root).replace(tables, start, end, "api", status, validation)
-    tables["api_counts"] = counts
-    c = counts.first()
-    gaps = []
-    if c["status"] == "source_gap":  # P-18: rows were ignored and nothing could be curated
-        gaps.append({"queue_id": "all", "reason": UNMAPPED_QUEUE,
-                     "message": UNMAPPED_MESSAGE.format(n=c["ignored_unmapped_queue_rows"])})
-    return PeriodResult(run_id, tables, gaps)
+        validation = json.dumps(counted.asDict(), sort_keys=True)
+        stored = {k: v for k, v in tables.items() if k != "api_counts"}
+        run_id = PeriodStore(spark, store_root).replace(stored, start, end, "api", counted["status"], validation)
+    return PeriodResult(run_id, tables, [])
 
 
 def run_api_from_extract(spark: SparkSession, landing_root: str, start: str, end: str,
                          fetch_records: "callable | None" = None, mode: str = "auto",
                          store_root: str | None = None, queues: tuple[Queue, ...] = DEFAULT_QUEUES,
-                         timezone: str = DEFAULT_TIMEZONE, period: str = "month") -> PeriodResult:
+                         timezone: str = DEFAULT_TIMEZONE, period: str = "month",
+                         inventory_root: str | None = None) -> PeriodResult:
     """S-6 + SNK-1 + S-3: reuse a complete landed snapshot of the period, or land a new one
     from ``fetch_records()`` -> ``(records_json, stats_doc)``, then run the API period."""
     from callgrid.sinks.landing import choose_extract, land_extract, snapshot_path
@@ -153,6 +164,6 @@ def run_api_from_extract(spark: SparkSession, landing_root: str, start: str, end
             raise ValueError("no complete extract for the period and nothing to land it from")
         recs, stats = fetch_records()
         land_extract(recs, stats, landing_root, period, start, end)
-    path = snapshot_path(landing_root, start, end)
+    path = snapshot_path(spark, landing_root, start, end)
     return run_api_period(spark, read_records(spark, f"{path}/records"), read_stats_document(spark, f"{path}/stats"),
-                          start, end, store_root, queues, timezone)
+                          start, end, store_root, queues, timezone, inventory_root)

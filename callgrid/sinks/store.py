@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType, TimestampNTZType
 
 from callgrid.schemas import TABLE_SCHEMAS, conform
 
 RUNS = "_runs"
+GAPS = "_gaps"
 RUN_SCHEMA = StructType([
     StructField("period_start", StringType()), StructField("period_end", StringType()),
     StructField("run_id", StringType()), StructField("source_mode", StringType()),
@@ -88,9 +89,19 @@ class PeriodStore:
         return self.spark.read.schema(RUN_SCHEMA).parquet(path)
 
     def latest_runs(self) -> DataFrame:
-        """The newest published run per period (bounded by the number of periods)."""
+        """The newest successful run per period; runs that found a source gap never replace one."""
         w = Window.partitionBy("period_start", "period_end").orderBy(F.desc("published_at"), F.desc("run_id"))
-        return self.runs().withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        good = self.runs().filter(F.col("status") == "success")
+        return good.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+    def report_gaps(self, gaps: list[dict], start: str, end: str, source_mode: str) -> str:
+        """J-7: append the gap report of a run that could not be made; tables and their versions stay as they are."""
+        run_id = new_run_id()
+        rows = [(start, end, run_id, source_mode, g["queue_id"], g["reason"], g["message"]) for g in gaps]
+        self.spark.createDataFrame(
+            rows, "period_start string, period_end string, run_id string, source_mode string, queue_id string, "
+            "reason string, message string").coalesce(1).write.mode("append").json(f"{self.root}/{GAPS}")
+        return run_id
 
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
         """Rows of the latest published version of every period (partition-pruned)."""
@@ -103,7 +114,7 @@ class PeriodStore:
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], full).drop("version")
         data = self.spark.read.schema(full).option("basePath", path).parquet(path)
-        return data.join(F.broadcast(latest), ["period_start", "period_end", "version"]).drop("version")
+        return data.join(latest, ["period_start", "period_end", "version"]).drop("version")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -140,10 +151,14 @@ def retire_versions(store: "PeriodStore", table: str) -> list[str]:
     return removed
 
 
+def canonical_json(*names: str) -> Column:
+    """F-17: a JSON object of the named columns, keys sorted, nulls kept."""
+    return F.to_json(F.struct(*[F.col(c) for c in sorted(names)]), {"ignoreNullFields": "false"})
+
+
 def raw_legs_table(legs: DataFrame, source_mode: str) -> DataFrame:
     """SNK-5: raw legs kept as canonical JSON (keys sorted, nulls kept)."""
-    cols = sorted(c for c in legs.columns)
     return legs.select(
         F.lit(source_mode).alias("source_mode"), F.col("queue_id").cast("string").alias("queue_id"),
         F.col("orig_call_id").cast("string").alias("call_id"), F.col("source_file").cast("string").alias("source_file"),
-        F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"}).alias("raw_json"))
+        canonical_json(*legs.columns).alias("raw_json"))
