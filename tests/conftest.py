@@ -14,14 +14,18 @@ def spark():
 
 @pytest.fixture(scope="session")
 def curated_fixture(spark):
-    """Five curated calls on queue 8020 (restricted caller, named agent with 0 s, repeat caller)."""
+    """Eight curated calls of one queue over three days: two agents, a named agent without talk time,
+    a caller with three calls and a withheld number."""
     from pyspark.sql import functions as F
     rows = [
-        ("2026-04-01", 8, "Wednesday", "a", "Agent A", 244.0, 9.0, 0.0, "6135550100", "Orig: Bye", "Handled"),
-        ("2026-04-01", 9, "Wednesday", "b", None, 0.0, 10.0, 0.0, "6135550101", "No Answer", "No Agent"),
-        ("2026-04-02", 9, "Thursday", "c", "Agent A", 300.0, 7.0, 20.0, "6135550100", "Term: Bye", "Handled"),
-        ("2026-04-02", 10, "Thursday", "d", None, 0.0, 8.0, 0.0, "__restricted__:d", "No Answer", "No Agent"),
-        ("2026-04-02", 10, "Thursday", "e", "Named Zero", 0.0, 11.0, 0.0, "6135550102", "No Answer", "Handled"),
+        ("2025-03-03", 7, "Monday", "p1", "Noor", 120.0, 4.0, 0.0, "4165550111", "Term: Bye", "Handled"),
+        ("2025-03-03", 7, "Monday", "p2", None, 0.0, 31.0, 0.0, "4165550112", "Abandoned", "No Agent"),
+        ("2025-03-03", 13, "Monday", "p3", "Noor", 60.0, 12.0, 5.0, "4165550111", "Orig: Bye", "Handled"),
+        ("2025-03-04", 13, "Tuesday", "p4", "Ines", 200.0, 6.0, 15.0, "4165550113", "Term: Bye", "Handled"),
+        ("2025-03-06", 13, "Thursday", "p5", None, 0.0, 8.0, 0.0, "__restricted__:p5", "Abandoned", "No Agent"),
+        ("2025-03-06", 18, "Thursday", "p6", "Noor", 90.0, 2.0, 0.0, "4165550111", "Orig: Bye", "Handled"),
+        ("2025-03-06", 18, "Thursday", "p7", "Idle Desk", 0.0, 40.0, 0.0, "4165550114", "No Answer", "Handled"),
+        ("2025-03-06", 18, "Thursday", "p8", None, 0.0, 20.0, 0.0, "4165550115", "No Answer", "No Agent"),
     ]
     df = spark.createDataFrame(rows, "date string, hour int, dow string, call_id string, agent_name string, "
                                      "agent_sec double, queue_sec double, hold_sec double, caller_number_norm string, "

@@ -71,6 +71,23 @@ def test_flatten_and_inventory(spark):
     assert leaves == "[1,2]"
 
 
+def test_deep_records_flatten_and_resolve(spark):
+    deep = {"call_queue_info": {"l2": {"l3": {"l4": {"l5": {"l6": {"l7": {"queue": "8021"}}}}}}}}
+    recs = _records(spark, [{"from": {"call_id": "d1"}, "start_time": "2025-05-06T10:00:00", **deep}])
+    assert "call_queue_info.l2.l3.l4.l5.l6.l7.queue" in [r.path for r in field_inventory(recs).collect()]
+    curated, _, _ = A.api_pipeline(recs)
+    assert [(r.call_id, r.queue_id) for r in curated.collect()] == [("d1", "8021")]
+
+
+def test_wall_clock_offsets(spark):
+    cases = {"2025-05-06": "2025-05-06 00:00:00", "2025-05-06 10:20:30": "2025-05-06 10:20:30",
+             "2025-05-06T10:20:30Z": "2025-05-06 06:20:30", "2025-05-06T10:20:30+0530": "2025-05-06 00:50:30",
+             "2025-05-06T10:20:30.250-03:00": "2025-05-06 09:20:30.250000", "2025-05-06T10:20+02": "2025-05-06 04:20:00"}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r.t: str(r.w) for r in df.select("t", A.api_wall_clock("t").alias("w")).collect()}
+    assert got == cases
+
+
 def test_seconds_coercion_from_variant(spark):
     recs = _records(spark, [
         {"from": {"call_id": "n1"}, "call_queue": {"id": "8020"}, "start_time": "2026-04-01T08:00:00", "duration": -5},
@@ -95,3 +112,18 @@ def test_api_run_source_gaps(spark):
         None, "2026-04-01", "2026-04-30")
     assert unmapped.gaps == [{"queue_id": "all", "reason": "unmapped_queue",
                               "message": "1 API CDR rows could not be mapped to tracked queue IDs."}]
+
+
+def test_failed_api_run_keeps_the_published_period(spark):
+    import tempfile
+
+    from callgrid.plans.run import run_api_period
+    from callgrid.sinks.store import PeriodStore
+    root = tempfile.mkdtemp(prefix="callgrid-test-")
+    good = _records(spark, [{"from": {"call_id": "g1"}, "call_queue": {"id": "8020"}, "start_time": "2025-05-06T08:00:00"}])
+    bad = _records(spark, [{"from": {"call_id": "u1"}, "queue_label": "Lobby", "start_time": "2025-05-06T08:00:00"}])
+    assert run_api_period(spark, good, None, "2025-05-01", "2025-05-31", root).run_id
+    failed = run_api_period(spark, bad, None, "2025-05-01", "2025-05-31", root)
+    assert failed.run_id is None and failed.gaps[0]["reason"] == "unmapped_queue"
+    assert PeriodStore(spark, root).read("curated_calls").count() == 1
+    assert spark.read.json(f"{root}/_gaps").first().reason == "unmapped_queue"

@@ -1,5 +1,6 @@
 """Scalar functions (F-1…F-20, P-5…P-9) on literal inputs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from callgrid.functions import exprs as X
@@ -10,25 +11,36 @@ def _one(spark, col_expr, value, dtype="string"):
 
 
 def test_to_seconds(spark):
-    cases = {"00:09": 9.0, "04:58": 298.0, "1:02:03": 3723.0, "53ms": None, "": None, None: None,
-             "bad": None, "1:2:3:4": None, " 00:10 ": 10.0}
+    cases = {"00:31": 31.0, "12:07": 727.0, "2:10:45": 7845.0, "871ms": None, "": None, None: None,
+             "soon": None, "9:8:7:6": None, "  03:00 ": 180.0, "104:00": 6240.0}
     for text, want in cases.items():
         assert _one(spark, X.to_seconds("x"), text) == want, text
         assert _one(spark, X.to_seconds(F.col("x")), text) == want, text
 
 
 def test_parse_call_time(spark):
-    got = _one(spark, X.parse_call_time("x"), "04/01/2026 8:33 am")
-    assert str(got) == "2026-04-01 08:33:00"
-    assert str(_one(spark, X.parse_call_time("x"), "04/30/2026 3:40 pm")) == "2026-04-30 15:40:00"
+    got = _one(spark, X.parse_call_time("x"), "11/23/2025 7:05 am")
+    assert str(got) == "2025-11-23 07:05:00"
+    assert str(_one(spark, X.parse_call_time("x"), "02/28/2025 12:59 pm")) == "2025-02-28 12:59:00"
+
+
+def test_bad_time_text_fails_the_csv_pipeline(spark):
+    from callgrid.operators.curate import csv_pipeline
+    from callgrid.schemas import RAW_LEG_COLUMNS
+    legs = spark.createDataFrame([(1, "8020", "k1", "11/23/2025 7:05 am"), (2, "8020", "k2", "yesterday")],
+                                 "leg_no long, queue_id string, orig_call_id string, call_time string")
+    legs = legs.select(*[F.col(c) if c in legs.columns else F.lit(None).cast("string").alias(c) for c in RAW_LEG_COLUMNS])
+    with pytest.raises(Exception):
+        csv_pipeline(legs, "2025-11-01", "2025-11-30").collect()
+    assert csv_pipeline(legs.filter("leg_no = 1"), None, None).count() == 1
 
 
 def test_normalize_caller(spark):
     df = spark.createDataFrame(
-        [("905-555-0100", "k1"), ("+1 (905) 555-0100", "k2"), ("Restricted", "a"), (None, "b"), ("Private", "c"),
-         ("  ", "d")], "n string, k string")
+        [("(647) 555.0188", "k1"), ("+44 20 7946 0018", "k2"), ("RESTRICTED", "a"), (None, "b"), ("Anonymous", "c"),
+         ("\t", "d")], "n string, k string")
     got = [r[0] for r in df.select(X.normalize_caller("n", "k")).collect()]
-    assert got == ["9055550100", "19055550100", "__restricted__:a", "__restricted__:b", "__restricted__:c",
+    assert got == ["6475550188", "442079460018", "__restricted__:a", "__restricted__:b", "__restricted__:c",
                    "__restricted__:d"]
 
 

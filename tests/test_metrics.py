@@ -1,4 +1,4 @@
-"""Per-queue metrics on the five-call fixture and funnel / statistics arithmetic."""
+"""Per-queue metrics on the eight-call fixture and funnel / statistics arithmetic."""
 
 from pyspark.sql import functions as F
 
@@ -13,14 +13,14 @@ def test_headline_and_days(spark, curated_fixture):
     cube = C.calls_cube(curated_fixture)
     h = {r.queue_id: r for r in C.headline(cube, queue_dim(spark)).collect()}
     q = h["8020"]
-    assert (q.total_calls, q.handled_calls, q.no_agent_calls) == (5, 2, 3)
-    assert q.no_agent_rate == 0.6 and q.days_with_calls == 2
+    assert (q.total_calls, q.handled_calls, q.no_agent_calls) == (8, 4, 4)
+    assert q.no_agent_rate == 0.5 and q.days_with_calls == 3
     assert h["8031"].total_calls == 0 and h["8031"].answer_rate == 0.0
     bq = C.busiest_quietest_day(cube).first()
     assert (str(bq.busiest_date), bq.busiest_calls, str(bq.quietest_date), bq.quietest_calls) == \
-        ("2026-04-02", 3, "2026-04-01", 2)
+        ("2025-03-06", 4, "2025-03-04", 1)
     hourly = {r.hour: r.no_answer_rate for r in C.hourly_volume(cube).collect()}
-    assert hourly[9] == 0.5 and hourly[10] == 1.0
+    assert hourly[7] == 0.5 and round(hourly[13] * 3) == 1 and round(hourly[18] * 3) == 2
 
 
 def test_conservation(spark, curated_fixture):
@@ -35,32 +35,32 @@ def test_conservation(spark, curated_fixture):
 def test_distributions(spark, curated_fixture):
     d = {r.measure: r for r in M.duration_distribution(curated_fixture, queue_dim(spark))
          .filter("queue_id = '8020'").collect()}
-    assert d["queue_sec"].median == 9.0
-    assert (d["agent_sec"]["count"], d["agent_sec"].median) == (2, 272.0)
-    assert (d["hold_sec"]["count"], d["hold_sec"].median, d["hold_sec"].std) == (1, 20.0, None)
+    q = d["queue_sec"]
+    assert (q.p25, q.median, q.p75, q["min"], q["max"]) == (5.5, 10.0, 22.75, 2.0, 40.0)
+    assert (d["agent_sec"]["count"], d["agent_sec"].median, d["agent_sec"]["mean"]) == (4, 105.0, 117.5)
+    assert (d["hold_sec"]["count"], d["hold_sec"].median, round(d["hold_sec"].std, 4)) == (2, 10.0, 7.0711)
     empty = M.duration_distribution(curated_fixture, queue_dim(spark)).filter("queue_id = '8030'").collect()
     assert len(empty) == 3 and all(r["count"] == 0 and r.mean is None for r in empty)
 
 
 def test_leaderboard_and_callers(spark, curated_fixture):
-    lb = M.agent_leaderboard(curated_fixture).collect()
-    assert len(lb) == 1 and lb[0].agent_name == "Agent A" and lb[0].total_sec == 544.0
-    assert lb[0].pct_of_answered == 1.0
+    lb = M.agent_leaderboard(curated_fixture).orderBy("rank").collect()
+    assert [(r.agent_name, r.calls, r.total_sec, r.median_sec, r.pct_of_answered) for r in lb] == [
+        ("Noor", 3, 270.0, 90.0, 0.75), ("Ines", 1, 200.0, 200.0, 0.25)]
     top = M.top_callers(curated_fixture).orderBy("rank").collect()
-    assert (top[0].caller_number_norm, top[0].calls) == ("6135550100", 2)
+    assert (top[0].caller_number_norm, top[0].calls) == ("4165550111", 3)
     assert not any(r.caller_number_norm.startswith("__restricted__") for r in top)
 
 
-def test_funnel_golden_arithmetic(spark):
-    base = spark.createDataFrame([("English", 1181, 832, 343, 162), ("French", 66, 32, 30, 22)],
+def test_funnel_arithmetic(spark):
+    base = spark.createDataFrame([("English", 200, 150, 45, 30), ("French", 80, 60, 20, 15)],
                                  "language string, primary_calls long, primary_answered long, "
                                  "overflow_received long, overflow_answered long")
     f = {r.language: r for r in funnel_measures(base, ["language"]).collect()}
     en, fr = f["English"], f["French"]
-    assert (en.primary_failed, en.lost) == (349, 181)
-    assert round(en.routing_match, 3) == 0.983 and round(en.effective_answer_rate, 3) == 0.847
-    assert (fr.primary_failed, fr.lost) == (34, 8)
-    assert round(fr.routing_match, 3) == 0.882 and round(fr.effective_answer_rate, 3) == 0.879
+    # 50 fail at the primary queue, 45 reach overflow, 15 of those are lost
+    assert (en.primary_failed, en.lost, en.routing_match, en.effective_answer_rate) == (50, 15, 0.9, 0.925)
+    assert (fr.primary_failed, fr.lost, fr.routing_match, fr.effective_answer_rate) == (20, 5, 1.0, 0.9375)
 
 
 def test_overflow_missing_uses_primary_failed(spark):
@@ -71,14 +71,16 @@ def test_overflow_missing_uses_primary_failed(spark):
 
 
 def test_statistics_diagnostics_and_funnel(spark):
-    doc = spark.createDataFrame([('{"8020": {"calls_offered": 767, "calls_forwarded": 157, "abandoned_calls": 14},'
-                                  ' "8021": {"calls_offered": 45, "calls_forwarded": 8, "abandoned_calls": 1},'
-                                  ' "8030": {"calls_offered": 156, "calls_forwarded": 121, "abandoned_calls": 3},'
-                                  ' "8031": {"calls_offered": "8", "calls_forwarded": 5, "abandoned_calls": 2}}',)],
+    doc = spark.createDataFrame([('{"8020": {"calls_offered": 300, "calls_forwarded": 40, "abandoned_calls": 10},'
+                                  ' "8021": {"calls_offered": 60, "calls_forwarded": 5, "abandoned_calls": 5},'
+                                  ' "8030": {"calls_offered": 40, "calls_forwarded": 22, "abandoned_calls": 6},'
+                                  ' "8031": {"calls_offered": "5", "calls_forwarded": 2, "abandoned_calls": 1}}',)],
                                 "value string")
     stats = S.parse_stats(doc)
     diag = {r.queue_id: r for r in S.stats_diagnostics(stats, queue_dim(spark)).collect()}
-    assert (diag["8020"].derived_no_agent_calls, diag["8020"].derived_handled_calls) == (171, 596)
+    # forwarded and abandoned calls found no agent: 40 + 10 of 300
+    assert (diag["8020"].derived_no_agent_calls, diag["8020"].derived_handled_calls) == (50, 250)
     assert diag["8020"].calls_handled == 0
     en = {r.language: r for r in S.stats_funnel(stats, queue_dim(spark)).collect()}["English"]
-    assert (en.primary_calls, en.primary_answered, en.lost) == (767, 596, 139)
+    assert (en.primary_calls, en.primary_answered) == (300, 250)
+    assert en.lost == 38  # 50 that failed at the primary queue, less the 12 that overflow answered

@@ -1,5 +1,6 @@
 """Report operators (F-21…F-25, A-19, SNK-2, SNK-3, S-8, S-9) and sheet variants (S-10, F-27, A-25/26)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from callgrid.operators import report as R
@@ -101,7 +102,7 @@ def test_long_export_sections(spark):
     from callgrid.operators.stats import parse_stats, stats_diagnostics, stats_funnel
     from callgrid.plans.q_report import long_export_tables
     tables, dim = long_export_tables(spark, "/root/testdata/sf0.001")
-    doc = spark.createDataFrame([('{"8020": {"calls_offered": 767, "calls_forwarded": 157, "abandoned_calls": 14}}',)],
+    doc = spark.createDataFrame([('{"8020": {"calls_offered": 90, "calls_forwarded": 21, "abandoned_calls": 9}}',)],
                                 "value string")
     stats = parse_stats(doc)
     tables["stats_diagnostics"] = stats_diagnostics(stats, dim)
@@ -113,7 +114,7 @@ def test_long_export_sections(spark):
     assert {"queue_summary", "report_validation", "queue_hourly_volume", "crossqueue_funnel", "anomalies",
             "api_queue_stats_diagnostic", "api_stats_funnel_diagnostic"} <= sections
     derived = out.filter("metric = 'derived_no_agent_calls' AND queue_id = '8020'").first()
-    assert derived.value_num == 171.0
+    assert derived.value_num == 30.0
     rec = out.filter("section = 'report_validation' AND metric = 'answered_plus_no_agent_reconciles'").first()
     assert rec.value_text == "true" and rec.queue_id == ""
 
@@ -168,3 +169,10 @@ def test_percent_run_row_and_single_queue_sheet(spark):
     assert (rows["a"].agent_sec, rows["b"].agent_sec) == (42.0, 65.0)  # seconds column first, else clock text
     assert (rows["a"].caller_number_norm, rows["b"].caller_number_norm) == ("Restricted", "Unknown")
     assert rows["b"].hour == 9
+
+
+def test_sheet_without_header_fails(spark):
+    lines = spark.createDataFrame([("s1", 0, ["Queue ID", "Call Time"]), ("s1", 1, ["8020", "x"]), ("s2", 0, ["a", "b"])],
+                                  "sheet string, line_no int, cells array<string>")
+    with pytest.raises(Exception, match="no header row in sheet s2"):
+        S.detect_header(lines, [("Queue ID", "Call Time")]).collect()

@@ -173,7 +173,7 @@ def test_retire_old_versions(spark):
     assert retire_versions(store, "curated_calls") == []
 
 
-def test_csv_multiline_opt_in(spark):
+def test_csv_quoted_line_breaks(spark):
     from callgrid.schemas import DEFAULT_QUEUES
     from callgrid.sources.csv_legs import load_queue_csv
     d = _tmp()
@@ -181,7 +181,22 @@ def test_csv_multiline_opt_in(spark):
     with open(path, "w") as fh:
         fh.write('Call Time,Orig CallID,Agent Name,Queue Release Reason\n'
                  '04/01/2026 8:33 am,a,"Agent\nA",NA\n04/01/2026 9:00 am,b,B,Orig: Bye\n')
-    rows = load_queue_csv(spark, path, DEFAULT_QUEUES[0], multiline=True).orderBy("orig_call_id").collect()
+    rows = load_queue_csv(spark, path, DEFAULT_QUEUES[0]).orderBy("orig_call_id").collect()
     assert [r.orig_call_id for r in rows] == ["a", "b"]
     assert rows[0].agent_name == "Agent\nA" and rows[0].queue_release_reason is None  # NA token -> null
     assert rows[0].leg_no < rows[1].leg_no and rows[1].queue_id == "8020"
+
+
+def test_half_landed_refresh_leaves_the_old_snapshot(spark):
+    from callgrid.sinks.landing import snapshot_path
+    root = _tmp()
+    one = spark.createDataFrame([('{"a": 1}',)], "value string")
+    stats = spark.createDataFrame([('{"8020": {}}',)], "value string")
+    first = land_extract(one, stats, root, "month", "2025-01-01", "2025-01-31")
+    broken = stats.select(F.raise_error(F.lit("source went away")).cast("string").alias("value"))
+    with pytest.raises(Exception, match="source went away"):
+        land_extract(one.union(one), broken, root, "month", "2025-01-01", "2025-01-31")
+    assert snapshot_path(spark, root, "2025-01-01", "2025-01-31") == first
+    assert spark.read.text(f"{first}/records").count() == 1
+    manifest = spark.read.json(f"{first}/manifest").first()
+    assert (manifest.record_count, manifest.queue_stats_count, manifest.queues_included) == (1, 1, ["8020"])
