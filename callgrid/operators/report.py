@@ -328,27 +328,105 @@ def manifest_upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
     return merged.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("start"), F.asc("key"))))
 
 
-def queue_documents(headline: DataFrame, daily: DataFrame, hourly: DataFrame, leaderboard: DataFrame,
-                    top_callers: DataFrame) -> DataFrame:
-    """SNK-2: one JSON document per queue (keys sorted, NaN/inf nulled, nulls kept).
+def _clean(df: DataFrame, column: str) -> Column:
+    return json_number(column) if dict(df.dtypes)[column] == "double" else F.col(column)
 
-    Each nested list is gathered per queue from a table bounded by the period or a top-k.
+
+def _nest(df: DataFrame, name: str, fields: Sequence[str], order: Sequence[str], key: str = "queue_id") -> DataFrame:
+    """Rows of each key as an ordered list of records. The rows come from a table bounded by the period, the
+    agent roster or a top-k."""
+    s = F.struct(*[F.col(o).alias(f"_{i}") for i, o in enumerate(order)],
+                 F.struct(*[_clean(df, f).alias(f) for f in sorted(fields)]).alias("v"))
+    return df.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["v"]).alias(name))
+
+
+#: Lists of a queue document: name, fields and order of each.
+QUEUE_LISTS = (
+    ("daily_volume", ("date", "calls"), ("date",)),
+    ("weekly_volume", ("week_start", "week_end", "calls"), ("week_start",)),
+    ("hourly_volume", ("hour", "calls", "no_answer_count", "no_answer_rate", "avg_agent_sec"), ("hour",)),
+    ("dow_volume", ("dow", "calls"), ("dow",)),
+    ("agent_leaderboard", ("agent_name", "calls", "avg_sec", "median_sec", "total_sec", "pct_of_answered"), ("rank",)),
+    ("top_callers", ("caller_number_norm", "calls"), ("rank",)),
+)
+DISTRIBUTION_FIELDS = ("count", "mean", "std", "min", "p25", "median", "p75", "max")
+
+
+def queue_documents(curated: DataFrame, cube: DataFrame, dim: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """SNK-2: one JSON document per queue (keys sorted, NaN/inf nulled, nulls kept; lists are never null).
+
+    ``counts`` (J-5: queue_id and the run's validation counts) adds its columns to the documents.
     """
-    def nest(df: DataFrame, name: str, fields: Sequence[str], order: Sequence[str]) -> DataFrame:
-        s = F.struct(*[F.col(o).alias(f"_{i}") for i, o in enumerate(order)],
-                     F.struct(*[(json_number(f) if dict(df.dtypes)[f] == "double" else F.col(f)).alias(f)
-                                for f in sorted(fields)]).alias("v"))
-        return df.groupBy("queue_id").agg(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["v"]).alias(name))
-
-    docs = (headline
-            .join(nest(daily.withColumn("date", F.date_format("date", "yyyy-MM-dd")), "daily_volume",
-                       ["date", "calls"], ["date"]), "queue_id", "left")
-            .join(nest(hourly, "hourly_volume", ["hour", "calls", "no_answer_count", "no_answer_rate", "avg_agent_sec"],
-                       ["hour"]), "queue_id", "left")
-            .join(nest(leaderboard, "agent_leaderboard",
-                       ["agent_name", "calls", "avg_sec", "median_sec", "total_sec", "pct_of_answered"], ["rank"]),
-                  "queue_id", "left")
-            .join(nest(top_callers, "top_callers", ["caller_number_norm", "calls"], ["rank"]), "queue_id", "left"))
-    cols = sorted(c for c in docs.columns)
-    body = F.struct(*[(json_number(c) if dict(docs.dtypes)[c] == "double" else F.col(c)).alias(c) for c in cols])
-    return docs.select("queue_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("document"))
+    from callgrid.operators import cube as C
+    from callgrid.operators import queue_metrics as M
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    tables = {
+        "daily_volume": C.daily_volume(cube).select("queue_id", day("date"), "calls"),
+        "weekly_volume": C.weekly_volume(cube).select("queue_id", day("week_start"), day("week_end"), "calls"),
+        "hourly_volume": C.hourly_volume(cube), "dow_volume": C.dow_volume(cube),
+        "agent_leaderboard": M.agent_leaderboard(curated), "top_callers": M.top_callers(curated),
+    }
+    docs = C.headline(cube, dim)
+    if counts is not None:
+        docs = docs.join(counts.select("queue_id", *[c for c in counts.columns if c not in docs.columns]), "queue_id", "left")
+    for name, fields, order in QUEUE_LISTS:
+        docs = docs.join(_nest(tables[name], name, fields, order), "queue_id", "left").withColumn(
+            name, F.coalesce(name, F.array()))
+    days = C.busiest_quietest_day(cube)
+    pick = lambda d: F.when(F.col(f"{d}_date").isNotNull(), F.struct(
+        F.col(f"{d}_calls").alias("calls"), F.date_format(f"{d}_date", "yyyy-MM-dd").alias("date"))).alias(f"{d}_day")
+    docs = docs.join(days.select("queue_id", pick("busiest"), pick("quietest")), "queue_id", "left")
+    dist = M.duration_distribution(curated, dim)
+    body = F.struct(*[_clean(dist, f).alias(f) for f in sorted(DISTRIBUTION_FIELDS)])
+    per_measure = [F.first(F.when(F.col("measure") == m, body), ignorenulls=True).alias(m) for m in sorted(M.MEASURES)]
+    dist = dist.groupBy("queue_id").agg(F.struct(*per_measure).alias("duration_distributions"))
+    reasons = _nest(M.release_reasons(curated).withColumn("kind", F.concat_ws("|", "queue_id", "reason_type")),
+                    "rows", ("reason", "calls"), ("rank",), "kind")
+    reasons = reasons.select(F.split_part("kind", F.lit("|"), F.lit(1)).alias("queue_id"),
+                             F.split_part("kind", F.lit("|"), F.lit(2)).alias("reason_type"), "rows")
+    lists = [F.coalesce(F.first(F.when(F.col("reason_type") == t, F.col("rows")), ignorenulls=True), F.array()).alias(t)
+             for t in ("agent", "queue")]
+    reasons = reasons.groupBy("queue_id").agg(F.struct(*lists).alias("release_reasons"))
+    empty = F.from_json(F.lit('{"agent": [], "queue": []}'), reasons.schema["release_reasons"].dataType.simpleString())
+    docs = docs.join(dist, "queue_id", "left").join(reasons, "queue_id", "left").withColumn(
+        "release_reasons", F.coalesce("release_reasons", empty))
+    names = sorted(docs.columns)
+    return docs.select("queue_id", F.to_json(F.struct(*[_clean(docs, c).alias(c) for c in names]),
+                                             {"ignoreNullFields": "false"}).alias("document"))
+
+
+def period_document(queue_docs: DataFrame, funnel: DataFrame, agents: DataFrame, callers: DataFrame, hourly: DataFrame,
+                    daily: DataFrame, anomalies: DataFrame, gaps: DataFrame, validation: DataFrame, period: str,
+                    start: str, end: str, generated_at: str) -> DataFrame:
+    """SNK-2: the document of a whole period: queues, cross-queue tables, anomalies, gaps and validation.
+
+    A report is one document; every part comes from a table of a row a queue, language,
+    agent, caller, hour, day or anomaly.
+    """
+    def text(df: DataFrame) -> Column:
+        cols = [(F.date_format(c, "yyyy-MM-dd") if t == "date" else _clean(df, c)).alias(c) for c, t in sorted(df.dtypes)]
+        return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+    def listed(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+        rows = F.array_sort(F.collect_list(F.struct(*[F.col(o).alias(f"_{i}") for i, o in enumerate(order)], text(df).alias("v"))))
+        return df.agg(F.transform(rows, lambda x: F.parse_json(x["v"])).alias(name))
+
+    def keyed(df: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+        rows = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), value.alias("v"))))
+        return df.agg(F.map_from_entries(F.transform(rows, lambda x: F.struct(x["k"], F.parse_json(x["v"])))).alias(name))
+
+    parts = [
+        keyed(queue_docs, "queue_id", F.col("document"), "queues"), keyed(funnel, "language", text(funnel), "funnels"),
+        listed(agents, ["agent_name"], "agents"), listed(callers, ["caller_number_norm"], "callers"),
+        listed(hourly, ["hour", "queue_id"], "same_hour_no_answer"), listed(daily, ["date", "queue_id"], "same_day_volume"),
+        listed(anomalies, ["kind", "queue_id", "description"], "anomalies"), listed(gaps, ["queue_id"], "source_gaps"),
+        validation.agg(F.parse_json(F.coalesce(F.first(text(validation)), F.lit('{"status":"success"}'))).alias("validation")),
+    ]
+    doc = parts[0].withColumn("_k", F.lit(1))
+    for p in parts[1:]:  # each part is one row
+        doc = doc.join(p.withColumn("_k", F.lit(1)), "_k")
+    crossqueue = F.struct("agents", "callers", "funnels", "same_day_volume", "same_hour_no_answer").alias("crossqueue")
+    return doc.select(F.to_json(F.struct(
+        "anomalies", crossqueue, F.struct(F.lit(end).alias("end"), F.lit(start).alias("start")).alias("date_range"),
+        F.lit(generated_at).alias("generated_at"), F.lit(period).alias("period"), "queues", "source_gaps", "validation"),
+        {"ignoreNullFields": "false"}).alias("document"))

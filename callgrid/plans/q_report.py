@@ -17,7 +17,7 @@ from callgrid.operators import validate as V
 from callgrid.operators.curate import filter_period_csv
 from callgrid.plans import context as ctx
 from callgrid.plans.catalog import register
-from callgrid.plans.q_core import FUNNEL_SQL, HEADLINE_SQL
+from callgrid.plans.q_core import FUNNEL_SQL, HEADLINE_SQL, HOURLY_SQL
 from callgrid.plans.q_rules import (CALLER_RULE_SQL, HOURLY_RULE_SQL, RULE_INPUTS, SINGLE_SQL, SYSTEM_SQL)
 from callgrid.session import table_path
 
@@ -194,13 +194,106 @@ def manifest_upsert(spark, sf_dir):
     return R.manifest_upsert(existing, new)
 
 
-@register("report_document")
+# --- SNK-2 documents, exploded to one row a value ------------------------------------------
+
+_DAILY_SQL = "SELECT queue_id, strftime(date, '%Y-%m-%d') AS date, count(*) AS calls FROM curated GROUP BY 1, 2"
+_LISTS_SQL = {
+    "daily_volume": (_DAILY_SQL, "date"),
+    "weekly_volume": ("SELECT queue_id, strftime(date_trunc('week', date), '%Y-%m-%d') AS week_start, "
+                      "strftime(date_trunc('week', date) + INTERVAL 6 DAY, '%Y-%m-%d') AS week_end, count(*) AS calls "
+                      "FROM curated GROUP BY 1, 2, 3", "week_start"),
+    "hourly_volume": (HOURLY_SQL, "hour"),
+    "dow_volume": ("SELECT queue_id, dow, count(*) AS calls FROM curated GROUP BY 1, 2", "dow"),
+    "agent_leaderboard": ("SELECT * FROM leaderboard", "rank"),
+    "top_callers": ("SELECT * FROM topc", "rank"),
+}
+_REASONS_SQL = f"""SELECT *, row_number() OVER (PARTITION BY queue_id, kind ORDER BY calls DESC, reason ASC) AS rank FROM (
+  SELECT queue_id, kind, {O.trim_ws('raw')} AS reason, count(*) AS calls FROM (
+    SELECT queue_id, 'queue' AS kind, queue_release_reason AS raw FROM curated
+    UNION ALL SELECT queue_id, 'agent', agent_release_reason FROM curated)
+  WHERE coalesce({O.has_value('raw')}, false) GROUP BY 1, 2, 3)"""
+_TEXTS = {"date", "week_start", "week_end", "dow", "agent_name", "caller_number_norm", "reason"}
+HEADLINE_FIELDS = ("total_calls", "handled_calls", "no_agent_calls", "answer_rate", "no_agent_rate", "days_with_calls",
+                   "avg_calls_per_active_day")
+
+
+def _document_sql() -> str:
+    from callgrid.plans.q_queue import DIST_SQL, LEADERBOARD_CTE, TOP_CALLERS_CTE
+
+    def rows(table: str, section: str, fields, item: str) -> list[str]:
+        return [f"SELECT queue_id, {section} AS section, CAST({item} AS INTEGER) AS item, '{f}' AS name, "
+                + (f"CAST({f} AS VARCHAR) AS text, NULL::DOUBLE AS number" if f in _TEXTS
+                   else f"NULL::VARCHAR AS text, round(CAST({f} AS DOUBLE), 6) AS number")
+                + f" FROM {table}" for f in fields]
+
+    ctes, parts = [], []
+    for name, fields, _ in R.QUEUE_LISTS:
+        sql, order = _LISTS_SQL[name]
+        ctes.append(f"l_{name} AS (SELECT *, row_number() OVER (PARTITION BY queue_id ORDER BY {order}) - 1 AS item FROM ({sql}))")
+        parts += rows(f"l_{name}", f"'{name}'", fields, "item")
+    ctes.append(f"l_reasons AS ({_REASONS_SQL})")
+    parts += rows("l_reasons", "'release_reasons.' || kind", ("reason", "calls"), "rank - 1")
+    parts += rows("headline", "'total'", HEADLINE_FIELDS, "0")
+    dist_ctes, dist = DIST_SQL[len(O.curated_ctes()):].strip().rsplit("SELECT g.queue_id", 1)
+    ctes.append(f"l_dist AS (SELECT g.queue_id{dist})")
+    parts += rows("l_dist", "'duration_distributions.' || measure", R.DISTRIBUTION_FIELDS, "0")
+    for word, order in (("busiest", "calls DESC, date"), ("quietest", "calls, date")):
+        ctes.append(f"l_{word} AS (SELECT * FROM ({_DAILY_SQL}) QUALIFY row_number() OVER (PARTITION BY queue_id ORDER BY {order}) = 1)")
+        parts += rows(f"l_{word}", f"'{word}_day'", ("date", "calls"), "0")
+    return O.with_curated(HEADLINE_SQL + LEADERBOARD_CTE + TOP_CALLERS_CTE + dist_ctes.rstrip() + ",\n"
+                          + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(parts))
+
+
+def queue_document_rows(docs):
+    """One row a value of queue documents: (queue_id, section, item, name, text, number)."""
+    record = lambda fields: "struct<" + ",".join(f"{f}:{'string' if f in _TEXTS else 'double'}" for f in fields) + ">"
+    lists = {name: fields for name, fields, _ in R.QUEUE_LISTS}
+    reason, day = ("reason", "calls"), ("date", "calls")
+    schema = ("struct<" + ",".join([
+        *(f"{n}:array<{record(f)}>" for n, f in lists.items()), *(f"{f}:double" for f in HEADLINE_FIELDS),
+        f"release_reasons:struct<queue:array<{record(reason)}>,agent:array<{record(reason)}>>",
+        "duration_distributions:struct<" + ",".join(f"{m}:{record(R.DISTRIBUTION_FIELDS)}" for m in M.MEASURES) + ">",
+        f"busiest_day:{record(day)}", f"quietest_day:{record(day)}"]) + ">")
+    c = F.col("d")
+
+    def rows(section, item, value, fields):
+        return F.array(*[F.struct(
+            F.lit(section).alias("section"), item.alias("item"), F.lit(f).alias("name"),
+            (value[f] if f in _TEXTS else F.lit(None).cast("string")).alias("text"),
+            (F.lit(None).cast("double") if f in _TEXTS else F.round(value[f], 6)).alias("number")) for f in fields])
+
+    def each(section, values, fields):
+        return F.flatten(F.transform(values, lambda r, i: rows(section, i, r, fields)))
+
+    zero = F.lit(0)
+    parts = [*[each(n, c[n], f) for n, f in lists.items()],
+             *[each(f"release_reasons.{t}", c["release_reasons"][t], reason) for t in ("queue", "agent")],
+             *[rows(f"duration_distributions.{m}", zero, c["duration_distributions"][m], R.DISTRIBUTION_FIELDS) for m in M.MEASURES],
+             rows("total", zero, c, HEADLINE_FIELDS),
+             *[F.filter(rows(f"{w}_day", zero, c[f"{w}_day"], day), lambda x: c["total_calls"] > 0) for w in ("busiest", "quietest")]]
+    d = docs.select("queue_id", F.from_json("document", schema).alias("d"))
+    return d.select("queue_id", F.inline(F.concat(*parts)))
+
+
+def _queue_documents(spark, sf_dir):
+    return R.queue_documents(ctx.curated_shared(spark, sf_dir), ctx.cube_shared(spark, sf_dir), ctx.dim(spark))
+
+
+@register("report_document", _document_sql())
 def report_document(spark, sf_dir):
-    """SNK-2: one JSON document per queue (sorted keys, nulls kept, non-finite nulled)."""
-    cur = ctx.curated_shared(spark, sf_dir)
-    cube = ctx.cube_shared(spark, sf_dir)
-    return R.queue_documents(C.headline(cube, ctx.dim(spark)), C.daily_volume(cube), C.hourly_volume(cube),
-                             M.agent_leaderboard(cur), M.top_callers(cur))
+    """SNK-2: the JSON document of each queue, parsed again and given as one row a value."""
+    return queue_document_rows(_queue_documents(spark, sf_dir))
+
+
+def period_report(spark, sf_dir):
+    """SNK-2: the document of the whole period."""
+    cur, cube, dim, head, funnel, anomalies, gaps = _parts(spark, sf_dir)
+    filtered = filter_period_csv(ctx.legs(spark, sf_dir), ctx.PERIOD_START, ctx.PERIOD_END)
+    validation = V.run_validation(V.queue_validation(filtered, cur, dim), ctx.PERIOD_START, ctx.PERIOD_END, "America/Toronto")
+    return R.period_document(
+        _queue_documents(spark, sf_dir), funnel, X.consolidated_agents(cur, ctx.QUEUE_IDS),
+        X.consolidated_callers(cur, ctx.QUEUE_IDS), C.hourly_volume(cube, with_avg=False), C.daily_volume(cube), anomalies,
+        gaps, validation, "month", ctx.PERIOD_START, ctx.PERIOD_END, f"{ctx.PERIOD_END}T23:59:59Z")
 
 
 @register("manifest_scan", MANIFEST_SQL.replace(
@@ -215,11 +308,27 @@ def manifest_scan(spark, sf_dir):
     return scan_manifest(doc, "/data/reports")
 
 
-@register("report_contract")
+@register("report_contract", O.with_curated(f"""
+, slots AS (SELECT DISTINCT date, hour FROM curated),
+have AS (SELECT DISTINCT date, hour, queue_id FROM curated)
+SELECT strftime(s.date, '%Y-%m-%d') || ' ' || CAST(s.hour AS VARCHAR) AS report,
+  'queues[''' || q.queue_id || '''].' || r.name AS path, r.kind AS expected, 'missing' AS found
+FROM slots s CROSS JOIN {O.DIM} q
+CROSS JOIN (VALUES ('total_calls', 'number'), ('daily_volume', 'array'), ('hourly_volume', 'array'),
+            ('agent_leaderboard', 'array'), ('top_callers', 'array')) r(name, kind)
+WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.date = s.date AND h.hour = s.hour AND h.queue_id = q.queue_id)"""))
 def report_contract(spark, sf_dir):
-    """S-8: shape violations of the per-queue report documents (empty when all are valid)."""
-    from callgrid.sources.documents import shape_violations
-    return shape_violations(report_document(spark, sf_dir))
+    """S-8: what reports of each single hour lack of the report contract: the queues without a call in it."""
+    from callgrid.sources.documents import report_rules, shape_violations
+    none = F.array().cast("array<string>")
+    queue = F.struct("queue_id", F.struct("total_calls", *[none.alias(n) for n in (
+        "daily_volume", "hourly_volume", "agent_leaderboard", "top_callers")]))
+    hours = ctx.curated(spark, sf_dir).groupBy("date", "hour", "queue_id").agg(F.count(F.lit(1)).alias("total_calls"))
+    docs = hours.groupBy("date", "hour").agg(F.map_from_entries(F.collect_list(queue)).alias("queues"))  # a row a queue at most
+    docs = docs.select(F.concat_ws(" ", F.date_format("date", "yyyy-MM-dd"), "hour").alias("report"),
+                       F.to_json(F.struct("queues")).alias("document"))
+    rules = tuple(r for r in report_rules(ctx.QUEUE_IDS) if r[0].startswith("queues["))
+    return shape_violations(docs, rules, "report")
 
 
 def _long_sql() -> str:

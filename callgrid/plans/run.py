@@ -9,6 +9,7 @@ lost mid-run then recompute from the checkpoint rather than from raw files.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ from callgrid.operators.curate import curate_csv, filter_period_csv
 from callgrid.operators.dedup import dedup_csv
 from callgrid.schemas import DEFAULT_QUEUES, Queue, queue_dim, queue_ids
 from callgrid.session import cut_lineage
+from callgrid.sinks.export import write_report_bundle
 from callgrid.sinks.store import PeriodStore, canonical_json, raw_legs_table
 
 
@@ -38,12 +40,14 @@ class PeriodResult:
 
 
 def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue, ...],
-                  caller_threshold: int = N.CALLER_THRESHOLD) -> dict[str, DataFrame]:
-    """Every stored metric table of a period from its curated calls (SNK-8/SNK-9 layout)."""
+                  caller_threshold: int = N.CALLER_THRESHOLD, counts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every stored metric table of a period from its curated calls (SNK-8/SNK-9 layout).
+
+    ``counts`` are validation counts a queue (J-5), which the queue documents then carry.
+    """
     dim = queue_dim(spark, queues)
     ids = queue_ids(queues)
     cube = C.calls_cube(curated)
-    head = C.headline(cube, dim)
     hourly = C.hourly_volume(cube)
     daily = C.daily_volume(cube)
     lb = M.agent_leaderboard(curated)
@@ -54,7 +58,7 @@ def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue,
     anomalies = N.all_anomalies(lb, hourly, callers, caller_threshold)
     return {
         "queue_dim": dim.drop("queue_pos"),
-        "queue_period_metrics": R.queue_documents(head, daily, hourly, lb, top)
+        "queue_period_metrics": R.queue_documents(curated, cube, dim, counts)
         .withColumnRenamed("document", "metrics_json"),
         "queue_daily_metrics": daily,
         "queue_hourly_metrics": hourly,
@@ -83,16 +87,19 @@ def _gap_result(spark: SparkSession, gaps: list[dict], start: str, end: str, mod
 
 def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, store_root: str | None = None,
                    queues: tuple[Queue, ...] = DEFAULT_QUEUES, timezone: str = DEFAULT_TIMEZONE,
-                   gaps: list[dict] | None = None) -> PeriodResult:
-    """CSV entry point: period filter -> keep-last per (queue, call) -> curate -> metrics -> store."""
+                   gaps: list[dict] | None = None, report_root: str | None = None, period: str = "month") -> PeriodResult:
+    """CSV entry point: period filter -> keep-last per (queue, call) -> curate -> metrics -> store.
+
+    With ``report_root`` the report bundle (SNK-2) is written as well.
+    """
     gaps = gaps or []
     if gaps:  # J-7: any missing queue stops the run; the gap report is the result
         return _gap_result(spark, gaps, start, end, "csv", store_root)
     filtered = filter_period_csv(legs, start, end)
     curated = cut_lineage(curate_csv(dedup_csv(filtered)))
     dim = queue_dim(spark, queues)
-    tables = metric_tables(spark, curated, queues)
     qv = V.queue_validation(filtered, curated, dim)
+    tables = metric_tables(spark, curated, queues, counts=qv)
     rv = V.run_validation(qv, start, end, timezone)
     tables["curated_calls"] = curated
     tables["raw_call_legs"] = raw_legs_table(filtered.drop("_call_dt"), "csv")
@@ -101,6 +108,17 @@ def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, s
         validation = rv.select(F.to_json(F.struct("*"))).first()[0]
         run_id = PeriodStore(spark, store_root).replace(tables, start, end, "csv", "success", validation)
     tables["queue_validation"], tables["run_validation"] = qv, rv
+    if report_root:
+        cube = C.calls_cube(curated)
+        ids = queue_ids(queues)
+        callers = X.consolidated_callers(curated, ids)
+        no_gaps = dim.filter(F.lit(False)).select("queue_id", F.lit("").alias("reason"), F.lit("").alias("message"))
+        docs = tables["queue_period_metrics"].withColumnRenamed("metrics_json", "document")
+        document = R.period_document(
+            docs, X.language_funnel(cube, dim), X.consolidated_agents(curated, ids), callers,
+            C.hourly_volume(cube, with_avg=False), C.daily_volume(cube), tables["anomalies"], no_gaps, rv, period, start, end,
+            dt.datetime.now(dt.timezone.utc).isoformat())
+        write_report_bundle(document, docs, report_root, period, start, end)
     return PeriodResult(run_id, tables, [])
 
 

@@ -14,6 +14,23 @@ QUEUE_DOCUMENT_RULES = (
     ("queue_id", "string"), ("total_calls", "number"), ("daily_volume", "array"),
     ("hourly_volume", "array"), ("agent_leaderboard", "array"), ("top_callers", "array"),
 )
+# The shape contract of a period document.
+REPORT_RULES = (
+    ("period", "string"), ("date_range.start", "string"), ("date_range.end", "string"), ("queues", "object"),
+    ("crossqueue.agents", "array"), ("crossqueue.callers", "array"), ("crossqueue.same_hour_no_answer", "array"),
+    ("crossqueue.same_day_volume", "array"), ("anomalies", "array"), ("source_gaps", "array"), ("validation", "object"),
+)
+FUNNEL_LANGUAGES = ("English", "French")
+
+
+def report_rules(queue_ids: Sequence[str]) -> tuple[tuple[str, str], ...]:
+    """Rules of a period document over the given queues."""
+    per_queue = tuple((f"queues['{q}'].{name}", kind) for q in queue_ids for name, kind in QUEUE_DOCUMENT_RULES[1:])
+    per_language = tuple((f"crossqueue.funnels.{x}.{name}", "number") for x in FUNNEL_LANGUAGES
+                         for name in ("routing_match", "effective_answer_rate"))
+    return REPORT_RULES + per_queue + per_language
+
+
 MANIFEST_FIELDS = ("key", "label", "start", "end", "path", "source")
 
 

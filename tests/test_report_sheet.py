@@ -124,7 +124,8 @@ def test_report_documents(spark):
 
     import __spark_entry__ as E
     d = "/root/testdata/sf0.001"
-    docs = {r.queue_id: r.document for r in E.queries()["report_document"](spark, d).collect()}
+    from callgrid.plans.q_report import _queue_documents
+    docs = {r.queue_id: r.document for r in _queue_documents(spark, d).collect()}
     head = {r.queue_id: r for r in E.queries()["headline"](spark, d).collect()}
     assert set(docs) == set(head)
     for qid, text in docs.items():
@@ -136,8 +137,8 @@ def test_report_documents(spark):
         assert all(list(p) == sorted(p) for p in doc["agent_leaderboard"])
         assert "avg_agent_sec" in doc["hourly_volume"][0]  # nulls are kept, not dropped
         assert len(doc["top_callers"]) <= 10
-    violations = E.queries()["report_contract"](spark, d).count()
-    assert violations == 0
+    from callgrid.sources.documents import shape_violations
+    assert shape_violations(_queue_documents(spark, d)).count() == 0
 
 
 def test_ordering_helpers(spark):
@@ -176,3 +177,27 @@ def test_sheet_without_header_fails(spark):
                                   "sheet string, line_no int, cells array<string>")
     with pytest.raises(Exception, match="no header row in sheet s2"):
         S.detect_header(lines, [("Queue ID", "Call Time")]).collect()
+
+
+def test_report_bundle_meets_the_contract(spark, tmp_path):
+    import json
+
+    from callgrid.plans.run import run_csv_period
+    from callgrid.schemas import DEFAULT_QUEUES, queue_ids
+    from callgrid.sources.documents import report_rules, shape_violations
+    from callgrid.sources.testdata import legs_from_tables
+    legs = legs_from_tables(spark, "/root/testdata/sf0.001")
+    run_csv_period(spark, legs, "2024-01-01", "2024-01-31", report_root=str(tmp_path))
+    folder = tmp_path / "reports" / "month_2024-01-01_2024-01-31"
+    doc = spark.read.text(str(folder / "metrics")).withColumnRenamed("value", "document")
+    rules = report_rules(queue_ids(DEFAULT_QUEUES))
+    assert shape_violations(doc.selectExpr("'month' AS report", "document"), rules, "report").count() == 0
+    text = json.loads(doc.first().document)
+    assert text["period"] == "month" and text["validation"]["status"] == "success" and text["source_gaps"] == []
+    queue = text["queues"]["8020"]
+    assert sum(r["calls"] for r in queue["weekly_volume"]) == sum(r["calls"] for r in queue["dow_volume"]) == queue["total_calls"]
+    assert queue["raw_rows"] - queue["duplicate_rows_removed"] == queue["cleaned_calls"] == queue["total_calls"]
+    assert queue["duration_distributions"]["queue_sec"]["count"] == queue["total_calls"] and queue["release_reasons"]["queue"]
+    assert {p.name for p in (folder / "queues").glob("file=*")} == {f"file=metrics_{q}" for q in queue_ids(DEFAULT_QUEUES)}
+    broken = doc.selectExpr("'month' AS report", "replace(document, '\"period\":\"month\"', '\"period\":7') AS document")
+    assert [tuple(r) for r in shape_violations(broken, rules, "report").collect()] == [("month", "period", "string", "number")]
