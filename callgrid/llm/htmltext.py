@@ -396,7 +396,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Labeller:
 
     import pickle
 
-    nets = rows.coalesce(1).mapInArrow(run, "net binary").collect()
+    nets = rows.repartition(1).mapInArrow(run, "net binary").collect()
     return Labeller(pickle.loads(nets[0]["net"])) if nets else train([])
 
 

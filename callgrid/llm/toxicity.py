@@ -133,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         model = learn([(np.frombuffer(f, np.int32).astype(np.int64), y) for _, f, y in rows])
         yield pa.RecordBatch.from_arrays([pa.array([*model.features.tolist(), -1]), pa.array([*model.weights.tolist(), model.intercept])], names=["feature", "weight"])
 
-    learned = sorted((r.feature, r.weight) for r in sample.coalesce(1).mapInArrow(train, "feature long, weight double").collect())
+    learned = sorted((r.feature, r.weight) for r in sample.repartition(1).mapInArrow(train, "feature long, weight double").collect())
     return Model(np.array([f for f, _ in learned[1:]], np.int64), np.array([w for _, w in learned[1:]]), learned[0][1] if learned else 0.0)
 
 
