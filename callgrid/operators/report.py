@@ -349,6 +349,8 @@ QUEUE_LISTS = (
     ("agent_leaderboard", ("agent_name", "calls", "avg_sec", "median_sec", "total_sec", "pct_of_answered"), ("rank",)),
     ("top_callers", ("caller_number_norm", "calls"), ("rank",)),
 )
+#: Callers listed in a period document.
+DOCUMENT_CALLERS = 1000
 DISTRIBUTION_FIELDS = ("count", "mean", "std", "min", "p25", "median", "p75", "max")
 
 
@@ -401,14 +403,18 @@ def period_document(queue_docs: DataFrame, funnel: DataFrame, agents: DataFrame,
     """SNK-2: the document of a whole period: queues, cross-queue tables, anomalies, gaps and validation.
 
     A report is one document; every part comes from a table of a row a queue, language,
-    agent, caller, hour, day or anomaly.
+    agent, hour, day or anomaly. Callers have no such bound: the document lists the
+    ``DOCUMENT_CALLERS`` most frequent ones, the bundle keeps all of them beside it.
     """
+    callers = callers.orderBy(F.desc("total_calls"), "caller_number_norm").limit(DOCUMENT_CALLERS)
+
     def text(df: DataFrame) -> Column:
         cols = [(F.date_format(c, "yyyy-MM-dd") if t == "date" else _clean(df, c)).alias(c) for c, t in sorted(df.dtypes)]
         return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
-    def listed(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-        rows = F.array_sort(F.collect_list(F.struct(*[F.col(o).alias(f"_{i}") for i, o in enumerate(order)], text(df).alias("v"))))
+    def listed(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+        by = [(F.col(o) if isinstance(o, str) else o).alias(f"_{i}") for i, o in enumerate(order)]
+        rows = F.array_sort(F.collect_list(F.struct(*by, text(df).alias("v"))))
         return df.agg(F.transform(rows, lambda x: F.parse_json(x["v"])).alias(name))
 
     def keyed(df: DataFrame, key: str, value: Column, name: str) -> DataFrame:
@@ -417,7 +423,7 @@ def period_document(queue_docs: DataFrame, funnel: DataFrame, agents: DataFrame,
 
     parts = [
         keyed(queue_docs, "queue_id", F.col("document"), "queues"), keyed(funnel, "language", text(funnel), "funnels"),
-        listed(agents, ["agent_name"], "agents"), listed(callers, ["caller_number_norm"], "callers"),
+        listed(agents, [-F.col("total_calls"), "agent_name"], "agents"), listed(callers, [-F.col("total_calls"), "caller_number_norm"], "callers"),
         listed(hourly, ["hour", "queue_id"], "same_hour_no_answer"), listed(daily, ["date", "queue_id"], "same_day_volume"),
         listed(anomalies, ["kind", "queue_id", "description"], "anomalies"), listed(gaps, ["queue_id"], "source_gaps"),
         validation.agg(F.parse_json(F.coalesce(F.first(text(validation)), F.lit('{"status":"success"}'))).alias("validation")),

@@ -118,7 +118,7 @@ def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, s
             docs, X.language_funnel(cube, dim), X.consolidated_agents(curated, ids), callers,
             C.hourly_volume(cube, with_avg=False), C.daily_volume(cube), tables["anomalies"], no_gaps, rv, period, start, end,
             dt.datetime.now(dt.timezone.utc).isoformat())
-        write_report_bundle(document, docs, report_root, period, start, end)
+        write_report_bundle(document, docs, callers, report_root, period, start, end)
     return PeriodResult(run_id, tables, [])
 
 

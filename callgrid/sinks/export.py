@@ -43,10 +43,13 @@ def write_inventory_document(inventory: DataFrame, path: str, period_start: str,
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_report_bundle(period_doc: DataFrame, queue_docs: DataFrame, root: str, period: str, start: str, end: str) -> str:
-    """SNK-2: ``metrics/`` and one ``metrics_<queue>/`` JSON text below ``reports/<period>_<start>_<end>``; returns the folder."""
+def write_report_bundle(period_doc: DataFrame, queue_docs: DataFrame, callers: DataFrame, root: str, period: str,
+                        start: str, end: str) -> str:
+    """SNK-2 below ``reports/<period>_<start>_<end>``: the period's JSON in ``metrics/``, a document a queue in
+    ``queues/file=metrics_<queue>/`` and every consolidated caller as JSON lines in ``callers/``; returns the folder."""
     folder = f"{root.rstrip('/')}/reports/{period}_{start}_{end}"
     period_doc.select("document").coalesce(1).write.mode("overwrite").text(f"{folder}/metrics")
     queue_docs.select(F.col("document").alias("value"), F.concat(F.lit("metrics_"), F.col("queue_id")).alias("file")).write.mode(
         "overwrite").partitionBy("file").text(f"{folder}/queues")
+    callers.write.mode("overwrite").json(f"{folder}/callers")
     return folder

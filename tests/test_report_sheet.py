@@ -199,5 +199,7 @@ def test_report_bundle_meets_the_contract(spark, tmp_path):
     assert queue["raw_rows"] - queue["duplicate_rows_removed"] == queue["cleaned_calls"] == queue["total_calls"]
     assert queue["duration_distributions"]["queue_sec"]["count"] == queue["total_calls"] and queue["release_reasons"]["queue"]
     assert {p.name for p in (folder / "queues").glob("file=*")} == {f"file=metrics_{q}" for q in queue_ids(DEFAULT_QUEUES)}
+    callers = [(-c["total_calls"], c["caller_number_norm"]) for c in text["crossqueue"]["callers"]]
+    assert callers == sorted(callers) and len(callers) == spark.read.json(str(folder / "callers")).count() > 0
     broken = doc.selectExpr("'month' AS report", "replace(document, '\"period\":\"month\"', '\"period\":7') AS document")
     assert [tuple(r) for r in shape_violations(broken, rules, "report").collect()] == [("month", "period", "string", "number")]
