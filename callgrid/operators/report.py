@@ -66,6 +66,27 @@ def duration_label(seconds: Column) -> Column:
                                           F.lit("s"))), F.lit("n/a"))
 
 
+def integer_label(value: Column) -> Column:
+    """F-25: thousands grouping; "0" when missing."""
+    return F.coalesce(F.format_number(value.cast("bigint"), 0), F.lit("0"))
+
+
+def decimal_label(value: Column, digits: int = 1) -> Column:
+    """F-25: fixed digits with thousands grouping, halves rounded up; "0.0" when missing."""
+    return F.coalesce(F.format_number(F.round(value, digits), digits), F.lit("0.0"))
+
+
+def short_date_label(date: Column) -> Column:
+    """F-25: "Jan 5"."""
+    return F.date_format(date, "MMM d")
+
+
+def title_case(text: Column) -> Column:
+    """F-25: underscores to spaces, each word's first letter in upper case, the rest as it is."""
+    words = F.split(F.replace(text, F.lit("_"), F.lit(" ")), " ")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, 2, 1 << 30))), " ")
+
+
 def percent_label(rate: Column, digits: int = 1) -> Column:
     """F-25: ``12.3%`` with thousands grouping; "0.0%" when missing."""
     return F.concat(F.format_number(F.coalesce(rate, F.lit(0.0)) * 100, digits), F.lit("%"))
@@ -83,7 +104,7 @@ def phone_label(value: Column) -> Column:
 def anomaly_kind_label(kind: Column) -> Column:
     """F-25: fixed label, else the kind title-cased."""
     labels = F.create_map(*[x for k, v in ANOMALY_KIND_LABELS.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.try_element_at(labels, kind), F.initcap(F.regexp_replace(kind, "_", " ")))
+    return F.coalesce(F.try_element_at(labels, kind), title_case(kind))
 
 
 def threshold_status(metric_id: Column, value: Column) -> Column:

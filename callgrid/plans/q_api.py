@@ -5,6 +5,8 @@ S-3, F-6, F-9…F-13, W-2, P-2, P-11, J-1…J-3, P-13, P-18, A-18.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from callgrid import oracle as O
@@ -28,8 +30,15 @@ api0 AS (
          ELSE (CASE WHEN user_id % 2 = 0 THEN '8030' ELSE '8031' END) END AS qid,
     'c' || CAST(user_id * 1000 + dayofyear(ts) AS VARCHAR) AS call_key,
     CASE WHEN k % 10 <> 0 THEN strftime(ts, '%Y%m%d%H%M%S') || '-' || CAST(event_id AS VARCHAR) END AS sort_key,
-    strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 2 = 0 THEN '' ELSE 'Z' END AS start_time,
-    CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts)
+    CASE WHEN day(ts) > 15 THEN '61355570' || lpad(CAST(k % 100 AS VARCHAR), 2, '0') END AS dialled,
+    CASE event_id % 20 WHEN 4 THEN strftime(ts, '%Y-%m-%d') WHEN 8 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+      ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 20 = 12 THEN '.250' WHEN event_id % 20 = 7 THEN '+0530'
+        WHEN event_id % 20 = 13 THEN '-03:00' WHEN event_id % 2 = 0 THEN '' ELSE 'Z' END END AS start_time,
+    CASE WHEN event_id % 20 = 4 THEN CAST(date_trunc('day', ts) AS TIMESTAMP)
+         WHEN event_id % 20 = 12 THEN date_trunc('second', ts) + INTERVAL 250 MILLISECOND
+         WHEN event_id % 20 = 7 THEN timezone('{TZ}', timezone('UTC', date_trunc('second', ts) - INTERVAL 330 MINUTE))
+         WHEN event_id % 20 = 13 THEN timezone('{TZ}', timezone('UTC', date_trunc('second', ts) + INTERVAL 180 MINUTE))
+         WHEN event_id % 2 = 0 THEN date_trunc('second', ts)
          ELSE timezone('{TZ}', timezone('UTC', date_trunc('second', ts))) END AS call_datetime,
     CASE WHEN user_id % 13 = 0 THEN 'Restricted' WHEN user_id % 13 = 1 THEN NULL
          WHEN user_id % 13 = 2 THEN 'sip:+1613555' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(4, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') || '@pbx.example.net;user=phone'
@@ -59,7 +68,7 @@ api_curated AS (
     p.call_datetime, CAST(p.call_datetime AS DATE) AS date, CAST(hour(p.call_datetime) AS INTEGER) AS hour,
     strftime(p.call_datetime, '%A') AS dow, 'Caller ' || CAST(p.user_id AS VARCHAR) AS caller_name,
     p.caller_number, {O.normalize_caller('p.caller_number', 'p.call_key')} AS caller_number_norm,
-    CAST(NULL AS VARCHAR) AS dnis,
+    p.dialled AS dnis,
     CASE WHEN p.slot = 0 THEN NULL WHEN p.k % 3 <> 0 THEN CAST(p.slot + 100 AS VARCHAR)
          ELSE {O.clean_text('p.agent_raw')} END AS agent_extension,
     CAST(NULL AS VARCHAR) AS agent_phone, {O.clean_text('p.agent_raw')} AS agent_name,
@@ -127,6 +136,25 @@ def api_curated(spark, sf_dir):
     return _pipeline(spark, sf_dir)[0].drop("is_handled")
 
 
+@register("extract_roundtrip", API_CURATED_CTES + f"\nSELECT {CURATED_SELECT} FROM api_curated", dates=("date",))
+def extract_roundtrip(spark, sf_dir):
+    """SNK-1 / S-4 / S-6 / S-3: the records landed as an extract with its manifest, then curated from the landed files."""
+    from callgrid.operators.stats import stats_document_from_legs
+    from callgrid.plans import context as ctx
+    from callgrid.session import ensure_checkpoint_dir
+    from callgrid.sinks.landing import choose_extract, land_extract, snapshot_path
+    from callgrid.sources.api_records import read_records
+    from callgrid.sources.testdata import events_to_api_records, read_events
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/extract-{uuid.uuid4().hex}"
+    period = (ctx.PERIOD_START, ctx.PERIOD_END)
+    land_extract(events_to_api_records(read_events(spark, sf_dir)), stats_document_from_legs(ctx.legs(spark, sf_dir)),
+                 root, "month", *period, order_by="rec_no")
+    if choose_extract(spark, root, *period) != "reuse":
+        raise ValueError("the landed extract is not complete")
+    landed = read_records(spark, f"{snapshot_path(spark, root, *period)}/records")
+    return A.api_pipeline(landed, start=period[0], end=period[1])[0].drop("is_handled")
+
+
 @register("unmapped_rows", API_CURATED_CTES + "\nSELECT rec_no, call_key FROM in_period WHERE resolved_q IS NULL")
 def unmapped_rows(spark, sf_dir):
     """P-18: in-period records that map to no tracked queue."""
@@ -158,7 +186,8 @@ p AS (
   UNION SELECT 'answer_time' FROM ev WHERE event_type IN ('view', 'click')
   UNION SELECT 'release_reason' FROM ev WHERE event_type <> 'purchase'
   UNION SELECT 'call_queue.id' FROM ev WHERE k % 7 <> 0
-  UNION SELECT 'queue_label' FROM ev WHERE k % 7 = 0)
+  UNION SELECT 'queue_label' FROM ev WHERE k % 7 = 0
+  UNION SELECT 'dialled_number' FROM ev WHERE day(ts) > 15)
 SELECT path FROM p""")
 def field_inventory(spark, sf_dir):
     """F-12 + F-13: distinct dotted paths over all records (objects flattened, arrays are values)."""

@@ -63,7 +63,7 @@ def _drift_sql() -> str:
              ("to.user.name", "k % 3 <> 0 AND k % 12 <> 0"), ("to.user.extension", "k % 3 <> 0 AND k % 12 <> 0"),
              ("duration", "true"), ("start_time", "true"), ("queue_time", "true"), ("hold_time", "true"),
              ("answer_time", "event_type IN ('view', 'click')"), ("release_reason", "event_type <> 'purchase'"),
-             ("call_queue.id", "k % 7 <> 0"), ("queue_label", "k % 7 = 0")]
+             ("call_queue.id", "k % 7 <> 0"), ("queue_label", "k % 7 = 0"), ("dialled_number", "day(ts) > 15")]
     body = " UNION ".join(
         f"SELECT '{p}' AS path, CAST(ts AS DATE) <= DATE '{half}' AS first FROM ev WHERE {c}" for p, c in conds)
     return f"""WITH {O.LEGS.split('legs0 AS')[0].rstrip().rstrip(',')},

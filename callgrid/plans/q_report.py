@@ -106,6 +106,20 @@ def hour_labels(spark, sf_dir):
                     R.duration_label(F.col("avg_agent_sec")).alias("duration_label"))
 
 
+@register("day_labels", O.with_curated(f"""
+, d AS (SELECT queue_id, date, count(*) AS calls, count(*) FILTER (WHERE NOT is_handled) AS no_answer FROM curated GROUP BY 1, 2)
+SELECT queue_id, strftime(date, '%Y-%m-%d') AS date, strftime(date, '%b %-d') AS date_label, format('{{:,}}', calls * 1000) AS integer_label,
+  format('{{:,.1f}}', round(calls * 100.25, 1)) AS decimal_label, format('{{:,.1f}}', round({O.ratio('no_answer', 'calls')} * 100, 1)) || '%' AS rate_label
+FROM d"""))
+def day_labels(spark, sf_dir):
+    """F-25: short-date, integer, decimal and percent labels of every day's volume."""
+    d = C.daily_volume(ctx.cube(spark, sf_dir), with_no_answer=True)
+    return d.select("queue_id", F.date_format("date", "yyyy-MM-dd").alias("date"), R.short_date_label(F.col("date")).alias("date_label"),
+                    R.integer_label(F.col("calls") * 1000).alias("integer_label"),
+                    R.decimal_label(F.col("calls") * 100.25).alias("decimal_label"),
+                    R.percent_label(F.round(F.col("no_answer_rate"), 3)).alias("rate_label"))
+
+
 @register("caller_labels", O.with_curated("""
 , cc AS (SELECT caller_number_norm, count(*) AS calls FROM curated
          WHERE NOT starts_with(caller_number_norm, '__restricted__:') GROUP BY 1),
@@ -285,6 +299,24 @@ def report_document(spark, sf_dir):
     return queue_document_rows(_queue_documents(spark, sf_dir))
 
 
+def _leaderboard_cte() -> str:
+    from callgrid.plans.q_queue import LEADERBOARD_CTE
+    return LEADERBOARD_CTE
+
+
+@register("report_heads", O.with_curated(_leaderboard_cte() + f"""
+, r AS ({_REASONS_SQL})
+SELECT queue_id, 'agent' AS head, agent_name AS name, calls, rank FROM leaderboard WHERE rank <= 10
+UNION ALL SELECT queue_id, kind || '_reason', reason, calls, CAST(rank AS INTEGER) FROM r WHERE rank <= 8"""))
+def report_heads(spark, sf_dir):
+    """O-3: the ten agents and eight reasons that head each queue's lists."""
+    cur = ctx.curated_shared(spark, sf_dir)
+    agents = M.agent_leaderboard(cur).filter("rank <= 10").select("queue_id", F.lit("agent").alias("head"), F.col("agent_name").alias("name"), "calls", "rank")
+    reasons = M.release_reasons(cur).filter("rank <= 8").select(
+        "queue_id", F.concat("reason_type", F.lit("_reason")).alias("head"), F.col("reason").alias("name"), "calls", "rank")
+    return agents.unionByName(reasons)
+
+
 def period_report(spark, sf_dir):
     """SNK-2: the document of the whole period."""
     cur, cube, dim, head, funnel, anomalies, gaps = _parts(spark, sf_dir)

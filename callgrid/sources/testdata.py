@@ -150,7 +150,8 @@ def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT
 
     ``to.user`` is text in some records and an object in others (T6); some records carry
     the queue only in a free-text ``queue_label`` (J-2) or not at all (unmapped); start
-    times are naive wall-clock or UTC with ``Z`` (T7); durations are numbers, numeric
+    times are naive wall-clock (also with a space, a fraction or as a bare date) or have
+    an offset (``Z``, ``+0530``, ``-03:00``; T7); durations are numbers, numeric
     text or ``53ms``; unanswered errors may still carry a duration (T5).
     """
     e = events_base(events)
@@ -164,7 +165,13 @@ def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT
              .when((qid == queues[3].queue_id) & (slot != 3), F.lit("Agent 7"))
              .otherwise(F.concat(F.lit("Agent "), slot.cast("string"))))
     local = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    start = F.when(F.col("event_id") % 2 == 0, local).otherwise(F.concat(local, F.lit("Z")))
+    kind = F.col("event_id") % 20
+    start = (F.when(kind == 4, F.date_format("ts", "yyyy-MM-dd"))
+             .when(kind == 8, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+             .when(kind == 12, F.concat(local, F.lit(".250")))
+             .when(kind == 7, F.concat(local, F.lit("+0530")))
+             .when(kind == 13, F.concat(local, F.lit("-03:00")))
+             .when(kind % 2 == 0, local).otherwise(F.concat(local, F.lit("Z"))))
     number = (F.when(uid % 13 == 0, F.lit("Restricted"))
               .when(uid % 13 == 1, F.lit(None).cast("string"))
               .when(uid % 13 == 2, F.concat(F.lit("sip:+1613555"), _padded(uid, 4),
@@ -192,6 +199,8 @@ def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT
         F.when(et == "error", F.lit("No Answer")).when(et == "signup", F.lit("Abandoned"))
          .when(et == "view", F.lit("Orig: Bye")).when(et == "click", F.lit("Term: Bye")).alias("release_reason"),
         F.when(k % 7 != 0, F.struct(qid.alias("id"))).alias("call_queue"),
+        # a field that the source only sends from the middle of the month on
+        F.when(F.dayofmonth("ts") > 15, F.concat(F.lit("61355570"), _padded(k % 100, 2))).alias("dialled_number"),
         F.when((k % 7 == 0) & (k % 14 != 0), F.try_element_at(names, qid))
          .when(k % 14 == 0, F.lit("Main Line")).alias("queue_label"),
     ))
