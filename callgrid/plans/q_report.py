@@ -529,3 +529,58 @@ def period_replace_roundtrip(spark, sf_dir):
     store.replace({"curated_calls": cur}, ctx.PERIOD_START, ctx.PERIOD_END, "csv")
     return store.read("curated_calls").groupBy("period_start", "queue_id").agg(
         F.count(F.lit(1)).alias("calls"), F.count_if(F.col("handled_flag") == "Handled").alias("handled"))
+
+
+def _stored_sql() -> str:
+    from callgrid.plans.q_cross import AGENTS_SQL, CALLERS_SQL
+    from callgrid.plans.q_queue import LEADERBOARD_CTE, TOP_CALLERS_CTE
+
+    def one(name: str, body: str, total: str = "NULL") -> str:
+        return f"SELECT '{name}' AS name, count(*) AS stored_rows, CAST({total} AS DOUBLE) AS json_total FROM ({body}) AS t"
+
+    tables = [
+        one("curated_calls", "SELECT * FROM curated"),
+        one("raw_call_legs", "SELECT * FROM filtered", "count(DISTINCT orig_call_id)"),
+        one("queue_dim", f"SELECT * FROM {O.DIM}"), one("queue_period_metrics", "SELECT * FROM headline", "sum(total_calls)"),
+        one("queue_daily_metrics", _DAILY_SQL), one("queue_hourly_metrics", HOURLY_SQL),
+        one("queue_dow_metrics", _LISTS_SQL["dow_volume"][0]), one("agent_queue_metrics", "SELECT * FROM leaderboard", "sum(calls)"),
+        one("caller_queue_metrics", "SELECT * FROM topc"), one("release_reason_metrics", _REASONS_SQL),
+        one("funnel_language_metrics", "SELECT language, count(*) FILTER (WHERE role = 'primary') AS n FROM curated GROUP BY 1", "sum(n)"),
+        one("crossqueue_agent_metrics", AGENTS_SQL, "sum(total_calls)"), one("crossqueue_caller_metrics", CALLERS_SQL, "sum(total_calls)"),
+        one("comparative_series", f"SELECT queue_id, calls FROM ({HOURLY_SQL}) UNION ALL SELECT queue_id, calls FROM ({_DAILY_SQL})", "sum(calls)"),
+        "SELECT 'report_runs' AS name, 1 AS stored_rows, CAST((SELECT count(*) FROM filtered) AS DOUBLE) AS json_total",
+    ]
+    return O.with_curated(HEADLINE_SQL + LEADERBOARD_CTE + TOP_CALLERS_CTE + "\n" + "\nUNION ALL ".join(tables))
+
+
+# where each stored table keeps a number in its JSON
+_JSON_NUMBERS = {"queue_period_metrics": ("metrics_json", "total_calls"), "agent_queue_metrics": ("metrics_json", "calls"),
+                 "funnel_language_metrics": ("metrics_json", "primary_calls"), "crossqueue_agent_metrics": ("metrics_json", "total_calls"),
+                 "crossqueue_caller_metrics": ("metrics_json", "total_calls"), "comparative_series": ("metrics_json", "calls"),
+                 "report_runs": ("validation_json", "raw_row_count")}
+
+
+@register("stored_period", _stored_sql())
+def stored_period(spark, sf_dir):
+    """SNK-4…SNK-9, F-17: all tables of a period run written, published and read back, each with its row count and
+    the total of a number kept in its JSON (for raw legs, the distinct call ids in it)."""
+    from callgrid.plans.run import run_csv_period
+    from callgrid.session import ensure_checkpoint_dir
+    from callgrid.sinks.store import PeriodStore, new_run_id
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/callgrid-store/{new_run_id()}"
+    run_csv_period(spark, ctx.legs(spark, sf_dir), ctx.PERIOD_START, ctx.PERIOD_END, store_root=root)
+    store = PeriodStore(spark, root)
+    out = None
+    for name in ("curated_calls", "raw_call_legs", "queue_dim", "queue_period_metrics", "queue_daily_metrics", "queue_hourly_metrics",
+                 "queue_dow_metrics", "agent_queue_metrics", "caller_queue_metrics", "release_reason_metrics",
+                 "funnel_language_metrics", "crossqueue_agent_metrics", "crossqueue_caller_metrics", "comparative_series", "report_runs"):
+        total = F.lit(None).cast("double")
+        if name in _JSON_NUMBERS:
+            column, key = _JSON_NUMBERS[name]
+            total = F.sum(F.get_json_object(column, f"$.{key}").cast("double"))
+        elif name == "raw_call_legs":
+            total = F.count_distinct(F.get_json_object("raw_json", "$.orig_call_id")).cast("double")
+        row = store.read(name).agg(F.count(F.lit(1)).alias("stored_rows"), total.alias("json_total")).select(
+            F.lit(name).alias("name"), "stored_rows", "json_total")
+        out = row if out is None else out.unionByName(row)
+    return out

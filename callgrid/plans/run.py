@@ -29,7 +29,7 @@ from callgrid.operators.dedup import dedup_csv
 from callgrid.schemas import DEFAULT_QUEUES, Queue, queue_dim, queue_ids
 from callgrid.session import cut_lineage
 from callgrid.sinks.export import write_report_bundle
-from callgrid.sinks.store import PeriodStore, canonical_json, raw_legs_table
+from callgrid.sinks.store import PeriodStore, canonical_json, raw_legs_table, raw_records_table
 
 
 @dataclass
@@ -45,6 +45,9 @@ def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue,
 
     ``counts`` are validation counts a queue (J-5), which the queue documents then carry.
     """
+    def with_json(df: DataFrame, name: str = "metrics_json") -> DataFrame:
+        return df.withColumn(name, canonical_json(*df.columns))
+
     dim = queue_dim(spark, queues)
     ids = queue_ids(queues)
     cube = C.calls_cube(curated)
@@ -63,17 +66,15 @@ def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue,
         "queue_daily_metrics": daily,
         "queue_hourly_metrics": hourly,
         "queue_dow_metrics": C.dow_volume(cube),
-        "agent_queue_metrics": lb,
+        "agent_queue_metrics": with_json(lb.drop("rank")),
         "caller_queue_metrics": top,
         "release_reason_metrics": M.release_reasons(curated),
         "funnel_language_metrics": funnel.select("language", canonical_json(
-            *[c for c in funnel.columns if c != "language"]).alias("funnel_json")),
-        "crossqueue_agent_metrics": R.pivot_to_long(agents, "agent_name", ids).withColumnRenamed("queue_calls", "calls")
-        .filter(F.col("calls") > 0),
-        "crossqueue_caller_metrics": R.pivot_to_long(callers, "caller_number_norm", ids)
-        .withColumnRenamed("queue_calls", "calls").filter(F.col("calls") > 0),
-        "comparative_series": R.comparative_series(C.hourly_volume(cube, with_avg=False), daily),
-        "anomalies": anomalies,
+            *[c for c in funnel.columns if c != "language"]).alias("metrics_json")),
+        "crossqueue_agent_metrics": with_json(agents).select("agent_name", "total_calls", "metrics_json"),
+        "crossqueue_caller_metrics": with_json(callers).select("caller_number_norm", "total_calls", "metrics_json"),
+        "comparative_series": with_json(R.comparative_series(C.hourly_volume(cube, with_avg=False), daily)),
+        "anomalies": with_json(anomalies, "anomaly_json"),
     }
 
 
@@ -106,7 +107,7 @@ def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, s
     run_id = None
     if store_root:
         validation = rv.select(F.to_json(F.struct("*"))).first()[0]
-        run_id = PeriodStore(spark, store_root).replace(tables, start, end, "csv", "success", validation)
+        run_id = PeriodStore(spark, store_root).replace(tables, start, end, "csv", "success", validation, period=period)
     tables["queue_validation"], tables["run_validation"] = qv, rv
     if report_root:
         cube = C.calls_cube(curated)
@@ -124,7 +125,7 @@ def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, s
 
 def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame | None, start: str, end: str,
                    store_root: str | None = None, queues: tuple[Queue, ...] = DEFAULT_QUEUES,
-                   timezone: str = DEFAULT_TIMEZONE, inventory_root: str | None = None) -> PeriodResult:
+                   timezone: str = DEFAULT_TIMEZONE, inventory_root: str | None = None, period: str = "month") -> PeriodResult:
     """API entry point: keep-last per call -> period filter -> resolve queues -> curate -> metrics -> store.
 
     With ``inventory_root`` the field inventory (F-13) is also written as a dated and a
@@ -148,6 +149,7 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
     dim = queue_dim(spark, queues)
     tables = metric_tables(spark, curated, queues)
     tables["curated_calls"] = curated
+    tables["raw_call_legs"] = raw_records_table(records)
     # the status is settled before anything is published: one action, its row kept for all uses below
     counted = curation_counts(records, deduped, curated, unmapped).first()
     counts = spark.createDataFrame([counted])
@@ -164,7 +166,7 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
     if store_root:
         validation = json.dumps(counted.asDict(), sort_keys=True)
         stored = {k: v for k, v in tables.items() if k != "api_counts"}
-        run_id = PeriodStore(spark, store_root).replace(stored, start, end, "api", counted["status"], validation)
+        run_id = PeriodStore(spark, store_root).replace(stored, start, end, "api", counted["status"], validation, period=period)
     return PeriodResult(run_id, tables, [])
 
 
@@ -184,4 +186,4 @@ def run_api_from_extract(spark: SparkSession, landing_root: str, start: str, end
         land_extract(recs, stats, landing_root, period, start, end)
     path = snapshot_path(spark, landing_root, start, end)
     return run_api_period(spark, read_records(spark, f"{path}/records"), read_stats_document(spark, f"{path}/stats"),
-                          start, end, store_root, queues, timezone, inventory_root)
+                          start, end, store_root, queues, timezone, inventory_root, period)

@@ -125,7 +125,7 @@ TABLE_SCHEMAS: dict[str, StructType] = {
     "queue_dim": StructType(_s("queue_id", "queue_name", "language", "role")),
     "curated_calls": StructType(PERIOD + list(CURATED_SCHEMA.fields)),
     "raw_call_legs": StructType(PERIOD + _s("source_mode", "queue_id", "call_id", "source_file", "raw_json")),
-    "report_runs": StructType(PERIOD + _s("source_mode", "status", "validation_json", "report_json")
+    "report_runs": StructType(PERIOD + _s("period", "source_mode", "status", "validation_json")
                               + [StructField("generated_at", TimestampNTZType())]),
     "queue_period_metrics": StructType(PERIOD + _s("queue_id", "metrics_json")),
     "queue_daily_metrics": StructType(PERIOD + _s("queue_id") + [StructField("date", DateType()),
@@ -138,18 +138,19 @@ TABLE_SCHEMAS: dict[str, StructType] = {
     "agent_queue_metrics": StructType(PERIOD + _s("queue_id", "agent_name") + [
         StructField("calls", LongType()), StructField("avg_sec", DoubleType()),
         StructField("median_sec", DoubleType()), StructField("total_sec", DoubleType()),
-        StructField("pct_of_answered", DoubleType())]),
+        StructField("pct_of_answered", DoubleType())] + _s("metrics_json")),
     "caller_queue_metrics": StructType(PERIOD + _s("queue_id", "caller_number_norm") + [
         StructField("calls", LongType()), StructField("rank", IntegerType())]),
     "release_reason_metrics": StructType(PERIOD + _s("queue_id", "reason_type", "reason") + [
         StructField("calls", LongType())]),
-    "funnel_language_metrics": StructType(PERIOD + _s("language", "funnel_json")),
-    "crossqueue_agent_metrics": StructType(PERIOD + _s("agent_name", "queue_id") + [StructField("calls", LongType())]),
-    "crossqueue_caller_metrics": StructType(PERIOD + _s("caller_number_norm", "queue_id") + [
-        StructField("calls", LongType())]),
+    "funnel_language_metrics": StructType(PERIOD + _s("language", "metrics_json")),
+    "crossqueue_agent_metrics": StructType(PERIOD + _s("agent_name") + [StructField("total_calls", LongType())]
+                                           + _s("metrics_json")),
+    "crossqueue_caller_metrics": StructType(PERIOD + _s("caller_number_norm") + [StructField("total_calls", LongType())]
+                                            + _s("metrics_json")),
     "comparative_series": StructType(PERIOD + _s("series_name", "queue_id", "bucket") + [
         StructField("calls", LongType()), StructField("no_answer_count", LongType()),
-        StructField("no_answer_rate", DoubleType())]),
-    "anomalies": StructType(PERIOD + _s("severity", "kind", "queue_id", "description", "target_json")),
+        StructField("no_answer_rate", DoubleType())] + _s("metrics_json")),
+    "anomalies": StructType(PERIOD + _s("severity", "kind", "queue_id", "description", "target_json", "anomaly_json")),
 }
 

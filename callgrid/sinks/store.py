@@ -28,7 +28,7 @@ RUNS = "_runs"
 GAPS = "_gaps"
 RUN_SCHEMA = StructType([
     StructField("period_start", StringType()), StructField("period_end", StringType()),
-    StructField("run_id", StringType()), StructField("source_mode", StringType()),
+    StructField("run_id", StringType()), StructField("period", StringType()), StructField("source_mode", StringType()),
     StructField("status", StringType()), StructField("validation_json", StringType()),
     StructField("published_at", TimestampNTZType()),
 ])
@@ -65,21 +65,25 @@ class PeriodStore:
         return path
 
     def publish(self, start: str, end: str, run_id: str, source_mode: str, status: str = "success",
-                validation_json: str = "{}") -> None:
+                validation_json: str = "{}", period: str = "month") -> None:
         """SNK-7: append the run row; this single write makes all tables of the run visible."""
         row = self.spark.createDataFrame(
-            [(start, end, run_id, source_mode, status, validation_json)],
-            "period_start string, period_end string, run_id string, source_mode string, status string, "
+            [(start, end, run_id, period, source_mode, status, validation_json)],
+            "period_start string, period_end string, run_id string, period string, source_mode string, status string, "
             "validation_json string").withColumn("published_at", F.localtimestamp())
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/{RUNS}")
 
     def replace(self, tables: dict[str, DataFrame], start: str, end: str, source_mode: str,
-                status: str = "success", validation_json: str = "{}", run_id: str | None = None) -> str:
-        """Write every table of a run, then publish it (all-or-nothing)."""
+                status: str = "success", validation_json: str = "{}", run_id: str | None = None,
+                period: str = "month") -> str:
+        """Write every table of a run and its ``report_runs`` row, then publish it (all-or-nothing)."""
         run_id = run_id or new_run_id()
         for name, df in tables.items():
             self.write(name, df, start, end, run_id)
-        self.publish(start, end, run_id, source_mode, status, validation_json)
+        row = self.spark.createDataFrame([(period, source_mode, status, validation_json)],
+                                         "period string, source_mode string, status string, validation_json string")
+        self.write("report_runs", row.withColumn("generated_at", F.localtimestamp()).coalesce(1), start, end, run_id)
+        self.publish(start, end, run_id, source_mode, status, validation_json, period)
         return run_id
 
     def runs(self) -> DataFrame:
@@ -162,3 +166,11 @@ def raw_legs_table(legs: DataFrame, source_mode: str) -> DataFrame:
         F.lit(source_mode).alias("source_mode"), F.col("queue_id").cast("string").alias("queue_id"),
         F.col("orig_call_id").cast("string").alias("call_id"), F.col("source_file").cast("string").alias("source_file"),
         canonical_json(*legs.columns).alias("raw_json"))
+
+
+def raw_records_table(records: DataFrame) -> DataFrame:
+    """SNK-5: landed API records ``(rec_no, rec)`` kept as their JSON text (VARIANT keeps keys sorted)."""
+    return records.select(
+        F.lit("api").alias("source_mode"), F.try_variant_get("rec", "$.call_queue.id", "string").alias("queue_id"),
+        F.try_variant_get("rec", "$.from.call_id", "string").alias("call_id"), F.lit("api_records").alias("source_file"),
+        F.to_json("rec").alias("raw_json"))
