@@ -47,23 +47,21 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages of every document that repeat an earlier place."""
-    found = suffix.repeats(table(spark, sf_dir, "documents"))
-    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
-    return found.select("doc_id", "n_words", "repeated_words", F.size("spans").alias("n_spans"), spans.alias("spans"))
+    """Passages of 50 words or more that repeat an earlier place, and the document that has them first."""
+    found = suffix.passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "first_doc_id", F.col("start").alias("start_word"), F.col("end").alias("end_word"))
 
 
 ORACLE["op4_suffix_dedup"] = """
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, p, md5(array_to_string(w[p + 1 : p + 50], ' ')) AS h
       FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 49, 0))) AS p FROM d)),
-r AS (SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id NULLS LAST, p) AS k FROM g) WHERE k > 1),
+r AS (SELECT doc_id, p, f FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id NULLS LAST, p) AS k,
+                                       first_value(doc_id) OVER (PARTITION BY h ORDER BY doc_id NULLS LAST, p) AS f FROM g) WHERE k > 1),
 j AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS opens FROM r),
-s AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM j) GROUP BY doc_id, k),
-t AS (SELECT doc_id, sum(b - a) AS n, count(*) AS k, string_agg(a || '-' || b, ',' ORDER BY a) AS spans FROM s GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS repeated_words,
-       CAST(coalesce(k, 0) AS INT) AS n_spans, coalesce(spans, '') AS spans
-FROM d LEFT JOIN t ON d.doc_id = t.doc_id
+s AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM j)
+SELECT doc_id, arg_min(f, p) AS first_doc_id, CAST(min(p) AS INTEGER) AS start_word, CAST(max(p) + 50 AS INTEGER) AS end_word
+FROM s GROUP BY doc_id, k
 """
 
 

@@ -152,7 +152,7 @@ def ngram_hashes_pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, spans): doc_id, digest, n_words, tid and is_first of every document; and for each
-    distinct text with repeats its tid and starts, the sorted starts of repeated windows."""
+    distinct text with repeats its tid and starts, the sorted starts of repeated windows with the tid of their first place."""
     found = written(suffixes(docs), "suffix-rows")
     distinct = found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("suffixes").alias("suffixes"))
     # ids that rise with doc_id, so that an earlier place is a smaller (tid, pos)
@@ -169,8 +169,11 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = texts.join(wanted, texts["own_id"].eqNullSafe(wanted["first_id"])).select("tid", "digest", "text", "places")
     windows = written(_windows(texts), "suffix-windows")
     firsts = windows.groupBy("h", "h2").agg(F.min(F.struct("tid", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a table of its own: the join then deals both sides out itself, and the session can split a passage that many share
+    firsts = written(firsts, "suffix-firsts")
     later = windows.join(firsts, ["h", "h2"]).where(F.struct("tid", "pos") != F.col("first"))
-    spans = later.groupBy("tid").agg(F.sort_array(F.collect_list("pos")).alias("starts"))
+    starts = F.sort_array(F.collect_list(F.struct("pos", F.col("first.tid").alias("source")))).alias("starts")
+    spans = later.groupBy("tid").agg(starts)  # at most the windows of one text
     names = distinct.select(F.col("digest").alias("own"), "tid", "first_id")
     rows = found.select("doc_id", "digest", "n_words")
     rows = rows.join(names, rows["digest"] == names["own"]).select("doc_id", "digest", "n_words", "tid", F.col("doc_id").eqNullSafe(F.col("first_id")).alias("is_first"))
@@ -178,21 +181,36 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _spans(starts) -> Column:
-    """Merged word spans [start, end) of sorted starts of windows."""
-    opens = F.filter(starts, lambda s, i: (i == 0) | (s - F.get(starts, i - 1) > WINDOW))
-    closes = F.filter(starts, lambda s, i: (i == F.size(starts) - 1) | (F.get(starts, i + 1) - s > WINDOW))
-    return F.zip_with(opens, closes, lambda a, b: F.struct(a.alias("start"), (b + WINDOW).alias("end")))
+    """Merged word spans [start, end) of sorted starts of windows, and the text in which the span's first window comes first."""
+    opens = F.filter(starts, lambda s, i: (i == 0) | (s["pos"] - F.get(starts, i - 1)["pos"] > WINDOW))
+    closes = F.filter(starts, lambda s, i: (i == F.size(starts) - 1) | (F.get(starts, i + 1)["pos"] - s["pos"] > WINDOW))
+    return F.zip_with(opens, closes, lambda a, b: F.struct(a["pos"].alias("start"), (b["pos"] + WINDOW).alias("end"), a["source"].alias("source")))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, n_words, spans (words [start, end) that repeat an earlier place) and repeated_words of every document."""
+def _repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents with spans, names of the texts that the spans' sources are)."""
     rows, starts = find(docs)
-    merged = starts.select("tid", _spans(F.col("starts")).alias("merged"))
-    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    merged = starts.select("tid", _spans(F.col("starts")).alias("merged"), F.get("starts", F.lit(0)).alias("opening"))
+    source = F.when(F.col("opening.pos") == 0, F.col("opening.source")).otherwise(F.col("tid"))
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"), source.alias("source")))
+    none = F.array().cast("array<struct<start:int,end:int,source:long>>")
     spans = F.when(F.col("is_first"), F.coalesce("merged", none)).when(F.col("n_words") >= WINDOW, whole).otherwise(none)
     out = rows.join(merged, "tid", "left").select("doc_id", "digest", "n_words", spans.alias("spans"))
-    return out.withColumn("repeated_words", F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]))
+    out = out.withColumn("repeated_words", F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]))
+    return out, rows.where("is_first").select(F.col("tid").alias("source"), F.col("doc_id").alias("first_doc_id")).distinct()
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, digest, n_words, spans (words [start, end) that repeat an earlier place) and repeated_words of every document."""
+    return _repeats(docs)[0]
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """One row a repeated span: doc_id, first_doc_id (the document in which the span's first window comes first),
+    start and end (words). Documents without a repeat have no row of their own."""
+    out, names = _repeats(docs)
+    each = out.select("doc_id", F.inline("spans"))
+    return each.join(names, "source").select("doc_id", "first_doc_id", "start", "end")
 
 
 def cut(text: str, spans) -> str:
