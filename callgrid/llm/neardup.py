@@ -41,11 +41,13 @@ from callgrid.llm.components import components
 SHINGLE = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
-REGISTERS = 512
+REGISTERS = 768
 BASE = 1.1
 BAND, BANDS = 5, 48
-#: Pairs whose estimated likeness is this far (4.5 standard deviations of 512 registers) below the limit are left out.
-MARGIN = 0.09
+#: Pairs whose estimated likeness is this far (4.5 standard deviations of 768 registers) below the limit are left out.
+MARGIN = 0.07
+#: Share of equal registers to expect at the limit, at least (sets of any two sizes).
+EQUAL_AT_LIMIT = 0.7587
 #: Members compared with each other in one block; larger buckets are split.
 BLOCK = 256
 
@@ -233,8 +235,7 @@ def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
             y = y[(comp[y] != comp[x]) & ((part[y] != part[x]) | (i == j))]
             y = y[100 * np.minimum(size[y], size[x]) >= PERCENT * np.maximum(size[y], size[x])]
             same = regs[y] == regs[x]
-            # at the limit 0.76 of all registers are equal
-            ok = same.mean(1) >= PERCENT / 100 - MARGIN
+            ok = same.mean(1) >= EQUAL_AT_LIMIT - MARGIN
             y, same = y[ok], same[ok]
             if len(y):
                 earlier = same[:, : band * BAND].reshape(len(y), band, BAND).all(2).any(1)
