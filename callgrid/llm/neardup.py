@@ -270,7 +270,8 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     bands = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                                      lambda i: F.xxhash64(F.substring(F.col("registers"), i * BAND + 1, F.lit(BAND)), i))).alias("band", "key")
     banded = sets.select("node", bands)
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a table of its own: the join then deals both sides out itself, and the session can split a bucket that many share
+    shared = written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-shared")
     members = written(banded.join(shared, "key").select("key", "band", "node", "n"), "near-members")
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
     hubs = members.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"))
