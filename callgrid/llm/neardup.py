@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callgrid.llm.common import written
@@ -141,9 +141,14 @@ def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, REGISTERS)
 
 
+def _text_id(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, set_id (128-bit digest of the set; null without one), n_shingles and registers of every document."""
-    docs = docs.select("doc_id", "text")
+    """doc_id, text_id (digest of the text), set_id (128-bit digest of the set; null without one), n_shingles and
+    registers of every document."""
+    docs = docs.select("doc_id", _text_id(F.col("text")).alias("text_id"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -155,10 +160,11 @@ def sketches(docs: DataFrame) -> DataFrame:
                     sizes.append(len(s))
                     ids.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
                     regs.append(sketch(s).tobytes() if len(s) else None)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(regs, pa.binary())],
-                                                 names=["doc_id", "set_id", "n_shingles", "registers"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("text_id"), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(regs, pa.binary())],
+                    names=["doc_id", "text_id", "set_id", "n_shingles", "registers"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, set_id binary, n_shingles long, registers binary")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_id string, set_id binary, n_shingles long, registers binary")
 
 
 def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -291,6 +297,10 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
+    return _classes(docs).drop("text_id")
+
+
+def _classes(docs: DataFrame) -> DataFrame:
     sketched = written(sketches(docs), "near-sketches")
     sets = sketched.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
         F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
@@ -300,15 +310,16 @@ def classes(docs: DataFrame) -> DataFrame:
     named = written(named.select("set_id", "component", "rep_id"), "near-named")
     smallest = named.groupBy("component").agg(F.min("rep_id").alias("component_id"))
     of_set = named.join(smallest, "component").select(F.col("set_id").alias("own_set"), "component_id")
-    out = sketched.select("doc_id", "set_id", "n_shingles").join(of_set, F.col("set_id") == F.col("own_set"), "left")
+    out = sketched.select("doc_id", "text_id", "set_id", "n_shingles").join(of_set, F.col("set_id") == F.col("own_set"), "left")
     component_id = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id"), component_id.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return out.select("doc_id", "text_id", "n_shingles", component_id.alias("component_id"), component_id.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each class: the one with the smallest doc_id; columns as they came.
 
-    Rows that repeat the kept doc_id stay with it.
+    Rows that repeat both the kept doc_id and its text stay with it.
     """
-    gone = written(classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "near-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    gone = _classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("text_id").alias("__text"))
+    gone = written(gone.distinct(), "near-gone")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]) & (_text_id(docs["text"]) == gone["__text"]), "left_anti")

@@ -50,6 +50,10 @@ def test_near_duplicates(spark, docs):
     left = neardup.keep_first(docs)
     assert left.columns == docs.columns and sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 2, 3, 4, 6, 8]
     assert neardup.classes(docs.limit(0)).count() == 0
+    # ids that are missing or repeated by other texts: each row stays or goes with its own class
+    odd = spark.createDataFrame([(1, "one two three four five six"), (None, "one two three four five six"), (None, "seven eight nine ten eleven"),
+                                 (5, "One two three FOUR five six"), (5, "twelve words that are like nothing else in this table at all")], "doc_id long, text string")
+    assert sorted(str(r.doc_id) + r.text[:3] for r in neardup.keep_first(odd).collect()) == ["1one", "5twe", "Nonesev"]
 
 
 def test_repeated_passages(spark, docs):
