@@ -49,7 +49,7 @@ MARGIN = 0.07
 #: Share of equal registers to expect at the limit, at least (sets of any two sizes).
 EQUAL_AT_LIMIT = 0.7587
 #: Members compared with each other in one block; larger buckets are split.
-BLOCK = 256
+BLOCK = 1024
 
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(2024))
