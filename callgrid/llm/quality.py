@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from callgrid.llm.common import WORD, let, words_of
 
-#: Size of the hashed n-gram space.
-BUCKETS = 1 << 16
+#: The hashed n-gram space grows with the trusted sample, to a power of 2: at most so many of its n-grams a bucket on average.
+GRAMS_A_BUCKET = 8
 #: At most so many trusted documents are counted for the target (those first by hash of doc_id).
 TARGET_ROWS = 20_000
 #: Texts with a mean log ratio below this (in nats an n-gram) are rejected.
@@ -56,16 +56,25 @@ def _whole(hashes: Column, length: int) -> Column:
     return F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - length + 1, F.lit(0)))
 
 
-def fit_ratio(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, target_rows: int = TARGET_ROWS) -> RatioModel:
+def _space(n_grams: int) -> int:
+    """Buckets for a target of so many n-grams: the space is filled alike whatever the table's size."""
+    return 1 << max(0, -(-n_grams // GRAMS_A_BUCKET) - 1).bit_length()
+
+
+def fit_ratio(docs: DataFrame, labels: DataFrame, buckets: int | None = None, target_rows: int = TARGET_ROWS) -> RatioModel:
     """Count n-grams of all documents and of the trusted ones in one pass; one row a bucket reaches the driver.
 
     ``labels`` has (doc_id, quality). Only the trusted sample is bounded, by
-    ``target_rows``; its ids are broadcast, so no text is shuffled.
+    ``target_rows``; its ids are broadcast, so no text is shuffled. Without ``buckets``
+    the space follows the n-grams of the trusted sample, counted beforehand.
     """
     trusted = (labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
                .orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows))
     trusted = trusted.select(F.col("doc_id").alias("trusted_id"))
     seen = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
+    if buckets is None:
+        n = F.greatest(2 * F.size(words_of(F.col("text"))) - 1, F.lit(0))
+        buckets = _space(seen.where(F.col("trusted_id").isNotNull()).agg(F.sum(n)).first()[0] or 0)
     hashes = let(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)),
                  lambda one: F.concat(one, _whole(_joined(one, 1), 2)))
     grams = seen.select(F.explode(hashes).alias("gram"), F.col("trusted_id").isNotNull().cast("long").alias("is_target"))

@@ -41,6 +41,17 @@ def test_quality(spark, docs, labels):
     assert all(r.ratio == 0 for r in quality.score(docs, labels.limit(0)).collect())
 
 
+def test_junk_is_rejected_however_large_the_table(spark):
+    junk = F.pmod("doc_id", F.lit(20)) == 0
+    word = lambda j: F.concat(F.pmod(F.xxhash64("doc_id", j), F.lit(50_000)).cast("string"), F.when(junk, "%%%").otherwise("ab"))
+    large = spark.range(6000).withColumnRenamed("id", "doc_id").withColumn("text", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), word), " "))
+    for docs in (large.where("doc_id < 300"), large):
+        labels = docs.where(~junk).select("doc_id", F.lit(1).alias("quality"))
+        got = quality.score(docs, labels).groupBy(junk.alias("junk"), "kept").count().collect()
+        assert {(r.junk, r.kept) for r in got if r["count"] > 0.05 * docs.count()} == {(False, True)}
+        assert not any(r.kept for r in got if r.junk)
+
+
 def test_near_duplicates(spark, docs):
     got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.classes(docs).collect()]
     by = {r[0]: r for r in got}
