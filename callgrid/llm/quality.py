@@ -1,12 +1,13 @@
 """Quality rules: base counts of a text, and a hashed n-gram likelihood ratio against trusted text.
 
-Everything is DataFrame functions; a row is judged by itself, so nothing but the
-n-gram counts (one row a bucket) is shuffled and hot sources or copies cost nothing extra.
+Everything is DataFrame functions; a row is judged by itself, so only text hashes, the
+n-gram counts (one row a bucket) and texts that have copies are shuffled, each text once a task.
 
 The ratio compares two multinomials over hashed word 1- and 2-grams: ``target``, from a
 bounded sample of documents that ``labels.quality`` marks 1, and ``raw``, from every
-document. A text's ratio is the mean over its n-grams of log(target / raw): near 0 for
-text like the trusted one, far below for text whose n-grams occur only outside it.
+document; both count a text once, however many copies it has. A text's ratio is the mean
+over its n-grams of log(target / raw): near 0 for text like the trusted one, far below
+for text whose n-grams occur only outside it.
 
 Results in special cases: null or empty texts have 0 words and fail the base rules; a
 text of any length is read whole; equal texts get equal results whatever their ids;
@@ -23,10 +24,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callgrid.llm.common import WORD, let, words_of
+from callgrid.llm.common import WORD, let, words_of, written
 
-#: The hashed n-gram space grows with the trusted sample, to a power of 2: at most so many of its n-grams a bucket on average.
-GRAMS_A_BUCKET = 8
+#: Least size of the hashed n-gram space.
+BUCKETS = 1 << 16
+#: The space grows with the trusted sample, to a power of 2: at most so many of its n-grams a bucket on average.
+GRAMS_A_BUCKET = 32
 #: At most so many trusted documents are counted for the target (those first by hash of doc_id).
 TARGET_ROWS = 20_000
 #: Texts with a mean log ratio below this (in nats an n-gram) are rejected.
@@ -57,27 +60,38 @@ def _whole(hashes: Column, length: int) -> Column:
 
 
 def _space(n_grams: int) -> int:
-    """Buckets for a target of so many n-grams: the space is filled alike whatever the table's size."""
-    return 1 << max(0, -(-n_grams // GRAMS_A_BUCKET) - 1).bit_length()
+    """Buckets for a target of so many n-grams: a large table fills the space no more than a small one."""
+    return max(BUCKETS, 1 << max(0, -(-n_grams // GRAMS_A_BUCKET) - 1).bit_length())
+
+
+def _once(seen: DataFrame) -> DataFrame:
+    """(text, is_target) of each distinct text. Texts without a copy, told by their hash, stay where they are."""
+    copied = seen.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # a table of its own: its real size tells the planner whether the texts need a shuffle
+    copied = written(copied, "quality-copied")
+    single = seen.join(copied, "h", "left_anti").select("text", "is_target")
+    return single.union(seen.join(copied, "h", "left_semi").groupBy("text").agg(F.max("is_target").alias("is_target")))
 
 
 def fit_ratio(docs: DataFrame, labels: DataFrame, buckets: int | None = None, target_rows: int = TARGET_ROWS) -> RatioModel:
-    """Count n-grams of all documents and of the trusted ones in one pass; one row a bucket reaches the driver.
+    """Count n-grams of all distinct texts and of the trusted ones in one pass; one row a bucket reaches the driver.
 
     ``labels`` has (doc_id, quality). Only the trusted sample is bounded, by
-    ``target_rows``; its ids are broadcast, so no text is shuffled. Without ``buckets``
-    the space follows the n-grams of the trusted sample, counted beforehand.
+    ``target_rows``; its ids are broadcast. Without ``buckets`` the space follows the
+    n-grams of the trusted sample, counted beforehand.
     """
     trusted = (labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
                .orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows))
     trusted = trusted.select(F.col("doc_id").alias("trusted_id"))
     seen = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
+    seen = seen.select("text", F.xxhash64("text").alias("h"), F.col("trusted_id").isNotNull().cast("long").alias("is_target"))
     if buckets is None:
         n = F.greatest(2 * F.size(words_of(F.col("text"))) - 1, F.lit(0))
-        buckets = _space(seen.where(F.col("trusted_id").isNotNull()).agg(F.sum(n)).first()[0] or 0)
+        sizes = seen.where("is_target = 1").select("h", n.alias("n")).distinct()
+        buckets = _space(sizes.agg(F.sum("n")).first()[0] or 0)
     hashes = let(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)),
                  lambda one: F.concat(one, _whole(_joined(one, 1), 2)))
-    grams = seen.select(F.explode(hashes).alias("gram"), F.col("trusted_id").isNotNull().cast("long").alias("is_target"))
+    grams = _once(seen).select(F.explode(hashes).alias("gram"), "is_target")
     grams = grams.select(F.pmod("gram", F.lit(buckets)).alias("bucket"), "is_target")
     raw, target = [0] * buckets, [0] * buckets
     for r in grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("is_target").alias("t")).toLocalIterator():
@@ -131,7 +145,7 @@ def quality(text: Column, model: RatioModel, threshold: float = THRESHOLD) -> Co
             F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
             let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
             _repeated_words(_whole(let(_joined(two, 2), lambda four: _joined(four, 4)), REPEAT_WINDOW)).alias("n_repeat_words"),
-            ((weigh(one) + weigh(_whole(two, 2))) / (F.lit(MICRO) * F.greatest(2 * n - 1, F.lit(1)))).alias("ratio"))
+            (weigh(F.concat(one, _whole(two, 2))) / (F.lit(MICRO) * F.greatest(2 * n - 1, F.lit(1)))).alias("ratio"))
         return let(counts, verdict)
 
     def verdict(c: Column) -> Column:

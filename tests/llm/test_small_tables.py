@@ -52,6 +52,19 @@ def test_junk_is_rejected_however_large_the_table(spark):
         assert not any(r.kept for r in got if r.junk)
 
 
+def test_verdict_does_not_follow_copies(spark):
+    junk = F.pmod("doc_id", F.lit(20)) == 0
+    word = lambda j: F.concat(F.pmod(F.xxhash64("doc_id", j), F.lit(2000)).cast("string"), F.when(junk & (j % 2 == 0), "%%%").otherwise("ab"))
+    docs = spark.range(600).withColumnRenamed("id", "doc_id").withColumn("text", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), word), " "))
+    labels = docs.where(~junk & (F.col("doc_id") % 2 == 0)).select("doc_id", F.lit(1).alias("quality"))
+    ratio = lambda table: {r.doc_id: (r.kept, r.ratio) for r in quality.score(table, labels).where("doc_id >= 0").collect()}
+    want = ratio(docs)
+    assert not any(k for i, (k, _) in want.items() if i % 20 == 0)
+    for copied in (0, 1):  # a junk text, and a clean one without a label
+        copies = spark.range(300).select((-1 - F.col("id")).alias("doc_id")).crossJoin(docs.where(F.col("doc_id") == copied).select("text"))
+        assert ratio(docs.unionByName(copies)) == want
+
+
 def test_near_duplicates(spark, docs):
     got = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.classes(docs).collect()]
     by = {r[0]: r for r in got}
