@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callgrid.llm import bpe, htmltext, mixing, neardup, quality, spotsigs, suffix, tokencount, toxicity, warc
+from callgrid.llm import bpe, convrepair, htmltext, lexical, linedup, mixing, neardup, quality, spotsigs, suffix, tokencount, toxicity, warc
 from callgrid.llm.common import table
 
 QUERIES: dict = {}
@@ -127,3 +127,30 @@ FROM f
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted between the separators of flat token files."""
     return tokencount.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and its digest of every damaged conversation."""
+    return convrepair.report(convrepair.damage(table(spark, sf_dir, "conversations")))
+
+
+ORACLE["op11_conversation_repair"] = convrepair.ORACLE
+
+
+@_query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, and what is left without those that later documents hold too."""
+    return linedup.report(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_line_dedup"] = linedup.ORACLE
+
+
+@_query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_lexical_search"] = lexical.ORACLE

@@ -23,7 +23,7 @@ def rows(df):
 @pytest.fixture(scope="module")
 def sql():
     con = duckdb.connect()
-    for name in ("documents", "labels", "pages"):
+    for name in ("documents", "labels", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     return con
 
