@@ -2,8 +2,8 @@
 whose path names a queue (J-2), and dimension enrichment (J-3).
 
 The queue dimension is configuration (a handful of rows), so it is used as literal
-maps / CASE chains inside expressions: no join against raw records is needed for J-1,
-and J-2 only flattens the records J-1 could not resolve.
+maps / CASE chains inside expressions: no join against raw records is needed for J-1.
+J-2 flattens only the records that J-1 could not resolve.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callgrid.functions.exprs import clean_text, ws_trim
-from callgrid.operators.flatten import leaves, object_depth, scalar_text
+from callgrid.functions.exprs import clean_text
+from callgrid.operators.flatten import flatten_paths, leaf_text, path_column, shred
 from callgrid.schemas import Queue
 
 # Candidate paths that may carry the queue, in priority order.
@@ -32,10 +32,9 @@ def _name_map(queues: tuple[Queue, ...]) -> Column:
     return F.create_map(*[x for q in queues for x in (F.lit(q.name.lower()), F.lit(q.queue_id))])
 
 
-def match_exact(text: Column, queues: tuple[Queue, ...], maps: tuple[Column, Column] | None = None) -> Column:
+def match_exact(text: Column, queues: tuple[Queue, ...]) -> Column:
     """A tracked id, or a queue name compared case-insensitively."""
-    ids, names = maps or (_id_map(queues), _name_map(queues))
-    return F.coalesce(F.try_element_at(ids, text), F.try_element_at(names, F.lower(text)))
+    return F.coalesce(F.try_element_at(_id_map(queues), text), F.try_element_at(_name_map(queues), F.lower(text)))
 
 
 def match_loose(text: Column, queues: tuple[Queue, ...]) -> Column:
@@ -47,52 +46,24 @@ def match_loose(text: Column, queues: tuple[Queue, ...]) -> Column:
     return F.coalesce(F.try_element_at(_id_map(queues), text), contains)
 
 
-def resolve_exact(rec: str, queues: tuple[Queue, ...]) -> Column:
-    """J-1: first candidate path whose cleaned value matches (an unmatched earlier path
-    does not block a later one)."""
-    return F.coalesce(*[match_exact(clean_text(scalar_text(rec, p)), queues) for p in QUEUE_FIELD_CANDIDATES])
+def exact_queue(queues: tuple[Queue, ...]) -> Column:
+    """J-1 over the cleaned candidate columns: the first one whose text is a tracked id or name (an unmatched
+    earlier path does not block a later one). One match over the array of candidates: a match a column would
+    outgrow the method that whole-stage code compiles to."""
+    texts = F.array(*[F.col(path_column(p)) for p in QUEUE_FIELD_CANDIDATES])
+    return F.get(F.filter(F.transform(F.array_compact(texts), lambda t: match_exact(t, queues)), lambda q: q.isNotNull()), 0)
 
 
-def with_exact_queue(records: DataFrame, queues: tuple[Queue, ...], rec: str = "rec",
-                     out: str = "_q1") -> DataFrame:
-    """J-1 as a column; candidate texts are extracted in their own projection first so the
-    generated code per expression stays small."""
-    # a blank or "null" value can never equal an id or a name, so trimming is all J-1 needs
-    names = [f"_c{i}" for i in range(len(QUEUE_FIELD_CANDIDATES))]
-    staged = records.select("*", *[ws_trim(scalar_text(rec, p)).alias(n)
-                                   for n, p in zip(names, QUEUE_FIELD_CANDIDATES)])
-    maps = (_id_map(queues), _name_map(queues))  # built once, reused for every candidate
-    return staged.withColumn(out, F.coalesce(*[match_exact(F.col(n), queues, maps) for n in names])).drop(*names)
-
-
-def fallback_expr(rec: str | Column, queues: tuple[Queue, ...], depth: int) -> Column:
-    """J-2 as a row-local expression: the first field (path order) whose path contains
-    "queue" and whose value names a tracked queue.
-
-    Each leaf's text is extracted once, non-queue paths are dropped before any matching.
-    """
-    texts = F.filter(F.transform(leaves(rec, depth), lambda x: F.struct(
-        x["path"].alias("path"), F.try_variant_get(x["value"], "$", "string").alias("t"))),
-        lambda c: F.lower(c["path"]).contains("queue"))
-    trimmed = F.transform(texts, lambda c: F.struct(c["path"].alias("path"), ws_trim(c["t"]).alias("t")))
-    cleaned = F.transform(trimmed, lambda c: F.struct(c["path"].alias("path"), F.when(
-        (c["t"] != "") & (F.lower(c["t"]) != "null"), c["t"]).alias("t")))
-    matched = F.filter(F.transform(cleaned, lambda c: F.struct(c["path"].alias("path"),
-                                                               match_loose(c["t"], queues).alias("qid"))),
-                       lambda c: c["qid"].isNotNull())
-    return F.array_min(matched)["qid"]
+def with_exact_queue(records: DataFrame, queues: tuple[Queue, ...], rec: str = "rec", out: str = "_q1") -> DataFrame:
+    """``records`` with J-1's result as a column."""
+    return shred(records, cleaned=QUEUE_FIELD_CANDIDATES, rec=rec).select(*records.columns, exact_queue(queues).alias(out))
 
 
 def resolve_fallback(unresolved: DataFrame, queues: tuple[Queue, ...], id_col: str = "rec_no",
                      rec: str = "rec") -> DataFrame:
-    """J-2: ``(id, fallback_queue_id)`` for the records it resolves."""
-    return (unresolved.select(id_col, fallback_expr(rec, queues, object_depth(unresolved, rec)).alias("fallback_queue_id"))
-            .filter(F.col("fallback_queue_id").isNotNull()))
-
-
-def resolve_queues(records: DataFrame, queues: tuple[Queue, ...], depth: int, rec: str = "rec") -> DataFrame:
-    """J-1 then J-2 (only for rows J-1 left open); adds ``queue_id`` (null when nothing
-    matched). ``depth`` is the records' object depth. Both steps are expressions over the record: no shuffle, no join."""
-    r = with_exact_queue(records, queues, rec)
-    return (r.withColumn("queue_id", F.coalesce(F.col("_q1"), F.when(F.col("_q1").isNull(), fallback_expr(rec, queues, depth))))
-            .drop("_q1"))
+    """J-2: ``(id, fallback_queue_id)`` for the records it resolves: the first field (path order) whose path contains
+    "queue" and whose value names a tracked queue."""
+    named = flatten_paths(unresolved, [id_col], rec).where(F.lower("path").contains("queue"))
+    matched = named.select(id_col, "path", match_loose(clean_text(leaf_text()), queues).alias("queue"))
+    first = F.min(F.struct("path", "queue"))["queue"]
+    return matched.where(F.col("queue").isNotNull()).groupBy(id_col).agg(first.alias("fallback_queue_id"))

@@ -116,3 +116,10 @@ curated AS (
 
 def with_curated(body: str, start: str = PERIOD_START, end: str = PERIOD_END) -> str:
     return f"{curated_ctes(start, end)}\n{body}"
+
+
+def queue_paths() -> list[tuple[str, str]]:
+    """(path, condition on ``ev``) of the fields in which the records of the API adapter carry their queue (J-1)."""
+    from callgrid.operators.resolve import QUEUE_FIELD_CANDIDATES as paths
+    known = f"k % 7 <> 0 AND event_id % {len(paths)} = "
+    return [(p, f"{known}{n}") for n, p in enumerate(paths)] + [("by.user", f"{known}{len(paths) - 1}")]

@@ -14,6 +14,7 @@ from callgrid.functions import exprs as X
 from callgrid.operators import api_curate as A
 from callgrid.operators.dedup import dedup_api
 from callgrid.operators.flatten import field_inventory as inventory
+from callgrid.operators.flatten import path_column, shred
 from callgrid.operators.resolve import resolve_fallback, with_exact_queue
 from callgrid.plans import context as ctx
 from callgrid.plans.catalog import register
@@ -75,7 +76,8 @@ api_curated AS (
     CAST(p.k % 60 AS DOUBLE) AS queue_sec, p.agent_sec,
     CAST(CASE WHEN p.k % 4 = 0 THEN p.k % 60 ELSE 0 END AS DOUBLE) AS hold_sec,
     p.reason AS agent_release_reason, p.reason AS queue_release_reason,
-    CASE WHEN p.answered_at OR {O.clean_text('p.agent_raw')} IS NOT NULL THEN 'Handled' ELSE 'No Agent' END AS handled_flag
+    CASE WHEN p.answered_at OR {O.clean_text('p.agent_raw')} IS NOT NULL THEN 'Handled' ELSE 'No Agent' END AS handled_flag,
+    d.queue_id AS source_queue_id, p.call_key AS "Orig CallID", '{A.API_SOURCE_FILE}' AS source_file
   FROM in_period p JOIN {O.DIM} d ON d.queue_id = p.resolved_q)"""
 
 
@@ -116,9 +118,8 @@ def dedup_by_sort_key(spark, sf_dir):
 @register("sip_numbers", API_BASE + "\nSELECT rec_no, caller_number FROM api1")
 def sip_numbers(spark, sf_dir):
     """F-6 + F-9: first present caller candidate, SIP URI reduced to its user part."""
-    recs = _records(spark, sf_dir)
-    return recs.select("rec_no", X.sip_number(A.first_present_text("rec", A.CALLER_FIELD_CANDIDATES))
-                       .alias("caller_number"))
+    recs = shred(_records(spark, sf_dir), cleaned=A.CALLER_FIELD_CANDIDATES)
+    return recs.select("rec_no", X.sip_number(F.coalesce(*map(path_column, A.CALLER_FIELD_CANDIDATES))).alias("caller_number"))
 
 
 @register("api_wall_clock", API_BASE + "\nSELECT rec_no, start_time, call_datetime FROM api1")
@@ -130,13 +131,13 @@ def api_wall_clock(spark, sf_dir):
     return recs.select("rec_no", st.alias("start_time"), A.api_wall_clock(st, TZ).alias("call_datetime"))
 
 
-@register("api_curated", API_CURATED_CTES + f"\nSELECT {CURATED_SELECT} FROM api_curated", dates=("date",))
+@register("api_curated", API_CURATED_CTES + f'\nSELECT {CURATED_SELECT}, source_queue_id, "Orig CallID", source_file FROM api_curated', dates=("date",))
 def api_curated(spark, sf_dir):
-    """P-13: curated calls from nested records (dedup before the period filter, T3)."""
+    """P-13: all 26 columns of the curated calls from nested records (dedup before the period filter, T3)."""
     return _pipeline(spark, sf_dir)[0].drop("is_handled")
 
 
-@register("extract_roundtrip", API_CURATED_CTES + f"\nSELECT {CURATED_SELECT} FROM api_curated", dates=("date",))
+@register("extract_roundtrip", API_CURATED_CTES + f'\nSELECT {CURATED_SELECT}, source_queue_id, "Orig CallID", source_file FROM api_curated', dates=("date",))
 def extract_roundtrip(spark, sf_dir):
     """SNK-1 / S-4 / S-6 / S-3: the records landed as an extract with its manifest, then curated from the landed files."""
     from callgrid.operators.stats import stats_document_from_legs
@@ -169,8 +170,7 @@ SELECT (SELECT count(*) FROM api1) AS record_count, (SELECT count(*) FROM dedupe
 def api_counts(spark, sf_dir):
     """A-18: record, deduped, curated and ignored counts of an API run."""
     recs = _records(spark, sf_dir)
-    curated, unmapped, deduped = A.api_pipeline(recs, DEFAULT_QUEUES, TZ, ctx.PERIOD_START, ctx.PERIOD_END)
-    return A.curation_counts(recs, deduped, curated, unmapped)
+    return A.api_pipeline(recs, DEFAULT_QUEUES, TZ, ctx.PERIOD_START, ctx.PERIOD_END)[2]
 
 
 @register("field_inventory", f"""WITH {O.LEGS.split('legs0 AS')[0].rstrip().rstrip(',')},
@@ -185,7 +185,7 @@ p AS (
   UNION SELECT 'queue_time' FROM ev UNION SELECT 'hold_time' FROM ev
   UNION SELECT 'answer_time' FROM ev WHERE event_type IN ('view', 'click')
   UNION SELECT 'release_reason' FROM ev WHERE event_type <> 'purchase'
-  UNION SELECT 'call_queue.id' FROM ev WHERE k % 7 <> 0
+  {" ".join(f"UNION SELECT '{path}' FROM ev WHERE {cond}" for path, cond in O.queue_paths())}
   UNION SELECT 'queue_label' FROM ev WHERE k % 7 = 0
   UNION SELECT 'dialled_number' FROM ev WHERE day(ts) > 15)
 SELECT path FROM p""")

@@ -63,7 +63,7 @@ def _drift_sql() -> str:
              ("to.user.name", "k % 3 <> 0 AND k % 12 <> 0"), ("to.user.extension", "k % 3 <> 0 AND k % 12 <> 0"),
              ("duration", "true"), ("start_time", "true"), ("queue_time", "true"), ("hold_time", "true"),
              ("answer_time", "event_type IN ('view', 'click')"), ("release_reason", "event_type <> 'purchase'"),
-             ("call_queue.id", "k % 7 <> 0"), ("queue_label", "k % 7 = 0"), ("dialled_number", "day(ts) > 15")]
+             *O.queue_paths(), ("queue_label", "k % 7 = 0"), ("dialled_number", "day(ts) > 15")]
     body = " UNION ".join(
         f"SELECT '{p}' AS path, CAST(ts AS DATE) <= DATE '{half}' AS first FROM ev WHERE {c}" for p, c in conds)
     return f"""WITH {O.LEGS.split('legs0 AS')[0].rstrip().rstrip(',')},
@@ -100,6 +100,6 @@ def hybrid_curated(spark, sf_dir):
     csv = ctx.curated(spark, sf_dir).withColumn("_prio", F.lit(2))
     api = A.api_pipeline(api_records_from_tables(spark, sf_dir), start=ctx.PERIOD_START,
                          end=ctx.PERIOD_END)[0].withColumn("_prio", F.lit(1))
-    both = csv.unionByName(api).withColumn("_src", F.when(F.col("_prio") == 1, "api").otherwise("csv"))
+    both = csv.unionByName(api.select(*csv.columns)).withColumn("_src", F.when(F.col("_prio") == 1, "api").otherwise("csv"))
     out = keep_last(both, ["queue_id", "call_id"], [F.col("_prio").asc()], check=False)
     return out.groupBy("queue_id", "_src").agg(F.count(F.lit(1)).alias("calls")).withColumnRenamed("_src", "source")

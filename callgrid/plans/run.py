@@ -2,9 +2,9 @@
 
 ``run_csv_period`` mirrors the CSV entry point (filter, then keep-last per queue + call);
 ``run_api_period`` the API entry point (keep-last per call, then filter). Both build one
-lazy DAG; the curated table is cut from its lineage once (a reliable checkpoint in the
-cluster's shared checkpoint folder) because a dozen aggregates read it, and executors
-lost mid-run then recompute from the checkpoint rather than from raw files.
+lazy DAG; the curated calls are written once to the cluster's shared folder because a dozen
+aggregates read them, each only its columns, and executors lost mid-run then recompute from
+that table rather than from raw files.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ from callgrid.operators import queue_metrics as M
 from callgrid.operators import report as R
 from callgrid.operators import stats as S
 from callgrid.operators import validate as V
-from callgrid.operators.api_curate import DEFAULT_TIMEZONE, api_pipeline, curation_counts
+from callgrid.operators.api_curate import DEFAULT_TIMEZONE, api_pipeline
 from callgrid.operators.curate import curate_csv, filter_period_csv
 from callgrid.operators.dedup import dedup_csv
 from callgrid.schemas import DEFAULT_QUEUES, Queue, queue_dim, queue_ids
-from callgrid.session import cut_lineage
+from callgrid.session import materialize
 from callgrid.sinks.export import write_report_bundle
 from callgrid.sinks.store import PeriodStore, canonical_json, raw_legs_table, raw_records_table
 
@@ -50,7 +50,7 @@ def metric_tables(spark: SparkSession, curated: DataFrame, queues: tuple[Queue,
 
     dim = queue_dim(spark, queues)
     ids = queue_ids(queues)
-    cube = C.calls_cube(curated)
+    cube = materialize(C.calls_cube(curated), "cube")  # queues x days x 24 rows at most, read by a dozen tables
     hourly = C.hourly_volume(cube)
     daily = C.daily_volume(cube)
     lb = M.agent_leaderboard(curated)
@@ -97,7 +97,7 @@ def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, s
     if gaps:  # J-7: any missing queue stops the run; the gap report is the result
         return _gap_result(spark, gaps, start, end, "csv", store_root)
     filtered = filter_period_csv(legs, start, end)
-    curated = cut_lineage(curate_csv(dedup_csv(filtered)))
+    curated = materialize(curate_csv(dedup_csv(filtered)), "curated-calls")
     dim = queue_dim(spark, queues)
     qv = V.queue_validation(filtered, curated, dim)
     tables = metric_tables(spark, curated, queues, counts=qv)
@@ -138,20 +138,20 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
         gap = {"queue_id": "all", "reason": MISSING_API_FIELDS,
                "message": MISSING_FIELDS_MESSAGE.format(fields=", ".join(presence.missing))}
         return _gap_result(spark, [gap], start, end, "api", store_root)
-    curated, unmapped, deduped = api_pipeline(records, queues, timezone, start, end, presence)
+    curated, _, counts = api_pipeline(records, queues, timezone, start, end, presence)
     if inventory_root:
         from callgrid.operators.flatten import field_inventory
         from callgrid.sinks.export import write_inventory_document
         inventory = field_inventory(records)
         for name in (f"field_inventory_{start}_{end}", "field_inventory_latest"):
             write_inventory_document(inventory, f"{inventory_root.rstrip('/')}/{name}", start, end)
-    curated = cut_lineage(curated)
+    curated = materialize(curated, "curated-calls")
     dim = queue_dim(spark, queues)
     tables = metric_tables(spark, curated, queues)
     tables["curated_calls"] = curated
     tables["raw_call_legs"] = raw_records_table(records)
     # the status is settled before anything is published: one action, its row kept for all uses below
-    counted = curation_counts(records, deduped, curated, unmapped).first()
+    counted = counts.first()
     counts = spark.createDataFrame([counted])
     tables["api_counts"] = counts
     if stats_doc is not None:

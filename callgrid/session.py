@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,24 +54,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder is created and registered. On a cluster an unset folder is an error: executors
     would each write to a disk of their own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_callgrid_shared", None)
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(configured)
         return configured
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="callgrid-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    # the setting itself cannot be changed in a running session, so the context keeps the folder
+    context._callgrid_shared = tempfile.mkdtemp(prefix="callgrid-ckpt-")
+    context.setCheckpointDir(context._callgrid_shared)
+    return context._callgrid_shared
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: cuts lineage through files that survive a
+    lost executor, prunes columns for each later reader, and gives the planner real sizes."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

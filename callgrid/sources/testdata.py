@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callgrid.operators.resolve import QUEUE_FIELD_CANDIDATES
 from callgrid.schemas import DEFAULT_QUEUES, RAW_LEG_COLUMNS, Queue, queue_dim
 from callgrid.session import table_path
 
@@ -148,8 +149,9 @@ def lineitem_to_legs(spark: SparkSession, sf_dir: str,
 def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT_QUEUES) -> DataFrame:
     """One JSON record per event: ``(rec_no, value)`` with the shapes the API path must handle.
 
-    ``to.user`` is text in some records and an object in others (T6); some records carry
-    the queue only in a free-text ``queue_label`` (J-2) or not at all (unmapped); start
+    ``to.user`` and ``to.queue`` are text in some records and objects in others (T6); the queue stands, as id or
+    name, at each of J-1's paths in turn, behind an unmatched ``by.user`` at the last one, or only in a free-text
+    ``queue_label`` (J-2) or not at all (unmapped); start
     times are naive wall-clock (also with a space, a fraction or as a bare date) or have
     an offset (``Z``, ``+0530``, ``-03:00``; T7); durations are numbers, numeric
     text or ``53ms``; unanswered errors may still carry a duration (T5).
@@ -180,12 +182,29 @@ def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT
     frm = F.to_json(F.struct(
         F.concat(F.lit("c"), (uid * 1000 + F.dayofyear("ts")).cast("string")).alias("call_id"),
         number.alias("number"), F.concat(F.lit("Caller "), uid.cast("string")).alias("name")))
+    # J-1: the queue's id, or its name in other letters, at one of the candidate paths (``_ref``)
+    at, last = F.col("event_id") % len(QUEUE_FIELD_CANDIDATES), len(QUEUE_FIELD_CANDIDATES) - 1
+    e = e.withColumn("_qid", qid).withColumn("_ref", F.when(k % 7 != 0, F.when(
+        at % 2 == 1, F.upper(F.try_element_at(names, F.col("_qid")))).otherwise(F.col("_qid"))))
+    qid, ref = F.col("_qid"), F.col("_ref")
+
+    def carried(prefix: str) -> Column:
+        """The object at ``prefix``: the queue in the field whose turn it is."""
+        own = {p.removeprefix(prefix + "."): n for n, p in enumerate(QUEUE_FIELD_CANDIDATES) if p.startswith(prefix + ".")}
+        fields = {f: F.when(at == n, ref) for f, n in own.items()}
+        turns = [*own.values()]
+        if prefix == "by":  # an unmatched path in front of the last one
+            fields["user"], turns = F.when(at == last, "Lobby").otherwise(fields["user"]), [*turns, last]
+        return F.when(ref.isNotNull() & at.isin(*turns), F.struct(*[c.alias(f) for f, c in fields.items()]))
+
     to_call = F.when(k % 10 != 0, F.concat(F.date_format("ts", "yyyyMMddHHmmss"), F.lit("-"),
                                           F.col("event_id").cast("string")))
     to_str = F.to_json(F.struct(to_call.alias("call_id"), agent.alias("user")))
     to_obj = F.to_json(F.struct(to_call.alias("call_id"), F.when(agent.isNotNull(), F.struct(
         agent.alias("name"), (slot + 100).cast("string").alias("extension"))).alias("user")))
-    to = F.when(k % 3 == 0, to_str).otherwise(to_obj)
+    to_json = F.when(k % 3 == 0, to_str).otherwise(to_obj)
+    field = lambda name, value: F.concat(F.lit(f'"{name}":'), value)
+    to_queue = F.coalesce(F.to_json(carried("to.queue")), F.when(at == last, F.concat(F.lit('"'), ref, F.lit('"'))))
     duration = (F.when(k == 5, F.to_json(F.struct(F.lit("53ms").alias("d"))))
                 .when(et.isin("error", "signup"),
                       F.to_json(F.struct(F.when(k % 5 == 1, F.lit(12)).otherwise(F.lit(0)).alias("d"))))
@@ -198,17 +217,19 @@ def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT
         F.when(k % 4 == 0, k % 60).otherwise(F.lit(0)).alias("hold_time"),
         F.when(et == "error", F.lit("No Answer")).when(et == "signup", F.lit("Abandoned"))
          .when(et == "view", F.lit("Orig: Bye")).when(et == "click", F.lit("Term: Bye")).alias("release_reason"),
-        F.when(k % 7 != 0, F.struct(qid.alias("id"))).alias("call_queue"),
+        *[carried(p).alias(p) for p in ("by", "call_queue", "queue")],
         # a field that the source only sends from the middle of the month on
         F.when(F.dayofmonth("ts") > 15, F.concat(F.lit("61355570"), _padded(k % 100, 2))).alias("dialled_number"),
         F.when((k % 7 == 0) & (k % 14 != 0), F.try_element_at(names, qid))
          .when(k % 14 == 0, F.lit("Main Line")).alias("queue_label"),
     ))
     # splice: {"from":…,"to":…,"duration":…, <rest without its braces>}
-    body = F.concat(F.lit('{"from":'), frm, F.lit(',"to":'), to, F.lit(',"duration":'),
-                    F.regexp_extract(duration, r'^\{"d":(.*)\}$', 1), F.lit(","),
-                    F.expr("substring(_rest, 2)"))
-    return e.withColumn("_rest", rest).select(F.col("event_id").alias("rec_no"), body.alias("value"))
+    inner = F.when(F.col("_to") != "{}", F.expr("substring(_to, 2, length(_to) - 2)"))
+    to = F.concat(F.lit("{"), F.concat_ws(",", inner, field("call_queue", F.to_json(carried("to.call_queue"))), field("queue", to_queue)), F.lit("}"))
+    body = F.concat(F.lit('{"from":'), F.col("_from"), F.lit(',"to":'), to, F.lit(',"duration":'),
+                    F.regexp_extract("_duration", r'^\{"d":(.*)\}$', 1), F.lit(","), F.expr("substring(_rest, 2)"))
+    return (e.withColumns({"_from": frm, "_to": to_json, "_duration": duration, "_rest": rest})
+            .select(F.col("event_id").alias("rec_no"), body.alias("value")))
 
 
 def api_records_from_tables(spark: SparkSession, sf_dir: str,

@@ -34,7 +34,7 @@ RECS = [
 
 def test_api_pipeline(spark):
     recs = _records(spark, RECS)
-    curated, unmapped, deduped = A.api_pipeline(recs, start="2026-04-01", end="2026-04-30")
+    curated, unmapped, counts = A.api_pipeline(recs, start="2026-04-01", end="2026-04-30")
     rows = {r.call_id: r for r in curated.collect()}
     assert set(rows) == {"c1", "c2"}
     c1 = rows["c1"]
@@ -45,7 +45,11 @@ def test_api_pipeline(spark):
     assert (c2.queue_id, c2.handled_flag, c2.is_handled) == ("8021", "No Agent", True)
     assert str(c2.call_datetime) == "2026-04-02 09:00:00" and c2.queue_release_reason == "No Answer"
     assert [r.call_key for r in unmapped.collect()] == ["c4"]
-    counts = A.curation_counts(recs, deduped, curated, unmapped).first()
+    assert (c1.source_queue_id, c1["Orig CallID"], c1.source_file) == ("8030", "c1", "api_records")
+    assert len(curated.drop("is_handled").columns) == 26
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") == 0 and "open_rec" not in plan  # one read of the written stages
+    counts = counts.first()
     assert (counts.record_count, counts.deduped_count, counts.curated_count,
             counts.ignored_unmapped_queue_rows, counts.status) == (5, 4, 2, 1, "success")
 

@@ -127,7 +127,7 @@ def test_run_api_period(spark):
     assert res.tables["api_stats_funnel"].count() == 2
     dated = spark.read.json(os.path.join(inv, "field_inventory_2024-01-01_2024-01-31")).first()
     latest = spark.read.json(os.path.join(inv, "field_inventory_latest")).first()
-    assert dated.field_count == latest.field_count == 16
+    assert dated.field_count == latest.field_count == 30
 
 
 def test_empty_store_and_inventory_document(spark):
