@@ -22,9 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,8 +33,10 @@ from pyspark.sql import types as T
 
 from callgrid.llm.common import WORD
 
-#: Distinct words remembered by one Python worker; beyond it the table is emptied and filled anew.
-REMEMBERED_WORDS = 300_000
+#: Distinct words, and pieces of words, that one Python worker remembers: the last so many at least, twice as many at most.
+REMEMBERED_WORDS, REMEMBERED_PIECES = 400_000, 250_000
+#: Ids of a vocabulary have no more bits.
+_ID_BITS = 24
 #: Stands for the end of a word in the automaton; not a character of any byte-level vocabulary.
 _END = "￿"
 
@@ -48,6 +51,25 @@ def _byte_chars() -> list[str]:
 _BYTE_CHARS = _byte_chars()
 
 
+class _Remembered(dict):
+    """What ``make`` gives for a key, kept for the keys asked for last. A full table becomes the old one, and keys found
+    there move back, so that frequent ones are never made twice."""
+
+    def __init__(self, make: Callable, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Bpe:
     """Tables of one vocabulary file, and the encoding and decoding built on them."""
 
@@ -74,10 +96,12 @@ class Bpe:
                 continue
             self.merge[vocab[a], vocab[b]] = rank
             self.parts.setdefault(joined, (rank, vocab[a], vocab[b]))
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}  # by the left id, shifted, and the right one
         self._whole: dict[int, bool] = {}
-        self._seen: dict[str, tuple[bytes, int, str]] = {}
-        self._pieces: dict[str, list[int]] = {}
+        #: Ids as little-endian 32-bit integers and decoded text, of a word without ASCII white space and of a piece.
+        self.words = _Remembered(self._word, REMEMBERED_WORDS)
+        self.pieces = _Remembered(self._piece, REMEMBERED_PIECES)
+        self._mark = os.path.commonprefix(list(self.special))  # a word without it holds no special token
         self.automaton = ahocorasick.Automaton()
         for t, i in vocab.items():
             if t in self.special or (i not in self.parts and len(self._chars(t)) > 1):
@@ -107,7 +131,7 @@ class Bpe:
         the boundary have a merge of their own that comes before the one undone last, it
         would have been applied instead. Of equal ranks the left one is applied first.
         """
-        known = self._compatible.get((left, right))
+        known = self._compatible.get(left << _ID_BITS | right)
         if known is not None:
             return known
         a, b, undone, of_right = left, right, 1 << 60, False
@@ -124,7 +148,7 @@ class Bpe:
                 undone, of_right, a = rank_a, False, self.parts[a][2]
             else:
                 undone, of_right, b = rank_b, True, self.parts[b][1]
-        self._compatible[left, right] = ok
+        self._compatible[left << _ID_BITS | right] = ok
         return ok
 
     def whole(self, token: int) -> bool:
@@ -167,9 +191,8 @@ class Bpe:
             if before >= 0:
                 if not size[before]:
                     continue
-                pair = last[before], token
-                ok = compatible.get(pair)
-                if not (test(*pair) if ok is None else ok):
+                ok = compatible.get(last[before] << _ID_BITS | token)
+                if not ok and (ok is not None or not test(last[before], token)):
                     continue
             last[end], size[end] = token, length
         ids, at = [], len(marked) - 1
@@ -180,35 +203,33 @@ class Bpe:
             at -= size[at]
         return ids[::-1]
 
-    def _plain(self, text: str) -> list[int]:
+    def _made(self, ids: list[int]) -> tuple[bytes, str]:
+        return struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+
+    def _piece(self, text: str) -> tuple[bytes, str]:
+        return self._made(self.piece(text if text.isascii() else "".join([_BYTE_CHARS[x] for x in text.encode("utf-8")])))
+
+    def _plain(self, text: str) -> list[tuple[bytes, str]]:
         if self.split and _SIMPLE.fullmatch(text):
-            ids, known = [], self._pieces
-            for p in self.split.findall(text.lower()):
-                own = known.get(p)
-                if own is None:
-                    if len(known) >= REMEMBERED_WORDS:
-                        known.clear()
-                    own = known[p] = self.piece(p if p.isascii() else "".join([_BYTE_CHARS[x] for x in p.encode("utf-8")]))
-                ids += own
-            return ids
+            return [self.pieces[p] for p in self.split.findall(text.lower())]
         text = self.normalizer.normalize_str(text) if self.normalizer else text
         pieces = self.splitter.pre_tokenize_str(text) if self.splitter else [(text, None)]
-        return [i for p, _ in pieces if p for i in self.piece(p)]
-
-    def word(self, word: str) -> tuple[bytes, int, str]:
-        """Ids of a word without ASCII white space as little-endian 32-bit integers, their number, the decoded text."""
-        found = self._seen.get(word)
-        if found is None:
-            ids, at = [], 0
-            for m in self.special_re.finditer(word) if self.special_re else ():
-                ids += [*self._plain(word[at:m.start()]), self.special[m[0]]]
+        return [self._made(self.piece(p)) for p, _ in pieces if p]
+
+    def _word(self, word: str) -> tuple[bytes, str]:
+        if self.special and self._mark in word:
+            parts, at = [], 0
+            for m in self.special_re.finditer(word):
+                parts += [*self._plain(word[at:m.start()]), self._made([self.special[m[0]]])]
                 at = m.end()
-            ids += self._plain(word[at:])
-            found = struct.pack(f"<{len(ids)}I", *ids), len(ids), self.decode(ids)
-            if len(self._seen) >= REMEMBERED_WORDS:
-                self._seen.clear()
-            self._seen[word] = found
-        return found
+            parts += self._plain(word[at:])
+        else:
+            parts = self._plain(word)
+        return parts[0] if len(parts) == 1 else (b"".join([x[0] for x in parts]), " ".join([x[1] for x in parts]))
+
+    def encoded(self, text: str | None) -> list[tuple[bytes, str]]:
+        """Ids and decoded text of each word; a word that the normaliser removes has none."""
+        return list(map(self.words.__getitem__, _WORDS.findall(text or "")))
 
     def decode(self, ids) -> str:
         """Text of ids as the library's decode gives it for a file without a decoder: tokens parted by spaces."""
@@ -238,7 +259,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
         bpe = load(path)
         for b in batches:
-            ids = [np.frombuffer(b"".join([bpe.word(w)[0] for w in _WORDS.findall(t or "")]), "<i4") for t in b.column("text").to_pylist()]
+            ids = [np.frombuffer(b"".join([x[0] for x in bpe.encoded(t)]), "<i4") for t in b.column("text").to_pylist()]
             ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate([*ids, np.empty(0, "<i4")])))
             yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, "ids"])
 
@@ -269,9 +290,10 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         for b in batches:
             rows = []
             for t in b.column("text").to_pylist():
-                words = [x for x in [bpe.word(w) for w in _WORDS.findall(t or "")] if x[1]]
-                rows.append((sum([x[1] for x in words]), hashlib.sha256(b"".join([x[0] for x in words])).hexdigest(),
-                             hashlib.sha256(" ".join([x[2] for x in words]).encode("utf-8")).hexdigest()))
+                words = bpe.encoded(t)
+                ids = b"".join([x[0] for x in words])
+                text = " ".join([x[1] for x in words if x[0]])
+                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode("utf-8")).hexdigest()))
             n, ids, text = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(text, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
