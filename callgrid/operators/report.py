@@ -32,7 +32,7 @@ ANOMALY_KIND_LABELS = {
     "routing_mismatch": "Wrong-language routing",
 }
 EXPORT_COLUMNS = ("period", "date_start", "date_end", "section", "queue_id", "queue_name", "language", "role",
-                  "entity_type", "entity", "date", "hour", "dow", "metric", "value_num", "value_text", "details")
+                  "entity_type", "entity", "date", "hour", "dow", "metric", "value", "details")
 
 
 # --- periods and labels ------------------------------------------------------------------
@@ -195,7 +195,7 @@ def _long(df: DataFrame, section: str, entity_type: str | Column, metrics: Seque
           queue: str | None = "queue_id",
           entity: Column | None = None, date: Column | None = None, hour: Column | None = None,
           dow: Column | None = None, details: Column | None = None, text_metrics: Sequence[str] = ()) -> DataFrame:
-    """Unpivot ``metrics`` of one grain into export rows (numbers in value_num, text in value_text)."""
+    """Unpivot ``metrics`` of one grain into export rows; ``value`` is a VARIANT of each metric's own type."""
     e = F.lit("")
     base = df.select(
         (F.col(queue) if queue else F.lit(None).cast("string")).alias("queue_id"),
@@ -206,13 +206,10 @@ def _long(df: DataFrame, section: str, entity_type: str | Column, metrics: Seque
         (hour if hour is not None else e).alias("hour"),
         (dow if dow is not None else e).alias("dow"),
         (details if details is not None else e).alias("details"),
-        *[json_number(F.col(m)).alias(f"n_{m}") if m not in text_metrics else F.lit(None).cast("double").alias(f"n_{m}")
-          for m in metrics],
-        *[F.col(m).cast("string").alias(f"t_{m}") if m in text_metrics else F.lit(None).cast("string").alias(f"t_{m}")
-          for m in metrics])
-    stacked = F.stack(F.lit(len(metrics)), *[x for m in metrics for x in (F.lit(m), F.col(f"n_{m}"), F.col(f"t_{m}"))])
+        *[(F.col(m).cast("string") if m in text_metrics else json_number(F.col(m))).cast("variant").alias(m) for m in metrics])
+    stacked = F.stack(F.lit(len(metrics)), *[x for m in metrics for x in (F.lit(m), F.col(m))])
     return base.select("queue_id", "section", "entity_type", "entity", "date", "hour", "dow", "details",
-                       stacked.alias("metric", "value_num", "value_text"))
+                       stacked.alias("metric", "value"))
 
 
 def long_export(tables: dict[str, DataFrame], dim: DataFrame, period: str, start: str, end: str,
@@ -322,7 +319,7 @@ def long_export(tables: dict[str, DataFrame], dim: DataFrame, period: str, start
         F.coalesce("queue_id", F.lit("")).alias("queue_id"), F.coalesce("queue_name", F.lit("")).alias("queue_name"),
         F.coalesce("language", F.lit("")).alias("language"), F.coalesce("role", F.lit("")).alias("role"),
         "entity_type", F.coalesce("entity", F.lit("")).alias("entity"), "date", "hour", "dow", "metric",
-        "value_num", "value_text", "details")
+        "value", "details")
     return out
 
 

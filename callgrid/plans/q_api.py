@@ -173,7 +173,7 @@ def api_counts(spark, sf_dir):
     return A.api_pipeline(recs, DEFAULT_QUEUES, TZ, ctx.PERIOD_START, ctx.PERIOD_END)[2]
 
 
-@register("field_inventory", f"""WITH {O.LEGS.split('legs0 AS')[0].rstrip().rstrip(',')},
+FIELD_INVENTORY_SQL = f"""WITH {O.LEGS.split('legs0 AS')[0].rstrip().rstrip(',')},
 p AS (
   SELECT 'from.call_id' AS path FROM ev UNION SELECT 'from.name' FROM ev
   UNION SELECT 'from.number' FROM ev WHERE user_id % 13 <> 1
@@ -188,7 +188,10 @@ p AS (
   {" ".join(f"UNION SELECT '{path}' FROM ev WHERE {cond}" for path, cond in O.queue_paths())}
   UNION SELECT 'queue_label' FROM ev WHERE k % 7 = 0
   UNION SELECT 'dialled_number' FROM ev WHERE day(ts) > 15)
-SELECT path FROM p""")
+SELECT path FROM p"""
+
+
+@register("field_inventory", FIELD_INVENTORY_SQL)
 def field_inventory(spark, sf_dir):
     """F-12 + F-13: distinct dotted paths over all records (objects flattened, arrays are values)."""
     return inventory(_records(spark, sf_dir))

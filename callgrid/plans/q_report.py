@@ -5,6 +5,8 @@ A-19, A-22, F-21…F-25, SNK-2, SNK-3, SNK-9, U-3.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from callgrid import oracle as O
@@ -14,12 +16,17 @@ from callgrid.operators import cube as C
 from callgrid.operators import queue_metrics as M
 from callgrid.operators import report as R
 from callgrid.operators import validate as V
-from callgrid.operators.curate import filter_period_csv
+from callgrid.operators.curate import csv_pipeline, filter_period_csv
+from callgrid.operators.flatten import field_inventory
 from callgrid.plans import context as ctx
 from callgrid.plans.catalog import register
-from callgrid.plans.q_core import FUNNEL_SQL, HEADLINE_SQL, HOURLY_SQL
+from callgrid.plans.q_api import FIELD_INVENTORY_SQL
+from callgrid.plans.q_core import CURATED_SELECT, FUNNEL_SQL, HEADLINE_SQL, HOURLY_SQL
 from callgrid.plans.q_rules import (CALLER_RULE_SQL, HOURLY_RULE_SQL, RULE_INPUTS, SINGLE_SQL, SYSTEM_SQL)
-from callgrid.session import table_path
+from callgrid.session import ensure_checkpoint_dir, table_path
+from callgrid.sinks.export import export_text, write_csv_file, write_inventory_document, write_queue_exports
+from callgrid.sources.csv_legs import load_csv_legs
+from callgrid.sources.testdata import api_records_from_tables
 
 PERIOD_LABEL = "January 2024"
 ANOMALIES_CTE = ",\nanomalies AS (" + "\nUNION ALL\n".join([SYSTEM_SQL, SINGLE_SQL, HOURLY_RULE_SQL, CALLER_RULE_SQL]) + ")"
@@ -479,7 +486,8 @@ rows AS ({' UNION ALL '.join(parts)})""")
 SELECT 'month' AS period, '{O.PERIOD_START}' AS date_start, '{O.PERIOD_END}' AS date_end, r.section,
   coalesce(r.qid, '') AS queue_id, coalesce(d.queue_name, '') AS queue_name, coalesce(d.language, '') AS language,
   coalesce(d.role, '') AS role, r.entity_type, coalesce(r.entity, '') AS entity, r.date, r.hour, r.dow, r.metric,
-  r.value_num, r.value_text, r.details
+  coalesce(r.value_text, CASE WHEN r.value_num = floor(r.value_num) THEN CAST(CAST(r.value_num AS BIGINT) AS VARCHAR)
+    ELSE CAST(r.value_num AS VARCHAR) END, '') AS value, r.details
 FROM rows r LEFT JOIN {O.DIM} d ON d.queue_id = r.qid""")
 
 
@@ -510,9 +518,43 @@ def long_export_tables(spark, sf_dir):
 
 @register("long_export", _long_sql())
 def long_export(spark, sf_dir):
-    """U-3: the long-format export (one row per section, entity and metric)."""
+    """U-3 / F-26: the long-format export (one row per section, entity and metric) with its values as text."""
     tables, dim = long_export_tables(spark, sf_dir)
-    return R.long_export(tables, dim, "month", ctx.PERIOD_START, ctx.PERIOD_END)
+    rows = R.long_export(tables, dim, "month", ctx.PERIOD_START, ctx.PERIOD_END)
+    return rows.withColumn("value", export_text(F.col("value")))
+
+
+@register("export_file", _long_sql())
+def export_file(spark, sf_dir):
+    """SNK-11 / SNK-12: the long export written as one CSV file under its name, and that file read back."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    path = write_csv_file(long_export(spark, sf_dir), root, ctx.PERIOD_START, ctx.PERIOD_END, R.EXPORT_COLUMNS, ("section", "queue_id", "entity"))
+    back = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    return back.fillna("")
+
+
+@register("inventory_document", f"SELECT '{O.PERIOD_START}' AS start, '{O.PERIOD_END}' AS \"end\", (SELECT count(*) FROM (" + FIELD_INVENTORY_SQL
+          + ")) AS field_count, path AS field, 'success' AS status FROM (" + FIELD_INVENTORY_SQL + ")")
+def inventory_document(spark, sf_dir):
+    """SNK-10 / F-13: the field inventory written as one JSON document under its name, and each field read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/inventory-{uuid.uuid4().hex}/field_inventory_{ctx.PERIOD_START}_{ctx.PERIOD_END}.json"
+    write_inventory_document(field_inventory(api_records_from_tables(spark, sf_dir)), path, ctx.PERIOD_START, ctx.PERIOD_END)
+    doc = spark.read.schema("date_range struct<start string, end string>, field_count long, fields array<string>, validation struct<status string>").json(path)
+    return doc.select("date_range.start", "date_range.end", "field_count", F.explode("fields").alias("field"), "validation.status")
+
+
+@register("csv_roundtrip", O.with_curated(f"SELECT {CURATED_SELECT} FROM curated").replace(
+    "queue_release_reason, handled_flag FROM curated", "nullif(queue_release_reason, '') AS queue_release_reason, handled_flag FROM curated"),
+    dates=("date",))
+def csv_roundtrip(spark, sf_dir):
+    """S-1, S-2, U-1, P-4: the legs written as one export a queue, found by name, read by one scan and curated.
+    A CSV file does not tell an empty field from a missing one: both are null."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports-{uuid.uuid4().hex}"
+    write_queue_exports(ctx.legs(spark, sf_dir), root, "2024-01")
+    legs, gaps = load_csv_legs(spark, root, multiline=False)
+    if gaps:
+        raise ValueError(f"no export of {[g['queue_id'] for g in gaps]}")
+    return csv_pipeline(legs, ctx.PERIOD_START, ctx.PERIOD_END).drop("is_handled")
 
 
 @register("period_replace_roundtrip", O.with_curated("""

@@ -139,12 +139,6 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
                "message": MISSING_FIELDS_MESSAGE.format(fields=", ".join(presence.missing))}
         return _gap_result(spark, [gap], start, end, "api", store_root)
     curated, _, counts = api_pipeline(records, queues, timezone, start, end, presence)
-    if inventory_root:
-        from callgrid.operators.flatten import field_inventory
-        from callgrid.sinks.export import write_inventory_document
-        inventory = field_inventory(records)
-        for name in (f"field_inventory_{start}_{end}", "field_inventory_latest"):
-            write_inventory_document(inventory, f"{inventory_root.rstrip('/')}/{name}", start, end)
     curated = materialize(curated, "curated-calls")
     dim = queue_dim(spark, queues)
     tables = metric_tables(spark, curated, queues)
@@ -152,6 +146,12 @@ def run_api_period(spark: SparkSession, records: DataFrame, stats_doc: DataFrame
     tables["raw_call_legs"] = raw_records_table(records)
     # the status is settled before anything is published: one action, its row kept for all uses below
     counted = counts.first()
+    if inventory_root:
+        from callgrid.operators.flatten import field_inventory
+        from callgrid.sinks.export import write_inventory_document
+        inventory = materialize(field_inventory(records), "inventory")
+        for name in (f"field_inventory_{start}_{end}.json", "field_inventory_latest.json"):
+            write_inventory_document(inventory, f"{inventory_root.rstrip('/')}/{name}", start, end, counted.asDict())
     counts = spark.createDataFrame([counted])
     tables["api_counts"] = counts
     if stats_doc is not None:

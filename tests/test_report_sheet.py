@@ -101,6 +101,7 @@ def test_supplied_override(spark):
 def test_long_export_sections(spark):
     from callgrid.operators.stats import parse_stats, stats_diagnostics, stats_funnel
     from callgrid.plans.q_report import long_export_tables
+    from callgrid.sinks.export import export_text
     tables, dim = long_export_tables(spark, "/root/testdata/sf0.001")
     doc = spark.createDataFrame([('{"8020": {"calls_offered": 90, "calls_forwarded": 21, "abandoned_calls": 9}}',)],
                                 "value string")
@@ -110,13 +111,16 @@ def test_long_export_sections(spark):
     out = R.long_export(tables, dim, "month", "2024-01-01", "2024-01-31", generated_at="2024-02-01T09:00:00Z")
     sections = {r.section for r in out.select("section").distinct().collect()}
     meta = out.filter("section = 'report_metadata'").first()
-    assert (meta.metric, meta.value_text, meta.queue_id) == ("generated_at", "2024-02-01T09:00:00Z", "")
+    assert out.columns == list(R.EXPORT_COLUMNS) and len(out.columns) == 16
+    out = out.withColumn("text", export_text(F.col("value")))
+    meta = out.filter("section = 'report_metadata'").first()
+    assert (meta.metric, meta.text, meta.queue_id) == ("generated_at", "2024-02-01T09:00:00Z", "")
     assert {"queue_summary", "report_validation", "queue_hourly_volume", "crossqueue_funnel", "anomalies",
             "api_queue_stats_diagnostic", "api_stats_funnel_diagnostic"} <= sections
     derived = out.filter("metric = 'derived_no_agent_calls' AND queue_id = '8020'").first()
-    assert derived.value_num == 30.0
+    assert derived.text == "30"
     rec = out.filter("section = 'report_validation' AND metric = 'answered_plus_no_agent_reconciles'").first()
-    assert rec.value_text == "true" and rec.queue_id == ""
+    assert rec.text == "true" and rec.queue_id == ""
 
 
 def test_report_documents(spark):

@@ -95,7 +95,7 @@ def test_csv_export_quoting(spark):
     d = _tmp()
     df = spark.createDataFrame([("a,b", 'say "hi"', None, 3.0), ("x", "y", "z", 0.25)],
                                "c1 string, c2 string, c3 string, n double")
-    write_csv(df.select("c1", "c2", "c3", export_text(F.col("n"), F.lit(None).cast("string")).alias("value")),
+    write_csv(df.select("c1", "c2", "c3", export_text(F.col("n").cast("variant")).alias("value")),
               os.path.join(d, "out"), ["c1", "c2", "c3", "value"])
     text = "".join(open(f).read() for f in sorted(glob.glob(os.path.join(d, "out", "*.csv"))))
     assert '"a,b","say ""hi""",,3' in text and "x,y,z,0.25" in text
@@ -125,8 +125,11 @@ def test_run_api_period(spark):
     res = run_api_period(spark, recs, stats, "2024-01-01", "2024-01-31", store_root=root, inventory_root=inv)
     assert PeriodStore(spark, root).read("curated_calls").count() == E.queries()["api_curated"](spark, SF).count()
     assert res.tables["api_stats_funnel"].count() == 2
-    dated = spark.read.json(os.path.join(inv, "field_inventory_2024-01-01_2024-01-31")).first()
-    latest = spark.read.json(os.path.join(inv, "field_inventory_latest")).first()
+    assert sorted(n for n in os.listdir(inv) if n.endswith(".json")) == ["field_inventory_2024-01-01_2024-01-31.json", "field_inventory_latest.json"]
+    dated = spark.read.json(os.path.join(inv, "field_inventory_2024-01-01_2024-01-31.json")).first()
+    latest = spark.read.json(os.path.join(inv, "field_inventory_latest.json")).first()
+    assert (dated.date_range.start, dated.date_range.end) == ("2024-01-01", "2024-01-31")
+    assert dated.validation.status == "success" and dated.validation.deduped_count == latest.validation.deduped_count
     assert dated.field_count == latest.field_count == 30
 
 
@@ -138,10 +141,12 @@ def test_empty_store_and_inventory_document(spark):
     assert store.read("curated_calls").count() == 0
     d = _tmp()
     inv = field_inventory(api_records_from_tables(spark, SF))
-    write_inventory_document(inv, os.path.join(d, "inv"), "2024-01-01", "2024-01-31")
-    doc = spark.read.json(os.path.join(d, "inv")).first()
+    for _ in range(2):  # the second replaces the first
+        write_inventory_document(inv, os.path.join(d, "inv.json"), "2024-01-01", "2024-01-31")
+    assert [n for n in os.listdir(d) if not n.endswith(".crc")] == ["inv.json"]
+    doc = spark.read.json(os.path.join(d, "inv.json")).first()
     assert doc.field_count == len(doc.fields) == inv.count()
-    assert list(doc.fields) == sorted(doc.fields) and doc.validation_status == "success"
+    assert list(doc.fields) == sorted(doc.fields) and doc.validation.status == "success"
 
 
 def test_run_api_from_extract_reuses_snapshot(spark):
@@ -200,3 +205,38 @@ def test_half_landed_refresh_leaves_the_old_snapshot(spark):
     assert spark.read.text(f"{first}/records").count() == 1
     manifest = spark.read.json(f"{first}/manifest").first()
     assert (manifest.record_count, manifest.queue_stats_count, manifest.queues_included) == (1, 1, ["8020"])
+
+
+def test_exports_with_other_column_orders_in_one_scan(spark):
+    """Each export is read under its own header; one has no agent column, one a blank one."""
+    d = _tmp()
+    files = {"8020": "Call Time,Orig CallID,Agent Name\n04/01/2026 8:33 am,a,Ann\n",
+             "8021": "Agent Name,,Orig CallID,Call Time\nBob,junk,b,04/01/2026 9:00 am\nNA,,c,04/01/2026 9:30 am\n",
+             "8030": "Orig CallID,Call Time\nd,04/01/2026 10:00 am\n"}
+    for q, text in files.items():
+        with open(os.path.join(d, f"calls_{q}_2026-04.csv"), "w") as fh:
+            fh.write(text)
+    legs, gaps = load_csv_legs(spark, d)
+    assert [g["queue_id"] for g in gaps] == ["8031"]
+    assert legs._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert {(r.queue_id, r.orig_call_id, r.call_time[-7:].strip(), r.agent_name, r.role) for r in legs.collect()} == {
+        ("8020", "a", "8:33 am", "Ann", "primary"), ("8021", "b", "9:00 am", "Bob", "primary"),
+        ("8021", "c", "9:30 am", None, "primary"), ("8030", "d", "0:00 am", None, "overflow")}
+
+
+def test_export_text_of_every_kind(spark):
+    cases = {'"a b"': "a b", "3": "3", "3.0": "3", "0.25": "0.25", "0.00001": "0.00001", "-2.5": "-2.5", "true": "true", "false": "false",
+             "null": "", '{"b":[1,"x"],"a":null}': '{"a":null,"b":[1,"x"]}', "[1,2]": "[1,2]", '""': ""}
+    df = spark.createDataFrame([(c,) for c in cases] + [(None,)], "c string")
+    got = {r.c: r.t for r in df.select("c", export_text(F.parse_json("c")).alias("t")).collect()}
+    assert got == cases | {None: ""}
+
+
+def test_one_export_file_is_replaced_whole(spark):
+    from callgrid.sinks.export import write_csv_file
+    d = _tmp()
+    df = spark.createDataFrame([("b", " x,\n"), ("a", None)], "k string, v string").repartition(2)
+    for _ in range(2):
+        path = write_csv_file(df, d, "2024-01-01", "2024-01-31", ["v", "k"], ["k"])
+    assert [n for n in os.listdir(d) if not n.endswith(".crc")] == ["queue-analytics-2024-01-01_2024-01-31.csv"]
+    assert open(path).read() == 'v,k\n,a\n" x,\n",b\n'
