@@ -18,7 +18,6 @@ rules alone decide. Only the columns named are read, extra ones are ignored (or,
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -74,7 +73,7 @@ def _once(seen: DataFrame) -> DataFrame:
 
 
 def fit_ratio(docs: DataFrame, labels: DataFrame, buckets: int | None = None, target_rows: int = TARGET_ROWS) -> RatioModel:
-    """Count n-grams of all distinct texts and of the trusted ones in one pass; one row a bucket reaches the driver.
+    """Count n-grams of all distinct texts and of the trusted ones in one pass, a row a bucket; the driver gets one text.
 
     ``labels`` has (doc_id, quality). Only the trusted sample is bounded, by
     ``target_rows``; its ids are broadcast. Without ``buckets`` the space follows the
@@ -93,14 +92,17 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, buckets: int | None = None, ta
                  lambda one: F.concat(one, _whole(_joined(one, 1), 2)))
     grams = _once(seen).select(F.explode(hashes).alias("gram"), "is_target")
     grams = grams.select(F.pmod("gram", F.lit(buckets)).alias("bucket"), "is_target")
-    raw, target = [0] * buckets, [0] * buckets
-    for r in grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("is_target").alias("t")).toLocalIterator():
-        raw[r.bucket], target[r.bucket] = r.n, r.t
-    if not any(target):
-        return RatioModel(",".join(["0"] * buckets))
-    all_raw, all_target = sum(raw) + buckets, sum(target) + buckets
-    return RatioModel(",".join(str(round(MICRO * (math.log((t + 1) / all_target) - math.log((n + 1) / all_raw))))
-                               for t, n in zip(target, raw)))
+    counts = written(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("is_target").alias("t")), "quality-counts")
+    total = counts.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+    if not total["t"]:
+        weight = F.lit(0).cast("long")
+    else:  # every bucket counts once more than it was found
+        share = lambda found, of: F.ln((F.coalesce(F.col(found), F.lit(0)) + 1) / F.lit(float(of + buckets)))
+        weight = F.round(MICRO * (share("t", total["t"]) - share("n", total["n"]))).cast("long")
+    every = docs.sparkSession.range(buckets).join(counts, F.col("id") == F.col("bucket"), "left")
+    ordered = F.sort_array(F.collect_list(F.struct("id", weight.alias("weight"))))  # one row a bucket, however much was counted
+    text = F.array_join(F.transform(ordered, lambda x: x["weight"].cast("string")), ",")
+    return RatioModel(every.agg(text.alias("weights")).first()["weights"])
 
 
 def _repeated_words(windows: Column) -> Column:
