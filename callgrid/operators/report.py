@@ -367,7 +367,7 @@ QUEUE_LISTS = (
     ("agent_leaderboard", ("agent_name", "calls", "avg_sec", "median_sec", "total_sec", "pct_of_answered"), ("rank",)),
     ("top_callers", ("caller_number_norm", "calls"), ("rank",)),
 )
-#: Callers listed in a period document.
+#: Callers that a period document shows itself.
 DOCUMENT_CALLERS = 1000
 DISTRIBUTION_FIELDS = ("count", "mean", "std", "min", "p25", "median", "p75", "max")
 
@@ -417,12 +417,13 @@ def queue_documents(curated: DataFrame, cube: DataFrame, dim: DataFrame, counts:
 
 def period_document(queue_docs: DataFrame, funnel: DataFrame, agents: DataFrame, callers: DataFrame, hourly: DataFrame,
                     daily: DataFrame, anomalies: DataFrame, gaps: DataFrame, validation: DataFrame, period: str,
-                    start: str, end: str, generated_at: str) -> DataFrame:
+                    start: str, end: str, generated_at: str, caller_parts: DataFrame | None = None) -> DataFrame:
     """SNK-2: the document of a whole period: queues, cross-queue tables, anomalies, gaps and validation.
 
     A report is one document; every part comes from a table of a row a queue, language,
-    agent, hour, day or anomaly. Callers have no such bound: the document lists the
-    ``DOCUMENT_CALLERS`` most frequent ones, the bundle keeps all of them beside it.
+    agent, hour, day or anomaly. Callers have no such bound: the document shows the
+    ``DOCUMENT_CALLERS`` most frequent ones and names every part file of the whole ordered list
+    (``caller_parts``: file, rows, first and last caller; a row a part), so all of them can be reached from it.
     """
     callers = callers.orderBy(F.desc("total_calls"), "caller_number_norm").limit(DOCUMENT_CALLERS)
 
@@ -442,6 +443,7 @@ def period_document(queue_docs: DataFrame, funnel: DataFrame, agents: DataFrame,
     parts = [
         keyed(queue_docs, "queue_id", F.col("document"), "queues"), keyed(funnel, "language", text(funnel), "funnels"),
         listed(agents, [-F.col("total_calls"), "agent_name"], "agents"), listed(callers, [-F.col("total_calls"), "caller_number_norm"], "callers"),
+        *([listed(caller_parts, ["file"], "caller_parts")] if caller_parts is not None else []),
         listed(hourly, ["hour", "queue_id"], "same_hour_no_answer"), listed(daily, ["date", "queue_id"], "same_day_volume"),
         listed(anomalies, ["kind", "queue_id", "description"], "anomalies"), listed(gaps, ["queue_id"], "source_gaps"),
         validation.agg(F.parse_json(F.coalesce(F.first(text(validation)), F.lit('{"status":"success"}'))).alias("validation")),
@@ -449,7 +451,7 @@ def period_document(queue_docs: DataFrame, funnel: DataFrame, agents: DataFrame,
     doc = parts[0].withColumn("_k", F.lit(1))
     for p in parts[1:]:  # each part is one row
         doc = doc.join(p.withColumn("_k", F.lit(1)), "_k")
-    crossqueue = F.struct("agents", "callers", "funnels", "same_day_volume", "same_hour_no_answer").alias("crossqueue")
+    crossqueue = F.struct("agents", *(["caller_parts"] if caller_parts is not None else []), "callers", "funnels", "same_day_volume", "same_hour_no_answer").alias("crossqueue")
     return doc.select(F.to_json(F.struct(
         "anomalies", crossqueue, F.struct(F.lit(end).alias("end"), F.lit(start).alias("start")).alias("date_range"),
         F.lit(generated_at).alias("generated_at"), F.lit(period).alias("period"), "queues", "source_gaps", "validation"),

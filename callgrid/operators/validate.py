@@ -3,15 +3,19 @@ run totals (A-17), missing-source gaps (J-7) and conservation invariants (SURVEY
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callgrid.functions.exprs import CSV_CALL_TIME_FORMAT, has_value, to_seconds, ws_trim
 from callgrid.operators.curate import with_handled
 
 # Labels the validation block carries.
 CSV_CALCULATION_SOURCE = "csv_cleaned_queue_level_calls"
 CSV_DEDUPE_KEY = "Orig CallID; keep last row after date filtering"
 MISSING_CSV = "missing_csv"
+# Reasons of rejected values (strict mode).
+MISSING_KEY, BAD_TIME, BAD_DURATION, BAD_NUMBER = "missing_call_id", "bad_call_time", "bad_duration", "not_a_number"
+REJECTED_MESSAGE = "{n} rows rejected in {column}"
 
 
 def queue_validation(filtered_legs: DataFrame, curated: DataFrame, dim: DataFrame,
@@ -60,6 +64,32 @@ def run_validation(qv: DataFrame, start: str, end: str, timezone: str,
     )
 
 
+def _rejects(checks: list[tuple[str, Column, Column, str]]) -> Column:
+    """The failed ones of (column, value, whether it is bad, reason) as an array of structs."""
+    found = F.array(*[F.when(bad, F.struct(F.lit(name).alias("column"), value.cast("string").alias("value"), F.lit(reason).alias("reason")))
+                      for name, value, bad, reason in checks])
+    return F.filter(found, lambda x: x.isNotNull())
+
+
+def rejected_legs(legs: DataFrame) -> DataFrame:
+    """Strict mode of P-10, F-2 and F-1: (leg_no, queue_id, column, value, reason) of every value that a run cannot use. Row by row,
+    no shuffle; the run itself takes such durations as missing, and fails on such keys and times."""
+    key, time = F.col("orig_call_id"), F.col("call_time")
+    checks = [("orig_call_id", key, key.isNull() | (ws_trim(key) == ""), MISSING_KEY),
+              ("call_time", time, F.try_to_timestamp(time, F.lit(CSV_CALL_TIME_FORMAT)).isNull(), BAD_TIME)]
+    checks += [(c, F.col(c), has_value(c) & to_seconds(c).isNull() & ~ws_trim(c).endswith("ms"), BAD_DURATION)
+               for c in ("time_in_queue", "agent_time", "hold_time")]
+    return legs.select("leg_no", "queue_id", F.inline(_rejects(checks)))
+
+
+def rejected_stats(doc: DataFrame, column: str = "value") -> DataFrame:
+    """Strict mode of F-14: (queue_id, column, value, reason) of statistics that are no number; null counts as 0."""
+    from callgrid.operators.stats import STAT_FIELDS, STATS_JSON_SCHEMA
+    rows = doc.select(F.explode(F.from_json(column, STATS_JSON_SCHEMA)).alias("queue_id", "s"))
+    return rows.select("queue_id", F.inline(_rejects([
+        (f, F.col("s")[f], F.col("s")[f].isNotNull() & F.col("s")[f].try_cast("double").isNull(), BAD_NUMBER) for f in STAT_FIELDS])))
+
+
 def source_gaps(legs: DataFrame, dim: DataFrame, location: str) -> DataFrame:
     """J-7: configured queues without any source rows -> gap rows (anti join from the dimension)."""
     found = legs.select("queue_id").distinct()

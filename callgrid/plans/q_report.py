@@ -24,7 +24,8 @@ from callgrid.plans.q_api import FIELD_INVENTORY_SQL
 from callgrid.plans.q_core import CURATED_SELECT, FUNNEL_SQL, HEADLINE_SQL, HOURLY_SQL
 from callgrid.plans.q_rules import (CALLER_RULE_SQL, HOURLY_RULE_SQL, RULE_INPUTS, SINGLE_SQL, SYSTEM_SQL)
 from callgrid.session import ensure_checkpoint_dir, table_path
-from callgrid.sinks.export import export_text, write_csv_file, write_inventory_document, write_queue_exports
+from callgrid.sinks.export import (export_text, read_parts, write_csv_file, write_inventory_document, write_ordered_parts,
+                                   write_queue_exports)
 from callgrid.sources.csv_legs import load_csv_legs
 from callgrid.sources.testdata import api_records_from_tables
 
@@ -557,6 +558,36 @@ def csv_roundtrip(spark, sf_dir):
     return csv_pipeline(legs, ctx.PERIOD_START, ctx.PERIOD_END).drop("is_handled")
 
 
+def _callers_sql() -> str:
+    from callgrid.plans.q_cross import CALLERS_SQL
+    return O.with_curated(f", c AS ({CALLERS_SQL})\nSELECT caller_number_norm, total_calls, CAST((SELECT count(*) FROM c) AS BIGINT) AS listed FROM c")
+
+
+@register("report_callers", _callers_sql())
+def report_callers(spark, sf_dir):
+    """SNK-2: every caller of the period, read from the part files that the list's directory names, next to its count."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/callers-{uuid.uuid4().hex}"
+    callers = X.consolidated_callers(ctx.curated(spark, sf_dir), ctx.QUEUE_IDS)
+    directory = write_ordered_parts(callers, folder, [F.desc("total_calls"), F.asc("caller_number_norm")], "caller_number_norm")
+    listed = directory.agg(F.sum("rows").alias("listed"))
+    found = read_parts(spark, folder, directory, callers.schema).select("caller_number_norm", "total_calls")
+    return found.withColumn("listed", listed.scalar())
+
+
+@register("rejected_rows", f"""WITH {O.LEGS.split('legs0 AS')[0].rstrip().rstrip(',')},
+q AS (SELECT event_id AS leg_no, event_id, CASE WHEN k < 70 THEN (CASE WHEN user_id % 2 = 0 THEN '8020' ELSE '8021' END)
+         ELSE (CASE WHEN user_id % 2 = 0 THEN '8030' ELSE '8031' END) END AS queue_id FROM ev)
+SELECT leg_no, queue_id, 'orig_call_id' AS "column", ' ' AS value, 'missing_call_id' AS reason FROM q WHERE event_id % 7 = 3
+UNION ALL SELECT leg_no, queue_id, 'call_time', 'soon', 'bad_call_time' FROM q WHERE event_id % 11 = 5
+UNION ALL SELECT leg_no, queue_id, 'hold_time', 'a while', 'bad_duration' FROM q WHERE event_id % 5 = 1""")
+def rejected_rows(spark, sf_dir):
+    """Strict mode of P-10, F-2 and F-1: legs with damaged ids, times and durations, each value with its reason."""
+    put = lambda c, n, left, bad: F.when(F.col("leg_no") % n == left, bad).otherwise(F.col(c))
+    legs = ctx.legs(spark, sf_dir).withColumns({"orig_call_id": put("orig_call_id", 7, 3, " "), "call_time": put("call_time", 11, 5, "soon"),
+                                                "hold_time": put("hold_time", 5, 1, "a while")})
+    return V.rejected_legs(legs)
+
+
 @register("period_replace_roundtrip", O.with_curated("""
 SELECT '2024-01-01' AS period_start, queue_id, count(*) AS calls,
   count(*) FILTER (WHERE handled_flag = 'Handled') AS handled FROM curated GROUP BY queue_id"""))

@@ -28,7 +28,7 @@ from callgrid.operators.curate import curate_csv, filter_period_csv
 from callgrid.operators.dedup import dedup_csv
 from callgrid.schemas import DEFAULT_QUEUES, Queue, queue_dim, queue_ids
 from callgrid.session import materialize
-from callgrid.sinks.export import write_report_bundle
+from callgrid.sinks.export import bundle_folder, write_ordered_parts, write_report_bundle
 from callgrid.sinks.store import PeriodStore, canonical_json, raw_legs_table, raw_records_table
 
 
@@ -88,12 +88,20 @@ def _gap_result(spark: SparkSession, gaps: list[dict], start: str, end: str, mod
 
 def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, store_root: str | None = None,
                    queues: tuple[Queue, ...] = DEFAULT_QUEUES, timezone: str = DEFAULT_TIMEZONE,
-                   gaps: list[dict] | None = None, report_root: str | None = None, period: str = "month") -> PeriodResult:
+                   gaps: list[dict] | None = None, report_root: str | None = None, period: str = "month",
+                   strict: bool = False) -> PeriodResult:
     """CSV entry point: period filter -> keep-last per (queue, call) -> curate -> metrics -> store.
 
-    With ``report_root`` the report bundle (SNK-2) is written as well.
+    With ``report_root`` the report bundle (SNK-2) is written as well. With ``strict`` every leg is checked first: legs with
+    a blank call id or a bad time or duration are gathered with their reasons, and the run ends without publishing.
     """
     gaps = gaps or []
+    if strict and not gaps:
+        bad = materialize(V.rejected_legs(legs), "rejected")
+        gaps = [{"queue_id": r.queue_id, "reason": r.reason, "message": V.REJECTED_MESSAGE.format(n=r.n, column=r.column)}
+                for r in bad.groupBy("queue_id", "column", "reason").agg(F.count(F.lit(1)).alias("n")).orderBy("queue_id", "column").collect()]
+        if gaps:
+            return _gap_result(spark, gaps, start, end, "csv", store_root, {"rejected_rows": bad})
     if gaps:  # J-7: any missing queue stops the run; the gap report is the result
         return _gap_result(spark, gaps, start, end, "csv", store_root)
     filtered = filter_period_csv(legs, start, end)
@@ -114,12 +122,14 @@ def run_csv_period(spark: SparkSession, legs: DataFrame, start: str, end: str, s
         ids = queue_ids(queues)
         callers = X.consolidated_callers(curated, ids)
         no_gaps = dim.filter(F.lit(False)).select("queue_id", F.lit("").alias("reason"), F.lit("").alias("message"))
+        parts = write_ordered_parts(callers, f"{bundle_folder(report_root, period, start, end)}/callers",
+                                    [F.desc("total_calls"), F.asc("caller_number_norm")], "caller_number_norm")
         docs = tables["queue_period_metrics"].withColumnRenamed("metrics_json", "document")
         document = R.period_document(
             docs, X.language_funnel(cube, dim), X.consolidated_agents(curated, ids), callers,
             C.hourly_volume(cube, with_avg=False), C.daily_volume(cube), tables["anomalies"], no_gaps, rv, period, start, end,
-            dt.datetime.now(dt.timezone.utc).isoformat())
-        write_report_bundle(document, docs, callers, report_root, period, start, end)
+            dt.datetime.now(dt.timezone.utc).isoformat(), parts)
+        write_report_bundle(document, docs, report_root, period, start, end)
     return PeriodResult(run_id, tables, [])
 
 

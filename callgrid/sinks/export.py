@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from callgrid.schemas import CSV_HEADER_TO_COLUMN
 
@@ -111,13 +112,31 @@ def write_inventory_document(inventory: DataFrame, path: str, start: str, end: s
     return write_text_file(doc, path)
 
 
-def write_report_bundle(period_doc: DataFrame, queue_docs: DataFrame, callers: DataFrame, root: str, period: str,
-                        start: str, end: str) -> str:
-    """SNK-2 below ``reports/<period>_<start>_<end>``: the period's JSON in ``metrics/``, a document a queue in
-    ``queues/file=metrics_<queue>/`` and every consolidated caller as JSON lines in ``callers/``; returns the folder."""
-    folder = f"{root.rstrip('/')}/reports/{period}_{start}_{end}"
+def write_ordered_parts(df: DataFrame, folder: str, order: Sequence[Column], key: str) -> DataFrame:
+    """An unbounded list as JSON lines in range-sorted part files, and its directory: (file, rows, first, last ``key``).
+
+    Reading the files by name gives the list in order; no task or document holds more than a part of it.
+    """
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").json(folder)
+    parts = df.sparkSession.read.schema(df.schema).json(folder).select(key, F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("_at"))
+    return parts.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min_by(key, "_at").alias("first"), F.max_by(key, "_at").alias("last"))
+
+
+def read_parts(spark: SparkSession, folder: str, directory: DataFrame, schema: StructType) -> DataFrame:
+    """The list of :func:`write_ordered_parts`, from the files that its directory names (one name a part)."""
+    names = [f"{folder}/{r.file}" for r in directory.select("file").collect()]
+    return spark.read.schema(schema).json(names) if names else spark.createDataFrame([], schema)
+
+
+def write_report_bundle(period_doc: DataFrame, queue_docs: DataFrame, root: str, period: str, start: str, end: str) -> str:
+    """SNK-2 below :func:`bundle_folder`: the period's JSON in ``metrics/`` and a document a queue in
+    ``queues/file=metrics_<queue>/``; returns the folder. The callers' parts are there before (the document names them)."""
+    folder = bundle_folder(root, period, start, end)
     period_doc.select("document").coalesce(1).write.mode("overwrite").text(f"{folder}/metrics")
     queue_docs.select(F.col("document").alias("value"), F.concat(F.lit("metrics_"), F.col("queue_id")).alias("file")).write.mode(
         "overwrite").partitionBy("file").text(f"{folder}/queues")
-    callers.write.mode("overwrite").json(f"{folder}/callers")
     return folder
+
+
+def bundle_folder(root: str, period: str, start: str, end: str) -> str:
+    return f"{root.rstrip('/')}/reports/{period}_{start}_{end}"

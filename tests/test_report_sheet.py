@@ -205,5 +205,28 @@ def test_report_bundle_meets_the_contract(spark, tmp_path):
     assert {p.name for p in (folder / "queues").glob("file=*")} == {f"file=metrics_{q}" for q in queue_ids(DEFAULT_QUEUES)}
     callers = [(-c["total_calls"], c["caller_number_norm"]) for c in text["crossqueue"]["callers"]]
     assert callers == sorted(callers) and len(callers) == spark.read.json(str(folder / "callers")).count() > 0
+    parts = text["crossqueue"]["caller_parts"]
+    assert sum(p["rows"] for p in parts) == len(callers) and all((folder / "callers" / p["file"]).exists() for p in parts)
+    listed = [json.loads(line)["caller_number_norm"] for p in parts for line in (folder / "callers" / p["file"]).read_text().splitlines()]
+    assert listed == [c for _, c in callers] and [p["first"] for p in parts][0] == listed[0] and [p["last"] for p in parts][-1] == listed[-1]
     broken = doc.selectExpr("'month' AS report", "replace(document, '\"period\":\"month\"', '\"period\":7') AS document")
     assert [tuple(r) for r in shape_violations(broken, rules, "report").collect()] == [("month", "period", "string", "number")]
+
+
+def test_strict_run_ends_without_publishing(spark, tmp_path):
+    from callgrid.operators.validate import rejected_legs, rejected_stats
+    from callgrid.plans.run import run_csv_period
+    from callgrid.sinks.store import PeriodStore
+    from callgrid.sources.testdata import legs_from_tables
+    legs, root = legs_from_tables(spark, "/root/testdata/sf0.001"), str(tmp_path)
+    assert rejected_legs(legs).count() == 0
+    assert run_csv_period(spark, legs, "2024-01-01", "2024-01-31", root, strict=True).run_id
+    kept = PeriodStore(spark, root).read("curated_calls").count()
+    broken = legs.withColumn("call_time", F.when(F.col("leg_no") % 50 == 7, "31/31/2024").otherwise(F.col("call_time")))
+    failed = run_csv_period(spark, broken, "2024-01-01", "2024-01-31", root, strict=True)
+    assert failed.run_id is None and {g["reason"] for g in failed.gaps} == {"bad_call_time"}
+    rows = failed.tables["rejected_rows"].collect()
+    assert len(rows) == legs.where("leg_no % 50 = 7").count() and {(r["column"], r.value) for r in rows} == {("call_time", "31/31/2024")}
+    assert PeriodStore(spark, root).read("curated_calls").count() == kept
+    stats = spark.createDataFrame([('{"8020": {"calls_offered": "12.0", "call_volume": "many", "calls_handled": null}}',)], "value string")
+    assert [tuple(r) for r in rejected_stats(stats).collect()] == [("8020", "call_volume", "many", "not_a_number")]
