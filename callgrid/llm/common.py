@@ -59,6 +59,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def located(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority that Spark resolves it to, for tasks that open files themselves."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return f"file://{found[5:]}" if found.startswith("file:/") and not found.startswith("file://") else found
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callgrid.llm.common import scratch, written
+from callgrid.llm.common import located, scratch, written
 from callgrid.llm.warc import _storage
 
 #: End-of-document id: the free id behind the ranks of the vocabulary.
@@ -125,7 +125,7 @@ def scan(files: DataFrame, folder: str, separator: int = SEPARATOR, id_type: str
 def count(docs: DataFrame, ranks: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id and n_tokens of every document, counted in the token files that its text was written to."""
     spark = docs.sparkSession
-    folder = scratch(spark, "tokens")
+    folder = located(spark, scratch(spark, "tokens"))
     named = write(docs, folder, ranks, pattern)
     if named.isEmpty():
         return named.select("doc_id", F.lit(0).cast("long").alias("n_tokens"))

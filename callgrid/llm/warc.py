@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callgrid.llm.common import scratch, written
+from callgrid.llm.common import located, scratch, written
 
 #: Smaller payloads are never stored as revisits.
 MIN_REVISIT = 100
@@ -57,7 +57,10 @@ def _storage(uri: str):
     """(file system, path) of a location in the shared folder: local, HDFS or an object store."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    scheme, _, rest = uri.partition("://")
+    if not rest and not uri.startswith("file:"):
+        return fs.LocalFileSystem(), uri  # callers that share no file system with Spark give plain paths
+    return fs.FileSystem.from_uri(f"s3://{rest}" if scheme in ("s3a", "s3n") else uri)
 
 
 def url_key(url: str | None) -> str:
@@ -245,7 +248,7 @@ def read(directory: DataFrame) -> DataFrame:
 
 def archive(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(captures, directory) of ``pages`` written as archives and an index in a fresh place of the shared folder."""
-    folder = scratch(pages.sparkSession, "warc")
+    folder = located(pages.sparkSession, scratch(pages.sparkSession, "warc"))
     captures = write(pages, f"{folder}/archives")
     return captures, build_index(captures, f"{folder}/index")
 
