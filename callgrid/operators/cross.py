@@ -91,7 +91,7 @@ def funnel_slices(funnel: DataFrame) -> DataFrame:
     return long.filter(F.col("value") > 0)
 
 
-def _pivot_by_queue(df: DataFrame, key: str, ids: Sequence[str]) -> DataFrame:
+def pivot_by_queue(df: DataFrame, key: str, ids: Sequence[str]) -> DataFrame:
     out = df.groupBy(key).pivot("queue_id", list(ids)).agg(F.count("call_id")).na.fill(0, subset=list(ids))
     total = sum((F.col(f"`{q}`") for q in ids), F.lit(0))
     return out.withColumn("total_calls", total.cast("bigint"))
@@ -101,14 +101,14 @@ def consolidated_agents(curated: DataFrame, ids: Sequence[str]) -> DataFrame:
     """A-12: handled calls per agent pivoted by queue + total (agent only needs to be non-null)."""
     c = with_handled(curated)
     src = c.filter(F.col("is_handled") & F.col("agent_name").isNotNull() & F.col("queue_id").isin(*ids))
-    return _pivot_by_queue(src, "agent_name", ids)
+    return pivot_by_queue(src, "agent_name", ids)
 
 
 def consolidated_callers(curated: DataFrame, ids: Sequence[str]) -> DataFrame:
     """A-13: calls per caller pivoted by queue + total; restricted callers excluded (P-9)."""
     src = curated.filter(F.col("caller_number_norm").isNotNull() & ~is_restricted("caller_number_norm")
                          & F.col("queue_id").isin(*ids))
-    return _pivot_by_queue(src, "caller_number_norm", ids)
+    return pivot_by_queue(src, "caller_number_norm", ids)
 
 
 def multi_queue_callers(callers: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callgrid.functions.exprs import ws_trim
-from callgrid.operators.cross import funnel_measures
+from callgrid.operators.cross import funnel_measures, pivot_by_queue
+from callgrid.operators.queue_metrics import MEASURES, value_statistics
 from callgrid.schemas import Queue
 
 BLANK_REASON = "(blank)"
@@ -144,14 +145,34 @@ def sheet_top_callers(curated: DataFrame, k: int = 100) -> DataFrame:
 
 
 def sheet_leaderboard(curated: DataFrame) -> DataFrame:
-    """Handled calls with a name; share = calls / all such calls of the queue."""
+    """Handled calls with a name; share = calls / all such calls of the queue. Exact medians from counted values."""
     h = curated.filter(F.col("is_handled") & F.col("agent_name").isNotNull())
-    lb = h.groupBy("queue_id", "agent_name").agg(
-        F.count(F.lit(1)).alias("calls"), F.avg("agent_sec").alias("avg_sec"),
-        F.median("agent_sec").alias("median_sec"), F.sum("agent_sec").alias("total_sec"))
+    stats = value_statistics(h, ["queue_id", "agent_name"], "agent_sec", (0.5,))
+    lb = stats.select("queue_id", "agent_name", F.col("count").alias("calls"), F.col("mean").alias("avg_sec"),
+                      F.col("quantiles")[0].alias("median_sec"), F.col("sum").alias("total_sec"))
     return lb.withColumn("pct_of_answered", F.col("calls") / F.sum("calls").over(Window.partitionBy("queue_id")))
 
 
+def sheet_distribution(curated: DataFrame, dim: DataFrame) -> DataFrame:
+    """Statistics of every queue time, and of agent and hold times above 0; a row for each queue and measure."""
+    def one(name: str, keep: Column) -> Column:
+        return F.when(keep, F.struct(F.lit(name).alias("measure"), F.col(name).alias("value")))
+
+    cells = F.array(one("queue_sec", F.lit(True)), one("agent_sec", F.col("agent_sec") > 0), one("hold_sec", F.col("hold_sec") > 0))
+    values = curated.select("queue_id", F.inline(F.array_compact(cells)))
+    stats = value_statistics(values, ["queue_id", "measure"], "value", (0.25, 0.5, 0.75))
+    grid = dim.select("queue_id", F.explode(F.array(*map(F.lit, MEASURES))).alias("measure"))
+    at = lambda i, name: F.get("quantiles", F.lit(i)).alias(name)
+    return grid.join(stats, ["queue_id", "measure"], "left").select(
+        "queue_id", "measure", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min",
+        at(0, "p25"), at(1, "median"), at(2, "p75"), "max")
+
+
+def sheet_callers(curated: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Calls per caller pivoted by queue + total, Unknown / Restricted included."""
+    return pivot_by_queue(curated.where(F.col("queue_id").isin(*ids)), "caller_number_norm", ids)
+
+
 def supplied_override(computed: DataFrame, supplied: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """A-26: per queue, the supplied summary rows replace the computed ones when the queue
     has any supplied row; queues without supplied rows keep the computed rows."""

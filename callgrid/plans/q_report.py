@@ -606,7 +606,7 @@ def period_replace_roundtrip(spark, sf_dir):
 
 def _stored_sql() -> str:
     from callgrid.plans.q_cross import AGENTS_SQL, CALLERS_SQL
-    from callgrid.plans.q_queue import LEADERBOARD_CTE, TOP_CALLERS_CTE
+    from callgrid.plans.q_queue import TOP_CALLERS_CTE
 
     def one(name: str, body: str, total: str = "NULL") -> str:
         return f"SELECT '{name}' AS name, count(*) AS stored_rows, CAST({total} AS DOUBLE) AS json_total FROM ({body}) AS t"
@@ -621,16 +621,17 @@ def _stored_sql() -> str:
         one("funnel_language_metrics", "SELECT language, count(*) FILTER (WHERE role = 'primary') AS n FROM curated GROUP BY 1", "sum(n)"),
         one("crossqueue_agent_metrics", AGENTS_SQL, "sum(total_calls)"), one("crossqueue_caller_metrics", CALLERS_SQL, "sum(total_calls)"),
         one("comparative_series", f"SELECT queue_id, calls FROM ({HOURLY_SQL}) UNION ALL SELECT queue_id, calls FROM ({_DAILY_SQL})", "sum(calls)"),
+        one("anomalies", "SELECT * FROM anomalies", "sum(rule_order)"),
         "SELECT 'report_runs' AS name, 1 AS stored_rows, CAST((SELECT count(*) FROM filtered) AS DOUBLE) AS json_total",
     ]
-    return O.with_curated(HEADLINE_SQL + LEADERBOARD_CTE + TOP_CALLERS_CTE + "\n" + "\nUNION ALL ".join(tables))
+    return O.with_curated(HEADLINE_SQL + RULE_INPUTS + ANOMALIES_CTE + TOP_CALLERS_CTE + "\n" + "\nUNION ALL ".join(tables))
 
 
 # where each stored table keeps a number in its JSON
 _JSON_NUMBERS = {"queue_period_metrics": ("metrics_json", "total_calls"), "agent_queue_metrics": ("metrics_json", "calls"),
                  "funnel_language_metrics": ("metrics_json", "primary_calls"), "crossqueue_agent_metrics": ("metrics_json", "total_calls"),
                  "crossqueue_caller_metrics": ("metrics_json", "total_calls"), "comparative_series": ("metrics_json", "calls"),
-                 "report_runs": ("validation_json", "raw_row_count")}
+                 "anomalies": ("anomaly_json", "rule_order"), "report_runs": ("validation_json", "raw_row_count")}
 
 
 @register("stored_period", _stored_sql())
@@ -646,7 +647,7 @@ def stored_period(spark, sf_dir):
     out = None
     for name in ("curated_calls", "raw_call_legs", "queue_dim", "queue_period_metrics", "queue_daily_metrics", "queue_hourly_metrics",
                  "queue_dow_metrics", "agent_queue_metrics", "caller_queue_metrics", "release_reason_metrics",
-                 "funnel_language_metrics", "crossqueue_agent_metrics", "crossqueue_caller_metrics", "comparative_series", "report_runs"):
+                 "funnel_language_metrics", "crossqueue_agent_metrics", "crossqueue_caller_metrics", "comparative_series", "anomalies", "report_runs"):
         total = F.lit(None).cast("double")
         if name in _JSON_NUMBERS:
             column, key = _JSON_NUMBERS[name]

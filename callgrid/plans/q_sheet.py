@@ -170,3 +170,40 @@ def supplied_summary_override(spark, sf_dir):
     supplied = (M.agent_leaderboard(ctx.curated(spark, sf_dir)).filter(F.col("queue_id").isin("8020", "8021"))
                 .drop("rank").withColumn("source", F.lit("supplied")))
     return S.supplied_override(computed, supplied, ["queue_id", "agent_name"])
+
+
+@register("sheet_distribution", SHEET_CTE + f"""
+, m AS (SELECT queue_id, 'queue_sec' AS measure, queue_sec AS v FROM sheet
+        UNION ALL SELECT queue_id, 'agent_sec', agent_sec FROM sheet WHERE agent_sec > 0
+        UNION ALL SELECT queue_id, 'hold_sec', hold_sec FROM sheet WHERE hold_sec > 0)
+SELECT d.queue_id, x.measure, count(v) AS count, avg(v) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS min,
+  quantile_cont(v, 0.25) AS p25, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS p75, max(v) AS max
+FROM {O.DIM} d CROSS JOIN (VALUES ('queue_sec'), ('agent_sec'), ('hold_sec')) AS x(measure)
+LEFT JOIN m ON m.queue_id = d.queue_id AND m.measure = x.measure GROUP BY 1, 2""")
+def sheet_distribution(spark, sf_dir):
+    """A-25: duration statistics of the sheet calls (std rounded to 6 places)."""
+    return S.sheet_distribution(sheet_calls(spark, sf_dir), ctx.dim(spark)).withColumn("std", F.round("std", 6))
+
+
+@register("sheet_weekly", SHEET_CTE + """
+SELECT queue_id, CAST(date_trunc('week', date) AS DATE) AS week_start, CAST(date_trunc('week', date) AS DATE) + 6 AS week_end,
+  count(*) AS calls FROM sheet GROUP BY 1, 2, 3""", dates=("week_start", "week_end"))
+def sheet_weekly(spark, sf_dir):
+    """A-25: weekly volume of the sheet calls."""
+    return C.weekly_volume(C.calls_cube(sheet_calls(spark, sf_dir)))
+
+
+@register("sheet_hourly", SHEET_CTE + f"""
+SELECT queue_id, hour, count(*) AS calls, count(*) FILTER (WHERE NOT is_handled) AS no_answer_count,
+  {O.ratio('count(*) FILTER (WHERE NOT is_handled)', 'count(*)')} AS no_answer_rate,
+  avg(agent_sec) FILTER (WHERE is_handled) AS avg_agent_sec FROM sheet GROUP BY 1, 2""")
+def sheet_hourly(spark, sf_dir):
+    """A-25: hourly volume, no-answer rate and mean handled seconds of the sheet calls."""
+    return C.hourly_volume(C.calls_cube(sheet_calls(spark, sf_dir)))
+
+
+@register("sheet_callers", SHEET_CTE + "\nSELECT caller_number_norm, " + ", ".join(
+    f"count(*) FILTER (WHERE queue_id = '{q}') AS \"{q}\"" for q in ctx.QUEUE_IDS) + ", count(*) AS total_calls FROM sheet GROUP BY 1")
+def sheet_callers(spark, sf_dir):
+    """A-25: caller pivot with Unknown and Restricted."""
+    return S.sheet_callers(sheet_calls(spark, sf_dir), ctx.QUEUE_IDS)

@@ -183,8 +183,8 @@ def events_to_api_records(events: DataFrame, queues: tuple[Queue, ...] = DEFAULT
         F.concat(F.lit("c"), (uid * 1000 + F.dayofyear("ts")).cast("string")).alias("call_id"),
         number.alias("number"), F.concat(F.lit("Caller "), uid.cast("string")).alias("name")))
     # J-1: the queue's id, or its name in other letters, at one of the candidate paths (``_ref``)
-    at, last = F.col("event_id") % len(QUEUE_FIELD_CANDIDATES), len(QUEUE_FIELD_CANDIDATES) - 1
-    e = e.withColumn("_qid", qid).withColumn("_ref", F.when(k % 7 != 0, F.when(
+    at, last = F.col("_at"), len(QUEUE_FIELD_CANDIDATES) - 1
+    e = e.withColumns({"_qid": qid, "_at": F.col("event_id") % len(QUEUE_FIELD_CANDIDATES)}).withColumn("_ref", F.when(k % 7 != 0, F.when(
         at % 2 == 1, F.upper(F.try_element_at(names, F.col("_qid")))).otherwise(F.col("_qid"))))
     qid, ref = F.col("_qid"), F.col("_ref")
 
