@@ -9,14 +9,16 @@ with fewer words, the whole sequence). Two documents are linked when 100 * inter
    Documents of equal sets share one sketch from here on, so exact copies cost one row.
 2. Bands of 5 registers name buckets (48 bands: two sets of likeness 0.75 share none with
    a probability below 1e-6). Buckets of one member vanish after a partial count.
-3. In each bucket every member is compared with one hub, the member that shares most
-   buckets: pairs grow with the members, not with their square. Pairs whose likelihood,
-   given all registers and both set sizes, peaks well below 0.75 are left out, the others
-   verified on the full sets.
+3. Each bucket has a hub, the member that shares most buckets. Every member is compared with
+   the one hub that shares most of all, then with its other hubs as far as these stand in
+   another component: pairs grow with the members, not with their square. Pairs whose
+   likelihood, given all registers and both set sizes, peaks well below 0.75 are left out, the
+   others verified on the full sets.
 4. What the hubs cannot tell is told exactly: buckets that still hold members of different
    components are compared member by member, in blocks of bounded size that several
-   tasks share; only pairs across components that pass the estimate come out, and are
-   verified likewise. So no link between components is lost behind a hub.
+   tasks share, by registers first, then on the full sets of those that pass. What comes out are
+   links that join a block's components, at most one fewer than these, so no link between
+   components is lost behind a hub and no table holds a row a pair.
 
 Results in special cases: null, empty and blank texts have no set, are linked with
 nothing and stay; rows that repeat a doc_id count as documents of that id; a null doc_id
@@ -28,7 +30,7 @@ id; whole texts are read; an empty table gives an empty result; extra columns ar
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -202,9 +204,9 @@ def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted sets, from the texts of the documents that stand for them."""
-    texts = docs.select(F.col("doc_id").alias("first_id"), "text")
-    rows = texts.join(wanted, texts["first_id"].eqNullSafe(wanted["rep_id"])).select("node", "set_id", "text")
+    """(node, shingles) of the wanted sets, from the texts of the documents that stand for them (told by id and text)."""
+    texts = docs.select(F.col("doc_id").alias("first_id"), _text_id(F.col("text")).alias("first_text"), "text")
+    rows = texts.join(wanted, texts["first_id"].eqNullSafe(wanted["rep_id"]) & (texts["first_text"] == wanted["text_id"])).select("node", "set_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()  # rows that repeat a document
@@ -220,37 +222,68 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node long, shingles binary")
 
 
-def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of members (key, node, component, n of the bucket) across components that the registers do not rule out.
-
-    A bucket of more than ``BLOCK`` members is cut into parts by hash, and each two parts
-    meet in a block of their own. A pair is told in the first band that its nodes share.
-    """
-    parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node", "key"), parts).cast("int")
-    rows = members.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    rows = rows.select("key", "band", "node", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    rows = rows.join(sets.select("node", "registers", "n_shingles"), "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def block(rows: pa.Table) -> pa.RecordBatch:
-        regs, node, comp, size, part = (_registers(rows.column("registers")), *(rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "part")))
+def _passing(regs: np.ndarray, node: np.ndarray, comp: np.ndarray, size: np.ndarray, part: np.ndarray, band: int, same_part: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """For each member of a block, the later ones of other components that the registers do not rule out. A pair is
+    told in the first band that its nodes share."""
+    for x in range(len(node) - 1):
+        y = np.arange(x + 1, len(node))
+        y = y[(comp[y] != comp[x]) & ((part[y] != part[x]) | same_part)]
+        y = y[100 * np.minimum(size[y], size[x]) >= PERCENT * np.maximum(size[y], size[x])]
+        same = regs[y] == regs[x]
+        ok = same.mean(1) >= EQUAL_AT_LIMIT - MARGIN
+        y, same = y[ok], same[ok]
+        if len(y):
+            earlier = same[:, : band * BAND].reshape(len(y), band, BAND).all(2).any(1)
+            y = y[~earlier]
+        if len(y):
+            y = y[estimate(np.broadcast_to(regs[x], (len(y), REGISTERS)), regs[y], np.full(len(y), size[x]), size[y]) >= PERCENT / 100 - MARGIN]
+        if len(y):
+            yield x, y
+
+
+def _hopeful(members: pa.Table, pairs: Iterator[tuple[int, np.ndarray]]) -> pa.Table:
+    """The members of a block that are in any passing pair: no more rows than members, however many pairs."""
+    found = np.zeros(members.num_rows, bool)
+    for x, y in pairs:
+        found[x] = True
+        found[y] = True
+    return members.filter(pa.array(found)).drop_columns("registers")
+
+
+def _joined(members: pa.Table, pairs: Iterator[tuple[int, np.ndarray]]) -> pa.Table:
+    """Verified links of a block that join its components: at most one fewer than these, however many pairs are linked."""
+    node, comp = members.column("node").to_pylist(), members.column("component").to_pylist()
+    sets = [np.frombuffer(x.as_buffer(), _U) for x in members.column("shingles")]
+    above = {c: c for c in comp}
+
+    def root(c: int) -> int:
+        while above[c] != c:
+            above[c] = c = above[above[c]]
+        return c
+
+    out = []
+    for x, ys in pairs:
+        for y in ys:
+            if root(comp[x]) != root(comp[y]):
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * common >= PERCENT * (len(sets[x]) + len(sets[y]) - common):
+                    above[root(comp[x])] = root(comp[y])
+                    out.append((node[x], node[y]))
+    u, v = zip(*out) if out else ((), ())
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+_BLOCKED = ["key", "i", "j"]
+
+
+def _by_block(rows: DataFrame, what: Callable[[pa.Table, Iterator], pa.Table], schema: str) -> DataFrame:
+    """``what(members, passing pairs)`` of each block (key, i, j); a task holds one block beside its batch."""
+    rows = rows.repartition(*_BLOCKED).sortWithinPartitions(*_BLOCKED)
+
+    def block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        values = (rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "part"))
         band, i, j = (rows.column(c)[0].as_py() for c in ("band", "i", "j"))
-        out_u, out_v = [], []
-        for x in range(len(node) - 1):
-            y = np.arange(x + 1, len(node))
-            y = y[(comp[y] != comp[x]) & ((part[y] != part[x]) | (i == j))]
-            y = y[100 * np.minimum(size[y], size[x]) >= PERCENT * np.maximum(size[y], size[x])]
-            same = regs[y] == regs[x]
-            ok = same.mean(1) >= EQUAL_AT_LIMIT - MARGIN
-            y, same = y[ok], same[ok]
-            if len(y):
-                earlier = same[:, : band * BAND].reshape(len(y), band, BAND).all(2).any(1)
-                y = y[~earlier]
-            if len(y):
-                y = y[estimate(np.broadcast_to(regs[x], (len(y), REGISTERS)), regs[y], np.full(len(y), size[x]), size[y]) >= PERCENT / 100 - MARGIN]
-                out_u += [int(node[x])] * len(y)
-                out_v += node[y].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(out_u, pa.int64()), pa.array(out_v, pa.int64())], names=["u", "v"])
+        yield from what(rows, _passing(_registers(rows.column("registers")), *values, band, i == j)).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the block that the last batch ended in
@@ -260,15 +293,34 @@ def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
                 t = pa.concat_tables([held, t])
             if not t.num_rows:
                 continue
-            names = [t.column(c).to_numpy() for c in ("key", "i", "j")]
+            names = [t.column(c).to_numpy() for c in _BLOCKED]
             cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1
             for start, end in zip([0, *cuts[:-1]], cuts):
-                yield block(t.slice(start, end - start).combine_chunks())
+                yield from block(t.slice(start, end - start).combine_chunks())
             held = t.slice(cuts[-1] if len(cuts) else 0)
         if held is not None and held.num_rows:
-            yield block(held.combine_chunks())
+            yield from block(held.combine_chunks())
+
+    return rows.mapInArrow(run, schema)
 
-    return rows.mapInArrow(run, "u long, v long").distinct()
+
+def _across(members: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
+    """Verified links that join the components of members (key, band, node, component, n of the bucket) which share a bucket.
+
+    A bucket of more than ``BLOCK`` members is cut into parts by hash, and each two parts meet in a block of their own. The
+    registers first tell the members that pass with any other; only these get their full sets, and are verified where
+    they meet, so neither step gives a row a pair.
+    """
+    parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("node", "key"), parts).cast("int")
+    rows = members.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.select("key", "band", "node", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    registers = sets.select("node", "registers", "n_shingles")
+    hopeful = _by_block(rows.join(registers, "node").select("key", "band", "node", "component", "part", "i", "j", "registers", "n_shingles"), _hopeful,
+                        "key long, band int, node long, component long, part int, i int, j int, n_shingles long")
+    hopeful = written(hopeful, "near-hopeful")
+    whole = hopeful.join(registers.drop("n_shingles"), "node").join(full, "node")
+    return _by_block(whole, _joined, "u long, v long").distinct()
 
 
 def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -280,19 +332,30 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     shared = written(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-shared")
     members = written(banded.join(shared, "key").select("key", "band", "node", "n"), "near-members")
     degree = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    hubs = members.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"))
+    hub = F.max(F.struct("degree", "node"))
+    hubs = members.join(degree, "node").groupBy("key").agg(hub["node"].alias("hub"), hub["degree"].alias("hub_degree"))
     hubs = written(hubs, "near-hubs")
     around = written(members.join(hubs, "key").where(F.col("node") != F.col("hub")), "near-around")
-    stars = written(_likely(around.select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct(), sets), "near-stars")
+    # first each node with the one hub that shares most, and the two of each bucket of two
+    nearest = around.groupBy("node").agg(F.max(F.struct("hub_degree", "hub"))["hub"].alias("v"))
+    pairs = nearest.union(around.where("n = 2").select("node", "hub")).toDF("u", "v").distinct()
+    stars = written(_likely(pairs, sets), "near-stars")
     # full sets of all that may be compared: ends of the stars, and members of buckets that have more than a hub and one
-    ends = stars.select(F.col("u").alias("node")).union(stars.select("v")).union(around.where("n > 2").select("node")).distinct()
-    full = written(_full_sets(docs, ends.join(sets, "node").select("node", "rep_id", "set_id")), "near-sets")
-    first = written(_verified(stars, full), "near-links")
-    known = written(components(first), "near-components")
-    rest = around.where("n > 2").join(known, "node", "left").select("key", "band", "node", "n", F.coalesce("component", "node").alias("component"))
+    crowd = around.where("n > 2")
+    ends = stars.select(F.col("u").alias("node")).union(stars.select("v")).union(crowd.select("node")).union(crowd.select("hub")).distinct()
+    full = written(_full_sets(docs, ends.join(sets, "node").select("node", "rep_id", "text_id", "set_id")), "near-sets")
+    found = written(_verified(stars, full), "near-links")
+    # then with the other hubs, where these still stand in another component
+    known = written(components(found), "near-components")
+    of_hub = known.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
+    apart = crowd.join(known, "node", "left").join(of_hub, "hub", "left").where(F.coalesce("component", "node") != F.coalesce("hub_component", "hub"))
+    more = _likely(apart.select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct(), sets)
+    found = written(found.union(_verified(more, full)), "near-links")
+    known = written(components(found), "near-components")
+    everyone = crowd.select("key", "band", "node", "n").union(crowd.groupBy("key").agg(F.first("band").alias("band"), F.first("hub").alias("node"), F.first("n").alias("n")))
+    rest = everyone.join(known, "node", "left").select("key", "band", "node", "n", F.coalesce("component", "node").alias("component"))
     mixed = rest.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-    more = written(_across(rest.join(mixed, "key"), sets), "near-rest")
-    return first.union(_verified(more, full))
+    return found.union(_across(rest.join(mixed, "key"), sets, full))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -303,7 +366,9 @@ def classes(docs: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame) -> DataFrame:
     sketched = written(sketches(docs), "near-sketches")
     sets = sketched.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
-        F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("rep"),
+        F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+    sets = sets.select("set_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_id").alias("text_id"), "n_shingles", "registers")
     sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "near-distinct")
     found = components(links(docs, sets))
     named = sets.select("set_id", "node", "rep_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -87,6 +87,34 @@ def test_hub_blind_links_are_found(spark):
     assert got == near_classes(family)[1]
 
 
+def test_links_grow_with_the_members(spark, monkeypatch):
+    """A family of which many pairs are alike by about the limit: no table has more rows than its members have places in
+    shared buckets, and these grow like the members."""
+    import random
+    rows = {}
+    real = neardup.written
+    for n in (60, 120):
+        rng, sizes = random.Random(9), {}
+        words = [f"w{k}" for k in range(200)]
+        texts = []
+        for i in range(n):
+            w = list(words)
+            for _ in range(5):
+                w[rng.randrange(200)] = f"e{rng.randrange(9999)}"
+            texts.append((i, " ".join(w)))
+
+        def kept(df, name, sizes=sizes):
+            out = real(df, name)
+            sizes[name] = max(sizes.get(name, 0), out.count())
+            return out
+
+        monkeypatch.setattr(neardup, "written", kept)
+        neardup.classes(spark.createDataFrame(texts, "doc_id long, text string")).count()
+        rows[n] = sizes
+    assert all(size <= of["near-members"] for of in rows.values() for size in of.values()), str(rows)
+    assert rows[120]["near-members"] <= 3 * rows[60]["near-members"] and rows[120]["near-links"] <= 240, str(rows)
+
+
 def test_quality_agrees_with_brute_force(spark, texts):
     got = queries.QUERIES["op8_quality"](spark, SF).collect()
     assert len(got) == len(texts)
