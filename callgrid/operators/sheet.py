@@ -173,13 +173,12 @@ def sheet_callers(curated: DataFrame, ids: Sequence[str]) -> DataFrame:
     return pivot_by_queue(curated.where(F.col("queue_id").isin(*ids)), "caller_number_norm", ids)
 
 
-def supplied_override(computed: DataFrame, supplied: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """A-26: per queue, the supplied summary rows replace the computed ones when the queue
-    has any supplied row; queues without supplied rows keep the computed rows."""
+def supplied_override(computed: DataFrame, supplied: DataFrame | None, unit: Sequence[str] = ("queue_id",)) -> DataFrame:
+    """A-26: the supplied summary rows replace the computed ones of each ``unit`` (a queue; for reasons a queue and
+    reason type) that has any supplied row; the others keep the computed rows."""
     if supplied is None:
         return computed
-    has = supplied.select("queue_id").distinct()
-    kept = computed.join(F.broadcast(has), "queue_id", "left_anti")
+    kept = computed.join(supplied.select(*unit).distinct(), list(unit), "left_anti")
     return kept.unionByName(supplied.select(*computed.columns))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callgrid import oracle as O
+from callgrid.functions import exprs as X
 from callgrid.operators import cube as C
 from callgrid.operators import queue_metrics as M
 from callgrid.operators import sheet as S
@@ -169,7 +170,7 @@ def supplied_summary_override(spark, sf_dir):
     computed = S.sheet_leaderboard(sheet_calls(spark, sf_dir)).withColumn("source", F.lit("computed"))
     supplied = (M.agent_leaderboard(ctx.curated(spark, sf_dir)).filter(F.col("queue_id").isin("8020", "8021"))
                 .drop("rank").withColumn("source", F.lit("supplied")))
-    return S.supplied_override(computed, supplied, ["queue_id", "agent_name"])
+    return S.supplied_override(computed, supplied)
 
 
 @register("sheet_distribution", SHEET_CTE + f"""
@@ -207,3 +208,34 @@ def sheet_hourly(spark, sf_dir):
 def sheet_callers(spark, sf_dir):
     """A-25: caller pivot with Unknown and Restricted."""
     return S.sheet_callers(sheet_calls(spark, sf_dir), ctx.QUEUE_IDS)
+
+
+@register("supplied_reasons_override", SHEET_CTE + f"""
+, l AS (SELECT queue_id, 'queue' AS reason_type, coalesce(queue_release_reason, '(blank)') AS reason FROM sheet
+        UNION ALL SELECT queue_id, 'agent', coalesce(agent_release_reason, '(blank)') FROM sheet),
+supplied AS (SELECT queue_id, 'queue' AS reason_type, {O.trim_ws('queue_release_reason')} AS reason, count(*) AS calls FROM curated
+  WHERE queue_id IN ('8020', '8021') AND coalesce({O.has_value('queue_release_reason')}, false) GROUP BY 1, 2, 3)
+SELECT queue_id, reason_type, reason, count(*) AS calls FROM l
+WHERE (queue_id, reason_type) NOT IN (SELECT (queue_id, reason_type) FROM supplied) GROUP BY 1, 2, 3
+UNION ALL SELECT * FROM supplied""")
+def supplied_reasons_override(spark, sf_dir):
+    """A-26: supplied queue reasons (here: the CSV path's, of the primary queues) replace the computed ones of their queue
+    and type; the agent reasons stay computed."""
+    computed = S.sheet_reasons(sheet_calls(spark, sf_dir)).drop("rank")
+    supplied = M.release_reasons(ctx.curated(spark, sf_dir)).where(F.col("queue_id").isin("8020", "8021") & (F.col("reason_type") == "queue"))
+    return S.supplied_override(computed, supplied, ("queue_id", "reason_type"))
+
+
+@register("supplied_callers_override", SHEET_CTE + """
+, c AS (SELECT queue_id, caller_number_norm, count(*) AS calls FROM sheet GROUP BY 1, 2),
+computed AS (SELECT queue_id, caller_number_norm, calls FROM (SELECT *, row_number() OVER (
+  PARTITION BY queue_id ORDER BY calls DESC, caller_number_norm) AS rank FROM c) WHERE rank <= 100),
+supplied AS (SELECT queue_id, caller_number_norm, count(*) AS calls FROM curated
+  WHERE queue_id = '8030' AND NOT starts_with(caller_number_norm, '__restricted__') GROUP BY 1, 2 HAVING count(*) > 1)
+SELECT * FROM computed WHERE queue_id <> '8030' OR (SELECT count(*) FROM supplied) = 0 UNION ALL SELECT * FROM supplied""")
+def supplied_callers_override(spark, sf_dir):
+    """A-26: a supplied list of repeat callers (here: one overflow queue's of the CSV path) replaces the computed top callers."""
+    computed = S.sheet_top_callers(sheet_calls(spark, sf_dir), 100).drop("rank")
+    known = ctx.curated(spark, sf_dir).where((F.col("queue_id") == "8030") & ~X.is_restricted("caller_number_norm"))
+    supplied = known.groupBy("queue_id", "caller_number_norm").agg(F.count(F.lit(1)).alias("calls")).where("calls > 1")
+    return S.supplied_override(computed, supplied)

@@ -94,7 +94,7 @@ def test_header_detection(spark):
 def test_supplied_override(spark):
     computed = spark.createDataFrame([("8020", "A", 5), ("8021", "B", 2)], "queue_id string, agent_name string, calls long")
     supplied = spark.createDataFrame([("8020", "Z", 9)], "queue_id string, agent_name string, calls long")
-    got = sorted(tuple(r) for r in S.supplied_override(computed, supplied, ["queue_id", "agent_name"]).collect())
+    got = sorted(tuple(r) for r in S.supplied_override(computed, supplied).collect())
     assert got == [("8020", "Z", 9), ("8021", "B", 2)]
 
 
