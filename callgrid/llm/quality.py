@@ -18,6 +18,7 @@ rules alone decide. Only the columns named are read, extra ones are ignored (or,
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,13 +39,21 @@ MICRO = 1_000_000
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 REPEAT_WINDOW = 8  # 1, 2, 4, 8: hashes of two halves are joined
+#: Weights are put in order in blocks of so many buckets; the one row of all of them is joined from whole blocks.
+BLOCK = 4096
 SYMBOLS = "#*$%&|<>"
 
 
 @dataclass(frozen=True)
 class RatioModel:
-    """Log ratio of each bucket in micro-nats, as one comma-separated text."""
-    weights: str
+    """Log ratio of each bucket in micro-nats: ``table`` has one row with the array ``weights`` (ints, in order of bucket)."""
+    table: DataFrame
+    buckets: int
+
+    @property
+    def weights(self) -> str:
+        """All weights as one comma-separated text, brought to the driver; for looking at small models."""
+        return ",".join(map(str, self.table.first()["weights"]))
 
 
 def _joined(hashes: Column, step: int) -> Column:
@@ -73,7 +82,7 @@ def _once(seen: DataFrame) -> DataFrame:
 
 
 def fit_ratio(docs: DataFrame, labels: DataFrame, buckets: int | None = None, target_rows: int = TARGET_ROWS) -> RatioModel:
-    """Count n-grams of all distinct texts and of the trusted ones in one pass, a row a bucket; the driver gets one text.
+    """Count n-grams of all distinct texts and of the trusted ones in one pass, a row a bucket; the weights become a written table.
 
     ``labels`` has (doc_id, quality). Only the trusted sample is bounded, by
     ``target_rows``; its ids are broadcast. Without ``buckets`` the space follows the
@@ -95,14 +104,15 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, buckets: int | None = None, ta
     counts = written(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("is_target").alias("t")), "quality-counts")
     total = counts.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
     if not total["t"]:
-        weight = F.lit(0).cast("long")
+        weight = F.lit(0)
     else:  # every bucket counts once more than it was found
         share = lambda found, of: F.ln((F.coalesce(F.col(found), F.lit(0)) + 1) / F.lit(float(of + buckets)))
-        weight = F.round(MICRO * (share("t", total["t"]) - share("n", total["n"]))).cast("long")
+        weight = F.round(MICRO * (share("t", total["t"]) - share("n", total["n"])))
     every = docs.sparkSession.range(buckets).join(counts, F.col("id") == F.col("bucket"), "left")
-    ordered = F.sort_array(F.collect_list(F.struct("id", weight.alias("weight"))))  # one row a bucket, however much was counted
-    text = F.array_join(F.transform(ordered, lambda x: x["weight"].cast("string")), ",")
-    return RatioModel(every.agg(text.alias("weights")).first()["weights"])
+    every = every.select("id", F.floor(F.col("id") / BLOCK).alias("block"), weight.cast("int").alias("weight"))
+    in_order = lambda at, value: F.transform(F.sort_array(F.collect_list(F.struct(at, value))), lambda x: x[value])
+    blocks = every.groupBy("block").agg(in_order("id", "weight").alias("weights"))
+    return RatioModel(written(blocks.agg(F.flatten(in_order("block", "weights")).alias("weights")), "quality-weights"), buckets)
 
 
 def _repeated_words(windows: Column) -> Column:
@@ -126,12 +136,12 @@ def _repeated_words(windows: Column) -> Column:
     return let(windows, of)
 
 
-def quality(text: Column, model: RatioModel, threshold: float = THRESHOLD) -> Column:
-    """Struct of the base counts, ``base_failed``, ``ratio`` and ``kept`` of one text."""
-    text = F.coalesce(text, F.lit(""))
-    buckets = model.weights.count(",") + 1
-    # one text literal that the optimiser folds into an array literal
-    weights = F.split(F.lit(model.weights), ",").cast("array<bigint>")
+def quality(text: Column, weights: Column, buckets: int, threshold: float = THRESHOLD) -> Column:
+    """Struct of the base counts, ``base_failed``, ``ratio`` and ``kept`` of one text, by the array of weights of that many buckets."""
+    return let(weights, lambda given: _judge(F.coalesce(text, F.lit("")), given, buckets, threshold))
+
+
+def _judge(text: Column, weights: Column, buckets: int, threshold: float) -> Column:
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
     zero = F.lit(0).cast("long")
 
@@ -160,13 +170,25 @@ def quality(text: Column, model: RatioModel, threshold: float = THRESHOLD) -> Co
     return let(words_of(text), judged)
 
 
+def _with_quality(docs: DataFrame, model: RatioModel) -> tuple[DataFrame, str]:
+    """``docs`` and :func:`quality` of each row, in a column of the name returned.
+
+    The weights are the result of a subquery, which goes to the tasks as it is; a literal would be copied and printed
+    in each form of the plan. Functions with lambdas take no subquery, so it is a column first. That column is named once,
+    so the optimiser puts the subquery in its place and no row carries the weights.
+    """
+    weights, judged = f"weights_{uuid.uuid4().hex}", f"quality_{uuid.uuid4().hex}"
+    found = docs.withColumn(weights, model.table.scalar())
+    return found.withColumn(judged, quality(F.col("text"), F.col(weights), model.buckets)).drop(weights), judged
+
+
 def score(docs: DataFrame, labels: DataFrame, **fit) -> DataFrame:
     """doc_id, the base counts, ``base_failed``, ``ratio`` and ``kept`` of every document."""
-    model = fit_ratio(docs, labels, **fit)
-    return docs.select("doc_id", quality(F.col("text"), model).alias("q")).select("doc_id", "q.*")
+    found, judged = _with_quality(docs.select("doc_id", "text"), fit_ratio(docs, labels, **fit))
+    return found.select("doc_id", F.col(judged).alias("q")).select("doc_id", "q.*")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **fit) -> DataFrame:
     """The documents that pass, with their columns as they came."""
-    model = fit_ratio(docs, labels, **fit)
-    return docs.where(quality(docs["text"], model)["kept"])
+    found, judged = _with_quality(docs, fit_ratio(docs, labels, **fit))
+    return found.where(F.col(judged)["kept"]).drop(judged)

@@ -41,6 +41,14 @@ def test_quality(spark, docs, labels):
     assert all(r.ratio == 0 for r in quality.score(docs, labels.limit(0)).collect())
 
 
+def test_weights_are_in_no_plan_and_no_row(spark, docs, labels, capsys):
+    for found in (quality.score(docs, labels), quality.keep_good(docs, labels)):
+        found.explain(True)  # one weight for each of 65,536 buckets
+        plans = capsys.readouterr().out
+        assert "ubquery" in plans and len(plans) < quality.BUCKETS
+        assert "AS weights_" in plans and "AS weights_" not in plans.partition("== Optimized Logical Plan ==")[2]
+
+
 def test_junk_is_rejected_however_large_the_table(spark):
     junk = F.pmod("doc_id", F.lit(20)) == 0
     word = lambda j: F.concat(F.pmod(F.xxhash64("doc_id", j), F.lit(50_000)).cast("string"), F.when(junk, "%%%").otherwise("ab"))
