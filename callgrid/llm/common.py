@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +69,10 @@ def located(spark: SparkSession, path: str) -> str:
     return f"file://{found[5:]}" if found.startswith("file:/") and not found.startswith("file://") else found
 
 
+#: The tables (session, name, path) written since the innermost :func:`passing` block began.
+_made: ContextVar[list[tuple[SparkSession, str, str]] | None] = ContextVar("made", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
@@ -75,5 +81,50 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
+    made = _made.get()
+    if made is not None:
+        made.append((spark, name, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing(*kept: str) -> Iterator[None]:
+    """Tables that :func:`written` makes in this block are deleted at its end, but for those of the names ``kept``, which
+    pass to the block around it. What is read later must come from the kept ones alone."""
+    outer, made = _made.get(), []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for spark, name, path in made:
+            if name not in kept:
+                where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            elif outer is not None:
+                outer.append((spark, name, path))
+
+
+#: Bits that :func:`sifted` has for each key, and bits in all at most (8 MB).
+BITS_A_KEY, MOST_BITS = 16, 2**26
+_CHUNK = 32768  # bits in a row of bitmap_construct_agg
+
+
+def sifted(rows: DataFrame, values: list[Column], keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``values`` may be a row of ``keys``, rows whose values surely are none).
+
+    Told by a broadcast bitmap of the keys' hashes, so that a join with few of many wide rows deals out these alone. No
+    row that has a key is in the second part; with up to 4 million keys some 6 % of the others are in the first, with
+    more keys more of them, as the bitmap grows no further. ``keys`` is read twice.
+    """
+    chunks = max(1, min(MOST_BITS, BITS_A_KEY * keys.count()) // _CHUNK)
+    bit = lambda columns: F.pmod(F.xxhash64(*columns), F.lit(chunks * _CHUNK))
+    bits = keys.select(bit([F.col(c) for c in keys.columns]).alias("bit")).groupBy(F.floor(F.col("bit") / _CHUNK).alias("__chunk"))
+    bits = bits.agg(F.bitmap_construct_agg(F.col("bit") % _CHUNK).alias("__bits"))
+    placed = rows.withColumn("__bit", bit(values))
+    placed = placed.join(F.broadcast(bits), F.floor(placed["__bit"] / _CHUNK) == bits["__chunk"], "left")
+    at = F.col("__bit") % _CHUNK
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return placed.where(found).select(*rows.columns), placed.where(~found).select(*rows.columns)

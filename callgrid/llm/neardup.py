@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callgrid.llm.common import written
+from callgrid.llm.common import passing, sifted, written
 from callgrid.llm.components import components
 
 SHINGLE = 5
@@ -171,6 +171,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) that the registers do not rule out."""
+    sets = sifted(sets, [F.col("node")], pairs.select("u").union(pairs.select("v")).distinct())[0]
     one = sets.select(F.col("node").alias("u"), F.col("registers").alias("ru"), F.col("n_shingles").alias("nu"))
     two = sets.select(F.col("node").alias("v"), F.col("registers").alias("rv"), F.col("n_shingles").alias("nv"))
 
@@ -206,6 +207,7 @@ def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the wanted sets, from the texts of the documents that stand for them (told by id and text)."""
     texts = docs.select(F.col("doc_id").alias("first_id"), _text_id(F.col("text")).alias("first_text"), "text")
+    texts = sifted(texts, [F.col("first_id"), F.col("first_text")], wanted.select("rep_id", "text_id"))[0]
     rows = texts.join(wanted, texts["first_id"].eqNullSafe(wanted["rep_id"]) & (texts["first_text"] == wanted["text_id"])).select("node", "set_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,18 +340,21 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     around = written(members.join(hubs, "key").where(F.col("node") != F.col("hub")), "near-around")
     # first each node with the one hub that shares most, and the two of each bucket of two
     nearest = around.groupBy("node").agg(F.max(F.struct("hub_degree", "hub"))["hub"].alias("v"))
-    pairs = nearest.union(around.where("n = 2").select("node", "hub")).toDF("u", "v").distinct()
+    pairs = written(nearest.union(around.where("n = 2").select("node", "hub")).toDF("u", "v").distinct(), "near-pairs")
     stars = written(_likely(pairs, sets), "near-stars")
     # full sets of all that may be compared: ends of the stars, and members of buckets that have more than a hub and one
     crowd = around.where("n > 2")
     ends = stars.select(F.col("u").alias("node")).union(stars.select("v")).union(crowd.select("node")).union(crowd.select("hub")).distinct()
-    full = written(_full_sets(docs, ends.join(sets, "node").select("node", "rep_id", "text_id", "set_id")), "near-sets")
+    ends = written(ends, "near-ends")
+    sets = written(ends.join(sifted(sets, [F.col("node")], ends)[0], "node"), "near-compared")  # all that the steps below name
+    full = written(_full_sets(docs, sets.select("node", "rep_id", "text_id", "set_id")), "near-sets")
     found = written(_verified(stars, full), "near-links")
     # then with the other hubs, where these still stand in another component
     known = written(components(found), "near-components")
     of_hub = known.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
     apart = crowd.join(known, "node", "left").join(of_hub, "hub", "left").where(F.coalesce("component", "node") != F.coalesce("hub_component", "hub"))
-    more = _likely(apart.select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct(), sets)
+    more = written(apart.select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct(), "near-apart")
+    more = _likely(more, sets)
     found = written(found.union(_verified(more, full)), "near-links")
     known = written(components(found), "near-components")
     everyone = crowd.select("key", "band", "node", "n").union(crowd.groupBy("key").agg(F.first("band").alias("band"), F.first("hub").alias("node"), F.first("n").alias("n")))
@@ -364,15 +369,18 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    sketched = written(sketches(docs), "near-sketches")
-    sets = sketched.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("rep"),
-        F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
-    sets = sets.select("set_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_id").alias("text_id"), "n_shingles", "registers")
-    sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "near-distinct")
-    found = components(links(docs, sets))
-    named = sets.select("set_id", "node", "rep_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = written(named.select("set_id", "component", "rep_id"), "near-named")
+    with passing("near-documents", "near-named"):
+        with passing("near-documents", "near-distinct"):  # of the documents' registers, those of distinct sets are left
+            sketched = written(sketches(docs), "near-sketches")
+            sets = sketched.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
+                F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("rep"),
+                F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+            sets = sets.select("set_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_id").alias("text_id"), "n_shingles", "registers")
+            sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "near-distinct")
+            sketched = written(sketched.drop("registers"), "near-documents")
+        found = components(links(docs, sets))
+        named = sets.select("set_id", "node", "rep_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        named = written(named.select("set_id", "component", "rep_id"), "near-named")
     smallest = named.groupBy("component").agg(F.min("rep_id").alias("component_id"))
     of_set = named.join(smallest, "component").select(F.col("set_id").alias("own_set"), "component_id")
     out = sketched.select("doc_id", "text_id", "set_id", "n_shingles").join(of_set, F.col("set_id") == F.col("own_set"), "left")
@@ -385,6 +393,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Rows that repeat both the kept doc_id and its text stay with it.
     """
-    gone = _classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("text_id").alias("__text"))
-    gone = written(gone.distinct(), "near-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]) & (_text_id(docs["text"]) == gone["__text"]), "left_anti")
+    with passing("near-gone"):
+        gone = _classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("text_id").alias("__text"))
+        gone = written(gone.distinct(), "near-gone")
+    maybe, rest = sifted(docs, [F.col("doc_id"), _text_id(F.col("text"))], gone)
+    return rest.union(maybe.join(gone, maybe["doc_id"].eqNullSafe(gone["__gone"]) & (_text_id(maybe["text"]) == gone["__text"]), "left_anti"))

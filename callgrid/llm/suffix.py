@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callgrid.llm.common import WORD, written
+from callgrid.llm.common import WORD, passing, sifted, written
 from callgrid.llm.neardup import ngram_hashes, word_hashes
 
 #: Words of a window.
@@ -56,6 +56,10 @@ def digest(text: str | None) -> bytes:
     return hashlib.md5((text or "").encode("utf-8")).digest()
 
 
+def _text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def retained(words: np.ndarray) -> np.ndarray:
     """For each window, the place of its minimiser."""
     grams = ngram_hashes(words, GRAM)
@@ -153,31 +157,36 @@ def ngram_hashes_pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, spans): doc_id, digest, n_words, tid and is_first of every document; and for each
     distinct text with repeats its tid and starts, the sorted starts of repeated windows with the tid of their first place."""
-    found = written(suffixes(docs), "suffix-rows")
-    distinct = found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("suffixes").alias("suffixes"))
-    # ids that rise with doc_id, so that an earlier place is a smaller (tid, pos)
-    distinct = distinct.repartitionByRange(F.col("first_id").asc_nulls_last(), "digest").sortWithinPartitions(F.col("first_id").asc_nulls_last(), "digest")
-    distinct = written(distinct.withColumn("tid", F.monotonically_increasing_id()), "suffix-texts")
-    array = distinct.select("tid", F.explode("suffixes").alias("s")).select("s.key", "tid", "s.pos")
-    ordered = array.repartitionByRange("key", "tid", "pos").sortWithinPartitions("key", "tid", "pos")
-    near = written(_like_neighbours(ordered), "suffix-neighbours")
-    cut = near.where("edge >= 0").groupBy("key").agg(F.count_distinct("edge").alias("parts")).where("parts > 1").select("key")
-    runs = near.where("repeated").select("tid", "pos").union(near.where("NOT repeated").join(cut, "key").select("tid", "pos"))
-    places = runs.groupBy("tid").agg(F.collect_set("pos").alias("places"))  # at most the places of one text
-    wanted = written(places.join(distinct.select("tid", "digest", "first_id"), "tid"), "suffix-places")
-    texts = docs.select(F.col("doc_id").alias("own_id"), "text")
-    texts = texts.join(wanted, texts["own_id"].eqNullSafe(wanted["first_id"])).select("tid", "digest", "text", "places")
-    windows = written(_windows(texts), "suffix-windows")
-    firsts = windows.groupBy("h", "h2").agg(F.min(F.struct("tid", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # a table of its own: the join then deals both sides out itself, and the session can split a passage that many share
-    firsts = written(firsts, "suffix-firsts")
-    later = windows.join(firsts, ["h", "h2"]).where(F.struct("tid", "pos") != F.col("first"))
-    starts = F.sort_array(F.collect_list(F.struct("pos", F.col("first.tid").alias("source")))).alias("starts")
-    spans = later.groupBy("tid").agg(starts)  # at most the windows of one text
-    names = distinct.select(F.col("digest").alias("own"), "tid", "first_id")
-    rows = found.select("doc_id", "digest", "n_words")
-    rows = rows.join(names, rows["digest"] == names["own"]).select("doc_id", "digest", "n_words", "tid", F.col("doc_id").eqNullSafe(F.col("first_id")).alias("is_first"))
-    return written(rows, "suffix-documents"), written(spans, "suffix-spans")
+    with passing("suffix-documents", "suffix-spans"):
+        with passing("suffix-documents", "suffix-places"):
+            with passing("suffix-documents", "suffix-texts"):
+                found = written(suffixes(docs), "suffix-rows")
+                distinct = found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("suffixes").alias("suffixes"))
+                # ids that rise with doc_id, so that an earlier place is a smaller (tid, pos)
+                distinct = distinct.repartitionByRange(F.col("first_id").asc_nulls_last(), "digest").sortWithinPartitions(F.col("first_id").asc_nulls_last(), "digest")
+                distinct = written(distinct.withColumn("tid", F.monotonically_increasing_id()), "suffix-texts")
+                names = distinct.select(F.col("digest").alias("own"), "tid", "first_id")
+                rows = found.select("doc_id", "digest", "n_words")
+                rows = rows.join(names, rows["digest"] == names["own"]).select("doc_id", "digest", "n_words", "tid", F.col("doc_id").eqNullSafe(F.col("first_id")).alias("is_first"))
+                rows = written(rows, "suffix-documents")
+            array = distinct.select("tid", F.explode("suffixes").alias("s")).select("s.key", "tid", "s.pos")
+            ordered = array.repartitionByRange("key", "tid", "pos").sortWithinPartitions("key", "tid", "pos")
+            near = written(_like_neighbours(ordered), "suffix-neighbours")
+            cut = near.where("edge >= 0").groupBy("key").agg(F.count_distinct("edge").alias("parts")).where("parts > 1").select("key")
+            runs = near.where("repeated").select("tid", "pos").union(near.where("NOT repeated").join(cut, "key").select("tid", "pos"))
+            places = runs.groupBy("tid").agg(F.collect_set("pos").alias("places"))  # at most the places of one text
+            wanted = written(places.join(distinct.select("tid", "digest", "first_id"), "tid"), "suffix-places")
+        texts = docs.select(F.col("doc_id").alias("own_id"), "text")
+        texts = sifted(texts, [F.col("own_id"), _text_digest(F.col("text"))], wanted.select("first_id", "digest"))[0]
+        texts = texts.join(wanted, texts["own_id"].eqNullSafe(wanted["first_id"])).select("tid", "digest", "text", "places")
+        windows = written(_windows(texts), "suffix-windows")
+        firsts = windows.groupBy("h", "h2").agg(F.min(F.struct("tid", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        # a table of its own: the join then deals both sides out itself, and the session can split a passage that many share
+        firsts = written(firsts, "suffix-firsts")
+        later = windows.join(firsts, ["h", "h2"]).where(F.struct("tid", "pos") != F.col("first"))
+        starts = F.sort_array(F.collect_list(F.struct("pos", F.col("first.tid").alias("source")))).alias("starts")
+        spans = written(later.groupBy("tid").agg(starts), "suffix-spans")  # at most the windows of one text
+    return rows, spans
 
 
 def _spans(starts) -> Column:
@@ -225,10 +234,12 @@ def cut(text: str, spans) -> str:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``, and ``n_chars``, if there is one, counted anew."""
-    found = written(repeats(docs).where("repeated_words > 0").select(F.col("doc_id").alias("__id"), "digest", "spans").distinct(), "suffix-cuts")
-    found = found.select("__id", F.col("digest").alias("__digest"), F.col("spans").alias("__spans"))
-    same = docs["doc_id"].eqNullSafe(found["__id"]) & (F.unhex(F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))) == found["__digest"])
-    joined = docs.join(found, same, "left").drop("__id", "__digest")
+    with passing("suffix-cuts"):
+        found = repeats(docs).where("repeated_words > 0").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans"))
+        found = written(found.distinct(), "suffix-cuts")
+    maybe, rest = sifted(docs, [F.col("doc_id"), _text_digest(F.col("text"))], found.select("__id", "__digest"))
+    same = maybe["doc_id"].eqNullSafe(found["__id"]) & (_text_digest(maybe["text"]) == found["__digest"])
+    joined = rest.withColumn("__spans", F.lit(None).cast(found.schema["__spans"].dataType)).union(maybe.join(found, same, "left").drop("__id", "__digest"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

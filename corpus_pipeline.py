@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from callgrid.llm import bpe, mixing, neardup, quality, suffix
-from callgrid.llm.common import ship_code, table, written
+from callgrid.llm.common import passing, ship_code, table, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +56,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read back."""
+    """All stages over ``documents``; each result is written to the shared folder and read back, the other tables of its stage are deleted."""
     docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs, f"stage{i}")
-    return docs
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        with passing(f"stage{i}"):
+            docs = written(stage(spark, docs, sf_dir), f"stage{i}")
+    return STAGES[-1][1](spark, docs, sf_dir)
