@@ -1,12 +1,10 @@
 """What the near-duplicate and repeated-passage stages leave in the shared folder, and which rows they deal out."""
 
 import random
-from pathlib import Path
 
 import corpus_pipeline
 import pytest
 from callgrid.llm import common, neardup, suffix
-from callgrid.session import ensure_checkpoint_dir
 from pyspark.sql import functions as F
 
 KIND = "doc_id long, text string, n_chars long"
@@ -23,40 +21,40 @@ def docs(spark):
     return spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], KIND)
 
 
-def tables(spark) -> set[str]:
-    return {p.name for p in Path(ensure_checkpoint_dir(spark).removeprefix("file://")).iterdir() if any(p.rglob("*.parquet"))}
+@pytest.fixture()
+def left(tmp_path, monkeypatch):
+    """The names of the tables in the shared folder, which is the test's own."""
+    monkeypatch.setattr(common, "ensure_checkpoint_dir", lambda spark: str(tmp_path))
+    return lambda: sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
 
 
-def test_stages_leave_one_small_table_each(spark, docs):
-    before = tables(spark)
+def test_stages_leave_one_small_table_each(docs, left):
     kept = neardup.keep_first(docs)
-    assert {t.rsplit("-", 1)[0] for t in tables(spark) - before} <= {"near-gone"}
+    assert left() == ["near-gone"]
     assert sorted(r.doc_id for r in kept.collect()) == sorted([*range(60), 3, 102, 103, 104])
     cut = suffix.without_repeats(docs)
-    assert {t.rsplit("-", 1)[0] for t in tables(spark) - before} <= {"near-gone", "suffix-cuts"}
-    left = {r.doc_id: r for r in cut.collect()}
-    assert left[101].text == "" and left[101].n_chars == 0 and left[102].text.split()[0] == "q0" and left[103].text is None
-    assert left[0].text and left[None].text == "" and cut.count() == docs.count() and cut.columns == docs.columns
+    assert left() == ["near-gone", "suffix-cuts"]
+    rows = {r.doc_id: r for r in cut.collect()}
+    assert rows[101].text == "" and rows[101].n_chars == 0 and rows[102].text.split()[0] == "q0" and rows[103].text is None
+    assert rows[0].text and rows[None].text == "" and cut.count() == docs.count() and cut.columns == docs.columns
 
 
-def test_results_outlive_the_tables_they_no_longer_need(spark, docs):
-    before = tables(spark)
+def test_results_outlive_the_tables_they_no_longer_need(docs, left):
     found, spans = neardup.classes(docs), suffix.repeats(docs)
-    assert {t.rsplit("-", 1)[0] for t in tables(spark) - before} <= {"near-documents", "near-named", "suffix-documents", "suffix-spans"}
+    assert left() == ["near-documents", "near-named", "suffix-documents", "suffix-spans"]
     got = {r.doc_id: r.component_id for r in found.collect()}
     assert got[100] == 0 and got[101] == 1 and got[None] == 2 and got[103] == 103
     assert {r.doc_id for r in spans.where("repeated_words > 0").collect()} == {100, 101, 102, None}
 
 
-def test_a_failed_block_leaves_no_table(spark):
-    before = tables(spark)
+def test_a_failed_block_leaves_no_table(spark, left):
     with pytest.raises(ZeroDivisionError), common.passing("kept"):
         with common.passing("inner"):
             assert common.written(spark.range(3), "inner").count() == 3
             common.written(spark.range(3), "other")
-        assert {t.rsplit("-", 1)[0] for t in tables(spark) - before} == {"inner"}
+        assert left() == ["inner"]
         assert 1 / 0
-    assert tables(spark) == before
+    assert left() == []
 
 
 @pytest.mark.parametrize("most", [common.MOST_BITS, 1])
@@ -74,10 +72,9 @@ def test_sifted_parts_the_rows_and_loses_no_key(spark, monkeypatch, most):
     assert maybe.count() == 0 and rest.count() == 20_000
 
 
-def test_pipeline_keeps_each_stages_result_alone(spark, docs, monkeypatch):
-    before = tables(spark)
+def test_pipeline_keeps_each_stages_result_alone(spark, docs, left, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "table", lambda spark, sf_dir, name: docs)
     monkeypatch.setattr(corpus_pipeline, "STAGES", [corpus_pipeline.STAGES[1], corpus_pipeline.STAGES[2], ("ids", lambda spark, docs, sf_dir: docs.select("doc_id"))])
     got = corpus_pipeline.run(spark, "")
-    assert {t.rsplit("-", 1)[0] for t in tables(spark) - before} == {"stage0", "stage1"}
+    assert left() == ["stage0", "stage1"]
     assert got.count() == 64
